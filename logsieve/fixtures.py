@@ -162,3 +162,96 @@ EDGE_LINES = [
     "2024-01-01 00:00:00~10.0.0.1~-~-~SYSLOG~content~~",
     "not-a-date~10.0.0.1~-~-~SYSLOG~content",
 ]
+
+
+# ---------------------------------------------------------------------------
+# Rule base tables from the TPC-H tables (sizes grow with the scale factor)
+# ---------------------------------------------------------------------------
+# Devices are suppliers; a device type is (nation, key mod 5, key div 50).
+# Each supplier also defines a rule library of its own device type; rules are
+# parts, 25 per library, so libraries of the top fifth of suppliers have no
+# rule. Every 97th part has a null rule id; every 7th points at an unknown
+# library. Suppliers with key mod 10 = 7 have no IP, mod 10 = 9 a null IP,
+# mod 3 = 0 a second IP.
+
+def moni_ne(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    return supplier.select(
+        k.cast("string").alias("ne_id"),
+        F.col("s_nationkey").cast("string").alias("htypeid"),
+        F.concat(F.lit("V"), _s(k % 5)).alias("vendorid"),
+        F.concat(F.lit("M"), _s(F.expr("s_suppkey div 50"))).alias("model"))
+
+
+def device_ips(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    ip1 = F.when(k % 10 != 9, F.concat(F.lit("172.16."), _s(F.expr("s_suppkey div 256")), F.lit("."), _s(k % 256)))
+    ip2 = F.concat(F.lit("172.17."), _s(F.expr("s_suppkey div 256")), F.lit("."), _s(k % 256))
+    ips = F.when(k % 3 == 0, F.array(ip1, ip2)).otherwise(F.array(ip1))
+    return supplier.where(k % 10 != 7).select(k.cast("string").alias("ne_id"), F.explode(ips).alias("device_ip"))
+
+
+def log_regex_libs(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    return supplier.select(
+        F.concat(F.lit("LIB"), _s(k)).alias("log_rule_lib_id"),
+        F.col("s_nationkey").cast("string").alias("htyeid"),
+        F.concat(F.lit("V"), _s(k % 5)).alias("vendorid"),
+        F.concat(F.lit("M"), _s(F.expr("s_suppkey div 50"))).alias("model"))
+
+
+def log_regexes(part: DataFrame) -> DataFrame:
+    k = F.col("p_partkey")
+    lib = F.when(k % 7 == 3, F.concat(F.lit("NOLIB"), _s(k))).otherwise(F.concat(F.lit("LIB"), _s(F.expr("p_partkey div 25"))))
+    values = {
+        "log_rule_id": F.when(k % 97 != 0, F.concat(F.lit("R"), _s(k))),
+        "log_rule_lib_id": lib,
+        "log_rule_code": F.concat(F.lit("C"), _s(k)),
+        "log_regex": F.concat(F.lit("user=(\\d+) type=("), F.lower(F.col("p_type")), F.lit(")")),
+        "eventdefid": F.col("p_brand"),
+        "eventlevel": _s(F.col("p_size") % 5),
+        "sourceip": F.lit("1"),
+        "eventname": F.lit("2"),
+        "reportnetype": F.col("p_name"),
+    }
+    return part.select(*[values.get(c, F.lit("")).alias(c) for c in S.LOG_REGEX_COLUMNS])
+
+
+# Event definitions are customers (name = market segment, so names repeat);
+# rule fields are orders (several per definition; every 11th points at a
+# missing definition).
+
+def event_rule_defs(customer: DataFrame) -> DataFrame:
+    k = F.col("c_custkey")
+    return customer.select(
+        F.concat(F.lit("E"), _s(k)).alias("event_rule_id"),
+        F.concat(F.lit("EL"), _s(k % 10)).alias("event_rule_lib_id"),
+        F.concat(F.lit("C"), _s(k)).alias("event_rule_code"),
+        F.col("c_mktsegment").alias("event_rule_name"),
+        _s(F.col("c_nationkey") % 5).alias("event_rule_level"),
+        F.concat(F.lit("B"), _s(F.col("c_nationkey") % 3)).alias("event_basic_type"),
+        F.concat(F.lit("S"), _s(k % 4)).alias("event_sub_type"),
+        F.col("c_name").alias("event_rule_desc"),
+        F.lit("").alias("event_rule"),
+        F.when(k % 4 == 0, 0).otherwise(1).alias("is_inner"),
+        F.when(k % 5 == 0, 0).otherwise(1).alias("is_use"))
+
+
+def event_rule_fields_table(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    rid = F.when(k % 11 == 0, F.concat(F.lit("EMISSING"), _s(k))).otherwise(F.concat(F.lit("E"), _s(F.col("o_custkey"))))
+    return orders.select(
+        F.concat(F.lit("F"), _s(k)).alias("event_rule_field_id"),
+        rid.alias("event_rule_id"),
+        F.col("o_orderpriority").alias("event_rule_field"),
+        F.col("o_orderstatus").alias("match_method"),
+        _s(F.col("o_totalprice").cast("decimal(18,2)")).alias("filed_begin_value"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed_end_value"))
+
+
+def points_from_embeddings(embeddings: DataFrame, dims: int) -> DataFrame:
+    """Cluster points: label -> cluster, vec_id -> address, first `dims` entries -> coordinates."""
+    k = F.col("vec_id")
+    ip = F.concat(F.lit("10.9."), _s(F.expr("vec_id div 256")), F.lit("."), _s(k % 256))
+    coords = F.transform(F.slice(F.col("embedding"), 1, dims), lambda x: x.cast("double"))
+    return embeddings.select(F.col("label").cast("int").alias("label"), ip.alias("ip"), coords.alias("coords"))

@@ -18,12 +18,15 @@ def _utf16_units_hex(c: Column) -> Column:
     return F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit("(.{4})"), 1)
 
 
-def string_to_escapes(c: Column, prefix: str = "\\u") -> Column:
+def string_to_escapes(c: Column, prefix: str = "\\u", pad: bool = False) -> Column:
     """F8: every UTF-16 unit as `prefix` + hex without zero padding; blank -> null.
 
     With prefix="socos" this is the `eventname2` form of the genlog document.
+    `pad=True` writes four hex digits per unit, the form F9 reads back.
     """
-    units = F.transform(_utf16_units_hex(c), lambda h: F.concat(F.lit(prefix), F.lower(F.conv(h, 16, 16))))
+    def unit(h: Column) -> Column:
+        return F.concat(F.lit(prefix), F.lower(h if pad else F.conv(h, 16, 16)))
+    units = F.transform(_utf16_units_hex(c), unit)
     return F.when(is_blank(c), F.lit(None).cast("string")).otherwise(F.array_join(units, ""))
 
 
@@ -37,21 +40,22 @@ def escapes_to_string(c: Column) -> Column:
     """
     parts = F.split(c, r"\\u", -1)
     n = F.size(parts)
-    tail = F.slice(parts, 2, n - 1)
+    tail = F.slice(parts, 2, F.greatest(n - 1, F.lit(1)))
     bad = F.exists(tail, lambda p: ~p.rlike("^[0-9A-Fa-f]{4}"))
-    pieces = F.transform(
-        tail,
-        lambda p, i: F.concat(
-            F.upper(F.substring(p, 1, 4)),
-            F.when(i < n - 2, F.hex(F.encode(F.substring(p, 5, 1 << 30), "UTF-16BE"))).otherwise(F.lit("")),
-        ),
-    )
-    hex_text = F.concat(F.hex(F.encode(F.element_at(parts, 1), "UTF-16BE")), F.array_join(pieces, ""))
-    decoded = F.decode(F.unhex(hex_text), "UTF-16BE")
+    # Each piece: the escaped unit, then the text up to the next escape, all
+    # as UTF-16BE hex so that surrogate pairs join when decoded. The lambdas
+    # touch only their element (no per-element look at the whole text).
+    pieces = F.transform(tail, lambda p: F.concat(
+        F.upper(F.substring(p, 1, 4)), F.hex(F.encode(F.substring(p, 5, 1 << 30), "UTF-16BE"))))
+    decoded = F.decode(F.unhex(F.concat(F.hex(F.encode(F.element_at(parts, 1), "UTF-16BE")),
+                                        F.array_join(pieces, ""))), "UTF-16BE")
+    # Text after the last escape is dropped, as the original decoder does.
+    rest = F.substring(F.element_at(parts, -1), 5, 1 << 30)
+    kept = F.left(decoded, F.length(decoded) - F.length(rest))
     return (F.when(is_blank(c), F.lit(None).cast("string"))
             .when(n == 1, F.lit(""))
             .when(bad, F.lit(None).cast("string"))
-            .otherwise(decoded))
+            .otherwise(kept))
 
 
 def hash_id(*cols: Column) -> Column:

@@ -15,13 +15,12 @@ def ip_to_long(ip: Column) -> Column:
     Parts are read as integers without bounds, like the original; fewer than
     four parts or a part that is not an integer gives null.
     """
-    parts = jsplit(jtrim(ip), r"\.")
-    octets = [F.get(parts, i) for i in range(4)]
-    acc = F.lit(0).cast("bigint")
-    for o in octets:
-        v = F.when(o.rlike(_INT_TEXT), o.try_cast("int")).cast("bigint")
-        acc = F.shiftleft(acc, 8).bitwiseOR(v)
-    return acc
+    parts = F.slice(jsplit(jtrim(ip), r"\."), 1, 4)
+    # A part that is not an integer turns the accumulator null, and it stays null.
+    value = F.aggregate(parts, F.lit(0).cast("bigint"),
+                        lambda acc, o: F.when(o.rlike(_INT_TEXT),
+                                              F.shiftleft(acc, 8).bitwiseOR(o.try_cast("int").cast("bigint"))))
+    return F.when(F.size(parts) == 4, value)
 
 
 def section_bounds(section: Column) -> tuple[Column, Column]:

@@ -142,3 +142,217 @@ def q_event_summary(spark, sf_dir):
 
 
 QUERIES["event_summary"] = q_event_summary
+
+
+# --- rule tables --------------------------------------------------------------
+
+def _rule_base(spark, sf_dir):
+    sup = table(spark, sf_dir, "supplier")
+    return (fx.log_regexes(table(spark, sf_dir, "part")), fx.log_regex_libs(sup),
+            fx.moni_ne(sup), fx.device_ips(sup))
+
+
+def q_log_rule_assembly(spark, sf_dir):
+    """J1, FLT6: log rules per (rule, device IP) from four base tables."""
+    return asm.assemble_log_rules(*_rule_base(spark, sf_dir))
+
+
+def _event_base(spark, sf_dir):
+    return (fx.event_rule_defs(table(spark, sf_dir, "customer")),
+            fx.event_rule_fields_table(table(spark, sf_dir, "orders")))
+
+
+def q_event_defs_system(spark, sf_dir):
+    """J2, SRC4: built-in definitions, one row per rule field."""
+    return asm.event_defs_system(*_event_base(spark, sf_dir))
+
+
+def q_event_defs_user(spark, sf_dir):
+    """SRC3: user definitions."""
+    return asm.event_defs_user(_event_base(spark, sf_dir)[0])
+
+
+def q_event_rule_fields(spark, sf_dir):
+    """SRC5: the rule-field table."""
+    return asm.event_rule_fields(_event_base(spark, sf_dir)[1])
+
+
+def q_rule_snapshot_roundtrip(spark, sf_dir):
+    """SNK1, SRC6, PRJ9: assembled rules published as a snapshot and read back."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.rules import SNAPSHOT_LOG_RULES, SnapshotStore
+    store = SnapshotStore(spark, f"{ensure_checkpoint_dir(spark)}/snapshots-{uuid.uuid4().hex}")
+    store.write(q_log_rule_assembly(spark, sf_dir), SNAPSHOT_LOG_RULES)
+    return store.read(SNAPSHOT_LOG_RULES).select(*S.LOG_RULE_COLUMNS)
+
+
+# --- flows and clusters ---------------------------------------------------------
+
+def q_netflow_scan(spark, sf_dir):
+    """SRC7, FLT4, FLT5: flows in [start, end) without nulls (proto may be null)."""
+    from ..sources.flows import netflow_from_lineitem, scan_netflow
+    return scan_netflow(netflow_from_lineitem(table(spark, sf_dir, "lineitem")), *fx.FLOW_RANGE)
+
+
+def q_moniflow_scan(spark, sf_dir):
+    """SRC8, FLT4: monitored flows without nulls."""
+    from ..sources.flows import moniflow_from_orders, scan_moniflow
+    return scan_moniflow(moniflow_from_orders(table(spark, sf_dir, "orders")))
+
+
+CLUSTER_TIME = "2024-01-01 00:00:00"
+
+
+def _points(spark, sf_dir, dims):
+    from ..sinks.clusters import centres_of
+    pts = fx.points_from_embeddings(table(spark, sf_dir, "embeddings"), dims)
+    return pts, centres_of(pts, dims)
+
+
+def q_cluster_points(spark, sf_dir):
+    """SNK6: one row per clustered point with its distance to the centre."""
+    from ..sinks.clusters import point_rows
+    pts, cen = _points(spark, sf_dir, 7)
+    return point_rows(pts, cen, "CL-1", CLUSTER_TIME, "level one")
+
+
+def q_cluster_centers(spark, sf_dir):
+    """SNK7: level-one centres."""
+    from ..sinks.clusters import centre_rows
+    return centre_rows(_points(spark, sf_dir, 7)[1], "CL-1", CLUSTER_TIME, 1)
+
+
+def q_cluster_centers_sub(spark, sf_dir):
+    """SNK8: level-two centres with parent run and parent centre."""
+    from ..sinks.clusters import centre_rows_level2
+    return centre_rows_level2(_points(spark, sf_dir, 8)[1], "CL-1", 0, "CL-2", CLUSTER_TIME, 2)
+
+
+def q_cluster_centers_batch(spark, sf_dir):
+    """SNK9: ten text columns cast to typed centre rows."""
+    from ..sinks.clusters import centre_rows_batch, coords_text
+    cen = _points(spark, sf_dir, 8)[1]
+    text = cen.select(
+        F.concat(F.lit("B-"), F.col("label").cast("string")).alias("row"),
+        F.concat(F.lit("centre-"), F.col("label").cast("string")).alias("name"),
+        F.col("label").cast("string").alias("center_index"),
+        coords_text(F.col("coords")).alias("center_info"),
+        F.lit("CL-2").alias("clno"), F.lit("2").alias("type"), F.lit(CLUSTER_TIME).alias("cltime"),
+        F.lit(S.CENTER_DEMO_LEVEL2).alias("demo"), F.lit("0").alias("center_index_p"),
+        F.lit("CL-1").alias("clno_p"))
+    return centre_rows_batch(text)
+
+
+# --- addresses -----------------------------------------------------------------
+
+def q_ip_range_join(spark, sf_dir):
+    """Each log line joined to every named IP section holding its reporting IP."""
+    from ..operators.iprange import range_join
+    p = ps.parse(raw_from_events(spark, sf_dir)).select("line_key", "reportip")
+    return range_join(p, F.col("reportip"), fx.ip_sections_df(spark)).select("line_key", "reportip", "section_name")
+
+
+def q_ip_to_long(spark, sf_dir):
+    """addresses as numbers, and the inclusive section test."""
+    from ..functions import ip_in_section, ip_to_long
+    p = ps.parse(raw_from_events(spark, sf_dir))
+    return p.select("line_key", "reportip", ip_to_long(F.col("reportip")).alias("reportip_num"),
+                    "device_ip", ip_to_long(F.col("device_ip")).alias("device_num"),
+                    ip_in_section(F.col("reportip"), F.lit("10.0.0.0-10.0.0.99")).alias("in_office"))
+
+
+def q_device_semi(spark, sf_dir):
+    """Lines whose payload device has a usable rule."""
+    from ..operators.iprange import with_device_rule
+    p = ps.parse(raw_from_events(spark, sf_dir))
+    devices = mt.prepare_rules(fx.log_rules_df(spark)).where(F.col("reject_reason").isNull()) \
+        .select(F.col("device_key").alias("device_ip"))
+    return with_device_rule(p, "device_ip", devices).select("line_key", "device_ip")
+
+
+# --- scalar functions ------------------------------------------------------------
+
+def q_date_functions(spark, sf_dir):
+    """Receive-time text <-> epoch, lenient tail, unreadable text."""
+    from ..functions import date_to_millis, date_to_seconds, millis_to_date, millis_to_date_compact
+    e = table(spark, sf_dir, "events")
+    txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    ms = date_to_millis(txt)
+    bad = F.concat(F.lit("2024-13-0"), (F.col("event_id") % 9 + 1).cast("string"), F.lit(" 00:00:00"))
+    return e.select("event_id", txt.alias("recv"), ms.alias("ms"), date_to_seconds(txt).alias("sec"),
+                    millis_to_date(ms).alias("back"), millis_to_date_compact(ms).alias("compact"),
+                    date_to_millis(F.concat(txt, F.lit(" trailing"))).alias("ms_tail"),
+                    date_to_millis(bad).alias("ms_bad"))
+
+
+def _mixed_case_json():
+    return F.concat(F.lit('{"K": '), (F.col("event_id") % 3).cast("string"),
+                    F.lit(', "k": '), F.get_json_object("props", "$.k"),
+                    F.lit(', "Type": "'), F.col("event_type"), F.lit('"}'))
+
+
+def q_json_map(spark, sf_dir):
+    """JSON props -> map."""
+    from ..functions import json_to_map
+    m = json_to_map(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", m["k"].alias("k"), F.size(m).alias("n_keys"))
+
+
+def q_json_lower_keys(spark, sf_dir):
+    """keys lowered; keys equal but for case accumulate into an array."""
+    from ..functions import json_lower_keys
+    m = json_lower_keys(_mixed_case_json())
+    return table(spark, sf_dir, "events").select("event_id", m["k"].alias("k"), m["type"].alias("type"),
+                                                 F.size(m).alias("n_keys"))
+
+
+def q_unicode_codec(spark, sf_dir):
+    """F8, F9 over whole document texts: escape, digest, decode back."""
+    from ..functions import escapes_to_string, string_to_escapes
+    d = table(spark, sf_dir, "documents")
+    esc = string_to_escapes(F.col("text"))
+    units = F.length(F.hex(F.encode(F.col("text"), "UTF-16BE"))) / 4
+    return d.select("doc_id", units.cast("bigint").alias("n_units"), F.md5(esc).alias("escaped_md5"),
+                    (escapes_to_string(string_to_escapes(F.col("text"), pad=True)) == F.col("text"))
+                    .alias("roundtrip_ok"))
+
+
+# --- index documents ------------------------------------------------------------
+
+def q_index_read(spark, sf_dir):
+    """SNK5, SRC9, PRJ8: documents written with upper-case keys, read back
+    through a pushed-down predicate and lowered."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.index import read_index
+    target = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    docs_df = _analysis(spark, sf_dir).syslog_docs()
+    upper = docs_df.toDF(*[c.upper() for c in docs_df.columns])
+    docs.write_documents(upper, target, fmt="parquet", mode="overwrite")
+    return read_index(spark, target, "ISMATCH = 0", fmt="parquet")
+
+
+QUERIES.update({
+    "log_rule_assembly": q_log_rule_assembly,
+    "event_defs_system": q_event_defs_system,
+    "event_defs_user": q_event_defs_user,
+    "event_rule_fields": q_event_rule_fields,
+    "rule_snapshot_roundtrip": q_rule_snapshot_roundtrip,
+    "netflow_scan": q_netflow_scan,
+    "moniflow_scan": q_moniflow_scan,
+    "cluster_points": q_cluster_points,
+    "cluster_centers": q_cluster_centers,
+    "cluster_centers_sub": q_cluster_centers_sub,
+    "cluster_centers_batch": q_cluster_centers_batch,
+    "ip_range_join": q_ip_range_join,
+    "ip_to_long": q_ip_to_long,
+    "device_semi": q_device_semi,
+    "date_functions": q_date_functions,
+    "json_map": q_json_map,
+    "json_lower_keys": q_json_lower_keys,
+    "unicode_codec": q_unicode_codec,
+    "index_read": q_index_read,
+})

@@ -244,3 +244,213 @@ FROM rej LEFT JOIN (SELECT device_ip, count(*) AS lines FROM parsed GROUP BY dev
         "count(DISTINCT reportneip) AS n_devices FROM (\n" + sql["event_match_name"] + "\n) e GROUP BY 1, 2, 3")
     return sql
 
+
+
+# --- rule tables, flows, clusters, addresses, functions -----------------------
+
+def _v(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+def java_double(x: str) -> str:
+    """DuckDB text of a double as the JVM prints it (E notation below 1e-3)."""
+    a = f"abs({x})"
+    s = f"CAST({a} AS VARCHAR)"
+    frac = f"split_part({s}, '.', 2)"
+    digits = f"ltrim({frac}, '0')"
+    small = (f"{digits}[1] || '.' || CASE WHEN length({digits}) > 1 THEN {digits}[2:] ELSE '0' END"
+             f" || 'E' || CAST(-(length({frac}) - length({digits}) + 1) AS VARCHAR)")
+    mant = f"split_part({s}, 'e', 1)"
+    sci = (f"CASE WHEN contains({mant}, '.') THEN {mant} ELSE {mant} || '.0' END"
+           f" || 'E' || CAST(CAST(split_part({s}, 'e', 2) AS INTEGER) AS VARCHAR)")
+    return (f"CASE WHEN {x} = 0 OR ({a} >= 0.001 AND {a} < 10000000) THEN CAST({x} AS VARCHAR) "
+            f"ELSE CASE WHEN {x} < 0 THEN '-' ELSE '' END || "
+            f"CASE WHEN contains({s}, 'e') THEN {sci} ELSE {small} END END")
+
+
+def _ipn(x: str) -> str:
+    parts = f"string_split(regexp_replace(trim({x}), '\\.+$', ''), '.')"
+    o = [f"TRY_CAST({parts}[{i}] AS BIGINT)" for i in range(1, 5)]
+    return f"CASE WHEN len({parts}) >= 4 THEN ((({o[0]} * 256 + {o[1]}) * 256 + {o[2]}) * 256 + {o[3]}) END"
+
+
+RULE_BASE_CTE = """
+ne AS (SELECT CAST(s_suppkey AS VARCHAR) AS ne_id, CAST(s_nationkey AS VARCHAR) AS htypeid,
+              'V' || CAST(s_suppkey % 5 AS VARCHAR) AS vendorid, 'M' || CAST(s_suppkey // 50 AS VARCHAR) AS model
+       FROM supplier),
+ip AS (SELECT CAST(s_suppkey AS VARCHAR) AS ne_id,
+              CASE WHEN s_suppkey % 10 <> 9 THEN '172.16.' || CAST(s_suppkey // 256 AS VARCHAR) || '.'
+                   || CAST(s_suppkey % 256 AS VARCHAR) END AS device_ip
+       FROM supplier WHERE s_suppkey % 10 <> 7
+       UNION ALL
+       SELECT CAST(s_suppkey AS VARCHAR), '172.17.' || CAST(s_suppkey // 256 AS VARCHAR) || '.' || CAST(s_suppkey % 256 AS VARCHAR)
+       FROM supplier WHERE s_suppkey % 10 <> 7 AND s_suppkey % 3 = 0),
+lib AS (SELECT 'LIB' || CAST(s_suppkey AS VARCHAR) AS log_rule_lib_id, CAST(s_nationkey AS VARCHAR) AS htyeid,
+               'V' || CAST(s_suppkey % 5 AS VARCHAR) AS vendorid, 'M' || CAST(s_suppkey // 50 AS VARCHAR) AS model
+        FROM supplier)"""
+
+
+def _rx_cte() -> str:
+    values = {
+        "log_rule_id": "CASE WHEN p_partkey % 97 <> 0 THEN 'R' || CAST(p_partkey AS VARCHAR) END",
+        "log_rule_lib_id": ("CASE WHEN p_partkey % 7 = 3 THEN 'NOLIB' || CAST(p_partkey AS VARCHAR) "
+                            "ELSE 'LIB' || CAST(p_partkey // 25 AS VARCHAR) END"),
+        "log_rule_code": "'C' || CAST(p_partkey AS VARCHAR)",
+        "log_regex": "'user=(\\d+) type=(' || lower(p_type) || ')'",
+        "eventdefid": "p_brand",
+        "eventlevel": "CAST(p_size % 5 AS VARCHAR)",
+        "sourceip": "'1'",
+        "eventname": "'2'",
+        "reportnetype": "p_name",
+    }
+    cols = ", ".join(f"{values.get(c, chr(39) * 2)} AS {c}" for c in S.LOG_REGEX_COLUMNS)
+    return f"rx AS (SELECT {cols} FROM part)"
+
+
+def _assembly_sql(stringified: bool = False) -> str:
+    def col(c: str) -> str:
+        e = "lib2.device_ip" if c == "device_ip" else f"rx.{c}"
+        return f"CASE WHEN {e} IS NULL OR {e} = 'null' THEN '' ELSE {e} END AS {c}" if stringified else f"{e} AS {c}"
+    return _with(RULE_BASE_CTE, _rx_cte()) + f"""
+SELECT {', '.join(col(c) for c in S.LOG_RULE_COLUMNS)}
+FROM rx RIGHT JOIN (
+  SELECT lib.log_rule_lib_id, m.device_ip
+  FROM lib JOIN (SELECT ne.htypeid, ne.vendorid, ne.model, ip.device_ip
+                 FROM ne LEFT JOIN ip ON ip.ne_id = ne.ne_id) m
+    ON lib.htyeid = m.htypeid AND lib.vendorid = m.vendorid AND lib.model = m.model) lib2
+  ON lib2.log_rule_lib_id = rx.log_rule_lib_id
+WHERE lib2.device_ip IS NOT NULL AND rx.log_rule_id IS NOT NULL"""
+
+
+EVENT_BASE_CTE = """
+edefs AS (SELECT 'E' || CAST(c_custkey AS VARCHAR) AS event_rule_id, 'EL' || CAST(c_custkey % 10 AS VARCHAR) AS event_rule_lib_id,
+                 'C' || CAST(c_custkey AS VARCHAR) AS event_rule_code, c_mktsegment AS event_rule_name,
+                 CAST(c_nationkey % 5 AS VARCHAR) AS event_rule_level, 'B' || CAST(c_nationkey % 3 AS VARCHAR) AS event_basic_type,
+                 'S' || CAST(c_custkey % 4 AS VARCHAR) AS event_sub_type, c_name AS event_rule_desc, '' AS event_rule,
+                 CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS is_inner,
+                 CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 1 END AS is_use
+          FROM customer),
+eflds AS (SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS event_rule_field_id,
+                 CASE WHEN o_orderkey % 11 = 0 THEN 'EMISSING' || CAST(o_orderkey AS VARCHAR)
+                      ELSE 'E' || CAST(o_custkey AS VARCHAR) END AS event_rule_id,
+                 o_orderpriority AS event_rule_field, o_orderstatus AS match_method,
+                 CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS filed_begin_value,
+                 strftime(o_orderdate, '%Y-%m-%d') AS filed_end_value
+          FROM orders)"""
+
+
+def _points_cte(dims: int) -> str:
+    means = ", ".join(f"round(avg(coords[{i}]), 6)" for i in range(1, dims + 1))
+    return f"""
+pts AS (SELECT CAST(label AS INTEGER) AS label,
+               '10.9.' || CAST(vec_id // 256 AS VARCHAR) || '.' || CAST(vec_id % 256 AS VARCHAR) AS ip,
+               list_transform(embedding[1:{dims}], lambda x: CAST(x AS DOUBLE)) AS coords
+        FROM embeddings),
+cen AS (SELECT label, [{means}] AS centre FROM pts GROUP BY label)"""
+
+
+def _coords_text(lst: str) -> str:
+    return f"array_to_string(list_transform({lst}, lambda x: {java_double('x')}), '#')"
+
+
+CLUSTER_TIME_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
+
+
+def _escape_unit(c: str) -> str:
+    u = f"unicode({c})"
+    return (f"CASE WHEN {u} > 65535 THEN '\\u' || lower(to_hex(55296 + (({u} - 65536) >> 10))) || "
+            f"'\\u' || lower(to_hex(56320 + (({u} - 65536) & 1023))) ELSE '\\u' || lower(to_hex({u})) END")
+
+
+def build_more(sql: dict[str, str]) -> None:
+    sql["log_rule_assembly"] = _assembly_sql()
+    sql["rule_snapshot_roundtrip"] = _assembly_sql(stringified=True)
+    sql["event_defs_system"] = _with(EVENT_BASE_CTE) + f"""
+SELECT {', '.join(('f.' if c in ('filed_begin_value', 'event_rule_field', 'match_method') else 'd.') + c for c in S.EVENT_DEF_SYSTEM_COLUMNS)}
+FROM edefs d RIGHT JOIN eflds f ON d.event_rule_id = f.event_rule_id
+WHERE CAST(d.is_inner AS VARCHAR) = '1' AND CAST(d.is_use AS VARCHAR) = '1'"""
+    sql["event_defs_user"] = _with(EVENT_BASE_CTE) + (
+        f"SELECT {', '.join(S.EVENT_DEF_USER_COLUMNS)} FROM edefs WHERE is_inner = 0 AND is_use = 1")
+    sql["event_rule_fields"] = _with(EVENT_BASE_CTE) + f"SELECT {', '.join(S.EVENT_FIELD_COLUMNS)} FROM eflds"
+    lo, hi = (f"TIMESTAMP '{t}'" for t in fx.FLOW_RANGE)
+    sql["netflow_scan"] = f"""
+SELECT * FROM (
+  SELECT '10.1.0.' || CAST(l_suppkey % 256 AS VARCHAR) AS srcip, '10.2.0.' || CAST(l_partkey % 256 AS VARCHAR) AS dstip,
+         l_shipdate AS starttime,
+         CASE WHEN l_linenumber <> 7 THEN l_shipdate + to_minutes(CAST(l_linenumber AS BIGINT)) END AS endtime,
+         nullif(l_returnflag, 'N') AS proto, CAST(trunc(l_quantity) AS INTEGER) AS packernum,
+         CAST(floor(l_extendedprice) AS INTEGER) AS bytesize
+  FROM lineitem) f
+WHERE starttime >= {lo} AND starttime < {hi} AND srcip IS NOT NULL AND dstip IS NOT NULL
+  AND starttime IS NOT NULL AND endtime IS NOT NULL AND packernum IS NOT NULL AND bytesize IS NOT NULL"""
+    sql["moniflow_scan"] = """
+SELECT * FROM (
+  SELECT '10.3.' || CAST((o_custkey // 256) % 256 AS VARCHAR) || '.' || CAST(o_custkey % 256 AS VARCHAR) AS srcip,
+         '10.4.' || CAST((o_orderkey // 256) % 256 AS VARCHAR) || '.' || CAST(o_orderkey % 256 AS VARCHAR) AS dstip,
+         o_orderpriority AS appproto, nullif(o_orderstatus, 'P') AS method
+  FROM orders) m
+WHERE srcip IS NOT NULL AND dstip IS NOT NULL AND appproto IS NOT NULL AND method IS NOT NULL"""
+    dist = ("round(sqrt(list_sum(list_transform(range(1, len(coords) + 1), "
+            "lambda i: (coords[i] - centre[i]) * (coords[i] - centre[i])))), 6)")
+    sql["cluster_points"] = _with(_points_cte(7)) + f"""
+SELECT md5('cluster~CL-1~' || ip || '~' || CAST(label AS VARCHAR)) AS row, 'CL-1' AS clno, ip AS name,
+       CAST(label AS VARCHAR) AS center_index, {dist} AS distance, {_coords_text('coords')} AS center_info,
+       {CLUSTER_TIME_SQL} AS cltime, 'level one' AS demo
+FROM pts JOIN cen USING (label)"""
+    sql["cluster_centers"] = _with(_points_cte(7)) + f"""
+SELECT md5('centre~CL-1~' || CAST(label AS VARCHAR)) AS row, CAST(label AS VARCHAR) AS center_index,
+       {_coords_text('centre')} AS center_info, 'CL-1' AS clno, 1 AS type, {CLUSTER_TIME_SQL} AS cltime,
+       {_q(S.CENTER_DEMO_LEVEL1)} AS demo
+FROM cen"""
+    sql["cluster_centers_sub"] = _with(_points_cte(8)) + f"""
+SELECT md5('centre2~CL-2~' || CAST(label AS VARCHAR)) AS row, CAST(label AS VARCHAR) AS center_index,
+       '0' AS center_index_p, {_coords_text('centre')} AS cluster_info, 'CL-2' AS clno, 'CL-1' AS clno_p,
+       2 AS type, {CLUSTER_TIME_SQL} AS cltime, {_q(S.CENTER_DEMO_LEVEL2)} AS demo
+FROM cen"""
+    sql["cluster_centers_batch"] = _with(_points_cte(8)) + f"""
+SELECT 'B-' || CAST(label AS VARCHAR) AS row, 'centre-' || CAST(label AS VARCHAR) AS name,
+       CAST(label AS VARCHAR) AS center_index, {_coords_text('centre')} AS center_info, 'CL-2' AS clno,
+       2 AS type, {CLUSTER_TIME_SQL} AS cltime, {_q(S.CENTER_DEMO_LEVEL2)} AS demo,
+       '0' AS center_index_p, 'CL-1' AS clno_p
+FROM cen"""
+    secs = ", ".join(f"({_q(a)}, {_q(b)})" for a, b in fx.IP_SECTIONS)
+    sql["ip_range_join"] = _with(RAW_CTE, f"sec(section_name, ip_section) AS (VALUES {secs})") + f"""
+SELECT p.line_key, p.reportip, r.section_name
+FROM parsed p JOIN (SELECT section_name, {_ipn("split_part(trim(ip_section), '-', 1)")} AS lo,
+                           {_ipn("substr(trim(ip_section), strpos(trim(ip_section), '-') + 1)")} AS hi FROM sec) r
+  ON {_ipn('p.reportip')} BETWEEN r.lo AND r.hi"""
+    sql["ip_to_long"] = _with(RAW_CTE) + f"""
+SELECT line_key, reportip, {_ipn('reportip')} AS reportip_num, device_ip, {_ipn('device_ip')} AS device_num,
+       ({_ipn('reportip')} >= {_ipn("'10.0.0.0'")} AND {_ipn('reportip')} <= {_ipn("'10.0.0.99'")}) AS in_office
+FROM parsed"""
+    devs = ", ".join(sorted({_q(r["device_ip"]) for r in _rules()}))
+    sql["device_semi"] = _with(RAW_CTE) + f"SELECT line_key, device_ip FROM parsed WHERE device_ip IN ({devs})"
+    sec_ts = "date_trunc('second', ts)"
+    sql["date_functions"] = f"""
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS recv, epoch_ms({sec_ts}) AS ms,
+       CAST(epoch({sec_ts}) AS BIGINT) AS sec, strftime({sec_ts}, '%Y-%m-%d %H:%M:%S') AS back,
+       strftime({sec_ts}, '%Y-%m-%d%H:%M:%S') AS compact, epoch_ms({sec_ts}) AS ms_tail,
+       CAST(NULL AS BIGINT) AS ms_bad
+FROM events"""
+    sql["json_map"] = ("SELECT event_id, json_extract_string(props, '$.k') AS k, "
+                       "CAST(len(json_keys(props)) AS INTEGER) AS n_keys FROM events")
+    sql["json_lower_keys"] = ("SELECT event_id, '[\"' || CAST(event_id % 3 AS VARCHAR) || '\",\"' || "
+                              "json_extract_string(props, '$.k') || '\"]' AS k, event_type AS type, "
+                              "2 AS n_keys FROM events")
+    sql["unicode_codec"] = f"""
+SELECT doc_id,
+       CAST(list_sum(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) > 65535 THEN 2 ELSE 1 END)) AS BIGINT) AS n_units,
+       CASE WHEN trim(text) = '' THEN NULL
+            ELSE md5(array_to_string(list_transform(string_split(text, ''), lambda c: {_escape_unit('c')}), '')) END AS escaped_md5,
+       CASE WHEN trim(text) = '' THEN NULL ELSE true END AS roundtrip_ok
+FROM documents"""
+    sql["index_read"] = "SELECT * FROM (" + sql["syslog_docs"] + ") s WHERE ismatch = 0"
+
+
+_build_log = build
+
+
+def build() -> dict[str, str]:  # noqa: F811 - extends the log-path queries
+    sql = _build_log()
+    build_more(sql)
+    return sql
