@@ -356,3 +356,80 @@ QUERIES.update({
     "unicode_codec": q_unicode_codec,
     "index_read": q_index_read,
 })
+
+
+# --- streaming --------------------------------------------------------------------
+
+def _scratch(spark, tag: str) -> str:
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def _stream_job(spark, base: str, loader, refresh_seconds: float = 300, forward: bool = False):
+    from ..streaming import LogJob, Outputs, RuleCache
+    outs = Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event",
+                   forward=f"{base}/forward" if forward else None)
+    return LogJob(RuleCache(loader, refresh_seconds), outs)
+
+
+def _static_rules(spark):
+    return lambda: {"logRule": fx.log_rules_df(spark), "eventDefRuleBySystem": system_event_defs(spark)}
+
+
+def _run_available(spark, base: str, job, n_files: int = 3):
+    from ..streaming import read_log_stream
+    stream = read_log_stream(spark, "parquet", f"{base}/in", max_per_trigger=1)
+    q = job.start(stream, f"{base}/checkpoint", {"availableNow": True})
+    q.awaitTermination()
+    return q
+
+
+def q_stream_normalise(spark, sf_dir):
+    """SRC1, STR1, STR2, STR6: the log job over a file stream (three micro-batches);
+    the stored genlog documents equal the batch result."""
+    base = _scratch(spark, "stream")
+    raw_from_events(spark, sf_dir).repartition(3).write.parquet(f"{base}/in")
+    _run_available(spark, base, _stream_job(spark, base, _static_rules(spark)))
+    return spark.read.parquet(f"{base}/genlog").select(*S.GENLOG_DOC_COLUMNS)
+
+
+def q_stream_rule_refresh(spark, sf_dir):
+    """STR4: rules change between micro-batches of one running query; lines of
+    even events see rule set v1 (no rule LR-2), lines of odd events v2."""
+    from ..sources.rules import SNAPSHOT_EVENT_DEFS_SYSTEM, SNAPSHOT_LOG_RULES, SnapshotStore
+    from ..streaming import read_log_stream
+    base = _scratch(spark, "refresh")
+    store = SnapshotStore(spark, f"{base}/rules")
+    store.write(fx.log_rules_df(spark, [r for r in fx.LOG_RULES if r["rule_seq"] != 2]), SNAPSHOT_LOG_RULES)
+    store.write(system_event_defs(spark), SNAPSHOT_EVENT_DEFS_SYSTEM)
+    job = _stream_job(spark, base, store.load_bundle, refresh_seconds=0)
+    events = table(spark, sf_dir, "events")
+    fx.raw_lines(events.where(F.col("event_id") % 2 == 0)).write.mode("append").parquet(f"{base}/in")
+    q = job.start(read_log_stream(spark, "parquet", f"{base}/in"), f"{base}/checkpoint",
+                  {"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        store.write(fx.log_rules_df(spark), SNAPSHOT_LOG_RULES)
+        fx.raw_lines(events.where(F.col("event_id") % 2 == 1)).write.mode("append").parquet(f"{base}/in")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(f"{base}/genlog").select(*S.GENLOG_DOC_COLUMNS)
+
+
+def q_kafka_forward(spark, sf_dir):
+    """SNK10: genlog records forwarded as `~`-joined lines (to files here; to
+    Kafka when its connector is on the classpath)."""
+    base = _scratch(spark, "forward")
+    raw_from_events(spark, sf_dir).repartition(3).write.parquet(f"{base}/in")
+    _run_available(spark, base, _stream_job(spark, base, _static_rules(spark), forward=True))
+    return spark.read.text(f"{base}/forward").select("value")
+
+
+QUERIES.update({
+    "stream_normalise": q_stream_normalise,
+    "stream_rule_refresh": q_stream_rule_refresh,
+    "kafka_forward": q_kafka_forward,
+})

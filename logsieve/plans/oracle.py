@@ -22,7 +22,7 @@ def _q(s: str) -> str:
 
 RAW_CTE = """
 raw AS (
-  SELECT CASE WHEN event_id % 2 = 0 THEN body
+  SELECT event_id, CASE WHEN event_id % 2 = 0 THEN body
               ELSE md5(CAST(event_id AS VARCHAR)) || '~' || body END AS value
   FROM (
     SELECT event_id, concat_ws('~',
@@ -39,20 +39,20 @@ raw AS (
     FROM events) b
 ),
 lines AS (
-  SELECT value, CASE WHEN value IS NOT NULL AND trim(value) <> ''
+  SELECT event_id, value, CASE WHEN value IS NOT NULL AND trim(value) <> ''
                       AND len(string_split(regexp_replace(trim(value), '~+$', ''), '~')) <= 6
                      THEN md5(value) || '~' || value ELSE value END AS line
   FROM raw
 ),
 parsed AS (
-  SELECT value, line, md5(line) AS line_key, len(f) AS n_fields,
+  SELECT event_id, value, line, md5(line) AS line_key, len(f) AS n_fields,
          f[1] AS recordid, f[2] AS recvtime, f[3] AS reportip, f[6] AS reportapp, f[7] AS logcontent,
          CASE WHEN len(f) > 6 THEN len(p) END AS payload_size,
          CASE WHEN len(f) > 6 THEN trim(p[30]) END AS device_ip,
          CASE WHEN len(f) > 6 THEN trim(p[67]) END AS msg
-  FROM (SELECT value, line, f,
+  FROM (SELECT event_id, value, line, f,
                string_split(regexp_replace(f[7], '(\\|!)+$', ''), '|!') AS p
-        FROM (SELECT value, line, string_split(regexp_replace(line, '~+$', ''), '~') AS f FROM lines) s) t
+        FROM (SELECT event_id, value, line, string_split(regexp_replace(line, '~+$', ''), '~') AS f FROM lines) s) t
 )"""
 
 
@@ -85,12 +85,13 @@ def _group_of(rule: dict, field: str, user: bool) -> int | None:
     return int(g) if g else None
 
 
-def _matched_cte(user: bool = False) -> str:
+def _matched_cte(user: bool = False, extra: dict[int, str] | None = None) -> str:
     text = "logcontent" if user else "msg"
     whens = []
     for r in _rules(user):
         pat = _user_numbered(r["log_regex"])[0] if user else r["log_regex"]
         dev = "" if user else f"device_ip = {_q(r['device_ip'])} AND "
+        dev += (extra or {}).get(r["rule_seq"], "")
         whens.append(f"WHEN n_fields > 6 AND {dev}regexp_matches({text}, {_q(pat)}) THEN {r['rule_seq']}")
     return f"matched AS (SELECT *, CASE {' '.join(whens)} END AS seq FROM parsed)"
 
@@ -445,6 +446,12 @@ SELECT doc_id,
        CASE WHEN trim(text) = '' THEN NULL ELSE true END AS roundtrip_ok
 FROM documents"""
     sql["index_read"] = "SELECT * FROM (" + sql["syslog_docs"] + ") s WHERE ismatch = 0"
+    sql["stream_normalise"] = sql["genlog_docs"]
+    refresh = [RAW_CTE, _matched_cte(extra={2: "event_id % 2 = 1 AND "}), _genlog_cte()]
+    sql["stream_rule_refresh"] = sql["genlog_docs"].replace(
+        _with(RAW_CTE, _matched_cte(), _genlog_cte()), _with(*refresh))
+    fields = ", ".join("recvtime" if c == "firstrecvtime" else c for c in S.GENLOG_FIELDS)
+    sql["kafka_forward"] = _with(RAW_CTE, _matched_cte(), _genlog_cte()) + f"SELECT concat_ws('~', {fields}) AS value FROM genlog"
 
 
 _build_log = build
