@@ -27,6 +27,27 @@ def jsplit(c: Column, sep_regex: str) -> Column:
     return F.split(F.regexp_replace(c, f"(?:{sep_regex})+$", ""), sep_regex)
 
 
+def count_sep(c: Column, sep: str) -> Column:
+    """Occurrences of the literal separator `sep` (no regex, no array)."""
+    return ((F.length(c) - F.length(F.replace(c, F.lit(sep), F.lit("")))) / len(sep)).cast("int")
+
+
+def jsplit_char(c: Column, sep: str) -> Column:
+    """String.split for a one-character literal separator: trailing empty
+    pieces dropped by an `rtrim` of that character instead of a regex."""
+    return F.split(F.rtrim(c, F.lit(sep)), "\\" + sep if sep in ".|!^$*+?()[]{}\\" else sep)
+
+
+def jpart(c: Column, sep: str, i: int) -> Column:
+    """Piece `i` (0-based) of String.split(sep) for a literal separator,
+    without building the array: null when the JVM split has no piece `i`
+    (fewer separators, or only empty pieces from `i` on, which it drops)."""
+    before = F.substring_index(c, sep, i)
+    rest = F.substr(c, F.length(before) + F.lit(len(sep) + 1))
+    exists = (count_sep(c, sep) >= i) & (F.replace(rest, F.lit(sep), F.lit("")) != F.lit(""))
+    return F.when(exists, F.substring_index(rest, sep, 1))
+
+
 def blank_to_space(c: Column) -> Column:
     """Empty or null capture -> one blank, as the normalised format stores it."""
     return F.when(c.isNull() | (c == F.lit("")), F.lit(" ")).otherwise(c)

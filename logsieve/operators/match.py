@@ -124,8 +124,8 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_rows: int =
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))
-              .when(F.col("payload_size") <= 29, F.lit("short_payload"))
-              .when(F.col("rules").isNotNull() & (F.col("payload_size") <= 66), F.lit("short_payload"))
+              .when(F.col("device_ip").isNull(), F.lit("short_payload"))
+              .when(F.col("rules").isNotNull() & F.col("msg").isNull(), F.lit("short_payload"))
               .otherwise(F.lit("no_rule")))
     return joined.withColumn("hit", hit).withColumn("match_status", status).drop("_dev", "device_key", "rules")
 

@@ -7,16 +7,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import date_to_millis, is_blank, jsplit, jtrim, random_uuid
+from ..functions import count_sep, date_to_millis, is_blank, jpart, jsplit_char, jtrim, random_uuid
 
 # --- fixed values: record delimiters and positions ---
 FIELD_SEP = "~"
-PAYLOAD_SEP = r"\|!"
+PAYLOAD_SEP = "|!"
 PAYLOAD_DEVICE_IP = 29
 PAYLOAD_MESSAGE = 66
 # --- end of fixed values ---
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the input over the cluster only when it arrives in fewer
+    partitions than the session can run at once (one small file, one Kafka
+    partition). A large scan is already split and is left as it is, so this
+    adds no shuffle at scale; the regex work that follows is CPU-bound and
+    otherwise runs on a single core."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming:
+        return df
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def admit(df: DataFrame, value_col: str = "value", key_col: str | None = None,
           id_mode: str = "hash") -> DataFrame:
     """FLT1: put a record id in front of non-blank lines of at most six fields.
@@ -26,7 +38,8 @@ def admit(df: DataFrame, value_col: str = "value", key_col: str | None = None,
     the same ids; id_mode="random" uses a fresh UUID.
     """
     v = F.col(value_col)
-    short = v.isNotNull() & ~is_blank(v) & (F.size(jsplit(jtrim(v), FIELD_SEP)) <= 6)
+    n_fields = count_sep(F.rtrim(jtrim(v), F.lit(FIELD_SEP)), FIELD_SEP) + 1
+    short = v.isNotNull() & ~is_blank(v) & (n_fields <= 6)
     key = F.col(key_col).cast("string") if key_col else v
     rid = F.md5(key) if id_mode == "hash" else random_uuid()
     return df.withColumn("line", F.when(short, F.concat(rid, F.lit(FIELD_SEP), v)).otherwise(v))
@@ -37,14 +50,16 @@ def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
     """FLT1 + PRJ1 + PRJ2: raw lines -> named raw fields and the payload parts.
 
     Adds: line, line_key, n_fields, recordid, recvtime, reportip, reportapp,
-    logcontent, payload_size, device_ip, msg.
+    logcontent, device_ip (payload part 29), msg (payload part 66); a part the
+    JVM split would not have is null.
     """
-    d = admit(df, value_col, key_col, id_mode)
-    fields = jsplit(F.col("line"), FIELD_SEP)
-    payload = jsplit(F.get(fields, 6), PAYLOAD_SEP)
+    d = admit(spread(df), value_col, key_col, id_mode)
+    fields = jsplit_char(F.col("line"), FIELD_SEP)
+    content = F.get(F.col("_f"), 6)
+    # Only payload parts 29 and 66 are read, so the payload is never split
+    # into an array: literal substring scans find the two parts.
     return (
-        d.withColumn("_f", fields)
-        .withColumn("_p", payload)
+        d.select("*", fields.alias("_f"))
         .select(
             "*",
             F.md5(F.col("line")).alias("line_key"),
@@ -53,12 +68,11 @@ def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
             F.get("_f", 1).alias("recvtime"),
             F.get("_f", 2).alias("reportip"),
             F.get("_f", 5).alias("reportapp"),
-            F.get("_f", 6).alias("logcontent"),
-            F.when(F.size("_f") > 6, F.size("_p")).alias("payload_size"),
-            F.when(F.size("_f") > 6, jtrim(F.get("_p", PAYLOAD_DEVICE_IP))).alias("device_ip"),
-            F.when(F.size("_f") > 6, jtrim(F.get("_p", PAYLOAD_MESSAGE))).alias("msg"),
+            content.alias("logcontent"),
+            F.when(F.size("_f") > 6, jtrim(jpart(content, PAYLOAD_SEP, PAYLOAD_DEVICE_IP))).alias("device_ip"),
+            F.when(F.size("_f") > 6, jtrim(jpart(content, PAYLOAD_SEP, PAYLOAD_MESSAGE))).alias("msg"),
         )
-        .drop("_f", "_p")
+        .drop("_f")
     )
 
 

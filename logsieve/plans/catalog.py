@@ -43,7 +43,7 @@ def q_raw_parse(spark, sf_dir):
     """FLT1, FLT2, PRJ1, PRJ2: raw lines -> fields and payload parts."""
     p = ps.parse(raw_from_events(spark, sf_dir))
     return p.select("line", "n_fields", "recordid", "recvtime", "reportip", "reportapp",
-                    "payload_size", "device_ip", "msg")
+                    "device_ip", "msg")
 
 
 def q_genlog_match(spark, sf_dir):
@@ -311,7 +311,7 @@ def q_json_lower_keys(spark, sf_dir):
 def q_unicode_codec(spark, sf_dir):
     """F8, F9 over whole document texts: escape, digest, decode back."""
     from ..functions import escapes_to_string, string_to_escapes
-    d = table(spark, sf_dir, "documents")
+    d = ps.spread(table(spark, sf_dir, "documents"))
     esc = string_to_escapes(F.col("text"))
     units = F.length(F.hex(F.encode(F.col("text"), "UTF-16BE"))) / 4
     return d.select("doc_id", units.cast("bigint").alias("n_units"), F.md5(esc).alias("escaped_md5"),

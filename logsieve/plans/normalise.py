@@ -7,6 +7,7 @@ streaming micro-batch (see `logsieve.streaming`).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -18,9 +19,14 @@ from ..sinks import documents as docs
 
 @dataclass
 class Analysis:
-    matched: DataFrame   # every parsed line with its `hit` rule (or null) and `match_status`
-    genlog: DataFrame    # one normalised record per matched line
-    events: DataFrame    # one security event per genlog whose name has a definition
+    matched: DataFrame     # every parsed line with its `hit` rule (or null) and `match_status`
+    genlog: DataFrame      # one normalised record per matched line
+    event_defs: DataFrame  # definitions the events are matched against
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """One security event per genlog whose name has a definition (built on first use)."""
+        return ev.match_by_name(self.genlog, self.event_defs)
 
     def syslog_docs(self, tz: str = "UTC") -> DataFrame:
         return docs.syslog_docs(self.matched, tz)
@@ -46,5 +52,4 @@ def analyze(raw: DataFrame, log_rules: DataFrame, event_defs: DataFrame, *,
     else:
         matched = mt.match_system(parsed, log_rules)
         genlog = mt.to_genlog(matched, tz=tz)
-    events = ev.match_by_name(genlog, event_defs)
-    return Analysis(matched, genlog, events)
+    return Analysis(matched, genlog, event_defs)

@@ -175,8 +175,8 @@ def _status_cte() -> str:
   SELECT *, CASE WHEN value IS NULL THEN 'null_value'
                  WHEN n_fields <= 6 THEN 'too_few_fields'
                  WHEN seq IS NOT NULL THEN 'matched'
-                 WHEN payload_size <= 29 THEN 'short_payload'
-                 WHEN device_ip IN ({dev_list}) AND payload_size <= 66 THEN 'short_payload'
+                 WHEN device_ip IS NULL THEN 'short_payload'
+                 WHEN device_ip IN ({dev_list}) AND msg IS NULL THEN 'short_payload'
                  ELSE 'no_rule' END AS match_status
   FROM matched)"""
 
@@ -187,7 +187,7 @@ def build() -> dict[str, str]:
     genlog_cols = ", ".join(S.GENLOG_FIELDS)
     sql: dict[str, str] = {}
     sql["raw_parse"] = _with(RAW_CTE) + (
-        "SELECT line, n_fields, recordid, recvtime, reportip, reportapp, payload_size, device_ip, msg FROM parsed")
+        "SELECT line, n_fields, recordid, recvtime, reportip, reportapp, device_ip, msg FROM parsed")
     sql["genlog_match"] = _with(*sys) + f"SELECT {genlog_cols} FROM genlog"
     sql["user_rule_match"] = _with(*usr) + f"SELECT {genlog_cols} FROM genlog"
     flag = "CASE WHEN seq IS NOT NULL THEN '0' ELSE '1' END"
