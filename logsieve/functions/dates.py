@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import jtrim
 
 # --- fixed values: text formats of the log records ---
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -14,22 +13,29 @@ DATETIME_FORMAT_NO_BLANK = "yyyy-MM-ddHH:mm:ss"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def _parse_instant(text: Column, tz: str) -> Column:
-    # The zone travels inside the text, so the result never depends on the
-    # session time zone. Text after the 19 date characters is ignored, as the
-    # lenient JVM parser did; anything that does not parse gives null.
-    head = F.left(jtrim(text), F.lit(19))
-    return F.try_to_timestamp(F.concat(head, F.lit(" " + tz)), F.lit(DATETIME_FORMAT + " VV"))
+# Leading "date time" of the text; fields of one or two digits, as the
+# lenient JVM parser accepted them; anything after the seconds is ignored.
+_LEADING_DATETIME = r"^[\x00-\x20]*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})"
+
+
+def _parse_wall(text: Column, tz: str) -> Column:
+    """Wall-clock text -> UTC wall clock as TIMESTAMP_NTZ (null when unreadable).
+
+    A cast, not a formatter: no per-row pattern or zone lookup, and the
+    session time zone never enters."""
+    head = F.regexp_extract(text, _LEADING_DATETIME, 1)
+    wall = F.when(head != "", head).try_cast("timestamp_ntz")
+    return wall if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
 
 
 def date_to_millis(text: Column, tz: str = "UTC") -> Column:
     """F1 (and F5): `yyyy-MM-dd HH:mm:ss` text -> epoch milliseconds, null when unreadable."""
-    return F.unix_millis(_parse_instant(text, tz))
+    return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), _parse_wall(text, tz))
 
 
 def date_to_seconds(text: Column, tz: str = "UTC") -> Column:
     """as F1, in seconds."""
-    return F.unix_seconds(_parse_instant(text, tz))
+    return F.timestamp_diff("SECOND", F.expr(_EPOCH), _parse_wall(text, tz))
 
 
 def _millis_to_local(millis: Column, tz: str) -> Column:

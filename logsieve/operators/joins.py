@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, functions as F
 
 # Rows a packed rule table may hold and still be broadcast. A packed row is a
@@ -19,5 +21,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
     Only a bounded prefix is counted, so the check itself stays cheap when
     the table is unexpectedly large.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    now = time.monotonic()
+    hit = _CHECKED.get(key)
+    if hit is None or now - hit[1] > CHECK_TTL_SECONDS:
+        if len(_CHECKED) > 10_000:
+            _CHECKED.clear()
+        hit = (df.limit(max_rows + 1).count(), now)
+        _CHECKED[key] = hit
+    return F.broadcast(df) if hit[0] <= max_rows else df
+
+
+# Row counts already checked in this process, by (session, semantic plan
+# hash): the same rule table feeding several queries is counted once. A plan
+# over files hashes its paths, not their contents, so a count is trusted only
+# for the rule refresh interval; a table rewritten in place is re-counted then.
+CHECK_TTL_SECONDS = 300.0
+_CHECKED: dict = {}

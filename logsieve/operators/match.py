@@ -43,9 +43,13 @@ def prepare_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     With `named_groups`, group numbers come from the names in the regex
     (PRJ4); an unknown name gives no capture.
     """
-    regex = jtrim(F.col("log_regex"))
-    n_groups = regex_group_count(regex)
-    valid = regex_is_valid(regex)
+    # The pattern, its group count and its validity are computed once, in a
+    # first projection, and then referenced by name: inlining the group count
+    # into each of the twelve group checks makes the generated code too large.
+    base = rules.select("*", jtrim(F.col("log_regex")).alias("_regex"))
+    base = base.select("*", regex_group_count(F.col("_regex")).alias("_ngroups"),
+                       regex_is_valid(F.col("_regex")).alias("_valid"))
+    regex, n_groups = F.col("_regex"), F.col("_ngroups")
     if named_groups:
         groups = {f: named_group_index(regex, S.USER_GROUP_NAMES[f]) for f in S.CAPTURE_FIELDS}
         bad = F.lit(False)
@@ -54,7 +58,7 @@ def prepare_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
         bad = F.lit(False)
         for f in S.CAPTURE_FIELDS:
             bad = bad | _bad_group(F.col(f), n_groups)
-    reason = (F.when(F.col("log_regex").isNull() | ~valid, F.lit("bad_regex"))
+    reason = (F.when(F.col("log_regex").isNull() | ~F.col("_valid"), F.lit("bad_regex"))
               .when(n_groups == 0, F.lit("no_group"))
               .when(bad, F.lit("bad_group")))
     cols = [
@@ -66,7 +70,7 @@ def prepare_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     ]
     if not named_groups:
         cols.append(jtrim(F.col("device_ip")).alias("device_key"))
-    return rules.select(*cols, reason.alias("reject_reason"))
+    return base.select(*cols, reason.alias("reject_reason"))
 
 
 def rule_rejects(rules: DataFrame, named_groups: bool = False) -> DataFrame:

@@ -433,3 +433,13 @@ QUERIES.update({
     "stream_rule_refresh": q_stream_rule_refresh,
     "kafka_forward": q_kafka_forward,
 })
+
+
+def q_event_defs_appended(spark, sf_dir):
+    """SET1: the built-in definitions with the new ones (J6) appended, by name."""
+    g = _analysis(spark, sf_dir).genlog
+    defs = system_event_defs(spark)
+    return ev.append_definitions(defs, ev.new_definitions(g, defs))
+
+
+QUERIES["event_defs_appended"] = q_event_defs_appended

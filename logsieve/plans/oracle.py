@@ -240,6 +240,8 @@ FROM genlog g JOIN defidx ON lower(trim(g.eventname)) = defidx.def_key GROUP BY
     sql["rule_rejects"] = _with(RAW_CTE, f"rej(rule_id, reject_reason, dev) AS (VALUES {rej_rows})") + """
 SELECT rule_id, reject_reason, coalesce(lines, 0) AS lines
 FROM rej LEFT JOIN (SELECT device_ip, count(*) AS lines FROM parsed GROUP BY device_ip) c ON c.device_ip = rej.dev"""
+    sql["event_defs_appended"] = _with(*sys, _defs_cte(), new_defs) + (
+        "SELECT * FROM sysdefs UNION ALL BY NAME SELECT * FROM newdefs")
     sql["event_summary"] = (
         "SELECT event_rule_id, event_rule_name, is_inner, count(*) AS n_events, "
         "count(DISTINCT reportneip) AS n_devices FROM (\n" + sql["event_match_name"] + "\n) e GROUP BY 1, 2, 3")
