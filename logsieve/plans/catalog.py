@@ -112,7 +112,10 @@ def q_rule_rejects(spark, sf_dir):
     p = ps.parse(raw_from_events(spark, sf_dir))
     dev = mt.prepare_rules(fx.log_rules_df(spark)).select("rule_id", "device_key")
     lines = p.groupBy(F.col("device_ip")).agg(F.count(F.lit(1)).alias("lines"))
-    return (rej.join(dev, "rule_id").join(lines, F.col("device_key") == F.col("device_ip"), "left")
+    # Null-safe equality: the rule keys are never null, and a plain equality
+    # would make Catalyst infer `device_ip IS NOT NULL` and push it, with the
+    # whole payload extraction inlined, below the aggregate.
+    return (rej.join(dev, "rule_id").join(lines, F.col("device_key").eqNullSafe(F.col("device_ip")), "left")
             .select("rule_id", "reject_reason", F.coalesce("lines", F.lit(0)).alias("lines")))
 
 
