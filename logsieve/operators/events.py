@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
 from ..functions import jtrim
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, never_null_key
 from .parse import derived_id
 
 # --- fixed values ---
@@ -68,7 +68,7 @@ def match_by_name(genlog: DataFrame, defs: DataFrame, broadcast_max_rows: int =
     """Genlog joined to the event definition of the same (trimmed,
     case-ignoring) name; the first definition wins; no definition, no event."""
     index = bounded_broadcast(definition_index(defs), broadcast_max_rows)
-    joined = genlog.join(index, name_key(F.col("eventname")) == index["def_key"], "inner")
+    joined = genlog.join(index, never_null_key(name_key(F.col("eventname"))) == index["def_key"], "inner")
     return joined.select(*event_record(F.col("def_id"), F.col("def_name"), F.col("def_level")))
 
 
@@ -91,7 +91,7 @@ def new_definitions(genlog: DataFrame, defs: DataFrame, id_fn=default_definition
     everything else "". Each name is added once, however many lines carry it.
     """
     index = bounded_broadcast(definition_index(defs).select("def_key"), broadcast_max_rows)
-    unknown = genlog.join(index, name_key(F.col("eventname")) == index["def_key"], "left_anti")
+    unknown = genlog.join(index, never_null_key(name_key(F.col("eventname"))) == index["def_key"], "left_anti")
     pick = F.min_by(F.struct(jtrim(F.col("eventname")).alias("n"), jtrim(F.col("eventlevel")).alias("l")), F.col("row"))
     grouped = unknown.groupBy(name_key(F.col("eventname")).alias("name_key")).agg(pick.alias("p"))
     blank = F.lit("")
@@ -111,7 +111,7 @@ def events_for_new_definitions(genlog: DataFrame, new_defs: DataFrame,
     definition's id, and the genlog's own (untrimmed) name and level."""
     keys = new_defs.select(name_key(F.col("event_rule_name")).alias("def_key"), F.col("event_rule_id").alias("def_id"))
     keys = bounded_broadcast(keys, broadcast_max_rows)
-    joined = genlog.join(keys, name_key(F.col("eventname")) == keys["def_key"], "inner")
+    joined = genlog.join(keys, never_null_key(name_key(F.col("eventname"))) == keys["def_key"], "inner")
     return joined.select(*event_record(F.col("def_id"), F.col("eventname"), F.col("eventlevel")))
 
 

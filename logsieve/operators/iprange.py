@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import ip_to_long, jtrim, section_bounds
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, never_null_key, never_null_long
 
 BUCKET_BITS = 16
 MAX_BROADCAST_RANGE_ROWS = 2_000_000
@@ -35,7 +35,10 @@ def range_join(df: DataFrame, ip: Column, sections: DataFrame, section_col: str
     how="left" keeps rows in no section (section columns null).
     """
     rb = bounded_broadcast(explode_ranges(sections, section_col), broadcast_max_rows)
-    left = df.withColumn("_ipn", ip_to_long(ip)).withColumn("_bucket", F.shiftright(F.col("_ipn"), BUCKET_BITS))
+    # Neither the address nor its block may be null in the join condition (see
+    # never_null_key); an unreadable address gets a sentinel below every range.
+    left = df.withColumn("_ipn", never_null_long(ip_to_long(ip))) \
+        .withColumn("_bucket", F.shiftright(F.col("_ipn"), BUCKET_BITS))
     cond = (left["_bucket"] == rb["_bucket"]) & left["_ipn"].between(rb["ip_lo"], rb["ip_hi"])
     return left.join(rb, cond, how).drop("_bucket", "_ipn")
 
@@ -46,4 +49,4 @@ def with_device_rule(df: DataFrame, device_col: str, rule_devices: DataFrame,
     either side is no match."""
     keys = bounded_broadcast(rule_devices.select(jtrim(F.col("device_ip")).alias("_dk")).distinct(),
                              broadcast_max_rows)
-    return df.join(keys, jtrim(F.col(device_col)) == keys["_dk"], "left_semi")
+    return df.join(keys, never_null_key(jtrim(F.col(device_col))) == keys["_dk"], "left_semi")

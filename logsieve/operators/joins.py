@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Rows a packed rule table may hold and still be broadcast. A packed row is a
 # device with its rule array (a few hundred bytes per rule), so this bound
@@ -38,3 +38,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS)
 # for the rule refresh interval; a table rewritten in place is re-counted then.
 CHECK_TTL_SECONDS = 300.0
 _CHECKED: dict = {}
+
+
+# A key value no real key takes: text keys are trimmed (so never start with
+# U+0001) and addresses are non-negative blocks.
+_NO_TEXT_KEY = "\u0001"
+_NO_LONG_KEY = -(1 << 62)
+
+
+def never_null_key(key: Column) -> Column:
+    """`key` with null replaced by a value that matches nothing.
+
+    A nullable, computed join key makes Catalyst infer `key IS NOT NULL` and
+    push it, with the whole computation inlined, down to the scan: below any
+    repartition and evaluated twice. A key that cannot be null infers no such
+    filter; rows that had a null key still match nothing.
+    """
+    return F.coalesce(key, F.lit(_NO_TEXT_KEY))
+
+
+def never_null_long(key: Column) -> Column:
+    return F.coalesce(key, F.lit(_NO_LONG_KEY))

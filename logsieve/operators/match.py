@@ -18,7 +18,7 @@ from .. import schema as S
 from ..functions import (date_to_millis, is_blank, jtrim, named_group_index,
                          regex_group_count, regex_is_valid)
 from .joins import bounded_broadcast
-from .parse import derived_id
+from .parse import derived_id, once
 
 # Rule constants carried into the genlog record.
 _CONSTANTS = ["reportnetype", "eventdefid", "eventlevel", "eventid"]
@@ -125,13 +125,14 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_rows: int =
     # spreads such lines evenly should the join shuffle.
     key = F.coalesce(F.col("device_ip"), F.concat(F.lit("\u0001"), F.col("line_key")))
     joined = parsed.withColumn("_dev", key).join(packed, F.col("_dev") == packed["device_key"], "left")
+    joined = once(joined, [F.col(c) for c in joined.columns], [hit.alias("hit")])
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))
               .when(F.col("device_ip").isNull(), F.lit("short_payload"))
               .when(F.col("rules").isNotNull() & F.col("msg").isNull(), F.lit("short_payload"))
               .otherwise(F.lit("no_rule")))
-    return joined.withColumn("hit", hit).withColumn("match_status", status).drop("_dev", "device_key", "rules")
+    return joined.withColumn("match_status", status).drop("_dev", "device_key", "rules")
 
 
 def match_user(parsed: DataFrame, user_rules: DataFrame) -> DataFrame:
@@ -141,11 +142,12 @@ def match_user(parsed: DataFrame, user_rules: DataFrame) -> DataFrame:
     hit = F.when(F.col("n_fields") > 6, _first_hit(packed, F.col("logcontent")))
     # A single-row table: broadcast and joined on a constant key, so the logs stay in place.
     joined = parsed.withColumn("_k", F.lit(0)).join(F.broadcast(packed), F.col("_k") == packed["device_key"], "left")
+    joined = once(joined, [F.col(c) for c in joined.columns], [hit.alias("hit")])
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))
               .otherwise(F.lit("no_rule")))
-    return joined.withColumn("hit", hit).withColumn("match_status", status).drop("_k", "device_key", "rules")
+    return joined.withColumn("match_status", status).drop("_k", "device_key", "rules")
 
 
 def _capture(text: Column, field: str) -> Column:
@@ -181,6 +183,5 @@ def to_genlog(matched: DataFrame, user_rules: bool = False, tz: str = "UTC") ->
         "orglog": text,
         "logruleid": h["rule_id"],
     }
-    out = matched.where(h.isNotNull()).select(
-        *[cols[f].alias(f) for f in S.GENLOG_FIELDS], F.col("recvtime"), F.col("line_key"))
-    return out
+    return once(matched.where(h.isNotNull()), [F.col("recvtime"), F.col("line_key")],
+                [cols[f].alias(f) for f in S.GENLOG_FIELDS])

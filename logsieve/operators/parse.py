@@ -42,7 +42,8 @@ def admit(df: DataFrame, value_col: str = "value", key_col: str | None = None,
     short = v.isNotNull() & ~is_blank(v) & (n_fields <= 6)
     key = F.col(key_col).cast("string") if key_col else v
     rid = F.md5(key) if id_mode == "hash" else random_uuid()
-    return df.withColumn("line", F.when(short, F.concat(rid, F.lit(FIELD_SEP), v)).otherwise(v))
+    line = F.when(short, F.concat(rid, F.lit(FIELD_SEP), v)).otherwise(v)
+    return once(df, [F.col(c) for c in df.columns if c != "line"], [line.alias("line")])
 
 
 def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
@@ -58,22 +59,30 @@ def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
     content = F.get(F.col("_f"), 6)
     # Only payload parts 29 and 66 are read, so the payload is never split
     # into an array: literal substring scans find the two parts.
-    return (
-        d.select("*", fields.alias("_f"))
-        .select(
-            "*",
-            F.md5(F.col("line")).alias("line_key"),
-            F.size("_f").alias("n_fields"),
-            F.get("_f", 0).alias("recordid"),
-            F.get("_f", 1).alias("recvtime"),
-            F.get("_f", 2).alias("reportip"),
-            F.get("_f", 5).alias("reportapp"),
-            content.alias("logcontent"),
-            F.when(F.size("_f") > 6, jtrim(jpart(content, PAYLOAD_SEP, PAYLOAD_DEVICE_IP))).alias("device_ip"),
-            F.when(F.size("_f") > 6, jtrim(jpart(content, PAYLOAD_SEP, PAYLOAD_MESSAGE))).alias("msg"),
-        )
-        .drop("_f")
-    )
+    parsed = [
+        F.md5(F.col("line")).alias("line_key"),
+        F.size("_f").alias("n_fields"),
+        F.get("_f", 0).alias("recordid"),
+        F.get("_f", 1).alias("recvtime"),
+        F.get("_f", 2).alias("reportip"),
+        F.get("_f", 5).alias("reportapp"),
+        content.alias("logcontent"),
+        F.when(F.size("_f") > 6, jtrim(jpart(content, PAYLOAD_SEP, PAYLOAD_DEVICE_IP))).alias("device_ip"),
+        F.when(F.size("_f") > 6, jtrim(jpart(content, PAYLOAD_SEP, PAYLOAD_MESSAGE))).alias("msg"),
+    ]
+    keep = [F.col(c) for c in d.columns]
+    return once(d.select(*keep, fields.alias("_f")), keep, parsed)
+
+
+def once(df: DataFrame, keep: list[Column], computed: list[Column]) -> DataFrame:
+    """Project `computed` next to `keep`, evaluating each expression exactly once.
+
+    The computed columns come out of a one-row `inline` (a Generate node).
+    A later filter on them therefore stays above it, instead of being pushed
+    down with the whole expression inlined - which would evaluate it twice
+    and, on a small input, before the spread.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*computed))))
 
 
 def matchable(df: DataFrame) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import schema as S
 from ..functions import date_to_millis, is_blank, jtrim, md5_upper, string_to_escapes
-from ..operators.parse import FIELD_SEP, derived_id, match_flag_text, stored_ismatch
+from ..operators.parse import FIELD_SEP, derived_id, match_flag_text, once, stored_ismatch
 
 # --- fixed values ---
 ESCAPE_PREFIX = "socos"
@@ -34,9 +34,11 @@ def syslog_docs(matched: DataFrame, tz: str = "UTC") -> DataFrame:
     Fields are read back from the flagged line, as stored. A line whose
     receive time does not parse is left out here (it is in `rejects`).
     """
-    f = _flagged_fields(matched)
-    ms = date_to_millis(F.get(f, 1), tz)
-    return (matched.where(F.col("line").isNotNull() & (F.size(f) >= 8) & ms.isNotNull())
+    with_f = once(matched, [F.col(c) for c in matched.columns], [_flagged_fields(matched).alias("_ff")])
+    f = F.col("_ff")
+    timed = once(with_f, [F.col(c) for c in with_f.columns], [date_to_millis(F.get(f, 1), tz).alias("_ms")])
+    ms = F.col("_ms")
+    return (timed.where(F.col("line").isNotNull() & (F.size(f) >= 8) & ms.isNotNull())
             .select(derived_id("syslog").alias("row"),
                     F.get(f, 0).alias("recordid"),
                     ms.alias("recvtime"),
