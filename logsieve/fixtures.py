@@ -85,10 +85,28 @@ FLOW_RANGE = ("1997-01-01 00:00:00", "1998-01-01 00:00:00")
 # --- end of fixed values ---
 
 
+# Configuration frames are built once per session and reused, so every query
+# plans over the same relation (and its size check is counted once).
+_FRAMES: dict = {}
+
+
+def _per_session(spark: SparkSession, name: str, build) -> DataFrame:
+    key = (id(spark), name)
+    if key not in _FRAMES:
+        _FRAMES[key] = build()
+    return _FRAMES[key]
+
+
 def log_rules_df(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
     """The system log rule table: 32 string columns + rule_seq."""
+    if rules is None:
+        return _per_session(spark, "log_rules", lambda: _rules_frame(spark, LOG_RULES))
+    return _rules_frame(spark, rules)
+
+
+def _rules_frame(spark: SparkSession, rules: list[dict]) -> DataFrame:
     rows = []
-    for r in rules or LOG_RULES:
+    for r in rules:
         rows.append(tuple([r.get(c, "") for c in S.LOG_RULE_COLUMNS] + [int(r["rule_seq"])]))
     ddl = ", ".join(f"`{c}` string" for c in S.LOG_RULE_COLUMNS) + ", rule_seq bigint"
     return spark.createDataFrame(rows, ddl)
@@ -96,7 +114,9 @@ def log_rules_df(spark: SparkSession, rules: list[dict] | None = None) -> DataFr
 
 def user_rules_df(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
     """User log rules: same columns, groups named in the regex instead of numbered."""
-    return log_rules_df(spark, rules or USER_RULES)
+    if rules is None:
+        return _per_session(spark, "user_rules", lambda: _rules_frame(spark, USER_RULES))
+    return _rules_frame(spark, rules)
 
 
 EVENT_DEF_DDL = ("event_rule_id string, event_rule_lib_id string, event_rule_code string, "
@@ -107,15 +127,16 @@ EVENT_FIELD_DDL = ", ".join(f"{c} string" for c in S.EVENT_FIELD_COLUMNS)
 
 
 def event_defs_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_DEFS, EVENT_DEF_DDL)
+    return _per_session(spark, "event_defs", lambda: spark.createDataFrame(EVENT_DEFS, EVENT_DEF_DDL))
 
 
 def event_fields_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_FIELDS, EVENT_FIELD_DDL)
+    return _per_session(spark, "event_fields", lambda: spark.createDataFrame(EVENT_FIELDS, EVENT_FIELD_DDL))
 
 
 def ip_sections_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(IP_SECTIONS, "section_name string, ip_section string")
+    return _per_session(spark, "ip_sections",
+                        lambda: spark.createDataFrame(IP_SECTIONS, "section_name string, ip_section string"))
 
 
 # ---------------------------------------------------------------------------
