@@ -12,10 +12,12 @@ def md5_upper(c: Column) -> Column:
     return F.upper(F.md5(c))
 
 
-def _utf16_units_hex(c: Column) -> Column:
-    # One 4-digit hex group per UTF-16 code unit (a character outside the
-    # BMP is two units, as in the JVM's char sequence).
-    return F.regexp_extract_all(F.hex(F.encode(c, "UTF-16BE")), F.lit("(.{4})"), 1)
+def _java_regex_quote(text: str) -> str:
+    return "\\Q" + text + "\\E"
+
+
+def _java_replacement_quote(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("$", "\\$")
 
 
 def string_to_escapes(c: Column, prefix: str = "\\u", pad: bool = False) -> Column:
@@ -23,11 +25,14 @@ def string_to_escapes(c: Column, prefix: str = "\\u", pad: bool = False) -> Colu
 
     With prefix="socos" this is the `eventname2` form of the genlog document.
     `pad=True` writes four hex digits per unit, the form F9 reads back.
+    Two linear regex passes over the UTF-16BE hex text (a character outside
+    the BMP is two units, as in the JVM's char sequence); no per-unit array.
     """
-    def unit(h: Column) -> Column:
-        return F.concat(F.lit(prefix), F.lower(h if pad else F.conv(h, 16, 16)))
-    units = F.transform(_utf16_units_hex(c), unit)
-    return F.when(is_blank(c), F.lit(None).cast("string")).otherwise(F.array_join(units, ""))
+    units = F.lower(F.hex(F.encode(c, "UTF-16BE")))
+    padded = F.regexp_replace(units, "([0-9a-f]{4})", _java_replacement_quote(prefix) + "$1")
+    out = padded if pad else F.regexp_replace(
+        padded, _java_regex_quote(prefix) + "0{1,3}(?=[0-9a-f])", _java_replacement_quote(prefix))
+    return F.when(is_blank(c), F.lit(None).cast("string")).otherwise(out)
 
 
 def escapes_to_string(c: Column) -> Column:
@@ -52,7 +57,11 @@ def escapes_to_string(c: Column) -> Column:
     # Text after the last escape is dropped, as the original decoder does.
     rest = F.substring(F.element_at(parts, -1), 5, 1 << 30)
     kept = F.left(decoded, F.length(decoded) - F.length(rest))
+    # Fast path: text made only of escapes decodes in one pass.
+    only_escapes = c.rlike(r"^(?:\\u[0-9A-Fa-f]{4})+$")
+    direct = F.decode(F.unhex(F.replace(c, F.lit("\\u"), F.lit(""))), "UTF-16BE")
     return (F.when(is_blank(c), F.lit(None).cast("string"))
+            .when(only_escapes, direct)
             .when(n == 1, F.lit(""))
             .when(bad, F.lit(None).cast("string"))
             .otherwise(kept))
