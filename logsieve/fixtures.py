@@ -90,6 +90,17 @@ FLOW_RANGE = ("1997-01-01 00:00:00", "1998-01-01 00:00:00")
 _FRAMES: dict = {}
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small literal table built on the JVM (one `range` row and an
+    `inline` of literal structs): no Python-backed RDD, so using it in a
+    plan never starts Python workers."""
+    fields = [f.strip().rsplit(" ", 1) for f in ddl.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n.strip("`")) for (n, t), v in zip(fields, row)]) for row in rows]
+    if not structs:
+        return spark.createDataFrame([], ddl)
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _per_session(spark: SparkSession, name: str, build) -> DataFrame:
     key = (id(spark), name)
     if key not in _FRAMES:
@@ -109,7 +120,7 @@ def _rules_frame(spark: SparkSession, rules: list[dict]) -> DataFrame:
     for r in rules:
         rows.append(tuple([r.get(c, "") for c in S.LOG_RULE_COLUMNS] + [int(r["rule_seq"])]))
     ddl = ", ".join(f"`{c}` string" for c in S.LOG_RULE_COLUMNS) + ", rule_seq bigint"
-    return spark.createDataFrame(rows, ddl)
+    return literal_frame(spark, rows, ddl)
 
 
 def user_rules_df(spark: SparkSession, rules: list[dict] | None = None) -> DataFrame:
@@ -127,16 +138,16 @@ EVENT_FIELD_DDL = ", ".join(f"{c} string" for c in S.EVENT_FIELD_COLUMNS)
 
 
 def event_defs_df(spark: SparkSession) -> DataFrame:
-    return _per_session(spark, "event_defs", lambda: spark.createDataFrame(EVENT_DEFS, EVENT_DEF_DDL))
+    return _per_session(spark, "event_defs", lambda: literal_frame(spark, EVENT_DEFS, EVENT_DEF_DDL))
 
 
 def event_fields_df(spark: SparkSession) -> DataFrame:
-    return _per_session(spark, "event_fields", lambda: spark.createDataFrame(EVENT_FIELDS, EVENT_FIELD_DDL))
+    return _per_session(spark, "event_fields", lambda: literal_frame(spark, EVENT_FIELDS, EVENT_FIELD_DDL))
 
 
 def ip_sections_df(spark: SparkSession) -> DataFrame:
     return _per_session(spark, "ip_sections",
-                        lambda: spark.createDataFrame(IP_SECTIONS, "section_name string, ip_section string"))
+                        lambda: literal_frame(spark, IP_SECTIONS, "section_name string, ip_section string"))
 
 
 # ---------------------------------------------------------------------------
