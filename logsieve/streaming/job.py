@@ -65,15 +65,26 @@ class RuleCache:
         self.loaded_at: float | None = None
         self.bundle: dict[str, DataFrame] = {}
         self.reloads = 0
+        self.failed_reloads = 0
         self._lock = threading.Lock()
 
     def current(self) -> dict[str, DataFrame]:
         with self._lock:
             now = self.clock()
             if self.loaded_at is None or now - self.loaded_at > self.refresh_seconds:
-                old = self.bundle
-                # Rule tables are configuration-sized: keep them cached between batches.
-                self.bundle = {k: v.cache() for k, v in self.loader().items()}
+                try:
+                    # Rule tables are configuration-sized: keep them cached between batches.
+                    fresh = {k: v.cache() for k, v in self.loader().items()}
+                    for v in fresh.values():
+                        v.count()
+                except Exception:  # noqa: BLE001
+                    # A snapshot being rewritten right now must not stop the
+                    # stream: keep the current rules and try again next batch.
+                    if not self.bundle:
+                        raise
+                    self.failed_reloads += 1
+                    return self.bundle
+                old, self.bundle = self.bundle, fresh
                 for v in old.values():
                     v.unpersist()
                 self.loaded_at = now

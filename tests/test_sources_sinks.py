@@ -56,16 +56,49 @@ def test_rule_sync_stream_ticks(spark):
     root = f"{ensure_checkpoint_dir(spark)}/syncs-{uuid.uuid4().hex}"
     src = _base_tables(spark, f"{root}/base")
     store = SnapshotStore(spark, f"{root}/snap")
-    q = start_rule_sync(spark, src, store, f"{root}/ckpt", interval_seconds=1)
+    def rows_now():
+        try:   # the sync may be rewriting the snapshot at this very moment
+            return store.read(SNAPSHOT_LOG_RULES).count()
+        except Exception:  # noqa: BLE001
+            return 0
+
+    q = start_rule_sync(spark, src, store, f"{root}/ckpt", interval_seconds=5)
     try:
         deadline = time.time() + 120
-        while time.time() < deadline and store.read(SNAPSHOT_LOG_RULES).count() == 0:
+        while time.time() < deadline and rows_now() == 0:
             time.sleep(2)
     finally:
         q.stop()
     assert store.read(SNAPSHOT_LOG_RULES).count() > 0
 
 
+def test_rule_cache_keeps_rules_when_reload_fails():
+    state = {"fail": False}
+
+    class Frame:
+        def cache(self):
+            if state["fail"]:
+                raise OSError("snapshot being rewritten")
+            return self
+
+        def count(self):
+            return 1
+
+        def unpersist(self):
+            pass
+
+    from logsieve.streaming import RuleCache
+    now = [0.0]
+    cache = RuleCache(lambda: {"logRule": Frame()}, refresh_seconds=0, clock=lambda: now[0])
+    first = cache.current()
+    state["fail"] = True
+    now[0] = 1
+    assert cache.current() is first and cache.failed_reloads == 1
+    state["fail"] = False
+    now[0] = 2
+    assert cache.current() is not first and cache.reloads == 2
+
+
 def test_json_array_snapshot_text(spark):
     text = spark.createDataFrame([('[{"a": "x", "b": null}, {"a": "y"}]',)], "value string")
     rows = read_json_array_snapshot(spark, text, ["a", "b"]).orderBy("rule_seq").collect()
