@@ -4,10 +4,13 @@ tests, tools and the bench."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "logsieve") -> SparkSession:
     """A local session with the settings the tests and bench assume."""
@@ -31,11 +34,16 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "log
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when the session has none (local tests) is a scratch folder set.
+    Only a single-machine session (`local[...]`, as in tests) that has none gets a
+    scratch folder, one per application; on a cluster a machine-local folder would be
+    unreadable for the other machines, so there the missing setting is an error.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="logsieve-ckpt-")
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        current = _LOCAL_SCRATCH.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="logsieve-ckpt-")
+        _LOCAL_SCRATCH[sc.applicationId] = current
     sc.setCheckpointDir(current)
     return current
