@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding, tokens, winnowing
+from . import hyperminhash, mixing, sharding, tokens, winnowing
 
 QUERIES = {
     "op3_token_output": tokens.query,
+    "op5_hyperminhash": hyperminhash.query,
     "op6_winnowing": winnowing.query,
     "op9_sharding": sharding.query,
     "op10_mixing": mixing.query,
