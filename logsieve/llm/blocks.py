@@ -161,7 +161,7 @@ def key_hash(*cols: Column | str) -> Column:
 
 
 def with_running(df: DataFrame, group: list[str], order: list[str], value: Column, out: str,
-                 chunk_rows: int = 50_000, key_bits: int = 64) -> DataFrame:
+                 chunk_rows: int = 8_192, key_bits: int = 64) -> DataFrame:
     """Adds `out`: the sum of `value` over the rows before this one in its group.
 
     The group's order is by `order[0]`, a hash column of `key_bits` bits (64: signed), then by the rest. No group meets

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import hyperminhash, mixing, sharding, tokens, winnowing
+from . import decontaminate, hyperminhash, mixing, sharding, tokens, winnowing
 
 QUERIES = {
+    "op1_decontamination": decontaminate.query,
     "op3_token_output": tokens.query,
     "op5_hyperminhash": hyperminhash.query,
     "op6_winnowing": winnowing.query,

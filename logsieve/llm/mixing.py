@@ -111,8 +111,8 @@ def pieces(places: DataFrame, plan: DataFrame) -> DataFrame:
 
     A document meets the blocks that it overlaps: documents + blocks rows at most in all.
     """
-    b = plan.groupBy().agg(F.max("block_tokens").alias("block_tokens"))
-    cut = (places.where("size > 0").crossJoin(F.broadcast(b))  # one row: the block size
+    block_tokens = plan.agg(F.max("block_tokens")).first()[0] or 1  # one number, the same for all sources
+    cut = (places.where("size > 0").withColumn("block_tokens", F.lit(block_tokens).cast("long"))
            .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("block_tokens")),
                                                      F.floor((F.col("start") + F.col("size") - 1) / F.col("block_tokens"))))))
     cut = (cut.withColumn("first_word", F.greatest(F.lit(0), F.col("block") * F.col("block_tokens") - F.col("start")))
