@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, hyperminhash, langid, mixing, sharding, tokens, winnowing
+from . import decontaminate, hyperminhash, langid, mixing, sharding, tokens, toxicity, winnowing
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
     "op2_language_id": langid.query,
     "op3_token_output": tokens.query,
+    "op4_toxicity": toxicity.query,
     "op5_hyperminhash": hyperminhash.query,
     "op6_winnowing": winnowing.query,
     "op9_sharding": sharding.query,
