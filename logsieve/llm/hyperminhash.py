@@ -13,11 +13,15 @@ and the 10 bits after the leading one (the mantissa). Registers serve twice:
 
 Verification recomputes the full shingle sets from the texts and counts intersection and union.
 
-Groups of copies never become all pairs. Documents with equal sets are one class. In each band
-bucket the members are first compared with the smallest one only, and what that links becomes
-components; then only members of one bucket that are still in different components are compared
-with one another, so a bucket whose members are already connected, however large, costs nothing
-more. What a bucket links is the same as if all its pairs had been compared.
+Groups of copies never become all pairs. Documents with equal sets are one class. The members of a
+band bucket are compared inside its task by parity bitmaps: a set's bitmap has a bit for each hash
+value, turned over by each shingle that falls there, so two bitmaps never differ in more bits than
+the sets differ in shingles, and a pair whose bitmaps differ in too many cannot be a link. What passes
+is proposed only as far as it joins parts of the bucket that nothing has joined yet, at most one pair
+per member; buckets of more than BUCKET_ROWS members are dealt out as pairs of blocks. Proposed pairs
+are estimated, verified, and made components; a second pass over the buckets then proposes every pair
+that still lies in different components and passes. So no link is lost, and a bucket whose members
+are already connected, however large, costs nothing more.
 
 Sets hold 64-bit shingle hashes (a chance of equality of 2e-13 for a text of 3,000 shingles).
 
@@ -44,6 +48,8 @@ _P = 8
 MANTISSA = 10
 ROWS = 6
 BANDS = BUCKETS // ROWS
+#: members of a band bucket that are compared in one task; more are dealt out in blocks
+BUCKET_ROWS = 4096
 _U = np.uint64
 #: for each bucket, the order in which it borrows from others when empty
 _BORROW = np.argsort(np.random.default_rng(7).random((BUCKETS, BUCKETS)), axis=1).astype(np.uint8)
@@ -88,6 +94,20 @@ def band_keys(reg: np.ndarray) -> np.ndarray:
     return key
 
 
+def bitmap(u: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set, 2 to 4 bits for each element or more (64-bit words, a power of two of them)."""
+    bits = max(64, 1 << int(3 * len(u)).bit_length())
+    odd = np.bincount((u & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Rows of bitmaps as they would be with fewer words."""
+    while maps.shape[1] > words:
+        maps = maps[:, : maps.shape[1] // 2] ^ maps[:, maps.shape[1] // 2 :]
+    return maps
+
+
 def expected_collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Registers that sets of n and m elements without a common one would share by chance."""
     n, m = np.asarray(n, np.float64)[:, None], np.asarray(m, np.float64)[:, None]
@@ -109,7 +129,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
 
 # ------------------------------------------------------------------ Spark
 
-_SKETCH = "doc_id long, n_shingles long, digest binary, registers binary"
+_SKETCH = "doc_id long, n_shingles long, digest binary, registers binary, bits binary"
 
 
 def _sketcher(k: int):
@@ -120,12 +140,13 @@ def _sketcher(k: int):
                 batch.column("doc_id").cast(pa.int64()), pa.array([len(u) for u in sets], pa.int64()),
                 pa.array([hashlib.blake2b(u.tobytes(), digest_size=16).digest() if len(u) else None for u in sets], pa.binary()),
                 pa.array([registers(u).tobytes() if len(u) else None for u in sets], pa.binary()),
-            ], names=["doc_id", "n_shingles", "digest", "registers"])
+                pa.array([bitmap(u).tobytes() if len(u) else None for u in sets], pa.binary()),
+            ], names=["doc_id", "n_shingles", "digest", "registers", "bits"])
     return run
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the whole set) and registers of docs (doc_id, text)."""
+    """doc_id, n_shingles, digest (of the whole set), registers and parity bitmap of docs (doc_id, text)."""
     return docs.select("doc_id", "text").mapInArrow(_sketcher(k), _SKETCH)
 
 
@@ -192,6 +213,119 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, percent:
     return both.select("a", "b", "xa", "xb").mapInArrow(_verified(percent), "a long, b long").distinct()
 
 
+class _Bucket:
+    """Members of one band bucket, in classes of equal bitmap length."""
+
+    def __init__(self, rows: list[tuple[int, int, int, bytes, int]], percent: int):
+        self.node = np.array([r[0] for r in rows])
+        self.part = np.unique([r[1] for r in rows], return_inverse=True)[1]
+        self.size = np.array([r[2] for r in rows])
+        self.side = np.array([r[4] for r in rows])
+        self.percent = percent
+        self.words = np.array([len(r[3]) // 8 for r in rows])
+        self.classes = {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            maps = np.frombuffer(b"".join(rows[i][3] for i in at), np.uint64).reshape(len(at), w)
+            self.classes[w] = (at, maps, folded(maps, w // 2) if w > 1 else maps)
+        self.row = np.zeros(len(rows), np.int64)
+        for at, _, _ in self.classes.values():
+            self.row[at] = np.arange(len(at))
+
+    def similar(self, i: int, among: np.ndarray) -> np.ndarray:
+        """Members of `among` (a mask) that may be links of member i."""
+        w, found = int(self.words[i]), []
+        # linked sets differ in size by less than a factor of two, and so do their bitmaps
+        for v in (w // 2, w, 2 * w):
+            if v not in self.classes:
+                continue
+            at, maps, half = self.classes[v]
+            pick = np.flatnonzero(among[at])
+            if not len(pick):
+                continue
+            own = self.classes[w][2 if v < w else 1][self.row[i]]
+            other = (half if v > w else maps)[pick]
+            apart = np.bitwise_count(other ^ own).sum(axis=1, dtype=np.int64)
+            both = self.size[at[pick]] + self.size[i]
+            found.append(at[pick][apart * (100 + self.percent) <= both * (100 - self.percent)])
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def joining(self):
+        """Pairs that hold together what may be linked: a spanning forest over the parts."""
+        left = np.ones(len(self.node), bool)
+        members = [np.flatnonzero(self.part == p) for p in range(self.part.max() + 1)]
+        for own in members:
+            if not left[own[0]]:
+                continue
+            left[own] = False
+            front = list(own)
+            while front and left.any():
+                i = front.pop()
+                hit = self.similar(i, left)
+                for p, first in zip(*np.unique(self.part[hit], return_index=True)):
+                    yield i, hit[first]
+                    left[members[p]] = False
+                    front.extend(members[p])
+
+    def all_apart(self):
+        """All pairs in different parts that may be links; across two blocks, or within one."""
+        later = np.ones(len(self.node), bool)
+        for i in range(len(self.node)):
+            later[i] = False
+            for j in self.similar(i, later & (self.part != self.part[i])):
+                yield i, j
+
+
+def _propose(percent: int, everything: bool):
+    def pairs_of(rows):
+        b = _Bucket(rows, percent)
+        for i, j in b.all_apart() if everything else b.joining():
+            yield min(b.node[i], b.node[j]), max(b.node[i], b.node[j])
+
+    def run(batches):
+        key, rows, out = None, [], []
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("key", "cell", "node", "component", "n", "bits", "block")]
+            for k, cell, *row in zip(*cols):
+                if (k, cell) != key:
+                    out += pairs_of(rows) if len(rows) > 1 else ()
+                    key, rows = (k, cell), []
+                    if len(out) > 1 << 14:
+                        yield _pairs(out)
+                        out = []
+                rows.append(tuple(row))
+        out += pairs_of(rows) if len(rows) > 1 else ()
+        if out:
+            yield _pairs(out)
+    return run
+
+
+def _pairs(out):
+    a, b = zip(*set(out))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def proposals(bands: DataFrame, label: DataFrame, nodes: DataFrame, percent: int, everything: bool) -> DataFrame:
+    """Pairs (a, b) of one bucket in different components that may be links (see `_Bucket`)."""
+    lab = label.select(F.col("node").alias("_n"), "component")
+    placed = (bands.join(lab, F.col("node") == F.col("_n"), "left")
+              .select("key", "node", F.coalesce("component", "node").alias("component")))
+    placed = written(placed, "placed")
+    mixed = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
+             .where("lo <> hi").select(F.col("key").alias("_k"), F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("blocks")))
+    info = nodes.select(F.col("node").alias("_n"), F.col("n_shingles").alias("n"), "bits")
+    rows = (placed.join(mixed, F.col("key") == F.col("_k"))
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            # a cell is a pair of blocks (lo, hi); each member goes to the cells of its block
+            .withColumn("cell", F.explode(F.transform(
+                F.sequence(F.lit(0), F.col("blocks") - 1),
+                lambda j: F.least(j, F.col("block")).cast("long") * F.col("blocks") + F.greatest(j, F.col("block")))))
+            .select("key", "cell", "node", "component", "block")
+            .join(info, F.col("node") == F.col("_n")).select("key", "cell", "node", "component", "n", "bits", "block"))
+    dealt = rows.repartition("key", "cell").sortWithinPartitions("key", "cell")
+    return dealt.mapInArrow(_propose(percent, everything), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (doc_id = component_id) for each row of docs (doc_id, text).
 
@@ -212,27 +346,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                .select("a", F.col("node").alias("b")).distinct())
     nodes = written(known.join(classes.select(F.col("digest").alias("_dg"), "node"),
                                (F.col("digest") == F.col("_dg")) & (F.col("doc_id") == F.col("node")))
-                    .select("node", "n_shingles", "registers", "digest").dropDuplicates(["node", "digest"]), "nodes")
+                    .select("node", "n_shingles", "registers", "bits", "digest").dropDuplicates(["node", "digest"]), "nodes")
     banded = nodes.mapInArrow(_bands, "key long, node long")
     crowd = banded.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead <> top")
     # only keys with several members go on
-    bands = written(banded.join(crowd.select(F.col("key").alias("_k"), "lead"), F.col("key") == F.col("_k"))
-                    .select("key", "node", "lead"), "bands")
-    # first with the smallest of the smallest: at most one pair per node
-    first = bands.groupBy(F.col("node").alias("b")).agg(F.min("lead").alias("a")).where("a <> b")
+    bands = written(banded.join(crowd.select(F.col("key").alias("_k")), F.col("key") == F.col("_k"), "left_semi")
+                    .distinct(), "bands")
+    label = written(components(same_id), "label0")
+    first = written(proposals(bands, label, nodes, percent, everything=False), "pairs1")
     linked = written(verify(first, docs, nodes, k, percent).unionByName(same_id), "links1")
     label = written(components(linked), "label1")
-    # what that has left apart: members of one bucket in different components
-    placed = (bands.join(label.select(F.col("node").alias("_n"), "component"), F.col("node") == F.col("_n"), "left")
-              .select("key", "node", F.coalesce("component", "node").alias("component")))
-    placed = written(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = placed.join(mixed.select(F.col("key").alias("_k")), F.col("key") == F.col("_k"), "left_semi")
-    open_ = written(open_, "open")
-    other = open_.select(F.col("key").alias("_k"), F.col("node").alias("a"), F.col("component").alias("_c"))
     tried = first.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    rest = (open_.join(other, (F.col("key") == F.col("_k")) & (F.col("_c") < F.col("component")))
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    rest = (proposals(bands, label, nodes, percent, everything=True)
             .join(tried, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"))
     more = written(verify(rest, docs, nodes, k, percent), "links2")
     label = written(components(linked.unionByName(more)), "label2")

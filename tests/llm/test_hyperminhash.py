@@ -89,3 +89,30 @@ def test_registers_and_estimate():
     regs = np.array([hmh.registers(u) for u in apart])
     equal = np.mean([(regs[i] == regs[i + 1]).sum() for i in range(39)])
     assert abs(equal - hmh.expected_collisions([100000], [100000])[0]) < 0.25
+
+
+def test_bitmaps_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(9)
+    for n in (1, 5, 100, 1500):
+        x = rng.integers(0, 2**64, size=2 * n, dtype=np.uint64)
+        a, b = np.unique(x[: n + n // 10]), np.unique(x[n // 10 :][: n * 2])
+        ma, mb = hmh.bitmap(a)[None], hmh.bitmap(b)[None]
+        w = min(ma.shape[1], mb.shape[1])
+        apart = int(np.bitwise_count(hmh.folded(ma, w) ^ hmh.folded(mb, w)).sum())
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_crowded_buckets_in_blocks(spark, monkeypatch):
+    """A large group of near copies, some linked and some not, compared in small blocks."""
+    monkeypatch.setattr(hmh, "BUCKET_ROWS", 40)
+    rng = random.Random(8)
+    base, rows = [f"b{i}" for i in range(120)], []
+    for i in range(260):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6])):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    got = hmh.near_duplicates(_frame(spark, rows), 3, 85).collect()
+    want = brute(rows, 3, 85)
+    assert len({c for _, _, c in want}) > 20
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
