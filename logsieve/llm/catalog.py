@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, hyperminhash, langid, mixing, repeats, sharding, tokens, toxicity, winnowing
+from . import decontaminate, hyperminhash, langid, linejoin, mixing, repeats, sharding, tokens, toxicity, winnowing
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_toxicity": toxicity.query,
     "op5_hyperminhash": hyperminhash.query,
     "op6_winnowing": winnowing.query,
+    "op7_line_join": linejoin.query,
     "op8_suffix_repeats": repeats.query,
     "op9_sharding": sharding.query,
     "op10_mixing": mixing.query,
