@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import decontaminate, hyperminhash, langid, linejoin, mixing, repeats, sharding, tokens, toxicity, winnowing
 
 QUERIES = {
@@ -15,6 +17,7 @@ QUERIES = {
     "op8_suffix_repeats": repeats.query,
     "op9_sharding": sharding.query,
     "op10_mixing": mixing.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -37,7 +37,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocks, mix, shingle_hashes, word_hashes, word_spans, written
@@ -369,5 +369,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns kept, without near duplicates: of each component the document with the
+    smallest doc_id. Of rows with equal doc_id the first by text stays; rows without doc_id stay, once per text."""
+    kept = near_duplicates(docs, k, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    one = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text")
+    return rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=3, percent=85)

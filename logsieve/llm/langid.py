@@ -172,20 +172,25 @@ def _table(model: Model) -> WordTable:
     return _TABLES[id(model)][0]
 
 
+def _shares(texts, model, table, k):
+    """Of each text: the language whose spans hold most letters, all letters, letters per language, that one's share."""
+    n = len(texts)
+    label, weight, off = _label(texts, model, table)
+    row = np.repeat(np.arange(n), np.diff(off))
+    held = np.bincount(row * k + label, weight, minlength=n * k).reshape(n, k)
+    total, top = held.sum(axis=1), held.argmax(axis=1)
+    return top, total, held, np.where(total > 0, held[np.arange(n), top] / np.maximum(total, 1), 0.0)
+
+
 def _predict(model_bc):
     def run(batches):
         model = model_bc.value
         table, k = _table(model), len(model.langs)
         for batch, _, _ in blocks(batches, size=BLOCK):
-            n = batch.num_rows
-            label, weight, off = _label(batch.column("text").to_pylist(), model, table)
-            row = np.repeat(np.arange(n), np.diff(off))
-            held = np.bincount(row * k + label, weight, minlength=n * k).reshape(n, k)
-            total, top = held.sum(axis=1), held.argmax(axis=1)
-            share = held[np.arange(n), top] / np.maximum(total, 1)
+            top, total, _, share = _shares(batch.column("text").to_pylist(), model, table, k)
             names = [model.langs[i] if t > 0 else UND for i, t in zip(top, total)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()),
-                                              pa.array(np.where(total > 0, share, 0.0))], names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(share)],
+                                             names=["doc_id", "lang_pred", "score"])
     return run
 
 
@@ -237,5 +242,23 @@ def identified(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def _keep(model_bc, min_score):
+    def run(batches):
+        model = model_bc.value
+        table, k = _table(model), len(model.langs)
+        for batch, _, _ in blocks(batches, size=BLOCK):
+            _, total, _, share = _shares(batch.column("text").to_pylist(), model, table, k)
+            yield batch.filter(pa.array((total > 0) & (share >= min_score)))
+    return run
+
+
+def identifiable(docs: DataFrame, fit_docs: int = FIT_DOCS, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of docs, all columns kept, that have a language: not `und`, and a score of at least min_score."""
+    model = fit(docs.where(~held_out(F.col("doc_id"))), fit_docs)
+    if not model.langs:
+        return docs.limit(0)
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), min_score), docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return identified(spark.read.parquet(f"{sf_dir}/documents.parquet"))
