@@ -21,6 +21,7 @@ HEADLINE = [
     "event_match_name", "event_summary", "new_event_rules", "match_counts",
     "log_rule_assembly", "event_defs_system", "netflow_scan", "moniflow_scan",
     "ip_range_join", "cluster_points", "json_lower_keys", "unicode_codec",
+    "new_rule_events", "rule_counts", "log_rejects", "stream_normalise",
 ]
 
 

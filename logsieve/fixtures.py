@@ -14,7 +14,8 @@ from . import schema as S
 # --- fixed values: system log rules (FIXTURES §2) ---------------------------
 # Columns not listed are "". Capture columns hold group numbers as text.
 # Rule 3 has no group (must never match), rule 4 does not compile, rule 5
-# names a group the regex lacks; all three are rejected when rules load.
+# names a group the regex lacks, and so do rules 6 (its first parentheses are
+# quoted) and 7 (they stand in a comment); all five are rejected when rules load.
 LOG_RULES = [
     {"rule_seq": 0, "log_rule_id": "LR-0", "log_rule_lib_id": "LIB-1", "device_ip": "192.168.0.1",
      "log_regex": r"user=(\d+) type=(error)", "sourceip": "1", "destport": "", "eventname": "2",
@@ -34,6 +35,12 @@ LOG_RULES = [
     {"rule_seq": 5, "log_rule_id": "LR-5", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.5",
      "log_regex": r"type=(\w+)", "sourceip": "9", "destport": "", "eventname": "1",
      "eventlevel": "", "eventdefid": "", "reportnetype": "", "eventid": ""},
+    {"rule_seq": 6, "log_rule_id": "LR-6", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.6",
+     "log_regex": r"\Qf(x)\E user=(\d+)", "sourceip": "2", "destport": "", "eventname": "1",
+     "eventlevel": "", "eventdefid": "", "reportnetype": "", "eventid": ""},
+    {"rule_seq": 7, "log_rule_id": "LR-7", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.7",
+     "log_regex": "(?x) type=(\\w+)  # the (kind)", "sourceip": "", "destport": "", "eventname": "2",
+     "eventlevel": "", "eventdefid": "", "reportnetype": "", "eventid": ""},
 ]
 
 # --- fixed values: user log rules (named groups, no device filter) ---------
@@ -76,7 +83,10 @@ IP_SECTIONS = [
     ("office", "10.0.0.0-10.0.0.99"),
     ("lab", "10.0.0.100-10.0.0.255"),
     ("overlap", "10.0.0.50-10.0.0.149"),
-    ("wide", "10.10.1.00-10.10.255.255"),
+    ("wide", "10.12.3.0-10.20.250.255"),
+    ("broad", "9.0.0.0-11.255.255.255"),
+    ("backwards", "10.0.0.9-10.0.0.1"),
+    ("malformed", "1.1.1.1-2000000000.0.0.0"),
     ("single", "10.0.0.7-10.0.0.7"),
 ]
 
@@ -102,7 +112,7 @@ def literal_frame(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame
 
 
 def _per_session(spark: SparkSession, name: str, build) -> DataFrame:
-    key = (id(spark), name)
+    key = (spark._jsparkSession.sessionUUID(), name)
     if key not in _FRAMES:
         _FRAMES[key] = build()
     return _FRAMES[key]
@@ -158,12 +168,19 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+HEARTBEAT = "2024-01-01 00:00:00~10.0.0.1~-~-~SYSLOG~heartbeat"
+
+
 def raw_lines(events: DataFrame) -> DataFrame:
     """One `~`-delimited raw log line per event.
 
     Odd event ids carry their own record id (md5 of the id); even ones leave
     it out, so the id-adding path runs. Every 50th event has a 20-part
-    payload and the one after it a 40-part payload (short payloads).
+    payload and the one after it a 40-part payload (short payloads). Some
+    lines are faulty or awkward: a null value (id mod 97 = 5), an unreadable
+    time (mod 89 = 7), a `~` in the content (mod 83 = 11), and heartbeats,
+    which all have the same text (mod 71 = 13). `src_key` is the line's
+    position in its source: the event id.
     """
     uid = F.col("user_id")
     reportip = F.concat(F.lit("10.0."), _s(F.expr("user_id div 256")), F.lit("."), _s(uid % 256))
@@ -176,11 +193,15 @@ def raw_lines(events: DataFrame) -> DataFrame:
               F.concat(F.repeat(F.lit("x|!"), 29), device, F.lit("|!"), F.repeat(F.lit("x|!"), 9), F.lit("x")))
         .otherwise(F.concat(F.repeat(F.lit("x|!"), 29), device, F.lit("|!"), F.repeat(F.lit("x|!"), 36), message))
     )
+    eid = F.col("event_id")
+    content = F.when(eid % 83 == 11, F.concat(content, F.lit("~tail"))).otherwise(content)
     app = F.when(F.col("event_type") == "view", F.lit("NE_FLOW")).otherwise(F.lit("SYSLOG"))
-    body = F.concat_ws("~", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), reportip, F.lit("-"), F.lit("-"), app, content)
+    time = F.when(eid % 89 == 7, F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    body = F.concat_ws("~", time, reportip, F.lit("-"), F.lit("-"), app, content)
     line = F.when(F.col("event_id") % 2 == 0, body) \
         .otherwise(F.concat(F.md5(_s(F.col("event_id"))), F.lit("~"), body))
-    return events.select(line.alias("value"))
+    line = F.when(eid % 97 == 5, F.lit(None).cast("string")).when(eid % 71 == 13, F.lit(HEARTBEAT)).otherwise(line)
+    return events.select(line.alias("value"), _s(eid).alias("src_key"))
 
 
 # Hand-made edge-case lines (unit tests only).
@@ -281,9 +302,9 @@ def event_rule_fields_table(orders: DataFrame) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed_end_value"))
 
 
-def points_from_embeddings(embeddings: DataFrame, dims: int) -> DataFrame:
-    """Cluster points: label -> cluster, vec_id -> address, first `dims` entries -> coordinates."""
+def points_from_embeddings(embeddings: DataFrame) -> DataFrame:
+    """Cluster points: label -> cluster, vec_id -> address, the embedding -> coordinates."""
     k = F.col("vec_id")
     ip = F.concat(F.lit("10.9."), _s(F.expr("vec_id div 256")), F.lit("."), _s(k % 256))
-    coords = F.transform(F.slice(F.col("embedding"), 1, dims), lambda x: x.cast("double"))
+    coords = F.transform(F.col("embedding"), lambda x: x.cast("double"))
     return embeddings.select(F.col("label").cast("int").alias("label"), ip.alias("ip"), coords.alias("coords"))

@@ -3,14 +3,14 @@
 from .codec import escapes_to_string, hash_id, md5_upper, random_row_id, random_uuid, string_to_escapes
 from .dates import date_to_millis, date_to_seconds, millis_to_date, millis_to_date_compact
 from .ipaddr import ip_in_section, ip_to_long, section_bounds
-from .jsonmap import json_lower_keys, json_to_map, lower_keys
+from .jsonmap import json_lower_keys, json_to_map, json_to_nested_map
 from .text import (blank_to_space, count_sep, is_blank, jpart, jsplit, jsplit_char, jtrim, named_group_index, regex_group_count,
                    regex_is_valid)
 
 __all__ = [
     "blank_to_space", "count_sep", "date_to_millis", "date_to_seconds", "escapes_to_string", "hash_id",
-    "ip_in_section", "ip_to_long", "is_blank", "json_lower_keys", "json_to_map", "jsplit",
-    "jpart", "jsplit_char", "jtrim", "lower_keys", "md5_upper", "millis_to_date", "millis_to_date_compact",
+    "ip_in_section", "ip_to_long", "is_blank", "json_lower_keys", "json_to_map", "json_to_nested_map", "jsplit",
+    "jpart", "jsplit_char", "jtrim", "md5_upper", "millis_to_date", "millis_to_date_compact",
     "named_group_index", "random_row_id", "random_uuid", "regex_group_count", "regex_is_valid",
     "section_bounds", "string_to_escapes",
 ]

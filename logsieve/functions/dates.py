@@ -18,13 +18,23 @@ _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 _LEADING_DATETIME = r"^[\x00-\x20]*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})"
 
 
+def _carried_over(head: Column) -> Column:
+    """`y-m-d h:m:s` with fields of any size: what is too much is carried over."""
+    n = F.transform(F.split(head, "[- :]"), lambda x: x.cast("int"))
+    month = F.add_months(F.make_date(F.get(n, 0), F.lit(1), F.lit(1)), F.get(n, 1) - 1)
+    days = F.unix_date(month).cast("bigint") + F.get(n, 2) - 1
+    seconds = days * 86400 + F.get(n, 3) * 3600 + F.get(n, 4) * 60 + F.get(n, 5)
+    return F.timestamp_add("SECOND", seconds, F.expr(_EPOCH))
+
+
 def _parse_wall(text: Column, tz: str) -> Column:
     """Wall-clock text -> UTC wall clock as TIMESTAMP_NTZ (null when unreadable).
 
     A cast, not a formatter: no per-row pattern or zone lookup, and the
-    session time zone never enters."""
+    session time zone never enters. Only fields out of range (month 13, day
+    32, hour 25) take the second way, which carries them over."""
     head = F.regexp_extract(text, _LEADING_DATETIME, 1)
-    wall = F.when(head != "", head).try_cast("timestamp_ntz")
+    wall = F.coalesce(F.when(head != "", head).try_cast("timestamp_ntz"), F.when(head != "", _carried_over(head)))
     return wall if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
 
 

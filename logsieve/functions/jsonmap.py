@@ -10,22 +10,23 @@ def json_to_map(c: Column) -> Column:
     return F.from_json(c, "map<string,string>")
 
 
-def lower_keys(m: Column) -> Column:
-    """lower-case the keys of a map<string,string>.
+def json_to_nested_map(c: Column) -> Column:
+    """F6 with its second level: map<string, struct<text, fields>>. `text` is the value
+    as text; `fields` is the map of a nested object's own values, null for others."""
+    nested = lambda v: F.when(F.btrim(v).startswith("{") & F.btrim(v).endswith("}"), json_to_map(v))
+    return F.transform_values(json_to_map(c), lambda _, v: F.struct(v.alias("text"), nested(v).alias("fields")))
 
-    Keys equal but for case accumulate, as the JSON library does: the value
-    becomes a JSON array of the colliding values, in key order.
+
+def json_lower_keys(c: Column) -> Column:
+    """the top-level object of JSON text with lower-case keys, as map<string,string>.
+
+    Keys equal but for case accumulate, as the JSON library does: the value becomes a JSON
+    array of the colliding values in key order, each with its own type. A single value is
+    its text.
     """
-    entries = F.map_entries(m)
+    entries = F.map_entries(F.from_json(c, "map<string,variant>"))
     keys = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
-    values = F.transform(
-        keys,
-        lambda k: F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == k), lambda e: e["value"]),
-    )
-    merged = F.transform(values, lambda vs: F.when(F.size(vs) == 1, F.get(vs, 0)).otherwise(F.to_json(vs)))
+    values = F.transform(keys, lambda k: F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == k), lambda e: e["value"]))
+    merged = F.transform(values, lambda vs: F.when(F.size(vs) == 1, F.get(vs, 0).cast("string")).otherwise(
+        F.concat(F.lit("["), F.array_join(F.transform(vs, lambda v: F.to_json(v)), ",", "null"), F.lit("]"))))
     return F.map_from_arrays(keys, merged)
-
-
-def json_lower_keys(c: Column) -> Column:
-    """F12 on JSON text: the top-level object with lower-case keys."""
-    return lower_keys(json_to_map(c))

@@ -54,8 +54,11 @@ def blank_to_space(c: Column) -> Column:
 
 
 def _regex_skeleton(regex: Column) -> Column:
-    # Escaped characters and bracket classes cannot open a group; drop them first.
-    no_escapes = F.regexp_replace(regex, r"\\.", "")
+    # Quoted stretches, comments (in (?x) mode), escaped characters and bracket
+    # classes cannot open a group; drop them first.
+    no_quotes = F.regexp_replace(regex, r"(?s)\\Q.*?(?:\\E|$)", "")
+    no_comments = F.when(no_quotes.rlike(r"\(\?[a-wyz]*x"), F.regexp_replace(no_quotes, r"(?<!\\)#[^\n]*", "")).otherwise(no_quotes)
+    no_escapes = F.regexp_replace(no_comments, r"(?s)\\.", "")
     return F.regexp_replace(no_escapes, r"\[[^\]]*\]", "")
 
 

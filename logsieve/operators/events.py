@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
 from ..functions import jtrim
-from .joins import bounded_broadcast, never_null_key
+from .joins import checked_broadcast, never_null_key
 from .parse import derived_id
 
 # --- fixed values ---
@@ -64,11 +64,21 @@ def event_record(rule_id: Column, rule_name: Column, rule_level: Column) -> list
     ]
 
 
-def match_by_name(genlog: DataFrame, defs: DataFrame, broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def _event_key() -> Column:
+    return never_null_key(name_key(F.col("eventname")), F.col("row"))
+
+
+def unknown_names(genlog: DataFrame, defs: DataFrame) -> DataFrame:
+    """The genlog rows whose event name no definition covers."""
+    index = checked_broadcast(definition_index(defs).select("def_key"))
+    return genlog.join(index, _event_key() == index["def_key"], "left_anti")
+
+
+def match_by_name(genlog: DataFrame, defs: DataFrame) -> DataFrame:
     """Genlog joined to the event definition of the same (trimmed,
     case-ignoring) name; the first definition wins; no definition, no event."""
-    index = bounded_broadcast(definition_index(defs), broadcast_max_rows)
-    joined = genlog.join(index, never_null_key(name_key(F.col("eventname"))) == index["def_key"], "inner")
+    index = checked_broadcast(definition_index(defs))
+    joined = genlog.join(index, _event_key() == index["def_key"], "inner")
     return joined.select(*event_record(F.col("def_id"), F.col("def_name"), F.col("def_level")))
 
 
@@ -82,16 +92,14 @@ def default_definition_id(key: Column) -> Column:
     return F.md5(F.concat(F.lit("eventdef~"), key))
 
 
-def new_definitions(genlog: DataFrame, defs: DataFrame, id_fn=default_definition_id,
-                    broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def new_definitions(genlog: DataFrame, defs: DataFrame, id_fn=default_definition_id) -> DataFrame:
     """One new definition per event name no definition covers.
 
     Name and level come from the genlog row with the least `row` id (trimmed,
     as stored); the id from `id_fn(name_key)`; is_inner = is_use = "1",
     everything else "". Each name is added once, however many lines carry it.
     """
-    index = bounded_broadcast(definition_index(defs).select("def_key"), broadcast_max_rows)
-    unknown = genlog.join(index, never_null_key(name_key(F.col("eventname"))) == index["def_key"], "left_anti")
+    unknown = unknown_names(genlog, defs)
     pick = F.min_by(F.struct(jtrim(F.col("eventname")).alias("n"), jtrim(F.col("eventlevel")).alias("l")), F.col("row"))
     grouped = unknown.groupBy(name_key(F.col("eventname")).alias("name_key")).agg(pick.alias("p"))
     blank = F.lit("")
@@ -105,14 +113,13 @@ def new_definitions(genlog: DataFrame, defs: DataFrame, id_fn=default_definition
     return grouped.select(*[values[c].alias(c) for c in S.EVENT_DEF_COLUMNS])
 
 
-def events_for_new_definitions(genlog: DataFrame, new_defs: DataFrame,
-                               broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """The EVENT of each genlog whose name got a new definition: the
-    definition's id, and the genlog's own (untrimmed) name and level."""
-    keys = new_defs.select(name_key(F.col("event_rule_name")).alias("def_key"), F.col("event_rule_id").alias("def_id"))
-    keys = bounded_broadcast(keys, broadcast_max_rows)
-    joined = genlog.join(keys, never_null_key(name_key(F.col("eventname"))) == keys["def_key"], "inner")
-    return joined.select(*event_record(F.col("def_id"), F.col("eventname"), F.col("eventlevel")))
+def events_for_new_names(genlog: DataFrame, defs: DataFrame, id_fn=default_definition_id) -> DataFrame:
+    """The EVENT of each genlog whose name gets a new definition: the
+    definition's id, which is a function of the name, and the genlog's own
+    (untrimmed) name and level. One pass over the logs, no join with them.
+    A null name has no definition, so no event."""
+    named = unknown_names(genlog, defs).where(F.col("eventname").isNotNull())
+    return named.select(*event_record(id_fn(name_key(F.col("eventname"))), F.col("eventname"), F.col("eventlevel")))
 
 
 def append_definitions(defs: DataFrame, new_defs: DataFrame) -> DataFrame:

@@ -3,23 +3,32 @@
 Plan shape (system rules): the rule table is validated and packed to one row
 per device IP holding that device's rules as an array sorted by `rule_seq`.
 The packed table is joined to the logs on the device IP - broadcast when its
-row count is under a checked bound, else a shuffle join that AQE can split
+size in bytes is under a checked bound, else a shuffle join that AQE can split
 when one device is hot. Per log, an `aggregate` over the device's rules picks
-the first rule whose regex finds a match and stops testing after it. Captures
-are `regexp_extract` with the group number taken from the chosen rule. No
-Python runs per row; the logs are never grouped or collected.
+the first rule whose regex finds a match and stops testing after it; a text
+without the literal that a rule's regex starts with is passed over without
+running the regex. All captures come from one pass of the chosen regex: a
+`regexp_replace` whose template lists the rule's groups. No Python runs per
+row; the logs are never grouped or collected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions import (date_to_millis, is_blank, jtrim, named_group_index,
                          regex_group_count, regex_is_valid)
-from .joins import bounded_broadcast
+from .joins import MAX_BROADCAST_BYTES, checked_broadcast, config_bytes
 from .parse import derived_id, once
 
+# Bytes of user rules (as JSON text) that go into one array; more make several.
+MAX_RULE_CHUNK_BYTES = 8 << 20
+# Stands between captures while they are one text.
+_CAPTURE_SEP = "\u0001"
+# The literal a regex starts with (without a last character that a quantifier follows).
+_LITERAL_START = r"^([A-Za-z0-9_ =:,;/\"@<>%&!~`-]+)(?![?*{+])"
+
 # Rule constants carried into the genlog record.
 _CONSTANTS = ["reportnetype", "eventdefid", "eventlevel", "eventid"]
 _PORT_FIELDS = {"sourceport", "destport"}
@@ -61,10 +70,19 @@ def prepare_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     reason = (F.when(F.col("log_regex").isNull() | ~F.col("_valid"), F.lit("bad_regex"))
               .when(n_groups == 0, F.lit("no_group"))
               .when(bad, F.lit("bad_group")))
+    # The whole text around the first match, and the captures that replace it.
+    wrapped = F.concat(F.lit(r"^[\s\S]*?(?:"), regex, F.lit(r")[\s\S]*$"))
+    template = F.concat_ws(_CAPTURE_SEP, *[F.when(groups[f].isNull(), F.lit(""))
+                                           .otherwise(F.concat(F.lit("$"), groups[f].cast("string"))) for f in S.CAPTURE_FIELDS])
+    literal = F.when(F.instr(regex, "|") == 0, F.regexp_extract(regex, _LITERAL_START, 1)).otherwise(F.lit(""))
     cols = [
         F.col("rule_seq").cast("bigint").alias("rule_seq"),
         jtrim(F.col("log_rule_id")).alias("rule_id"),
         regex.alias("regex"),
+        # null (a comment or quote left open would swallow the end): captures one by one
+        F.when(regex_is_valid(wrapped), wrapped).alias("wrapped"),
+        template.alias("template"),
+        F.coalesce(literal, F.lit("")).alias("literal"),
         *[g.alias("g_" + f) for f, g in groups.items()],
         *[F.col(c).alias("c_" + c) for c in _CONSTANTS],
     ]
@@ -80,7 +98,7 @@ def rule_rejects(rules: DataFrame, named_groups: bool = False) -> DataFrame:
 
 
 def _rule_struct_fields() -> list[str]:
-    return ["rule_seq", "rule_id", "regex", *["g_" + f for f in S.CAPTURE_FIELDS],
+    return ["rule_seq", "rule_id", "regex", "wrapped", "template", "literal", *["g_" + f for f in S.CAPTURE_FIELDS],
             *["c_" + c for c in _CONSTANTS]]
 
 
@@ -95,23 +113,29 @@ def pack_by_device(rules: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(*_rule_struct_fields()))).alias("rules"))
 
 
-def pack_all(rules: DataFrame) -> DataFrame:
-    """User rules: every usable rule applies to every log, in one sorted array."""
+def pack_chunks(rules: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> list[DataFrame]:
+    """User rules: every usable rule applies to every log. One-row tables, each with a sorted
+    array of about chunk_bytes of rules at most, in rule order."""
     ok = prepare_rules(rules, named_groups=True).where(F.col("reject_reason").isNull())
-    return ok.groupBy().agg(F.sort_array(F.collect_list(F.struct(*_rule_struct_fields()))).alias("rules")) \
-        .withColumn("device_key", F.lit(0))
+    n = max(1, -(-config_bytes(ok) // chunk_bytes))
+    if n > 1:
+        ok = ok.withColumn("_chunk", F.ntile(n).over(Window.orderBy("rule_seq", "rule_id")))
+    else:
+        ok = ok.withColumn("_chunk", F.lit(1))
+    return [ok.where(F.col("_chunk") == i + 1)
+            .agg(F.sort_array(F.collect_list(F.struct(*_rule_struct_fields()))).alias("rules")) for i in range(n)]
 
 
-def _first_hit(packed: DataFrame, text: Column) -> Column:
+def _first_hit(packed: DataFrame, text: Column, rules: str = "rules") -> Column:
     """AGG4: the first rule (array order) whose regex finds a match; later rules are not tested."""
     rule_type = packed.schema["rules"].dataType.elementType
 
     def step(acc, r):
-        return F.when(acc.isNotNull(), acc).when(F.rlike(text, r["regex"]), r)
-    return F.aggregate(F.col("rules"), F.lit(None).cast(rule_type), step)
+        return F.when(acc.isNotNull(), acc).when(F.contains(text, r["literal"]) & F.rlike(text, r["regex"]), r)
+    return F.aggregate(F.col(rules), F.lit(None).cast(rule_type), step)
 
 
-def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_rows: int = 200_000) -> DataFrame:
+def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """J3 + J8: attach `hit` (the first matching system rule, or null) to each parsed line.
 
     Lines with six or fewer fields, no device IP in the payload or no rule
@@ -119,7 +143,7 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_rows: int =
     """
     packed = pack_by_device(rules)
     hit = F.when(F.col("n_fields") > 6, _first_hit(packed, F.col("msg")))
-    packed = bounded_broadcast(packed, broadcast_max_rows)
+    packed = checked_broadcast(packed, broadcast_max_bytes)
     # A line without a device IP can match nothing; give it a key no rule can
     # carry (rule keys are trimmed, so they never start with \u0001) and that
     # spreads such lines evenly should the join shuffle.
@@ -135,24 +159,36 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_rows: int =
     return joined.withColumn("match_status", status).drop("_dev", "device_key", "rules")
 
 
-def match_user(parsed: DataFrame, user_rules: DataFrame) -> DataFrame:
+def match_user(parsed: DataFrame, user_rules: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> DataFrame:
     """The first matching user rule, tested against the whole raw content
-    (field 6, untrimmed), with no device filter."""
-    packed = pack_all(user_rules)
-    hit = F.when(F.col("n_fields") > 6, _first_hit(packed, F.col("logcontent")))
-    # A single-row table: broadcast and joined on a constant key, so the logs stay in place.
-    joined = parsed.withColumn("_k", F.lit(0)).join(F.broadcast(packed), F.col("_k") == packed["device_key"], "left")
-    joined = once(joined, [F.col(c) for c in joined.columns], [hit.alias("hit")])
+    (field 6, untrimmed), with no device filter.
+
+    The rules reach the logs as scalar subqueries, one value per chunk of
+    rules: no join, and the logs stay in place."""
+    chunks = pack_chunks(user_rules, chunk_bytes)
+    names = [f"_rules{i}" for i in range(len(chunks))]
+    with_rules = parsed.select("*", *[c.scalar().alias(n) for c, n in zip(chunks, names)])
+    hits = F.coalesce(*[_first_hit(c, F.col("logcontent"), n) for c, n in zip(chunks, names)])
+    hit = F.when(F.col("n_fields") > 6, hits)
+    joined = once(with_rules, [F.col(c) for c in with_rules.columns], [hit.alias("hit")])
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))
               .otherwise(F.lit("no_rule")))
-    return joined.withColumn("match_status", status).drop("_k", "device_key", "rules")
+    return joined.withColumn("match_status", status).drop(*names)
+
+
+def _captures(text: Column) -> Column:
+    """All captures of the hit rule in one pass, in the order of CAPTURE_FIELDS (null: take them singly)."""
+    h = F.col("hit")
+    one_pass = F.split(F.regexp_replace(text, h["wrapped"], h["template"]), _CAPTURE_SEP)
+    return F.when(h["wrapped"].isNotNull() & ~F.contains(text, F.lit(_CAPTURE_SEP)), one_pass)
 
 
 def _capture(text: Column, field: str) -> Column:
     g = F.col("hit")["g_" + field]
-    raw = F.call_function("regexp_extract", text, F.col("hit")["regex"], g)
+    raw = (F.when(F.col("_captures").isNotNull(), F.get(F.col("_captures"), S.CAPTURE_FIELDS.index(field)))
+           .otherwise(F.call_function("regexp_extract", text, F.col("hit")["regex"], g)))
     kept = F.replace(raw, F.lit(":"), F.lit("")) if field in _PORT_FIELDS else raw
     # A blank group number, or a group that took no part or is empty, gives " ".
     return F.when(g.isNull() | raw.isNull() | (raw == ""), F.lit(" ")).otherwise(kept)
@@ -163,6 +199,8 @@ def to_genlog(matched: DataFrame, user_rules: bool = False, tz: str = "UTC") ->
 
     `firstrecvtime` is typed epoch milliseconds in both paths (system rules
     stored the text, user rules the number; both read back as milliseconds).
+    A line whose receive time cannot be read has no record, and so no event
+    either: it is one of the rejects.
     """
     h = F.col("hit")
     text = F.col("logcontent") if user_rules else F.col("msg")
@@ -183,5 +221,7 @@ def to_genlog(matched: DataFrame, user_rules: bool = False, tz: str = "UTC") ->
         "orglog": text,
         "logruleid": h["rule_id"],
     }
-    return once(matched.where(h.isNotNull()), [F.col("recvtime"), F.col("line_key")],
-                [cols[f].alias(f) for f in S.GENLOG_FIELDS])
+    hits = matched.where(h.isNotNull())
+    hits = once(hits, [F.col(c) for c in hits.columns], [_captures(text).alias("_captures")])
+    records = once(hits, [F.col("recvtime"), F.col("line_key")], [cols[f].alias(f) for f in S.GENLOG_FIELDS])
+    return records.where(F.col("firstrecvtime").isNotNull())

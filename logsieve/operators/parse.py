@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import count_sep, date_to_millis, is_blank, jpart, jsplit_char, jtrim, random_uuid
+from ..functions import count_sep, is_blank, jpart, jsplit_char, jtrim, random_uuid
 
 # --- fixed values: record delimiters and positions ---
 FIELD_SEP = "~"
@@ -16,6 +16,8 @@ PAYLOAD_DEVICE_IP = 29
 PAYLOAD_MESSAGE = 66
 # --- end of fixed values ---
 
+_TIME_START = r"^[\x00-\x20]*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} "
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the input over the cluster only when it arrives in fewer
@@ -33,9 +35,11 @@ def admit(df: DataFrame, value_col: str = "value", key_col: str | None = None,
           id_mode: str = "hash") -> DataFrame:
     """FLT1: put a record id in front of non-blank lines of at most six fields.
 
-    id_mode="hash" derives the id from `key_col` (for example a Kafka
-    topic/partition/offset) or from the line itself, so a replayed batch gets
-    the same ids; id_mode="random" uses a fresh UUID.
+    id_mode="hash" derives the id from `key_col`, the line's position in its
+    source (a Kafka topic/partition/offset, a file and row number), so that
+    equal lines get different ids and a replayed batch the same ones again.
+    Without a position the id comes from the line itself, and equal lines
+    share it; id_mode="random" uses a fresh UUID.
     """
     v = F.col(value_col)
     n_fields = count_sep(F.rtrim(jtrim(v), F.lit(FIELD_SEP)), FIELD_SEP) + 1
@@ -52,16 +56,22 @@ def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
 
     Adds: line, line_key, n_fields, recordid, recvtime, reportip, reportapp,
     logcontent, device_ip (payload part 29), msg (payload part 66); a part the
-    JVM split would not have is null.
+    JVM split would not have is null. line_key names the record: it comes from
+    the source position (`key_col`) and the line. `shifted` marks a line whose
+    content holds the separator, so that its fields are read one place off (it
+    got no id and the time stands first) or its content ends early.
     """
     d = admit(spread(df), value_col, key_col, id_mode)
     fields = jsplit_char(F.col("line"), FIELD_SEP)
     content = F.get(F.col("_f"), 6)
     # Only payload parts 29 and 66 are read, so the payload is never split
     # into an array: literal substring scans find the two parts.
+    key = F.concat(F.col(key_col).cast("string"), F.lit(FIELD_SEP), F.coalesce("line", F.lit(""))) if key_col else F.col("line")
+    looks_timed = lambda i: F.coalesce(F.get(F.col("_f"), i).rlike(_TIME_START), F.lit(False))
     parsed = [
-        F.md5(F.col("line")).alias("line_key"),
+        F.md5(key).alias("line_key"),
         F.size("_f").alias("n_fields"),
+        F.coalesce((F.size("_f") > 7) | ((F.size("_f") == 7) & looks_timed(0) & ~looks_timed(1)), F.lit(False)).alias("shifted"),
         F.get("_f", 0).alias("recordid"),
         F.get("_f", 1).alias("recvtime"),
         F.get("_f", 2).alias("reportip"),
@@ -85,11 +95,6 @@ def once(df: DataFrame, keep: list[Column], computed: list[Column]) -> DataFrame
     return df.select(*keep, F.inline(F.array(F.struct(*computed))))
 
 
-def matchable(df: DataFrame) -> Column:
-    """FLT2: only lines with more than six fields reach the rules."""
-    return F.col("n_fields") > 6
-
-
 def derived_id(tag: str, key: Column | str = "line_key") -> Column:
     """Stable per-record id of one output table (F10, hash mode)."""
     k = F.col(key) if isinstance(key, str) else key
@@ -111,12 +116,3 @@ def stored_ismatch(line: Column, matched: Column) -> Column:
     return (F.when(f7 == "", F.lit(1))
             .when(f7.rlike(r"^[+-]?[0-9]{1,10}$") & f7.try_cast("int").isNotNull(), f7.try_cast("int"))
             .otherwise(F.lit(0))).cast("int")
-
-
-def syslog_admitted(line: Column) -> Column:
-    """FLT3 for raw documents: the flagged line has at least 8 fields."""
-    return line.contains(FIELD_SEP) & (F.size(F.split(line, FIELD_SEP)) >= 7)
-
-
-def recv_millis(tz: str = "UTC") -> Column:
-    return date_to_millis(F.col("recvtime"), tz)

@@ -27,6 +27,10 @@ def raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.raw_lines(table(spark, sf_dir, "events"))
 
 
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ps.parse(raw_from_events(spark, sf_dir), key_col="src_key")
+
+
 def system_event_defs(spark: SparkSession) -> DataFrame:
     return asm.event_defs_system(fx.event_defs_df(spark), fx.event_fields_df(spark))
 
@@ -34,16 +38,16 @@ def system_event_defs(spark: SparkSession) -> DataFrame:
 def _analysis(spark: SparkSession, sf_dir: str, user: bool = False):
     users = fx.user_rules_df(spark) if user else None
     return analyze(raw_from_events(spark, sf_dir), fx.log_rules_df(spark), system_event_defs(spark),
-                   user_rules=users)
+                   key_col="src_key", user_rules=users)
 
 
 # --- log path -----------------------------------------------------------------
 
 def q_raw_parse(spark, sf_dir):
     """FLT1, FLT2, PRJ1, PRJ2: raw lines -> fields and payload parts."""
-    p = ps.parse(raw_from_events(spark, sf_dir))
+    p = _parsed(spark, sf_dir)
     return p.select("line", "n_fields", "recordid", "recvtime", "reportip", "reportapp",
-                    "device_ip", "msg")
+                    "device_ip", "msg", "shifted")
 
 
 def q_genlog_match(spark, sf_dir):
@@ -86,8 +90,7 @@ def q_new_event_rules(spark, sf_dir):
 def q_new_rule_events(spark, sf_dir):
     """The events of lines whose name got a new definition."""
     g = _analysis(spark, sf_dir).genlog
-    new = ev.new_definitions(g, system_event_defs(spark))
-    return docs.event_docs(ev.events_for_new_definitions(g, new))
+    return docs.event_docs(ev.events_for_new_names(g, system_event_defs(spark)))
 
 
 def q_match_counts(spark, sf_dir):
@@ -97,19 +100,36 @@ def q_match_counts(spark, sf_dir):
 
 
 def q_rule_counts(spark, sf_dir):
-    """AGG2, AGG3: genlog rows per rule, and event rows per definition."""
+    """AGG1: genlog rows per rule, and event rows per definition, from one pass over the logs:
+    counted per rule and event name first, then once more per rule and per definition."""
+    a = _analysis(spark, sf_dir)
+    counted = a.genlog.groupBy("logruleid", ev.name_key(F.col("eventname")).alias("name_key")).agg(F.count(F.lit(1)).alias("n"))
+    index = ev.definition_index(a.event_defs).select("def_key", "def_id")
+    named = counted.join(index, F.col("name_key") == F.col("def_key"), "left")
+    both = F.array(F.struct(F.lit("log_rule").alias("kind"), F.col("logruleid").alias("rule")),
+                   F.struct(F.lit("event_def").alias("kind"), F.col("def_id").alias("rule")))
+    return (named.select("n", F.inline(both)).where(F.col("rule").isNotNull())
+            .groupBy("rule", "kind").agg(F.sum("n").alias("n")))
+
+
+def q_log_rejects(spark, sf_dir):
+    """SURVEY 2.9: the lines that have no raw-log document, with the reason and the shifted mark."""
+    return _analysis(spark, sf_dir).rejects()
+
+
+def q_record_ids(spark, sf_dir):
+    """records and distinct ids of each table, with equal lines in the input."""
     a = _analysis(spark, sf_dir)
-    per_rule = a.genlog.groupBy(F.col("logruleid").alias("rule")).agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("kind", F.lit("log_rule"))
-    per_def = a.events.groupBy(F.col("event_rule_id").alias("rule")).agg(F.count(F.lit(1)).alias("n")) \
-        .withColumn("kind", F.lit("event_def"))
-    return per_rule.unionByName(per_def)
+    ids = (a.syslog_docs().select(F.lit("syslog").alias("kind"), "row")
+           .unionByName(a.genlog_docs().select(F.lit("genlog").alias("kind"), "row"))
+           .unionByName(a.rejects().select(F.lit("rejects").alias("kind"), "row")))
+    return ids.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row").alias("n_ids"))
 
 
 def q_rule_rejects(spark, sf_dir):
     """Rule validation: rules refused on load and why (with the log volume they would have seen)."""
     rej = mt.rule_rejects(fx.log_rules_df(spark))
-    p = ps.parse(raw_from_events(spark, sf_dir))
+    p = _parsed(spark, sf_dir)
     dev = mt.prepare_rules(fx.log_rules_df(spark)).select("rule_id", "device_key")
     lines = p.groupBy(F.col("device_ip")).agg(F.count(F.lit(1)).alias("lines"))
     # Null-safe equality: the rule keys are never null, and a plain equality
@@ -132,6 +152,8 @@ QUERIES: dict[str, Query] = {
     "match_counts": q_match_counts,
     "rule_counts": q_rule_counts,
     "rule_rejects": q_rule_rejects,
+    "log_rejects": q_log_rejects,
+    "record_ids": q_record_ids,
 }
 
 
@@ -182,11 +204,8 @@ def q_event_rule_fields(spark, sf_dir):
 
 def q_rule_snapshot_roundtrip(spark, sf_dir):
     """SNK1, SRC6, PRJ9: assembled rules published as a snapshot and read back."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     from ..sources.rules import SNAPSHOT_LOG_RULES, SnapshotStore
-    store = SnapshotStore(spark, f"{ensure_checkpoint_dir(spark)}/snapshots-{uuid.uuid4().hex}")
+    store = SnapshotStore(spark, _scratch(spark, "snapshots"))
     store.write(q_log_rule_assembly(spark, sf_dir), SNAPSHOT_LOG_RULES)
     return store.read(SNAPSHOT_LOG_RULES).select(*S.LOG_RULE_COLUMNS)
 
@@ -208,35 +227,46 @@ def q_moniflow_scan(spark, sf_dir):
 CLUSTER_TIME = "2024-01-01 00:00:00"
 
 
-def _points(spark, sf_dir, dims):
+def _points(spark, sf_dir):
+    """Points, and their centres as a table of their own: worked out once, then read."""
     from ..sinks.clusters import centres_of
-    pts = fx.points_from_embeddings(table(spark, sf_dir, "embeddings"), dims)
-    return pts, centres_of(pts, dims)
+    pts = fx.points_from_embeddings(table(spark, sf_dir, "embeddings"))
+    path = _scratch(spark, "centres")
+    centres_of(pts).write.parquet(path)
+    return pts, spark.read.parquet(path)
+
+
+def _appended(spark, df: DataFrame, tag: str) -> DataFrame:
+    """SNK6-SNK9: rows appended to their result table, and the table read back."""
+    from ..sinks.clusters import write_rows
+    path = _scratch(spark, tag)
+    write_rows(df, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def q_cluster_points(spark, sf_dir):
     """SNK6: one row per clustered point with its distance to the centre."""
     from ..sinks.clusters import point_rows
-    pts, cen = _points(spark, sf_dir, 7)
-    return point_rows(pts, cen, "CL-1", CLUSTER_TIME, "level one")
+    pts, cen = _points(spark, sf_dir)
+    return _appended(spark, point_rows(pts, cen, "CL-1", CLUSTER_TIME, "level one"), "cluster-points")
 
 
 def q_cluster_centers(spark, sf_dir):
     """SNK7: level-one centres."""
     from ..sinks.clusters import centre_rows
-    return centre_rows(_points(spark, sf_dir, 7)[1], "CL-1", CLUSTER_TIME, 1)
+    return _appended(spark, centre_rows(_points(spark, sf_dir)[1], "CL-1", CLUSTER_TIME, 1), "centres-1")
 
 
 def q_cluster_centers_sub(spark, sf_dir):
     """SNK8: level-two centres with parent run and parent centre."""
     from ..sinks.clusters import centre_rows_level2
-    return centre_rows_level2(_points(spark, sf_dir, 8)[1], "CL-1", 0, "CL-2", CLUSTER_TIME, 2)
+    return _appended(spark, centre_rows_level2(_points(spark, sf_dir)[1], "CL-1", 0, "CL-2", CLUSTER_TIME, 2), "centres-2")
 
 
 def q_cluster_centers_batch(spark, sf_dir):
     """SNK9: ten text columns cast to typed centre rows."""
     from ..sinks.clusters import centre_rows_batch, coords_text
-    cen = _points(spark, sf_dir, 8)[1]
+    cen = _points(spark, sf_dir)[1]
     text = cen.select(
         F.concat(F.lit("B-"), F.col("label").cast("string")).alias("row"),
         F.concat(F.lit("centre-"), F.col("label").cast("string")).alias("name"),
@@ -245,7 +275,7 @@ def q_cluster_centers_batch(spark, sf_dir):
         F.lit("CL-2").alias("clno"), F.lit("2").alias("type"), F.lit(CLUSTER_TIME).alias("cltime"),
         F.lit(S.CENTER_DEMO_LEVEL2).alias("demo"), F.lit("0").alias("center_index_p"),
         F.lit("CL-1").alias("clno_p"))
-    return centre_rows_batch(text)
+    return _appended(spark, centre_rows_batch(text), "centres-batch")
 
 
 # --- addresses -----------------------------------------------------------------
@@ -253,14 +283,14 @@ def q_cluster_centers_batch(spark, sf_dir):
 def q_ip_range_join(spark, sf_dir):
     """Each log line joined to every named IP section holding its reporting IP."""
     from ..operators.iprange import range_join
-    p = ps.parse(raw_from_events(spark, sf_dir)).select("line_key", "reportip")
+    p = _parsed(spark, sf_dir).select("line_key", "reportip")
     return range_join(p, F.col("reportip"), fx.ip_sections_df(spark)).select("line_key", "reportip", "section_name")
 
 
 def q_ip_to_long(spark, sf_dir):
     """addresses as numbers, and the inclusive section test."""
     from ..functions import ip_in_section, ip_to_long
-    p = ps.parse(raw_from_events(spark, sf_dir))
+    p = _parsed(spark, sf_dir)
     return p.select("line_key", "reportip", ip_to_long(F.col("reportip")).alias("reportip_num"),
                     "device_ip", ip_to_long(F.col("device_ip")).alias("device_num"),
                     ip_in_section(F.col("reportip"), F.lit("10.0.0.0-10.0.0.99")).alias("in_office"))
@@ -269,7 +299,7 @@ def q_ip_to_long(spark, sf_dir):
 def q_device_semi(spark, sf_dir):
     """Lines whose payload device has a usable rule."""
     from ..operators.iprange import with_device_rule
-    p = ps.parse(raw_from_events(spark, sf_dir))
+    p = _parsed(spark, sf_dir)
     devices = mt.prepare_rules(fx.log_rules_df(spark)).where(F.col("reject_reason").isNull()) \
         .select(F.col("device_key").alias("device_ip"))
     return with_device_rule(p, "device_ip", devices).select("line_key", "device_ip")
@@ -303,6 +333,17 @@ def q_json_map(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", m["k"].alias("k"), F.size(m).alias("n_keys"))
 
 
+def q_json_nested_map(spark, sf_dir):
+    """F6, second level: a nested object's own map."""
+    from ..functions import json_to_nested_map
+    text = F.concat(F.lit('{"type": "'), F.col("event_type"), F.lit('", "user": {"id": '), F.col("user_id").cast("string"),
+                    F.lit(', "name": "u'), F.col("user_id").cast("string"), F.lit('"}}'))
+    m = json_to_nested_map(text)
+    return table(spark, sf_dir, "events").select(
+        "event_id", m["type"]["text"].alias("type"), m["type"]["fields"].isNull().alias("type_is_plain"),
+        m["user"]["fields"]["id"].alias("user_id"), m["user"]["fields"]["name"].alias("user_name"))
+
+
 def q_json_lower_keys(spark, sf_dir):
     """keys lowered; keys equal but for case accumulate into an array."""
     from ..functions import json_lower_keys
@@ -327,11 +368,8 @@ def q_unicode_codec(spark, sf_dir):
 def q_index_read(spark, sf_dir):
     """SNK5, SRC9, PRJ8: documents written with upper-case keys, read back
     through a pushed-down predicate and lowered."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     from ..sources.index import read_index
-    target = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    target = _scratch(spark, "index")
     docs_df = _analysis(spark, sf_dir).syslog_docs()
     upper = docs_df.toDF(*[c.upper() for c in docs_df.columns])
     docs.write_documents(upper, target, fmt="parquet", mode="overwrite")
@@ -356,6 +394,7 @@ QUERIES.update({
     "date_functions": q_date_functions,
     "json_map": q_json_map,
     "json_lower_keys": q_json_lower_keys,
+    "json_nested_map": q_json_nested_map,
     "unicode_codec": q_unicode_codec,
     "index_read": q_index_read,
 })
@@ -372,7 +411,7 @@ def _scratch(spark, tag: str) -> str:
 
 def _stream_job(spark, base: str, loader, refresh_seconds: float = 300, forward: bool = False):
     from ..streaming import LogJob, Outputs, RuleCache
-    outs = Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event",
+    outs = Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event", f"{base}/rejects",
                    forward=f"{base}/forward" if forward else None)
     return LogJob(RuleCache(loader, refresh_seconds), outs)
 
@@ -381,26 +420,27 @@ def _static_rules(spark):
     return lambda: {"logRule": fx.log_rules_df(spark), "eventDefRuleBySystem": system_event_defs(spark)}
 
 
-def _run_available(spark, base: str, job, n_files: int = 3):
+def _run_available(spark, base: str, job):
     from ..streaming import read_log_stream
-    stream = read_log_stream(spark, "parquet", f"{base}/in", max_per_trigger=1)
+    stream = read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key")
     q = job.start(stream, f"{base}/checkpoint", {"availableNow": True})
     q.awaitTermination()
     return q
 
 
 def q_stream_normalise(spark, sf_dir):
-    """SRC1, STR1, STR2, STR6: the log job over a file stream (three micro-batches);
+    """SRC1, STR1, STR2, STR6: the log job over a file stream (all files that are there);
     the stored genlog documents equal the batch result."""
     base = _scratch(spark, "stream")
-    raw_from_events(spark, sf_dir).repartition(3).write.parquet(f"{base}/in")
+    raw_from_events(spark, sf_dir).write.parquet(f"{base}/in")
     _run_available(spark, base, _stream_job(spark, base, _static_rules(spark)))
     return spark.read.parquet(f"{base}/genlog").select(*S.GENLOG_DOC_COLUMNS)
 
 
 def q_stream_rule_refresh(spark, sf_dir):
     """STR4: rules change between micro-batches of one running query; lines of
-    even events see rule set v1 (no rule LR-2), lines of odd events v2."""
+    even events see rule set v1 (no rule LR-2), lines of odd events v2. An empty
+    rule set published in between is not taken over."""
     from ..sources.rules import SNAPSHOT_EVENT_DEFS_SYSTEM, SNAPSHOT_LOG_RULES, SnapshotStore
     from ..streaming import read_log_stream
     base = _scratch(spark, "refresh")
@@ -409,10 +449,13 @@ def q_stream_rule_refresh(spark, sf_dir):
     store.write(system_event_defs(spark), SNAPSHOT_EVENT_DEFS_SYSTEM)
     job = _stream_job(spark, base, store.load_bundle, refresh_seconds=0)
     events = table(spark, sf_dir, "events")
-    fx.raw_lines(events.where(F.col("event_id") % 2 == 0)).write.mode("append").parquet(f"{base}/in")
-    q = job.start(read_log_stream(spark, "parquet", f"{base}/in"), f"{base}/checkpoint",
+    fx.raw_lines(events.where(F.col("event_id") % 4 == 0)).write.mode("append").parquet(f"{base}/in")
+    q = job.start(read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key"), f"{base}/checkpoint",
                   {"processingTime": "1 second"})
     try:
+        q.processAllAvailable()
+        store.write(fx.log_rules_df(spark).limit(0), SNAPSHOT_LOG_RULES)
+        fx.raw_lines(events.where(F.col("event_id") % 4 == 2)).write.mode("append").parquet(f"{base}/in")
         q.processAllAvailable()
         store.write(fx.log_rules_df(spark), SNAPSHOT_LOG_RULES)
         fx.raw_lines(events.where(F.col("event_id") % 2 == 1)).write.mode("append").parquet(f"{base}/in")
@@ -426,7 +469,7 @@ def q_kafka_forward(spark, sf_dir):
     """SNK10: genlog records forwarded as `~`-joined lines (to files here; to
     Kafka when its connector is on the classpath)."""
     base = _scratch(spark, "forward")
-    raw_from_events(spark, sf_dir).repartition(3).write.parquet(f"{base}/in")
+    raw_from_events(spark, sf_dir).write.parquet(f"{base}/in")
     _run_available(spark, base, _stream_job(spark, base, _static_rules(spark), forward=True))
     return spark.read.text(f"{base}/forward").select("value")
 
@@ -446,3 +489,68 @@ def q_event_defs_appended(spark, sf_dir):
 
 
 QUERIES["event_defs_appended"] = q_event_defs_appended
+
+
+def q_sink_counts(spark, sf_dir):
+    """AGG3: rows that each sink of the log job took, as observed while they were written."""
+    base = _scratch(spark, "counts")
+    job = _stream_job(spark, base, _static_rules(spark))
+    job.process(raw_from_events(spark, sf_dir), 0)
+    rows = [(k, int(v)) for k, v in job.metrics[0].items() if k != "batch_id"]
+    return fx.literal_frame(spark, rows, "sink string, n bigint")
+
+
+def _base_tables(spark, sf_dir):
+    """The rule base tables under the names that a rule source reads."""
+    from ..sources.rules import TableSource
+    root = _scratch(spark, "base")
+    regexes, libs, ne, ips = _rule_base(spark, sf_dir)
+    defs, fields = _event_base(spark, sf_dir)
+    for name, df in (("t_siem_log_regex", regexes), ("t_siem_log_regex_lib", libs), ("t_siem_moni_ne", ne),
+                     ("t_moni_device_ip", ips), ("t_siem_event_rule_def", defs), ("t_siem_event_rule_field", fields)):
+        df.write.parquet(f"{root}/{name}")
+    return TableSource("parquet", path_template=root + "/{name}")
+
+
+def q_rule_sync(spark, sf_dir):
+    """STR5: the sync stream rebuilds the snapshots from the base tables at its first tick; the
+    log-rule snapshot as a reader then finds it."""
+    import threading
+
+    from ..sources.rules import SNAPSHOT_LOG_RULES, SnapshotStore
+    from ..streaming.rulesync import start_rule_sync
+    store = SnapshotStore(spark, _scratch(spark, "sync"))
+    done = threading.Event()
+    q = start_rule_sync(spark, _base_tables(spark, sf_dir), store, _scratch(spark, "ticks"), interval_seconds=3600,
+                        on_sync=lambda _: done.set())
+    try:
+        while not done.wait(1):
+            if q.exception():
+                raise q.exception()
+    finally:
+        q.stop()
+    return store.read(SNAPSHOT_LOG_RULES, required=True).select(*S.LOG_RULE_COLUMNS)
+
+
+def q_rule_set_counts(spark, sf_dir):
+    """AGG2: rows of each table of the rule bundle, after a sync from the base tables."""
+    from ..sources.rules import SnapshotStore, rule_set_counts, sync_rules
+    store = SnapshotStore(spark, _scratch(spark, "bundle"))
+    sync_rules(spark, _base_tables(spark, sf_dir), store)
+    return rule_set_counts(store.load_bundle())
+
+
+def q_section_rejects(spark, sf_dir):
+    """IP sections that are no ranges of addresses, and the lines they would have been tested on."""
+    from ..operators.iprange import section_rejects
+    lines = _parsed(spark, sf_dir).groupBy().agg(F.count("reportip").alias("lines"))
+    bad = section_rejects(fx.ip_sections_df(spark)).select("section_name", "reject_reason")
+    return bad.select("*", lines.scalar().alias("lines"))
+
+
+QUERIES.update({
+    "sink_counts": q_sink_counts,
+    "rule_sync": q_rule_sync,
+    "rule_set_counts": q_rule_set_counts,
+    "section_rejects": q_section_rejects,
+})

@@ -2,7 +2,7 @@
 
 The rule tables are literal configuration; the oracle states the matching
 the rules define as one CASE per rule with literal patterns (DuckDB takes a
-capture-group number only as a constant). Rules 3-5 of the fixture are
+capture-group number only as a constant). Rules 3-7 of the fixture are
 refused on load (no group, bad pattern, group number too large), so only
 rules 0-2 appear here.
 """
@@ -22,30 +22,34 @@ def _q(s: str) -> str:
 
 RAW_CTE = """
 raw AS (
-  SELECT event_id, CASE WHEN event_id % 2 = 0 THEN body
+  SELECT event_id, CASE WHEN event_id % 97 = 5 THEN NULL
+              WHEN event_id % 71 = 13 THEN '2024-01-01 00:00:00~10.0.0.1~-~-~SYSLOG~heartbeat'
+              WHEN event_id % 2 = 0 THEN body
               ELSE md5(CAST(event_id AS VARCHAR)) || '~' || body END AS value
   FROM (
     SELECT event_id, concat_ws('~',
-        strftime(ts, '%Y-%m-%d %H:%M:%S'),
+        CASE WHEN event_id % 89 = 7 THEN 'not a time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END,
         '10.0.' || CAST(user_id // 256 AS VARCHAR) || '.' || CAST(user_id % 256 AS VARCHAR),
         '-', '-',
         CASE WHEN event_type = 'view' THEN 'NE_FLOW' ELSE 'SYSLOG' END,
-        CASE WHEN event_id % 50 = 0 THEN repeat('x|!', 19) || 'x'
+        (CASE WHEN event_id % 50 = 0 THEN repeat('x|!', 19) || 'x'
              WHEN event_id % 50 = 1 THEN repeat('x|!', 29) || '192.168.0.' || CAST(user_id % 8 AS VARCHAR)
                                          || '|!' || repeat('x|!', 9) || 'x'
              ELSE repeat('x|!', 29) || '192.168.0.' || CAST(user_id % 8 AS VARCHAR) || '|!'
                   || repeat('x|!', 36) || 'user=' || CAST(user_id AS VARCHAR) || ' type=' || event_type
-                  || ' value=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END) AS body
+                  || ' value=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END) || CASE WHEN event_id % 83 = 11 THEN '~tail' ELSE '' END) AS body
     FROM events) b
 ),
 lines AS (
   SELECT event_id, value, CASE WHEN value IS NOT NULL AND trim(value) <> ''
                       AND len(string_split(regexp_replace(trim(value), '~+$', ''), '~')) <= 6
-                     THEN md5(value) || '~' || value ELSE value END AS line
+                     THEN md5(CAST(event_id AS VARCHAR)) || '~' || value ELSE value END AS line
   FROM raw
 ),
 parsed AS (
-  SELECT event_id, value, line, md5(line) AS line_key, len(f) AS n_fields,
+  SELECT event_id, value, line, md5(CAST(event_id AS VARCHAR) || '~' || coalesce(line, '')) AS line_key, len(f) AS n_fields,
+         coalesce(len(f) > 7 OR (len(f) = 7 AND regexp_matches(f[1], '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} ')
+                  AND NOT regexp_matches(f[2], '^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} ')), false) AS shifted,
          f[1] AS recordid, f[2] AS recvtime, f[3] AS reportip, f[6] AS reportapp, f[7] AS logcontent,
          CASE WHEN len(f) > 6 THEN len(p) END AS payload_size,
          CASE WHEN len(f) > 6 THEN trim(p[30]) END AS device_ip,
@@ -122,7 +126,8 @@ def _genlog_cte(user: bool = False) -> str:
     cols["eventid"] = _per_rule(lambda r: _q(r.get("eventid", "")), user)
     cols["logruleid"] = _per_rule(lambda r: _q(r["log_rule_id"].strip()), user)
     select = ",\n  ".join(f"{cols[f]} AS {f}" for f in S.GENLOG_FIELDS)
-    return f"genlog AS (SELECT\n  {select},\n  line_key, recvtime\nFROM matched WHERE seq IS NOT NULL)"
+    return (f"genlog AS (SELECT * FROM (SELECT\n  {select},\n  line_key, recvtime\nFROM matched WHERE seq IS NOT NULL) g "
+            "WHERE firstrecvtime IS NOT NULL)")
 
 
 def _with(*ctes: str) -> str:
@@ -158,7 +163,7 @@ def _event_select(id_expr: str, name_expr: str, level_expr: str, src: str) -> st
   md5('event~' || line_key) AS event_rule_result_id,
   {id_expr} AS event_rule_id, g.row AS logid, {name_expr} AS event_rule_name,
   {level_expr} AS event_rule_level, reportip AS reportneip, sourceip, sourceport, destip, destport,
-  firstrecvtime AS opentime, actionresult AS actionopt,
+  CAST(firstrecvtime AS VARCHAR) AS opentime, actionresult AS actionopt,
   CASE WHEN reportapp = 'NE_FLOW' THEN '0' ELSE '1' END AS is_inner, reportapp AS proto
 FROM {src}"""
 
@@ -187,7 +192,7 @@ def build() -> dict[str, str]:
     genlog_cols = ", ".join(S.GENLOG_FIELDS)
     sql: dict[str, str] = {}
     sql["raw_parse"] = _with(RAW_CTE) + (
-        "SELECT line, n_fields, recordid, recvtime, reportip, reportapp, device_ip, msg FROM parsed")
+        "SELECT line, n_fields, recordid, recvtime, reportip, reportapp, device_ip, msg, shifted FROM parsed")
     sql["genlog_match"] = _with(*sys) + f"SELECT {genlog_cols} FROM genlog"
     sql["user_rule_match"] = _with(*usr) + f"SELECT {genlog_cols} FROM genlog"
     flag = "CASE WHEN seq IS NOT NULL THEN '0' ELSE '1' END"
@@ -227,6 +232,23 @@ WHERE line IS NOT NULL AND len(ff) >= 8 AND ms IS NOT NULL"""
     sql["new_rule_events"] = _with(*sys, _defs_cte(), new_defs) + _event_select(
         "n.event_rule_id", "g.eventname", "g.eventlevel",
         "genlog g JOIN newdefs n ON lower(trim(g.eventname)) = lower(trim(n.event_rule_name))")
+    split = f"(SELECT *, string_split(line || '~' || {flag}, '~') AS ff FROM matched) a"
+    rejects = f"""rejects AS (
+  SELECT md5('reject~' || line_key) AS row, value, reason, shifted FROM (
+    SELECT *, CASE WHEN value IS NULL THEN 'null_value' WHEN len(ff) < 8 THEN 'too_few_fields'
+      WHEN try_strptime(left(trim(ff[2]), 19), '%Y-%m-%d %H:%M:%S') IS NULL THEN 'bad_time' END AS reason FROM {split}) b
+  WHERE reason IS NOT NULL)"""
+    sql["log_rejects"] = _with(RAW_CTE, _matched_cte(), rejects) + "SELECT * FROM rejects"
+    # each input line is in exactly one of syslog and rejects, and no two records share an id
+    sql["record_ids"] = _with(*sys, rejects) + """
+SELECT 'genlog' AS kind, count(*) AS n, count(*) AS n_ids FROM genlog
+UNION ALL SELECT 'rejects', count(*), count(*) FROM rejects
+UNION ALL SELECT 'syslog', (SELECT count(*) FROM events) - count(*), (SELECT count(*) FROM events) - count(*) FROM rejects"""
+    sql["sink_counts"] = _with(*sys, _defs_cte(), rejects) + """
+SELECT 'genlog' AS sink, count(*) AS n FROM genlog
+UNION ALL SELECT 'rejects', count(*) FROM rejects
+UNION ALL SELECT 'syslog', (SELECT count(*) FROM events) - count(*) FROM rejects
+UNION ALL SELECT 'event', count(*) FROM genlog g JOIN defidx ON lower(trim(g.eventname)) = defidx.def_key"""
     sql["match_counts"] = _with(RAW_CTE, _matched_cte(), _status_cte()) + \
         "SELECT match_status, count(*) AS n FROM status GROUP BY match_status"
     sql["rule_counts"] = _with(*sys, _defs_cte()) + """
@@ -234,7 +256,7 @@ SELECT logruleid AS rule, count(*) AS n, 'log_rule' AS kind FROM genlog GROUP BY
 UNION ALL
 SELECT def_id AS rule, count(*) AS n, 'event_def' AS kind
 FROM genlog g JOIN defidx ON lower(trim(g.eventname)) = defidx.def_key GROUP BY def_id"""
-    rejected = {3: "no_group", 4: "bad_regex", 5: "bad_group"}
+    rejected = {3: "no_group", 4: "bad_regex", 5: "bad_group", 6: "bad_group", 7: "bad_group"}
     rej_rows = ", ".join(f"({_q(r['log_rule_id'])}, {_q(rejected[r['rule_seq']])}, {_q(r['device_ip'])})"
                          for r in fx.LOG_RULES if r["rule_seq"] in rejected)
     sql["rule_rejects"] = _with(RAW_CTE, f"rej(rule_id, reject_reason, dev) AS (VALUES {rej_rows})") + """
@@ -342,14 +364,15 @@ eflds AS (SELECT 'F' || CAST(o_orderkey AS VARCHAR) AS event_rule_field_id,
           FROM orders)"""
 
 
-def _points_cte(dims: int) -> str:
-    means = ", ".join(f"round(avg(coords[{i}]), 6)" for i in range(1, dims + 1))
-    return f"""
+_POINTS_CTE = """
 pts AS (SELECT CAST(label AS INTEGER) AS label,
                '10.9.' || CAST(vec_id // 256 AS VARCHAR) || '.' || CAST(vec_id % 256 AS VARCHAR) AS ip,
-               list_transform(embedding[1:{dims}], lambda x: CAST(x AS DOUBLE)) AS coords
+               list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS coords
         FROM embeddings),
-cen AS (SELECT label, [{means}] AS centre FROM pts GROUP BY label)"""
+cen AS (SELECT label, list(m ORDER BY i) AS centre
+        FROM (SELECT label, i, round(avg(x), 6) AS m
+              FROM (SELECT label, unnest(coords) AS x, unnest(range(len(coords))) AS i FROM pts) f GROUP BY label, i) a
+        GROUP BY label)"""
 
 
 def _coords_text(lst: str) -> str:
@@ -395,22 +418,22 @@ SELECT * FROM (
 WHERE srcip IS NOT NULL AND dstip IS NOT NULL AND appproto IS NOT NULL AND method IS NOT NULL"""
     dist = ("round(sqrt(list_sum(list_transform(range(1, len(coords) + 1), "
             "lambda i: (coords[i] - centre[i]) * (coords[i] - centre[i])))), 6)")
-    sql["cluster_points"] = _with(_points_cte(7)) + f"""
+    sql["cluster_points"] = _with(_POINTS_CTE) + f"""
 SELECT md5('cluster~CL-1~' || ip || '~' || CAST(label AS VARCHAR)) AS row, 'CL-1' AS clno, ip AS name,
        CAST(label AS VARCHAR) AS center_index, {dist} AS distance, {_coords_text('coords')} AS center_info,
        {CLUSTER_TIME_SQL} AS cltime, 'level one' AS demo
 FROM pts JOIN cen USING (label)"""
-    sql["cluster_centers"] = _with(_points_cte(7)) + f"""
+    sql["cluster_centers"] = _with(_POINTS_CTE) + f"""
 SELECT md5('centre~CL-1~' || CAST(label AS VARCHAR)) AS row, CAST(label AS VARCHAR) AS center_index,
        {_coords_text('centre')} AS center_info, 'CL-1' AS clno, 1 AS type, {CLUSTER_TIME_SQL} AS cltime,
        {_q(S.CENTER_DEMO_LEVEL1)} AS demo
 FROM cen"""
-    sql["cluster_centers_sub"] = _with(_points_cte(8)) + f"""
+    sql["cluster_centers_sub"] = _with(_POINTS_CTE) + f"""
 SELECT md5('centre2~CL-2~' || CAST(label AS VARCHAR)) AS row, CAST(label AS VARCHAR) AS center_index,
        '0' AS center_index_p, {_coords_text('centre')} AS cluster_info, 'CL-2' AS clno, 'CL-1' AS clno_p,
        2 AS type, {CLUSTER_TIME_SQL} AS cltime, {_q(S.CENTER_DEMO_LEVEL2)} AS demo
 FROM cen"""
-    sql["cluster_centers_batch"] = _with(_points_cte(8)) + f"""
+    sql["cluster_centers_batch"] = _with(_POINTS_CTE) + f"""
 SELECT 'B-' || CAST(label AS VARCHAR) AS row, 'centre-' || CAST(label AS VARCHAR) AS name,
        CAST(label AS VARCHAR) AS center_index, {_coords_text('centre')} AS center_info, 'CL-2' AS clno,
        2 AS type, {CLUSTER_TIME_SQL} AS cltime, {_q(S.CENTER_DEMO_LEVEL2)} AS demo,
@@ -421,7 +444,7 @@ FROM cen"""
 SELECT p.line_key, p.reportip, r.section_name
 FROM parsed p JOIN (SELECT section_name, {_ipn("split_part(trim(ip_section), '-', 1)")} AS lo,
                            {_ipn("substr(trim(ip_section), strpos(trim(ip_section), '-') + 1)")} AS hi FROM sec) r
-  ON {_ipn('p.reportip')} BETWEEN r.lo AND r.hi"""
+  ON r.lo BETWEEN 0 AND 4294967295 AND r.hi BETWEEN 0 AND 4294967295 AND {_ipn('p.reportip')} BETWEEN r.lo AND r.hi"""
     sql["ip_to_long"] = _with(RAW_CTE) + f"""
 SELECT line_key, reportip, {_ipn('reportip')} AS reportip_num, device_ip, {_ipn('device_ip')} AS device_num,
        ({_ipn('reportip')} >= {_ipn("'10.0.0.0'")} AND {_ipn('reportip')} <= {_ipn("'10.0.0.99'")}) AS in_office
@@ -433,13 +456,25 @@ FROM parsed"""
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS recv, epoch_ms({sec_ts}) AS ms,
        CAST(epoch({sec_ts}) AS BIGINT) AS sec, strftime({sec_ts}, '%Y-%m-%d %H:%M:%S') AS back,
        strftime({sec_ts}, '%Y-%m-%d%H:%M:%S') AS compact, epoch_ms({sec_ts}) AS ms_tail,
-       CAST(NULL AS BIGINT) AS ms_bad
+       epoch_ms(make_timestamp(2025, 1, event_id % 9 + 1, 0, 0, 0.0)) AS ms_bad
 FROM events"""
     sql["json_map"] = ("SELECT event_id, json_extract_string(props, '$.k') AS k, "
                        "CAST(len(json_keys(props)) AS INTEGER) AS n_keys FROM events")
-    sql["json_lower_keys"] = ("SELECT event_id, '[\"' || CAST(event_id % 3 AS VARCHAR) || '\",\"' || "
-                              "json_extract_string(props, '$.k') || '\"]' AS k, event_type AS type, "
+    sql["json_lower_keys"] = ("SELECT event_id, '[' || CAST(event_id % 3 AS VARCHAR) || ',' || "
+                              "json_extract_string(props, '$.k') || ']' AS k, event_type AS type, "
                               "2 AS n_keys FROM events")
+    sql["json_nested_map"] = ("SELECT event_id, event_type AS type, true AS type_is_plain, CAST(user_id AS VARCHAR) AS user_id, "
+                              "'u' || CAST(user_id AS VARCHAR) AS user_name FROM events")
+    sql["rule_sync"] = sql["rule_snapshot_roundtrip"]
+    sql["rule_set_counts"] = f"""
+SELECT 'logRule' AS rule_set, count(*) AS n FROM ({sql["log_rule_assembly"]}) a
+UNION ALL SELECT 'logUserRule', 0
+UNION ALL SELECT 'eventDefRuleByUser', 0
+UNION ALL SELECT 'eventDefRuleBySystem', count(*) FROM ({sql["event_defs_system"]}) b
+UNION ALL SELECT 'eventFieldRule', count(*) FROM ({sql["event_rule_fields"]}) c"""
+    sql["section_rejects"] = _with(RAW_CTE) + """
+SELECT name AS section_name, reason AS reject_reason, (SELECT count(reportip) FROM parsed) AS lines
+FROM (VALUES ('backwards', 'backwards'), ('malformed', 'out_of_range')) x(name, reason)"""
     sql["unicode_codec"] = f"""
 SELECT doc_id,
        CAST(list_sum(list_transform(string_split(text, ''), lambda c: CASE WHEN unicode(c) > 65535 THEN 2 ELSE 1 END)) AS BIGINT) AS n_units,

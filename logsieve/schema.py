@@ -104,7 +104,6 @@ def string_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-RAW_LINE = T.StructType([T.StructField("value", T.StringType(), True)])
 
 NETFLOW = T.StructType([
     T.StructField("srcip", T.StringType()),

@@ -5,8 +5,7 @@ Two input shapes are accepted:
   distances - which is exploded (`explode(arrays_zip(...))`), and
 * flat points (label, ip, coords) with a centre table (label, coords),
   which is the shape to prefer at scale: each point is joined to its centre
-  (a broadcast of k rows, k being the bounded number of clusters) and its
-  distance computed in place, so no cluster is ever gathered into one row.
+  and its distance computed in place, so no cluster is gathered into one row.
 """
 
 from __future__ import annotations
@@ -14,11 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schema as S
-from ..operators.joins import bounded_broadcast
-
-# Clusters a centre table may hold and still be broadcast.
-MAX_BROADCAST_CENTRES = 1_000_000
-
 
 def coords_text(coords: Column) -> Column:
     """Coordinates `#`-joined, each as the JVM prints a double."""
@@ -30,21 +24,27 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(sq, F.lit(0.0).cast("double"), lambda acc, v: acc + v))
 
 
-def centres_of(points: DataFrame, dims: int, digits: int = 6) -> DataFrame:
+def centres_of(points: DataFrame, digits: int = 6) -> DataFrame:
     """Mean of each coordinate per label (rounded), as (label, coords).
 
-    One `avg` per dimension: partial aggregation on the map side, so a label
-    holding a third of all points still shuffles only one row per task.
+    One row per coordinate, averaged with partial aggregation on the map
+    side: a label that holds a third of all points still shuffles one row
+    per coordinate and task. The last step gathers a centre's coordinates.
     """
-    means = [F.round(F.avg(F.get(F.col("coords"), i)), digits).alias(f"m{i}") for i in range(dims)]
-    return points.groupBy("label").agg(*means) \
-        .select("label", F.array(*[F.col(f"m{i}") for i in range(dims)]).alias("coords"))
+    flat = points.select("label", F.posexplode("coords").alias("i", "x"))
+    means = flat.groupBy("label", "i").agg(F.round(F.avg("x"), digits).alias("m"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "m")))
+    return means.groupBy("label").agg(F.transform(ordered, lambda s: s["m"]).alias("coords"))
 
 
 def point_rows(points: DataFrame, centres: DataFrame, clno: str, cltime: str, demo: str,
                digits: int = 6) -> DataFrame:
-    """SNK6 (flat form): one T_SIEM_KMEANS_CLUSTER row per point."""
-    c = bounded_broadcast(centres.select("label", F.col("coords").alias("centre")), MAX_BROADCAST_CENTRES)
+    """SNK6 (flat form): one T_SIEM_KMEANS_CLUSTER row per point.
+
+    The centres are a small table by nature, but nothing bounds their size
+    here: Spark picks the join, a broadcast where their real size allows it.
+    """
+    c = centres.select("label", F.col("coords").alias("centre"))
     joined = points.join(c, "label")
     return joined.select(
         F.md5(F.concat_ws("~", F.lit("cluster"), F.lit(clno), F.col("ip"), F.col("label").cast("string"))).alias("row"),
@@ -102,8 +102,10 @@ def centre_rows_level2(centres: DataFrame, clno_parent: str, index_parent: int,
     )
 
 
+# --- fixed values: the stored columns ---
 BATCH_COLUMNS = ["row", "name", "center_index", "center_info", "clno", "type", "cltime", "demo",
                  "center_index_p", "clno_p"]
+# --- end of fixed values ---
 
 
 def centre_rows_batch(rows: DataFrame) -> DataFrame:

@@ -50,11 +50,15 @@ def syslog_docs(matched: DataFrame, tz: str = "UTC") -> DataFrame:
 
 
 def rejects(matched: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Lines the original job would have failed on: null value, unreadable receive time."""
+    """Every line that has no raw-log document, with the reason: a null value, too few
+    fields, or an unreadable receive time (`shifted`: read one place off, see `parse`)."""
     f = _flagged_fields(matched)
     reason = (F.when(F.col("value").isNull(), F.lit("null_value"))
-              .when((F.size(f) >= 8) & date_to_millis(F.get(f, 1), tz).isNull(), F.lit("bad_time")))
-    return matched.select(F.col("value"), reason.alias("reason")).where(F.col("reason").isNotNull())
+              .when(F.size(f) < 8, F.lit("too_few_fields"))
+              .when(date_to_millis(F.get(f, 1), tz).isNull(), F.lit("bad_time")))
+    judged = once(matched, [F.col("value"), F.col("line_key"), F.col("shifted")], [reason.alias("reason")])
+    return judged.where(F.col("reason").isNotNull()).select(
+        derived_id("reject").alias("row"), "value", "reason", "shifted")
 
 
 def genlog_docs(genlog: DataFrame) -> DataFrame:
@@ -75,8 +79,9 @@ def genlog_docs(genlog: DataFrame) -> DataFrame:
 
 
 def event_docs(events: DataFrame) -> DataFrame:
-    """SNK4: 15 stored event columns (`opentime` as epoch milliseconds)."""
-    cols = {"row": derived_id("event_doc"), "event_rule_result_id": F.col("event_rule_result_id2")}
+    """SNK4: 15 stored event columns (`opentime` as the text of epoch milliseconds)."""
+    cols = {"row": derived_id("event_doc"), "event_rule_result_id": F.col("event_rule_result_id2"),
+            "opentime": F.col("opentime").cast("string")}
     return events.select(*[cols.get(c, F.col(c)).alias(c) for c in S.EVENT_DOC_COLUMNS])
 
 
@@ -97,9 +102,9 @@ def genlog_lines(genlog: DataFrame) -> DataFrame:
 
 
 def forward_lines(lines: DataFrame, target: str, fmt: str = "kafka", options: dict | None = None) -> None:
-    """SNK10 writer: Kafka when its connector is present (options carry the
-    servers and topic), else any file format for tests."""
+    """SNK10 writer: Kafka when its connector is present (`target` is the topic, the
+    options carry the servers), else any file format for tests."""
     if fmt == "kafka":
-        lines.write.format("kafka").options(**(options or {})).save()
+        lines.write.format("kafka").options(**(options or {})).option("topic", target).save()
     else:
         lines.select("value").write.mode("append").format(fmt).options(**(options or {})).save(target)

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schema as S
 
 # Columns a flow must have to be kept; proto may be null (FLT4).
+# --- fixed values: columns that must not be null ---
 NETFLOW_REQUIRED = ["srcip", "dstip", "starttime", "endtime", "packernum", "bytesize"]
 MONIFLOW_REQUIRED = ["srcip", "dstip", "appproto", "method"]
+# --- end of fixed values ---
 
 
 def _ts(v: str | Column, like: DataFrame, col: str) -> Column:

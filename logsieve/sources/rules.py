@@ -86,34 +86,67 @@ def read_event_fields(spark: SparkSession, src: TableSource) -> DataFrame:
 
 
 class SnapshotStore:
-    """Rule snapshots as tables under one shared folder, one per name."""
+    """Rule snapshots as versioned tables under one shared folder: `name/version=<n>`.
+
+    A version is published by the commit marker that Spark's writer leaves last, and
+    never changed afterwards, so a reader that holds an older version keeps its files,
+    and a version that is still being written is not seen. `prune` removes old ones.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def write(self, df: DataFrame, name: str, order_cols: list[str] | None = None) -> None:
-        """SNK1: publish `df` as snapshot `name`, all values text (PRJ9),
-        with `rule_seq` fixing the rule order; replaces the previous one."""
+    def path(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/version={version}"
+
+    def _folder(self, path: str):
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def versions(self, name: str, published: bool = True) -> list[int]:
+        """Versions of a snapshot in order, all or only the published ones."""
+        p, fs = self._folder(f"{self.root}/{name}")
+        if not fs.exists(p):
+            return []
+        out = []
+        for status in fs.listStatus(p):
+            child = status.getPath()
+            if child.getName().startswith("version="):
+                done = fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(child, "_SUCCESS"))
+                if done or not published:
+                    out.append(int(child.getName().split("=")[1]))
+        return sorted(out)
+
+    def write(self, df: DataFrame, name: str, order_cols: list[str] | None = None) -> int:
+        """SNK1: publish `df` as the next version of snapshot `name`, all values text
+        (PRJ9), with `rule_seq` fixing the rule order. Returns the version."""
         out = asm.stringify(df.drop("rule_seq") if "rule_seq" in df.columns else df)
         order = [c for c in (order_cols or RULE_ORDER.get(name, [])) if c in out.columns] or out.columns[:1]
-        out = asm.with_rule_seq(out, order)
-        out.write.mode("overwrite").parquet(self.path(name))
-
-    def read(self, name: str) -> DataFrame:
-        """SRC6: snapshot `name`; an absent one is an empty table of the known columns."""
-        try:
-            return self.spark.read.parquet(self.path(name))
-        except Exception as e:  # noqa: BLE001 - a missing path is the expected case
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        version = max(self.versions(name, published=False), default=0) + 1
+        asm.with_rule_seq(out, order).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true") \
+            .parquet(self.path(name, version))
+        return version
+
+    def read(self, name: str, required: bool = False) -> DataFrame:
+        """SRC6: the latest published version of snapshot `name`. One that was never published is an
+        empty table of the known columns, or an error where it is required."""
+        versions = self.versions(name)
+        if versions:
+            return self.spark.read.parquet(self.path(name, versions[-1]))
+        if required:
+            raise FileNotFoundError(f"no published snapshot {name} under {self.root}")
         cols = KNOWN_COLUMNS.get(name, ["value"])
         ddl = ", ".join(f"`{c}` string" for c in cols) + ", rule_seq bigint"
         return self.spark.createDataFrame([], ddl)
 
+    def prune(self, name: str, keep: int = 10) -> None:
+        """Remove all but the last `keep` published versions."""
+        for version in self.versions(name)[:-keep]:
+            p, fs = self._folder(self.path(name, version))
+            fs.delete(p, True)
+
     def load_bundle(self, keys: dict[str, str] | None = None) -> dict[str, DataFrame]:
         """SRC10/SRC11: the rule bundle, bundle key -> DataFrame."""
         return {k: self.read(n) for k, n in (keys or BUNDLE_KEYS).items()}
@@ -140,5 +173,15 @@ def sync_rules(spark: SparkSession, src: TableSource, store: SnapshotStore) -> d
     counts = {}
     for name, df in built.items():
         store.write(df, name)
-        counts[name] = store.read(name).count()
+        store.prune(name)
+        counts[name] = store.read(name, required=True).count()
     return counts
+
+
+def rule_set_counts(bundle: dict[str, DataFrame]) -> DataFrame:
+    """AGG2: rows of each table of a rule bundle."""
+    out = None
+    for name, df in bundle.items():
+        n = df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("rule_set"), "n")
+        out = n if out is None else out.unionByName(n)
+    return out

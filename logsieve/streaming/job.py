@@ -1,11 +1,13 @@
 """The streaming log job (SRC1, STR1-STR4, STR6, SNK10).
 
 readStream -> foreachBatch: each micro-batch is parsed and matched once
-(persisted), then written to the syslog, genlog and event tables. Writes go
-to a `batch_id` partition with dynamic overwrite, so a micro-batch replayed
-after a failure replaces its own output: with the checkpoint that gives
+(persisted), then written to the syslog, genlog, event and rejects tables. A
+micro-batch has a folder of its own in each table, `batch_group=<g>/batch_id=<n>`,
+which it overwrites whole, so one replayed after a failure replaces its own
+output, also where it now has no rows: with the checkpoint that gives
 effectively-once results (the original committed offsets before processing
-and so lost data on failure). Rules are re-read from their snapshots at the
+and so lost data on failure). A group holds BATCH_GROUP batches, so that no
+folder grows without end and old groups can be rewritten as few files. Rules are re-read from their snapshots at the
 start of a micro-batch once they are older than `refresh_seconds`.
 """
 
@@ -26,16 +28,20 @@ from ..sinks import documents as docs
 DEFAULT_REFRESH_SECONDS = 300
 # --- end of fixed values ---
 
+BATCH_GROUP = 1000
+
 
 def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                    options: dict | None = None, max_per_trigger: int | None = None) -> DataFrame:
+                    options: dict | None = None, max_per_trigger: int | None = None,
+                    key_col: str | None = None) -> DataFrame:
     """SRC1: raw log lines as a streaming frame with `value` and a stable `src_key`.
 
     Kafka (when its connector is present): subscribe options come from the
     caller; startingOffsets defaults to "latest" like the original consumer,
     and the source position (topic, partition, offset) keys the record ids.
-    Files (text or parquet with a `value` column) serve tests and replays;
-    the file name and line position key the record ids.
+    Parquet files with a `value` column serve tests and replays: their column
+    `key_col` keys the record ids or, without one, the file's path and the row's
+    place in it. Other file formats have no row number, so they need `key_col`.
     """
     opts = dict(options or {})
     if fmt == "kafka":
@@ -48,9 +54,12 @@ def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     if max_per_trigger:
         opts.setdefault("maxFilesPerTrigger", str(max_per_trigger))
     reader = spark.readStream.format(fmt).options(**opts)
-    if fmt != "text":
-        reader = reader.schema("value string")
-    return reader.load(path).select("value")
+    if key_col:
+        return reader.schema(f"value string, `{key_col}` string").load(path).select("value", F.col(key_col).alias("src_key"))
+    if fmt != "parquet":
+        raise ValueError(f"{fmt} lines have no stable position: name a column that has it")
+    return reader.schema("value string").load(path).select(
+        "value", F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias("src_key"))
 
 
 class RuleCache:
@@ -64,6 +73,7 @@ class RuleCache:
         self.clock = clock
         self.loaded_at: float | None = None
         self.bundle: dict[str, DataFrame] = {}
+        self.rows: dict[str, int] = {}
         self.reloads = 0
         self.failed_reloads = 0
         self._lock = threading.Lock()
@@ -75,16 +85,21 @@ class RuleCache:
                 try:
                     # Rule tables are configuration-sized: keep them cached between batches.
                     fresh = {k: v.cache() for k, v in self.loader().items()}
-                    for v in fresh.values():
-                        v.count()
+                    rows = {k: v.count() for k, v in fresh.items()}
+                    # Rules that were there are never replaced by none.
+                    gone = [k for k, n in self.rows.items() if n and not rows.get(k)]
+                    if gone or (rows and not any(rows.values())):
+                        for v in fresh.values():
+                            v.unpersist()
+                        raise ValueError(f"empty rule tables: {gone or list(rows)}")
                 except Exception:  # noqa: BLE001
-                    # A snapshot being rewritten right now must not stop the
-                    # stream: keep the current rules and try again next batch.
+                    # Rules that cannot be read now must not stop the stream:
+                    # keep the current ones and try again next batch.
                     if not self.bundle:
                         raise
                     self.failed_reloads += 1
                     return self.bundle
-                old, self.bundle = self.bundle, fresh
+                old, self.bundle, self.rows = self.bundle, fresh, rows
                 for v in old.values():
                     v.unpersist()
                 self.loaded_at = now
@@ -94,10 +109,11 @@ class RuleCache:
 
 @dataclass
 class Outputs:
-    """Where the three tables go (any file format Spark writes)."""
+    """Where the tables go (any file format Spark writes)."""
     syslog: str
     genlog: str
     event: str
+    rejects: str                        # the lines that no raw-log document holds, with the reason
     fmt: str = "parquet"
     forward: str | None = None          # SNK10 target (a directory, or a Kafka topic with fmt kafka)
     forward_fmt: str = "text"
@@ -105,16 +121,14 @@ class Outputs:
 
 
 def _write_batch(df: DataFrame, path: str, fmt: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").format(fmt).save(path))
+    df.write.mode("overwrite").format(fmt).save(f"{path}/batch_group={batch_id // BATCH_GROUP}/batch_id={batch_id}")
 
 
 class LogJob:
     """One running log analysis stream and its per-batch counts (AGG1, AGG3)."""
 
     def __init__(self, rules: RuleCache, outputs: Outputs, *, log_rule_key: str = "logRule",
-                 event_def_key: str = "eventDefRuleBySystem", key_col: str | None = None,
+                 event_def_key: str = "eventDefRuleBySystem", key_col: str | None = "src_key",
                  tz: str = "UTC"):
         self.rules = rules
         self.outputs = outputs
@@ -126,17 +140,21 @@ class LogJob:
         self.query: StreamingQuery | None = None
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """STR1: one micro-batch -> three outputs (and the optional forward)."""
+        """STR1: one micro-batch -> three outputs, its rejects, and the optional forward."""
+        if self.key_col and self.key_col not in batch.columns:
+            raise ValueError(f"the stream has no column {self.key_col}, which names each line's source position")
         bundle = self.rules.current()
         a = analyze(batch, bundle[self.log_rule_key], bundle[self.event_def_key],
                     key_col=self.key_col, tz=self.tz)
         a.matched.persist()
+        a.genlog.persist()
         try:
             out = self.outputs
             counts = {}
             for name, df, path in (("syslog", a.syslog_docs(self.tz), out.syslog),
                                    ("genlog", a.genlog_docs(), out.genlog),
-                                   ("event", a.event_docs(), out.event)):
+                                   ("event", a.event_docs(), out.event),
+                                   ("rejects", a.rejects(self.tz), out.rejects)):
                 obs = Observation(name)
                 _write_batch(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, out.fmt, batch_id)
                 counts[name] = obs.get["rows"]
@@ -148,6 +166,7 @@ class LogJob:
                     _write_batch(lines.select("value"), out.forward, out.forward_fmt, batch_id)
             self.metrics.append({"batch_id": batch_id, **counts})
         finally:
+            a.genlog.unpersist()
             a.matched.unpersist()
 
     def start(self, raw_stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -8,6 +8,8 @@ source ticks once per interval and each micro-batch rebuilds the snapshots
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,11 +17,13 @@ from ..sources.rules import SnapshotStore, TableSource, sync_rules
 
 
 def start_rule_sync(spark: SparkSession, src: TableSource, store: SnapshotStore, checkpoint: str,
-                    interval_seconds: int = 60) -> StreamingQuery:
+                    interval_seconds: int = 60, on_sync: Callable[[dict[str, int]], None] | None = None) -> StreamingQuery:
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
     def on_tick(_batch, _batch_id):
-        sync_rules(spark, src, store)
+        counts = sync_rules(spark, src, store)
+        if on_sync:
+            on_sync(counts)
 
     return (ticks.writeStream.foreachBatch(on_tick).option("checkpointLocation", checkpoint)
             .trigger(processingTime=f"{interval_seconds} seconds").start())

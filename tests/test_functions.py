@@ -22,7 +22,11 @@ def test_jtrim_and_split(spark):
 def test_dates(spark):
     assert one(spark, date_to_millis(F.col("s")), "2024-01-01 00:00:07") == 1704067207000
     assert one(spark, date_to_millis(F.col("s")), "2024-01-01 00:00:07 trailing") == 1704067207000
-    assert one(spark, date_to_millis(F.col("s")), "2024-13-01 00:00:00") is None
+    # fields out of range are carried over, as the original's lenient parser did
+    for text, same in (("2024-13-01 00:00:00", "2025-01-01 00:00:00"), ("2024-02-30 00:00:00", "2024-03-01 00:00:00"),
+                       ("2023-12-31 25:61:61", "2024-01-01 02:02:01"), ("2024-00-10 00:00:00", "2023-12-10 00:00:00")):
+        assert one(spark, date_to_millis(F.col("s")), text) == one(spark, date_to_millis(F.col("s")), same) is not None
+    assert one(spark, date_to_millis(F.col("s")), "not a time") is None
     assert one(spark, date_to_millis(F.col("s")), "   ") is None
     assert one(spark, date_to_millis(F.col("s")), None) is None
     assert one(spark, date_to_seconds(F.col("s")), "2024-01-01 00:00:07") == 1704067207
@@ -46,14 +50,14 @@ def test_md5_and_escapes(spark):
 
 
 def test_ip(spark):
-    assert one(spark, ip_to_long(F.col("s")), "10.10.10.116") == 168430196
+    assert one(spark, ip_to_long(F.col("s")), "172.20.7.33") == 2886993697
     assert one(spark, ip_to_long(F.col("s")), " 1.2.3.4 ") == 16909060
     assert one(spark, ip_to_long(F.col("s")), "1.2.3") is None
     assert one(spark, ip_to_long(F.col("s")), "1.2.x.4") is None
-    assert one(spark, ip_in_section(F.col("s"), F.lit("10.10.1.00-10.10.255.255")), "10.10.10.116") is True
-    assert one(spark, ip_in_section(F.col("s"), F.lit("10.10.1.00-10.10.255.255")), "10.10.1.0") is True
-    assert one(spark, ip_in_section(F.col("s"), F.lit("10.10.1.00-10.10.255.255")), "10.11.0.0") is False
-    assert one(spark, ip_in_section(F.col("s"), F.lit("10.10.1.0")), "10.10.1.0") is None
+    assert one(spark, ip_in_section(F.col("s"), F.lit("172.20.4.0-172.20.90.255")), "172.20.7.33") is True
+    assert one(spark, ip_in_section(F.col("s"), F.lit("172.20.4.0-172.20.90.255")), "172.20.4.0") is True
+    assert one(spark, ip_in_section(F.col("s"), F.lit("172.20.4.0-172.20.90.255")), "172.21.0.0") is False
+    assert one(spark, ip_in_section(F.col("s"), F.lit("172.20.4.0")), "172.20.4.0") is None
 
 
 def test_ip_monotone(spark):
@@ -67,7 +71,7 @@ def test_json(spark):
     m = one(spark, json_to_map(F.col("s")), '{"k": 69, "o": {"a": 1}, "n": null}')
     assert m["k"] == "69" and m["o"] == '{"a":1}' and m["n"] is None
     low = one(spark, json_lower_keys(F.col("s")), '{"K": 1, "k": 2, "Type": "x"}')
-    assert low["k"] == '["1","2"]' and low["type"] == "x"
+    assert low["k"] == '[1,2]' and low["type"] == "x"
 
 
 def test_regex_helpers(spark):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from logsieve import fixtures as fx
 from logsieve import schema as S
+from logsieve.functions import date_to_millis
 from logsieve.operators import assembly as asm
 from logsieve.operators import events as ev
 from logsieve.operators import match as mt
@@ -86,7 +87,7 @@ def test_non_participating_group_and_port_colon(spark):
 
 def test_rule_validation(spark):
     rej = {r["rule_id"]: r["reject_reason"] for r in mt.rule_rejects(fx.log_rules_df(spark)).collect()}
-    assert rej == {"LR-3": "no_group", "LR-4": "bad_regex", "LR-5": "bad_group"}
+    assert rej == {"LR-3": "no_group", "LR-4": "bad_regex", "LR-5": "bad_group", "LR-6": "bad_group", "LR-7": "bad_group"}
 
 
 def test_user_rules_named_groups(spark):
@@ -126,7 +127,8 @@ def test_documents_and_rejects(spark):
     assert sys_docs["00000000000000000000000000000002"] == 0
     assert sys_docs["00000000000000000000000000000001"] == 1
     rej = {r["reason"] for r in a.rejects().collect()}
-    assert rej == {"null_value", "bad_time"}
+    assert rej == {"null_value", "bad_time", "too_few_fields"}
+    assert a.rejects().count() + a.syslog_docs().count() == len(lines)
     gd = a.genlog_docs().first()
     assert gd["eventname2"] == "socos65socos72socos72socos6fsocos72"
     assert gd["eventname3"] == "CB5E100E5A9A3E7F6D1FD97512215282"
@@ -136,11 +138,12 @@ def test_documents_and_rejects(spark):
 def test_matched_plus_unmatched_is_input(spark):
     from logsieve.plans.catalog import raw_from_events
     raw = raw_from_events(spark, "/root/testdata/sf0.001")
-    m = mt.match_system(ps.parse(raw), fx.log_rules_df(spark))
+    m = mt.match_system(ps.parse(raw, key_col="src_key"), fx.log_rules_df(spark))
     n = raw.count()
     assert m.count() == n
     g = mt.to_genlog(m)
-    assert g.count() == m.where(F.col("hit").isNotNull()).count()
+    timed = date_to_millis(F.col("recvtime")).isNotNull()
+    assert 0 < g.count() == m.where(F.col("hit").isNotNull() & timed).count() < m.where(F.col("hit").isNotNull()).count()
     assert g.select("line_key").distinct().count() == g.count()   # at most one genlog per line
 
 
@@ -158,3 +161,42 @@ def test_rule_assembly_handmade(spark):
     assert got == [("R1", "1.1.1.1"), ("R1", "1.1.1.2")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "RightOuter" not in plan and "LeftOuter" not in plan
+
+
+def test_captures_one_pass_and_singly_agree(spark):
+    """Rules whose regex cannot be wrapped (an open comment) and texts that hold the separator."""
+    rules = [{"rule_seq": 0, "log_rule_id": "A", "device_ip": DEV, "log_regex": "(?x) user=(\\d+) \\s type=(\\w+)  # kind",
+              "sourceip": "1", "eventname": "2"},
+             {"rule_seq": 1, "log_rule_id": "B", "device_ip": DEV, "log_regex": r"^id=(\w+)(?:;|$)(x)?.*?to=(.)", "sourceip": "1", "destip": "2", "eventname": "3"}]
+    msgs = ["user=5 type=click", "id=7;x to=\u0001!", "id=8;y to=z", "a\nid=9; to=q"]
+    lines = [f"id{i}~2024-01-01 00:00:00~r~-~-~S~{payload(67, message=m)}" for i, m in enumerate(msgs)]
+    m = mt.match_system(ps.parse(lines_df(spark, lines)), fx.log_rules_df(spark, rules))
+    got = {r["orgid"]: (r["sourceip"], r["destip"], r["eventname"]) for r in mt.to_genlog(m).collect()}
+    assert got == {"id0": ("5", " ", "click"), "id1": ("7", "x", "\u0001"), "id2": ("8", " ", "z")}
+
+
+def test_user_rules_in_chunks(spark):
+    lines = [f"id{i}~2024-01-01 00:00:00~r~-~-~S~user={i} type={t} value=1.5" for i, t in enumerate(["error", "purchase", "view"])]
+    one, many = (mt.match_user(ps.parse(lines_df(spark, lines)), fx.user_rules_df(spark), chunk_bytes=b) for b in (1 << 20, 200))
+    pick = lambda df: sorted((r["recordid"], r["hit"]["rule_id"] if r["hit"] else None) for r in df.collect())
+    assert pick(one) == pick(many) == [("id0", "UR-0"), ("id1", "UR-1"), ("id2", None)]
+    assert len(mt.pack_chunks(fx.user_rules_df(spark), 200)) > 1
+
+
+def test_range_join_widths(spark):
+    from logsieve.functions import ip_to_long
+    from logsieve.operators.iprange import explode_ranges, range_join, section_rejects
+    secs = [("a", "0.0.0.0-255.255.255.255"), ("b", "10.0.0.5-10.0.0.5"), ("c", "10.0.0.0-10.3.7.1"), ("d", "9.255.0.0-10.0.0.4"),
+            ("bad", "x-1.1.1.1"), ("far", "1.1.1.1-2000000000.0.0.0"), ("back", "2.0.0.0-1.0.0.0")]
+    s = spark.createDataFrame(secs, "section_name string, ip_section string")
+    ips = ["10.0.0.4", "10.0.0.5", "10.3.7.1", "10.3.7.2", "255.255.255.255", "0.0.0.0", "junk", None]
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(ips)], "id int, ip string")
+    num = lambda x: sum(int(p) << 8 * (3 - i) for i, p in enumerate(x.split(".")))
+    want = {(i, n) for i, x in enumerate(ips[:6]) for n, sec in secs[:4] if num(sec.split("-")[0]) <= num(x) <= num(sec.split("-")[1])}
+    got = range_join(d, F.col("ip"), s).collect()
+    assert {(r.id, r.section_name) for r in got} == want and len(got) == len(want)
+    left = range_join(d, F.col("ip"), s, how="left").collect()
+    assert {r.id for r in left if r.section_name is None} == {6, 7} and len(left) == len(want) + 2
+    assert {r.section_name: r.reject_reason for r in section_rejects(s).collect()} == {
+        "bad": "unreadable", "far": "out_of_range", "back": "backwards"}
+    assert explode_ranges(s).groupBy("section_name").count().agg({"count": "max"}).first()[0] <= 513

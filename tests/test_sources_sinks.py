@@ -106,8 +106,8 @@ def test_json_array_snapshot_text(spark):
 
 
 def test_nested_and_flat_cluster_rows_agree(spark):
-    pts = fx.points_from_embeddings(table(spark, SF_SMALL, "embeddings"), 7)
-    cen = cl.centres_of(pts, 7)
+    pts = fx.points_from_embeddings(table(spark, SF_SMALL, "embeddings"))
+    cen = cl.centres_of(pts)
     flat = cl.point_rows(pts, cen, "C", "2024-01-01 00:00:00", "d")
     # nested form built from a few known points (the shape a trainer returns)
     nested = spark.createDataFrame(
@@ -135,3 +135,21 @@ def test_random_id_mode(spark):
     a = ps.parse(df, id_mode="random").first()["recordid"]
     b = ps.parse(df, id_mode="hash").first()["recordid"]
     assert len(a) == 32 and a != b and b == ps.parse(df).first()["recordid"]
+
+
+def test_snapshot_versions(spark):
+    store = SnapshotStore(spark, f"{ensure_checkpoint_dir(spark)}/versions-{uuid.uuid4().hex}")
+    with pytest.raises(FileNotFoundError):
+        store.read(SNAPSHOT_LOG_RULES, required=True)
+    one = spark.createDataFrame([("a",)], "log_rule_id string")
+    assert store.write(one, SNAPSHOT_LOG_RULES) == 1
+    held = store.read(SNAPSHOT_LOG_RULES)
+    two = spark.createDataFrame([("a",), ("b",)], "log_rule_id string")
+    assert store.write(two, SNAPSHOT_LOG_RULES) == 2
+    assert held.count() == 1 and store.read(SNAPSHOT_LOG_RULES).count() == 2   # the older version's files are still there
+    # a version without its commit marker is still being written
+    two.withColumn("rule_seq", F.lit(0)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
+        .parquet(store.path(SNAPSHOT_LOG_RULES, 3))
+    assert store.versions(SNAPSHOT_LOG_RULES) == [1, 2] and store.write(one, SNAPSHOT_LOG_RULES) == 4
+    store.prune(SNAPSHOT_LOG_RULES, keep=1)
+    assert store.versions(SNAPSHOT_LOG_RULES) == [4]

@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from logsieve import fixtures as fx
@@ -13,7 +14,7 @@ from conftest import SF_SMALL
 
 def _job(spark, base):
     rules = RuleCache(lambda: {"logRule": fx.log_rules_df(spark), "eventDefRuleBySystem": system_event_defs(spark)})
-    return LogJob(rules, Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event"))
+    return LogJob(rules, Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event", f"{base}/rejects"))
 
 
 def test_restart_from_checkpoint_no_loss_no_doubles(spark):
@@ -21,14 +22,16 @@ def test_restart_from_checkpoint_no_loss_no_doubles(spark):
     ev = table(spark, SF_SMALL, "events")
     fx.raw_lines(ev.where(F.col("event_id") < 500)).write.mode("append").parquet(f"{base}/in")
     job = _job(spark, base)
-    job.start(read_log_stream(spark, "parquet", f"{base}/in"), f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+    job.start(read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key"), f"{base}/ckpt", {"availableNow": True}).awaitTermination()
     fx.raw_lines(ev.where(F.col("event_id") >= 500)).write.mode("append").parquet(f"{base}/in")
     job2 = _job(spark, base)   # a new driver-side job, same checkpoint
-    job2.start(read_log_stream(spark, "parquet", f"{base}/in"), f"{base}/ckpt", {"availableNow": True}).awaitTermination()
-    sys_docs = spark.read.parquet(f"{base}/syslog")
-    assert sys_docs.count() == ev.count()
-    assert sys_docs.select("row").distinct().count() == ev.count()
-    assert sum(m["syslog"] for m in job.metrics + job2.metrics) == ev.count()
+    job2.start(read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key"), f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+    rows = spark.read.parquet(f"{base}/syslog").select("row").unionByName(spark.read.parquet(f"{base}/rejects").select("row"))
+    assert rows.count() == ev.count()
+    assert rows.distinct().count() == ev.count()
+    assert sum(m["syslog"] + m["rejects"] for m in job.metrics + job2.metrics) == ev.count()
+    orphans = spark.read.parquet(f"{base}/event").join(spark.read.parquet(f"{base}/genlog"), F.col("logid") == F.col("recordid"), "left_anti")
+    assert orphans.count() == 0
 
 
 def test_replayed_batch_overwrites_its_own_output(spark):
@@ -40,6 +43,39 @@ def test_replayed_batch_overwrites_its_own_output(spark):
     assert spark.read.parquet(f"{base}/genlog").count() == job.metrics[0]["genlog"]
 
 
+def test_replay_without_rows_clears_its_old_output(spark):
+    base = f"{ensure_checkpoint_dir(spark)}/clear-{uuid.uuid4().hex}"
+    raw = fx.raw_lines(table(spark, SF_SMALL, "events"))
+    job = _job(spark, base)
+    job.process(raw, 3)
+    job.process(raw.where("value = 'none such'"), 3)
+    assert spark.read.schema("row string").parquet(f"{base}/genlog").count() == 0
+
+
+def test_file_positions_tell_equal_lines_apart(spark):
+    base = f"{ensure_checkpoint_dir(spark)}/equal-{uuid.uuid4().hex}"
+    line = fx.HEARTBEAT
+    spark.createDataFrame([(line,)] * 30, "value string").repartition(2).write.parquet(f"{base}/in")
+    for attempt in ("a", "b"):
+        out = Outputs(*[f"{base}/{attempt}/{t}" for t in ("syslog", "genlog", "event", "rejects")])
+        job = LogJob(_job(spark, base).rules, out)
+        job.start(read_log_stream(spark, "parquet", f"{base}/in"), f"{base}/{attempt}/ckpt", {"availableNow": True}).awaitTermination()
+    first, again = ({r.row for r in spark.read.parquet(f"{base}/{x}/syslog").collect()} for x in ("a", "b"))
+    assert len(first) == 30 and first == again
+    with pytest.raises(ValueError):
+        read_log_stream(spark, "text", f"{base}/in")
+
+
+def test_empty_rules_never_replace_rules(spark):
+    full = fx.log_rules_df(spark)
+    sets = [full, full.limit(0), full]
+    cache = RuleCache(lambda: {"logRule": sets.pop(0)}, refresh_seconds=-1)
+    assert [cache.current()["logRule"].count() for _ in range(3)] == [len(fx.LOG_RULES)] * 3
+    assert (cache.reloads, cache.failed_reloads) == (2, 1)
+    with pytest.raises(ValueError):
+        RuleCache(lambda: {"logRule": full.limit(0)}).current()
+
+
 def test_rule_cache_refresh_interval():
     calls = []
     now = [0.0]
