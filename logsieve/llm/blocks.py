@@ -143,10 +143,19 @@ def scratch_path(df_or_spark, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
 
 
+#: Spark removes a write's shuffle files as soon as it ends: the table that it leaves is read from then on.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
-    path = scratch_path(df, name)
-    df.write.parquet(path)
+    path, conf = scratch_path(df, name), df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

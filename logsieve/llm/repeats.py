@@ -315,14 +315,16 @@ def repeat_groups(docs: DataFrame) -> DataFrame:
 def covers(rows: DataFrame) -> DataFrame:
     """did, begin, end (places) of pieces that repeat an earlier string of MIN_LENGTH bytes or more."""
     shared = _shared_segments(rows)
-    out = _sorted_segments(rows, shared.where(F.col("rows") <= HOT)).mapInArrow(_cover_rows, "did long, begin long, end long")
+    out = written(_sorted_segments(rows, shared.where(F.col("rows") <= HOT))
+                  .mapInArrow(_cover_rows, "did long, begin long, end long"), "covers")
     hot = shared.where(F.col("rows") > HOT)
     if not hot.isEmpty():
         one = written(_with_segments(rows, hot).mapInArrow(_segment_bytes(True), "h long, did long, place long"), "hot")
         first = (one.groupBy("h").agg(F.min(F.struct("did", "place")).alias("first")).withColumnRenamed("h", "_h"))
-        out = out.unionByName(one.join(first, F.col("h") == F.col("_h"))
-                              .where(F.struct("did", "place") > F.col("first"))
-                              .select("did", F.col("place").alias("begin"), (F.col("place") + MIN_LENGTH).alias("end")))
+        out = out.unionByName(written(one.join(first, F.col("h") == F.col("_h"))
+                                      .where(F.struct("did", "place") > F.col("first"))
+                                      .select("did", F.col("place").alias("begin"), (F.col("place") + MIN_LENGTH).alias("end")),
+                                      "hot-covers"))
     return out
 
 
