@@ -20,15 +20,20 @@ _TIME_START = r"^[\x00-\x20]*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} "
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the input over the cluster only when it arrives in fewer
-    partitions than the session can run at once (one small file, one Kafka
-    partition). A large scan is already split and is left as it is, so this
-    adds no shuffle at scale; the regex work that follows is CPU-bound and
-    otherwise runs on a single core."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    """Round-robin the input over the cluster only when its scan is estimated
+    to give fewer splits than the session can run at once (one small file).
+    The estimate is the optimizer's, from file sizes: nothing is run for it. A
+    large scan is already split and is left as it is, so this adds no shuffle
+    at scale; the regex work that follows is CPU-bound and otherwise runs on a
+    single core. Streams are left alone (Kafka: see `minPartitions` in
+    `read_log_stream`)."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
     if df.isStreaming:
         return df
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(want) if size < want * split else df
 
 
 def admit(df: DataFrame, value_col: str = "value", key_col: str | None = None,

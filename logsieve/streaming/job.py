@@ -46,6 +46,8 @@ def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
     opts = dict(options or {})
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")
+        # a topic of few partitions is read by as many tasks as can run
+        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
         if max_per_trigger:
             opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
         raw = spark.readStream.format("kafka").options(**opts).load()
