@@ -62,8 +62,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_passes:
                      - F.coalesce(F.sum("weight").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
          .withColumn("level", (F.sum("source_size").over(whole) * F.lit(share) - F.coalesce("capped", F.lit(0)))
                      / F.col("left_w")))
-    # The first source, in order of cap per weight, that its level doesn't fill sets the level.
-    s = s.withColumn("final", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(whole))
+    # The first source, in order of cap per weight, that its level doesn't fill sets the level. Levels only fall
+    # after it (each capped source there takes more than its share), so it's the highest of those.
+    s = s.withColumn("final", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(whole))
     return s.select("source", "source_size",
                     F.when(F.col("final").isNull(), F.col("cap").cast("double"))
                     .otherwise(F.least(F.col("final") * F.col("weight"), F.col("cap").cast("double"))).alias("target"))
@@ -184,7 +185,7 @@ r as (select *, cap / weight as ratio from w),
 l as (select *, (sum(source_size) over () * 1.5::double - coalesce(sum(cap) over (order by ratio, source nulls last
     rows between unbounded preceding and 1 preceding), 0)) / sum(weight) over (order by ratio, source nulls last
     rows between current row and unbounded following) as level from r),
-f as (select *, min(case when level <= ratio then level end) over () as final from l),
+f as (select *, max(case when level <= ratio then level end) over () as final from l),
 g as (select source, source_size, case when final is null then cap::double else least(final * weight, cap::double) end
     as target from f),
 m as (select *, round(target * 1000)::bigint as milli from g where target > 0),
