@@ -135,6 +135,18 @@ def shingle_hashes(words: np.ndarray, row: np.ndarray, n_rows: int, k: int) -> t
     return mix(acc), out_off
 
 
+_CACHE: list = [None, None]
+
+
+def worker_cache(key, make):
+    """What a worker keeps between tasks (a word table, an encoder): one thing at a time, so that
+    the operators that follow each other in it don't add up. A key of None drops it."""
+    if key is None or _CACHE[0] != key:
+        _CACHE[:] = [None, None]  # first, so that old and new are never held together
+        _CACHE[:] = [key, make()] if key is not None else [None, None]
+    return _CACHE[1]
+
+
 # ------------------------------------------------------------------ Spark
 
 def scratch_path(df_or_spark, name: str) -> str:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks, mix, text_bytes, word_hashes, word_spans
+from .blocks import blocks, mix, text_bytes, word_hashes, word_spans, worker_cache
 
 #: Fixed masks, 1: the word counts. Each word of a window is ignored by one of them.
 MASKS = ("01111", "10111", "11011", "11101", "11110")
@@ -115,6 +115,7 @@ def overlap(item: np.ndarray, doc: np.ndarray, offset: int) -> np.ndarray:
 
 def _search(items: Items, percent: int):
     def run(batches):
+        worker_cache(None, None)
         for batch, data, off in blocks(batches):
             start, end, row = word_spans(data, off)
             # a word that equals none stands before and after each row: items may reach one word out in a window

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import blocks, mix, shingle_hashes, word_hashes, word_spans, written
+from .blocks import blocks, mix, shingle_hashes, word_hashes, word_spans, worker_cache, written
 from .components import components
 
 BUCKETS = 256
@@ -134,6 +134,7 @@ _SKETCH = "doc_id long, n_shingles long, digest binary, registers binary, bits b
 
 def _sketcher(k: int):
     def run(batches):
+        worker_cache(None, None)
         for batch, data, off in blocks(batches):
             sets = shingle_sets(data, off, k)
             yield pa.RecordBatch.from_arrays([
@@ -151,6 +152,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _bands(batches):
+    worker_cache(None, None)
     for batch in batches:
         nodes = batch.column("node").to_numpy(zero_copy_only=False)
         keys = [band_keys(np.frombuffer(r, np.uint16)) for r in batch.column("registers").to_pylist()]
@@ -161,6 +163,7 @@ def _bands(batches):
 
 def _set_rows(k: int):
     def run(batches):
+        worker_cache(None, None)
         for batch, data, off in blocks(batches):
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()),
@@ -283,6 +286,7 @@ def _propose(percent: int, everything: bool):
             yield min(b.node[i], b.node[j]), max(b.node[i], b.node[j])
 
     def run(batches):
+        worker_cache(None, None)
         key, rows, out = None, [], []
         for batch in batches:
             cols = [batch.column(c).to_pylist() for c in ("key", "cell", "node", "component", "n", "bits", "block")]

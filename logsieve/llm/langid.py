@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks
+from .blocks import blocks, worker_cache
 from .wordtable import WordTable, byte_grams, letters, sums
 
 FIT_DOCS = 8192
@@ -161,15 +161,9 @@ def _label(texts, model, table):
 
 # ------------------------------------------------------------------ Spark
 
-_TABLES: dict = {}
-
-
 def _table(model: Model) -> WordTable:
-    """The worker's word table for this model; kept with the model, so that its id stays its own."""
-    if id(model) not in _TABLES:
-        _TABLES.clear()
-        _TABLES[id(model)] = (WordTable(model.word_scores, len(model.langs) + 1), model)
-    return _TABLES[id(model)][0]
+    """The worker's word table for this model, which the table holds, so that its id stays its own."""
+    return worker_cache(("langid", id(model)), lambda: WordTable(model.word_scores, len(model.langs) + 1))
 
 
 def _shares(texts, model, table, k):

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import eliasfano
-from .blocks import scratch_path
+from .blocks import scratch_path, worker_cache
 
 END_ID = 0
 SEGMENT_IDS = 1 << 18
@@ -52,7 +52,6 @@ WORDS_AT_ONCE = 512
 
 _SPACE = re.compile(r"[^\S\n]")
 _ODD = re.compile(r"\s (?:\s|\Z)")
-_ENCODERS: dict[str, "PieceEncoder"] = {}
 
 SEGMENT = ("part int, seq int, n_docs long, n_ids long, width int, ids binary, low_bits int, low binary, high binary, "
            "samples binary, n_null long, first_id long, id_bits int, id_low binary, id_high binary")
@@ -171,9 +170,7 @@ class PieceEncoder:
 
 
 def encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return worker_cache(("tokens", path), lambda: PieceEncoder(path))
 
 
 def _segment(part, seq, width, ids, counts, doc_ids):

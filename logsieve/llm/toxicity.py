@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks
+from .blocks import blocks, worker_cache
 from .wordtable import WordTable, byte_grams, sums
 
 FIT_DOCS = 8192
@@ -175,15 +175,9 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     return Model(np.frombuffer(got.scores, "<f4"), got.bias) if got else Model(np.zeros(BUCKETS, np.float32), -20.0)
 
 
-_TABLES: dict = {}
-
-
 def _table(model: Model) -> WordTable:
-    """The worker's word table for this model; kept with the model, so that its id stays its own."""
-    if id(model) not in _TABLES:
-        _TABLES.clear()
-        _TABLES[id(model)] = (WordTable(model.word_values, 2), model)
-    return _TABLES[id(model)][0]
+    """The worker's word table for this model, which the table holds, so that its id stays its own."""
+    return worker_cache(("toxicity", id(model)), lambda: WordTable(model.word_values, 2))
 
 
 def _score(model_bc):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from .blocks import mix, text_bytes
 
 #: Distinct words kept by a worker; beyond it the table starts anew with the next block.
-MAX_WORDS = 1 << 19
+MAX_WORDS = 1 << 18
 _U = np.uint64
 _SPREAD = np.random.default_rng(23).integers(1, 2**63, size=16, dtype=np.uint64) * _U(2) + _U(1)
 
