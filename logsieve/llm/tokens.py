@@ -17,8 +17,7 @@ those sums run over segment headers only.
 
 Encoding is the tokenizers library's own, called once per distinct piece between spaces and
 worker: a byte-level pre-tokenizer always splits before a space that has a non-space on either
-side, so the pieces' ids, one after another, are the text's. It also splits letters from a
-punctuation mark, and at a single line feed, so pieces with these are put together from others. Texts with a space between white
+side, so the pieces' ids, one after another, are the text's. Texts with a space between white
 space on both sides are encoded whole. Special tokens' strings in a text are ordinary text.
 
 Defined cases: a null or empty text is the end id alone; null doc_ids come first; equal doc_ids
@@ -28,7 +27,6 @@ a segment of its own. Columns other than doc_id and text are not looked at.
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import zlib
@@ -48,9 +46,6 @@ SEGMENT_IDS = 1 << 18
 MAX_PIECES = 1 << 19
 TEXTS_AT_ONCE = 256
 
-WORDS_AT_ONCE = 512
-
-_SPACE = re.compile(r"[^\S\n]")
 _ODD = re.compile(r"\s (?:\s|\Z)")
 
 SEGMENT = ("part int, seq int, n_docs long, n_ids long, width int, ids binary, low_bits int, low binary, high binary, "
@@ -88,79 +83,45 @@ class PieceEncoder:
 
     def reset(self):
         self.head, self.tail = _Codes(self, ""), _Codes(self, " ")
-        self.n = 0
-        # new pieces: words after a space, other pieces, and pieces put together from others
-        self.words, self.others, self.joined = [], [], []
+        self.n, self.new = 0, []
         self.flat, self.offset = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
 
-    def _next(self) -> int:
+    def add(self, piece: str) -> int:
+        self.new.append(piece)
         self.n += 1
         return self.n - 1
 
-    def add(self, piece: str) -> int:
-        """The code of a new piece, to be encoded at the next flush."""
-        word = piece[1:] if piece[:1] == " " else piece
-        parts = None
-        if len(word) > 1 and word[-1] in ".,;:!?" and word[:-1].isalpha():
-            # letters and other signs are always split
-            parts = (self.tail if word is not piece else self.head)[word[:-1]], self.head[word[-1]]
-        elif word.count("\n") == 1 and word[0] != "\n" != word[-1] and len(word.split()) == 2 and not _SPACE.search(word):
-            # and so is one line feed between signs that are no white space
-            left, right = word.split("\n")
-            parts = (self.tail if word is not piece else self.head)[left], self.head["\n"], self.head[right]
-        code = self._next()
-        if parts:
-            self.joined.append((code, parts))
-        elif word is not piece and word.isalpha():
-            self.words.append((code, piece))
-        else:
-            self.others.append((code, piece))
-        return code
-
-    def _flush(self, first: int):
-        """Encodes the pieces from code `first` on."""
-        if self.n == first:
+    def _flush(self):
+        if not self.new:
             return
-        got: list = [None] * (self.n - first)
-        for i in range(0, len(self.words), WORDS_AT_ONCE):
-            some = self.words[i : i + WORDS_AT_ONCE]
-            # one text of many words; each is split off before its space
-            e = self.tokenizer.encode("".join(w for _, w in some), add_special_tokens=False)
-            ids, ends = e.ids, np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(some))).tolist()
-            for (code, _), a, b in zip(some, [0, *ends], ends):
-                got[code - first] = ids[a:b]
-        for (code, _), e in zip(self.others, self.tokenizer.encode_batch_fast([p for _, p in self.others], add_special_tokens=False)):
-            got[code - first] = e.ids
-        ids_of = lambda c: got[c - first] if c >= first else self.flat[self.offset[c] : self.offset[c + 1]].tolist()
-        for code, parts in self.joined:
-            got[code - first] = [i for c in parts for i in ids_of(c)]
-        self.words, self.others, self.joined = [], [], []
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False)]
+        first = self.n - len(got)
         if self.n + 1 > len(self.offset):
             self.offset = np.concatenate([self.offset, np.zeros(max(len(self.offset), len(got)) + 1, np.int64)])
         ends = self.offset[first] + np.cumsum([len(g) for g in got])
         self.offset[first + 1 : self.n + 1] = ends
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), int(ends[-1])), np.uint32)])
-        self.flat[self.offset[first] : ends[-1]] = np.fromiter(itertools.chain.from_iterable(got), np.uint32)
+        self.flat[self.offset[first] : ends[-1]] = [i for g in got for i in g]
+        self.new = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has, without the end id."""
         if self.n > MAX_PIECES:
             self.reset()
-        codes, per_text, first = [], np.zeros(len(texts), np.int64), self.n
+        codes, per_text = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             if not text:
                 continue
             if _ODD.search(text):
-                c = [self._next()]
-                self.others.append((c[0], text))
+                c = [self.add(text)]
             else:
                 pieces = text.split(" ")
                 c = list(map(self.tail.__getitem__, pieces))
                 c[0] = self.head[pieces[0]]
             per_text[k] = len(c)
             codes += c
-        self._flush(first)
+        self._flush()
         c = np.array(codes, dtype=np.int64)
         n = self.offset[c + 1] - self.offset[c]
         ends = np.concatenate([[0], np.cumsum(n)])
