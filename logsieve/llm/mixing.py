@@ -6,9 +6,13 @@ proportion. Slots are ranked per source, and the r-th slot of a source takes the
 its shuffled documents, laid end to end and cut into blocks of equal token counts; after the
 last block the source starts over, up to `max_passes` times.
 
-The schedule has as many slots whatever the input (`slots`, more only for more sources), so its
-size is bounded; a block's tokens grow with the input instead. Documents are never gathered by
-source: their places come from chunked running totals (`blocks.with_running`).
+The circle has as many slots whatever the input (`slots`), so its size is bounded; a block's tokens
+grow with the input instead. A source whose target is less than FINE such blocks is too small for
+the circle, whose points may miss it: it has blocks of its own, a FINE-th of its target or one word,
+and as many slots of its own as its target needs, evenly spread over the schedule. So each source
+takes about its target at any size, and the schedule has `slots` + 2 * FINE rows a small source at
+most. Documents are never gathered by source: their places come from chunked running totals
+(`blocks.with_running`).
 
 Defined cases: null source is a source of its own, last in order; null or empty text has size 0
 and is taken 0 times; a source without words has target 0; a null doc_id is a row like others;
@@ -28,6 +32,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_PASSES = 2
 SLOTS = 1 << 16
+#: a source of fewer blocks than this is scheduled by blocks of its own
+FINE = 64
 #: floor(2**32 / golden ratio): the step of the golden-ratio points on a 32-bit circle.
 GOLDEN = 2654435769
 CIRCLE = 1 << 32
@@ -73,7 +79,8 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_passes:
 def schedule(goals: DataFrame, slots: int = SLOTS, max_passes: int = MAX_PASSES) -> DataFrame:
     """slot, source, rank, pass, block, block_tokens: what each slot of the mix takes.
 
-    goals: source, source_size, target. Slots are as many as given for any input.
+    goals: source, source_size, target. The circle's slots are as many as given for any input; those that fall to a
+    source of fewer than FINE blocks stay empty, and `_fine` schedules it.
     """
     whole = Window.partitionBy()
     upto = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
@@ -83,7 +90,8 @@ def schedule(goals: DataFrame, slots: int = SLOTS, max_passes: int = MAX_PASSES)
          .withColumn("block_tokens", F.greatest(F.lit(1), F.ceil(F.col("total") / F.lit(1000.0 * slots))).cast("long"))
          .withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("block_tokens")).cast("long")))
     g = (g.withColumn("n_slots", F.ceil(F.col("total") / (F.lit(1000.0) * F.col("block_tokens"))).cast("long"))
-         .withColumn("goal", F.struct("source", "n_blocks", "block_tokens", "n_slots")))
+         .withColumn("small", F.col("target") < F.col("block_tokens") * F.lit(FINE))
+         .withColumn("goal", F.struct("source", "n_blocks", "block_tokens", "n_slots", "small")))
     spark = goals.sparkSession
     points = spark.range(0, slots, 1, 8).select(F.col("id").alias("slot"),
                                                 ((F.col("id") * F.lit(GOLDEN)) % F.lit(CIRCLE)).alias("at"))
@@ -92,13 +100,33 @@ def schedule(goals: DataFrame, slots: int = SLOTS, max_passes: int = MAX_PASSES)
     line = points.withColumn("goal", F.lit(None).cast(g.schema["goal"].dataType)).unionByName(ends)
     down = Window.orderBy(F.col("at").desc(), F.col("slot").asc_nulls_first(), F.col("goal.source").desc_nulls_first())
     line = line.withColumn("goal", F.last("goal", ignorenulls=True).over(
-        down.rowsBetween(Window.unboundedPreceding, 0))).where("slot < goal.n_slots")
+        down.rowsBetween(Window.unboundedPreceding, 0))).where("slot < goal.n_slots and not goal.small")
     rank = Window.partitionBy("goal.source").orderBy("slot")
     out = line.select("slot", "goal.source", "goal.n_blocks", "goal.block_tokens", (F.row_number().over(rank) - 1).cast("long").alias("rank"))
     return (out.withColumn("pass", F.floor(F.col("rank") / F.col("n_blocks")).cast("long"))
             .withColumn("block", F.col("rank") % F.col("n_blocks"))
             .where(F.col("pass") < max_passes)
-            .select("slot", "source", "rank", "pass", "block", "block_tokens"))
+            .select("slot", "source", "rank", "pass", "block", "block_tokens")
+            .unionByName(_fine(g.where("small"), max_passes)))
+
+
+def _fine(g: DataFrame, max_passes: int) -> DataFrame:
+    """The schedule's rows of small sources: whole passes, then as many blocks as come nearest to the target.
+
+    The rank-th of a source's slots stands in the rank-th of so many equal stretches of the circle's slots, at a
+    place within it that goes by the source's name.
+    """
+    g = (g.withColumn("block_tokens", F.greatest(F.lit(1), F.ceil(F.col("target") / F.lit(FINE))).cast("long"))
+         .withColumn("n_blocks", F.ceil(F.col("source_size") / F.col("block_tokens")).cast("long"))
+         .withColumn("whole", F.least(F.lit(max_passes), F.floor(F.col("target") / F.col("source_size"))).cast("long"))
+         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+         .withColumn("n", (F.col("whole") * F.col("n_blocks") + F.round(F.col("rest") / F.col("block_tokens"))).cast("long"))
+         .withColumn("at", F.pmod(F.xxhash64("source"), F.lit(CIRCLE)) / F.lit(float(CIRCLE))))
+    out = (g.where("n > 0").withColumn("rank", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+           .withColumn("slot", F.floor((F.col("rank") + F.col("at")) * F.col("n_slots") / F.col("n")).cast("long"))
+           .withColumn("pass", F.floor(F.col("rank") / F.col("n_blocks")).cast("long"))
+           .withColumn("block", F.col("rank") % F.col("n_blocks")))
+    return out.where(F.col("pass") < max_passes).select("slot", "source", "rank", "pass", "block", "block_tokens")
 
 
 def placed(docs: DataFrame) -> DataFrame:
@@ -112,8 +140,9 @@ def pieces(places: DataFrame, plan: DataFrame) -> DataFrame:
 
     A document meets the blocks that it overlaps: documents + blocks rows at most in all.
     """
-    block_tokens = plan.agg(F.max("block_tokens")).first()[0] or 1  # one number, the same for all sources
-    cut = (places.where("size > 0").withColumn("block_tokens", F.lit(block_tokens).cast("long"))
+    # one row for each source in the plan, written so that its size is known before the join
+    width = written(plan.groupBy(F.col("source").alias("_s")).agg(F.max("block_tokens").alias("block_tokens")), "widths")
+    cut = (places.where("size > 0").join(width, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
            .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("block_tokens")),
                                                      F.floor((F.col("start") + F.col("size") - 1) / F.col("block_tokens"))))))
     cut = (cut.withColumn("first_word", F.greatest(F.lit(0), F.col("block") * F.col("block_tokens") - F.col("start")))

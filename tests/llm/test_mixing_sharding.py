@@ -67,6 +67,27 @@ def test_targets_by_repeated_resharing(spark):
         assert all(0 <= t <= 2 * sizes[n] + 1e-9 for n, t in got.items())
 
 
+def test_sources_below_a_block_reach_their_targets(spark):
+    """One hot source, and many that are smaller than a block of the circle or a few of them."""
+    rng = random.Random(4)
+    small = {f"t{i:02}": rng.choice([1, 3, 40, 150, 400, 1500]) for i in range(30)} | {None: 55}
+    rows = [(i, "w " * 20000, "hot") for i in range(10)]
+    for s, n in small.items():
+        while n:
+            k = rng.randrange(1, n + 1)
+            rows.append((len(rows), "w " * k, s))
+            n -= k
+    sizes = {"hot": 200000} | small
+    want, got = _reshared(sizes), defaultdict(int)
+    docs, plan, _ = mixing.mix(_frame(spark, rows), slots=512)  # blocks of some 600 words
+    for r in docs.collect():
+        assert r.taken <= 2 * r["size"]
+        got[r.source] += r.taken
+    assert all(abs(got[s] - t) <= 0.02 * t + 1 for s, t in want.items()), {s: (got[s], t) for s, t in want.items()}
+    assert all(0 <= r.slot < 512 for r in plan.collect())
+    assert len({r.source for r in mixing.mixed_documents(_frame(spark, rows), slots=512).select("source").collect()}) == 32
+
+
 def test_given_table_is_near_its_targets(spark):
     rows = mixing.query(spark, "/root/testdata/sf0.01").collect()
     want = _reshared({r.source: r.source_size for r in rows})
