@@ -12,6 +12,15 @@ masks, each of which ignores another word of five, no such overlap of 80% or mor
 the replaced words lie, one in five at most, some five consecutive words hold at most one of them
 (words of an item that reach out of the document count as replaced).
 
+With `passage` words given (the query and the pipeline give PASSAGE), two more kinds of overlap count for items
+of SPAN words and more, whatever the item's length:
+
+* a passage: of some `passage` consecutive words of the item (all, where it is shorter) at least `percent`
+  stand in the document in place. No such passage at one offset is missed, for the same reason as above;
+* joined stretches: the same for a passage or for the whole item, where words were put in or left out: the
+  passage may go on at another of the item's hits whose offset differs by GAP words or less, forward in both.
+  A stretch too short for any seed (four words of five) joins nothing.
+
 The benchmark is a stated query set: it is sent to all tasks in blocks of at most BLOCK_HASHES hashes
 (16 bytes each), and each block meets all documents in one pass, so its size is bounded whatever the
 benchmark's. Items are found once per text: equal item texts share their hashes.
@@ -23,6 +32,8 @@ empty benchmark or document table gives no hits. Other columns are not looked at
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +45,10 @@ from .blocks import blocks, mix, text_bytes, word_hashes, word_spans, worker_cac
 MASKS = ("01111", "10111", "11011", "11101", "11110")
 SPAN = 5
 PERCENT = 80
+#: words of an item that make a passage of it
+PASSAGE = 13
+#: words put in or left out between two stretches that are joined
+GAP = 3
 BLOCK_HASHES = 1 << 20
 _U = np.uint64
 _SALT = np.random.default_rng(11).integers(1, 2**63, size=64, dtype=np.uint64) * _U(2) + _U(1)
@@ -113,24 +128,81 @@ def overlap(item: np.ndarray, doc: np.ndarray, offset: int) -> np.ndarray:
     return same
 
 
-def _search(items: Items, percent: int):
+def joined(item: np.ndarray, doc: np.ndarray, offsets: np.ndarray, length: int) -> int:
+    """The most of any `length` consecutive item words that the document has in order, each stretch at one of the
+    (sorted) offsets, which change by GAP at most from stretch to stretch."""
+    k, best = len(offsets), 0
+    starts = len(item) - length + 1
+    # an offset's neighbours as columns; k: there is none
+    near = {d: np.searchsorted(offsets, offsets + d) for d in range(-GAP, GAP + 1) if d}
+    near = {d: np.where((i < k) & (offsets[np.minimum(i, k - 1)] == offsets + d), i, k) for d, i in near.items()}
+    step = max(1, (1 << 22) // (k + 1))
+    for low in range(0, starts, step):
+        begin = np.arange(low, min(low + step, starts))
+        before: list[np.ndarray] = []  # most matched up to each of the last words; the last column is for no neighbour
+        for t in range(length):
+            at = (begin + t)[:, None] + offsets[None, :]
+            inside = (at >= 0) & (at < len(doc))
+            same = inside & (doc[np.where(inside, at, 0)] == item[begin + t][:, None])
+            most = np.zeros((len(begin), k + 1), np.int32)
+            if before:
+                most[:, :k] = before[-1][:, :k]
+            for d in range(1, GAP + 1):
+                if len(before) > 0:  # d words of the document are put in
+                    most[:, :k] = np.maximum(most[:, :k], before[-1][:, near[-d]])
+                if len(before) > d:  # d words of the item are left out
+                    most[:, :k] = np.maximum(most[:, :k], before[-1 - d][:, near[d]])
+            most[:, :k] += same
+            before = [*before[-GAP:], most]
+        best = max(best, int(before[-1].max()))
+    return best
+
+
+def _passage(same: np.ndarray, length: int) -> int:
+    """The most of any `length` consecutive words that are the same."""
+    total = np.concatenate([[0], np.cumsum(same)])
+    return int((total[length:] - total[:-length]).max())
+
+
+def _best(items: Items, data: np.ndarray, off: np.ndarray, percent: int, passage: int | None) -> dict:
+    """(row, number of the item) -> (words of it that stand in the row, offset) for the items that contaminate rows."""
+    start, end, row = word_spans(data, off)
+    n_rows = len(off) - 1
+    # a word that equals none stands before and after each row: items may reach one word out in a window
+    place = np.arange(len(row)) + 2 * row + 1
+    words = np.zeros(len(row) + 2 * n_rows, np.uint64)
+    words[place] = word_hashes(data, start, end)
+    row = np.repeat(np.arange(n_rows), np.bincount(row, minlength=n_rows) + 2)
+    first = np.searchsorted(row, np.arange(n_rows + 1)) + 1
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    for (r, i), group in groupby(items.hits(words, row).tolist(), key=lambda x: (x[0], x[1])):
+        item, doc = items.words[i], words[first[r] : first[r + 1] - 2]
+        offsets = [at - int(first[r]) for _, _, at in group]
+        length = min(passage or 0, len(item)) if len(item) >= SPAN else 0
+        most, where, found = 0, 0, False
+        for at in offsets:
+            same = overlap(item, doc, at)
+            n = int(same.sum())
+            enough = n == len(item) if len(item) < SPAN else 100 * n >= percent * len(item)
+            if length and not enough:
+                enough = 100 * _passage(same, length) >= percent * length
+            if (enough, n) > (found, most):
+                most, where, found = n, at, enough
+        if length and not found and len(offsets) > 1 and (np.diff(offsets) <= GAP).any():
+            known = np.array(offsets)
+            total = joined(item, doc, known, len(item))
+            if 100 * total >= percent * len(item) or 100 * joined(item, doc, known, length) >= percent * length:
+                most, found = total, True
+        if found:
+            best[r, i] = (most, where)
+    return best
+
+
+def _search(items: Items, percent: int, passage: int | None):
     def run(batches):
         worker_cache(None, None)
         for batch, data, off in blocks(batches):
-            start, end, row = word_spans(data, off)
-            # a word that equals none stands before and after each row: items may reach one word out in a window
-            place = np.arange(len(row)) + 2 * row + 1
-            words = np.zeros(len(row) + 2 * batch.num_rows, np.uint64)
-            words[place] = word_hashes(data, start, end)
-            row = np.repeat(np.arange(batch.num_rows), np.bincount(row, minlength=batch.num_rows) + 2)
-            first = np.searchsorted(row, np.arange(batch.num_rows + 1)) + 1
-            best: dict[tuple[int, int], tuple[int, int]] = {}
-            for r, i, at in items.hits(words, row).tolist():
-                item, at = items.words[i], at - int(first[r])
-                n = int(overlap(item, words[first[r] : first[r + 1] - 2], at).sum())
-                enough = n == len(item) if len(item) < SPAN else 100 * n >= percent * len(item)
-                if enough and n > best.get((r, i), (0, 0))[0]:
-                    best[r, i] = (n, at)
+            best = _best(items, data, off, percent, passage)
             if best:
                 ids = batch.column("doc_id").to_pylist()
                 rows = [(ids[r], items.ids[i], at, len(items.words[i]), n)
@@ -154,21 +226,27 @@ def item_blocks(benchmark: DataFrame, block_hashes: int = BLOCK_HASHES, masks=MA
         yield Items(rows, masks)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, masks=MASKS) -> DataFrame:
-    """doc_id, item_id, first_word, n_words, n_matched: the best overlap of each document with each item in it."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, masks=MASKS,
+                 passage: int | None = None) -> DataFrame:
+    """doc_id, item_id, first_word, n_words, n_matched: the best overlap of each document with each item in it.
+
+    first_word and n_matched are of the whole item laid at one offset or, where only joined stretches are enough,
+    its best stretch's offset and the words of all joined stretches.
+    """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for block in item_blocks(benchmark, masks=masks):
-        part = d.mapInArrow(_search(block, percent), HITS)
+        part = d.mapInArrow(_search(block, percent, passage), HITS)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], HITS)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, passage: int | None = None) -> DataFrame:
     """The documents, all columns kept, that no item contaminates."""
-    bad = contaminated(docs, benchmark, percent).select(F.col("doc_id").alias("_bad"))
+    bad = contaminated(docs, benchmark, percent, passage=passage).select(F.col("doc_id").alias("_bad"))
     return docs.join(bad.distinct(), docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+                        passage=PASSAGE)

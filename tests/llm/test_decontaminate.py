@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from logsieve.llm import decontaminate as dc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -64,6 +66,58 @@ def test_all_overlaps(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(x) for x, _ in docs if x not in bad)
 
 
+def test_passages_and_joined_stretches(spark):
+    rng = random.Random(9)
+    other = lambda n: [f"o{rng.randrange(10**6)}" for _ in range(n)]
+    items = [[f"i{k}w{j}" for j in range(n)] for k, n in enumerate([59, 200, 16, 30, 8, 3])]
+    a, b, c, e, g, h = items
+    dirty = [(a[3:48], 0), (b[:100], 1), (b[90:103], 1), (b[150:156] + ["x"] + b[157:163], 1), (c[:8] + ["x"] + c[8:], 2),
+             (c[:8] + c[9:], 2), (c[:7] + ["x", "y", "z"] + c[7:], 2), (e[:15] + ["x"] + e[15:], 3), (e[:5] + e[7:12] + ["x"] + e[12:18], 3), (g[:4] + ["x"] + g[5:], 4),
+             (h, 5)]
+    fine = [a[:10], b[20:30], c[:8] + other(4) + c[8:], e[:10] + other(9) + e[20:], e[10:20] + e[:10], g[:5], h[:2], c[:5] + other(1) + e[:5]]
+    docs = [(i, " ".join(other(30) + x + other(30))) for i, (x, _) in enumerate(dirty)]
+    docs += [(100 + i, " ".join(other(30) + x + other(30))) for i, x in enumerate(fine)]
+    docs.append((200, " ".join(b[:13])))
+    d, bench = _frames(spark, docs, [(i, " ".join(x)) for i, x in enumerate(items)])
+    got = dc.contaminated(d, bench, passage=dc.PASSAGE).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, k) for i, (_, k) in enumerate(dirty)] + [(200, 1)]
+    n = {r.doc_id: r.n_matched for r in got}
+    assert (n[0], n[1], n[4], n[5], n[7]) == (45, 100, 16, 15, 15)
+
+
+def test_joined_is_the_longest_chain():
+    rng = np.random.default_rng(5)
+
+    def slow(item, doc, offsets, length):
+        best = 0
+        for s in range(len(item) - length + 1):
+            pairs = [(j, o) for j in range(s, s + length) for o in offsets if 0 <= j + o < len(doc) and doc[j + o] == item[j]]
+            f = {}
+            for j, o in pairs:
+                # the path may pass over unmatched words, and change its offset more than once between matches
+                f[j, o] = 1 + max((n for (i, p), n in f.items() if i < j and _reach(i, p, j, o, offsets)), default=0)
+            best = max([best, *f.values()])
+        return best
+
+    def _reach(i, p, j, o, offsets):
+        seen, todo = set(), [(i, p)]
+        while todo:
+            x, q = todo.pop()
+            if (x, q) in seen or x > j:
+                continue
+            seen.add((x, q))
+            if (x, q) == (j, o):
+                return True
+            todo += [(x + 1 + max(0, q - r), r) for r in offsets if abs(q - r) <= dc.GAP]
+        return False
+
+    for _ in range(150):
+        item, doc = rng.integers(0, 4, 9).astype(np.uint64), rng.integers(0, 4, 14).astype(np.uint64)
+        offsets = np.unique(rng.integers(-3, 9, 4))
+        for length in (5, 9):
+            assert dc.joined(item, doc, offsets, length) == slow(item, doc, offsets.tolist(), length)
+
+
 def test_empty(spark):
     d, b = _frames(spark, [(1, "a b c d e f")], [(1, "a b c d e f")])
     assert dc.contaminated(d.limit(0), b).count() == 0
