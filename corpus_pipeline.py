@@ -1,8 +1,9 @@
 """From raw documents to token files, in five stages, each on what the one before it kept.
 
 language_id      rows whose language cannot be told (no letters, or no language holding MIN_SCORE of them) go
-near_dedup       of documents linked by word-5-gram similarity of 0.8 or more, the smallest doc_id stays
-decontaminate    documents holding four fifths of a benchmark item's words in place, or of 13 in a row, go
+near_dedup       of documents linked by word-5-gram similarity of 0.8 or more, the smallest doc_id stays;
+                 texts that share a doc_id are told apart
+decontaminate    documents holding four fifths of a benchmark item's words in place, or of 13 in a row, go, row by row
 mix              documents as often, and as far, as the mix to source weights takes them
 token_output     the mix as token files; a row for each of its documents, read back from them
 
@@ -27,7 +28,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), passage=decontaminate.PASSAGE)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.clean_rows(docs, benchmark, passage=decontaminate.PASSAGE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

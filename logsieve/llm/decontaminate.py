@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks, mix, text_bytes, word_hashes, word_spans, worker_cache
+from .blocks import blocks, mix, text_bytes, word_hashes, word_spans, worker_cache, written
 
 #: Fixed masks, 1: the word counts. Each word of a window is ignored by one of them.
 MASKS = ("01111", "10111", "11011", "11101", "11110")
@@ -242,11 +242,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, passage: int | None = None) -> DataFrame:
-    """The documents, all columns kept, that no item contaminates."""
+    """The rows of documents, all columns kept, whose doc_id no item contaminates: every row of such an id goes,
+    whatever its text. `clean_rows` decides row by row."""
     bad = contaminated(docs, benchmark, percent, passage=passage).select(F.col("doc_id").alias("_bad"))
     return docs.join(bad.distinct(), docs["doc_id"].eqNullSafe(F.col("_bad")), "left_anti")
 
 
+def _untouched(items: Items, percent: int, passage: int | None):
+    def run(batches):
+        worker_cache(None, None)
+        for batch, data, off in blocks(batches):
+            keep = np.ones(batch.num_rows, bool)
+            keep[[r for r, _ in _best(items, data, off, percent, passage)]] = False
+            if keep.any():
+                yield batch if keep.all() else batch.filter(pa.array(keep))
+    return run
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, passage: int | None = None) -> DataFrame:
+    """The rows of docs, all columns kept, whose own text no item contaminates, whatever their doc_ids.
+
+    One pass for each block of items, on what the one before it kept; passes are written, so that one is run at a time.
+    """
+    out = None
+    for block in item_blocks(benchmark):
+        out = docs if out is None else written(out, "clean")
+        out = out.mapInArrow(_untouched(block, percent, passage), docs.schema)
+    return docs if out is None else out
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
                         passage=PASSAGE)

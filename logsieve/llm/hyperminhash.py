@@ -375,10 +375,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns kept, without near duplicates: of each component the document with the
-    smallest doc_id. Of rows with equal doc_id the first by text stays; rows without doc_id stay, once per text."""
-    kept = near_duplicates(docs, k, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    one = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text")
+    smallest doc_id.
+
+    Here the texts of one doc_id are documents of their own, in order of their hash (64 bits of doc_id and text
+    name them). Rows with equal doc_id and text stay once; rows without doc_id stay, once per text.
+    """
+    ident = F.col("doc_id").cast("long")
+    several = written(docs.select(ident.alias("_d"), F.xxhash64("text").alias("_h")).where("_d is not null")
+                      .groupBy("_d").agg(F.min("_h").alias("lo"), F.max("_h").alias("hi")).where("lo <> hi").select("_d"), "several")
+    own = docs.withColumn("_uid", ident)
+    told_apart = not several.isEmpty()
+    if told_apart:
+        own = own.join(several, F.col("_uid") == F.col("_d"), "left").withColumn(
+            "_uid", F.when(F.col("_d").isNotNull(), F.xxhash64("_d", "text")).otherwise(F.col("_uid"))).drop("_d")
+    found = near_duplicates(own.select(F.col("_uid").alias("doc_id"), "text"), k, percent)
+    if told_apart:
+        # a component's name is no longer its smallest doc_id
+        names = own.select(F.col("_uid").alias("_u"), ident.alias("_d")).distinct()
+        found = found.join(names, F.col("doc_id").eqNullSafe(F.col("_u")))
+        kept = found.groupBy("component_id").agg(F.min(F.struct("_d", "_u")).alias("least")).select(F.col("least._u").alias("_kept"))
+    else:
+        kept = found.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = own.join(kept, F.col("_uid").eqNullSafe(F.col("_kept")), "left_semi").drop("_uid")
+    one = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
     return rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
 
 

@@ -85,6 +85,19 @@ def test_passages_and_joined_stretches(spark):
     assert (n[0], n[1], n[4], n[5], n[7]) == (45, 100, 16, 15, 15)
 
 
+def test_clean_goes_row_by_row(spark, monkeypatch):
+    item, second = " ".join(f"i{j}" for j in range(20)), " ".join(f"j{j}" for j in range(20))
+    dirty = [(None, "a " + item + " b"), (7, item), (7, second + " z")]
+    fine = [(None, "a clean text"), (None, None), (None, ""), (7, "another text of seven"), (8, "x"), (8, "x")]
+    d, b = _frames(spark, dirty + fine, [(1, item), (2, second)])
+    want = sorted(map(str, fine))
+    assert sorted(str((r.doc_id, r.text)) for r in dc.clean_rows(d, b).collect()) == want
+    monkeypatch.setattr(dc.item_blocks, "__defaults__", (1, dc.MASKS))  # a block for each item
+    kept = dc.clean_rows(d, b, passage=dc.PASSAGE)
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == want and kept.columns == d.columns
+    assert dc.clean_rows(d, b.limit(0)).count() == len(dirty + fine) and dc.clean_rows(d.limit(0), b).count() == 0
+
+
 def test_joined_is_the_longest_chain():
     rng = np.random.default_rng(5)
 

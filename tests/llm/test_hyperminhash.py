@@ -60,6 +60,14 @@ def test_components_of_all_pairs(spark):
         assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
 
 
+def test_texts_of_one_doc_id_are_told_apart(spark):
+    text = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    stay = [(5, text("a")), (5, text("b")), (3, text("c")), (9, text("d")), (None, text("a")), (None, text("e")), (5, None), (5, "")]
+    go = [(9, text("c") + " more"), (7, text("b")), (5, text("c") + " end")]
+    got = hmh.deduplicated(_frame(spark, stay + go + [stay[0], stay[5]])).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(map(str, stay))
+
+
 def test_empty(spark):
     assert hmh.near_duplicates(_frame(spark, [])).count() == 0
 
