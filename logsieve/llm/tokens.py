@@ -18,7 +18,8 @@ those sums run over segment headers only.
 Encoding is the tokenizers library's own, called once per distinct piece between spaces and
 worker: a byte-level pre-tokenizer always splits before a space that has a non-space on either
 side, so the pieces' ids, one after another, are the text's. Texts with a space between white
-space on both sides are encoded whole. Special tokens' strings in a text are ordinary text.
+space on both sides are encoded whole, as are texts that hold the string of an added token (such as
+<|endoftext|>), which the library turns into that token's id.
 
 Defined cases: a null or empty text is the end id alone; null doc_ids come first; equal doc_ids
 follow each other by text; an empty table writes an empty table; a text longer than a segment is
@@ -77,7 +78,7 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.reset()
 
@@ -113,7 +114,7 @@ class PieceEncoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if _ODD.search(text):
+            if any(a in text for a in self.added) or _ODD.search(text):
                 c = [self.add(text)]
             else:
                 pieces = text.split(" ")

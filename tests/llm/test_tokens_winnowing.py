@@ -28,6 +28,16 @@ def test_pieces_are_the_librarys_ids(texts):
     assert flat.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
 
 
+def test_added_tokens_are_the_unchanged_librarys():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokens.default_tokenizer())
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "one <|endoftext|> two  three <|endoftext|>\n", "<|endoftext |> <|endoftext", *filter(None, TEXTS)]
+    flat, n = tokens.encoder(tokens.default_tokenizer()).encode(texts)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert plain.token_to_id("<|endoftext|>") in want[0]
+    assert flat.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+
+
 @given(st.lists(st.integers(0, 5000), max_size=700))
 def test_elias_fano(steps):
     v = np.cumsum([s if s % 3 else 0 for s in steps]) if steps else np.zeros(0, np.int64)
