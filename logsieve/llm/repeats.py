@@ -18,8 +18,8 @@ An anchor that more than HOT segments share is not sorted in one task: its windo
 by their hashes, with partial aggregation and joins.
 
 Defined cases: a null or empty text has no bytes; texts below MIN_LENGTH bytes have no repeats; rows
-with equal doc_id and text are one document; rows with equal doc_id and different texts are ordered by a
-hash of the text; a null doc_id comes before all others; an empty table gives no rows. Columns other
+with equal doc_id and text are one document; rows with equal doc_id and different texts are told apart, and
+ordered, by a 64-bit hash of the text (`tag`, 0 where a doc_id has one text); a null doc_id comes before all others; an empty table gives no rows. Columns other
 than doc_id and text are not looked at.
 """
 
@@ -40,8 +40,6 @@ HOT = 20_000
 #: segment bytes sorted at a time in a task, at least one anchor's
 ARRAY_BYTES = 1 << 20
 _U = np.uint64
-#: a place: 16 bits of the text's hash (tells rows of one doc_id apart), then the byte offset
-_PLACE = 40
 _NO_ID = -(1 << 63)
 _LEAF = 1 << 62
 
@@ -197,35 +195,36 @@ def _anchors(batches):
     for batch, data, off in blocks(batches):
         row, first, n, h = segments(data, off, MIN_LENGTH, GRAM)
         if len(row):
-            did = batch.column("did").to_numpy(zero_copy_only=False)[row]
-            place = batch.column("tag").to_numpy(zero_copy_only=False)[row] + first
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(did), pa.array(place), pa.array(n.astype(np.int32))],
-                                             names=["h", "did", "place", "n"])
+            did, tag = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("did", "tag"))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(did), pa.array(tag), pa.array(first),
+                                              pa.array(n.astype(np.int32))], names=["h", "did", "tag", "place", "n"])
 
 
 def _segment_bytes(single: bool):
     """Rows of documents with the list `segs` of their shared segments -> the segments' bytes, or, singly, window hashes."""
     def run(batches):
         for batch, data, off in blocks(batches):
-            h, did, place, raw = [], [], [], []
+            h, did, tag, place, raw = [], [], [], [], []
             keys, tags = batch.column("did").to_pylist(), batch.column("tag").to_pylist()
             for i, segs in enumerate(batch.column("segs").to_pylist()):
                 text = data[off[i] : off[i + 1]]
                 whole = rolling(text, MIN_LENGTH).view(np.int64) if single else None
                 body = text.tobytes()
                 for s in segs:
-                    at = s["place"] - tags[i]
+                    at = s["place"]
                     if single:
                         h += whole[at : at + s["n"]].tolist()
                         did += [keys[i]] * s["n"]
-                        place += range(s["place"], s["place"] + s["n"])
+                        tag += [tags[i]] * s["n"]
+                        place += range(at, at + s["n"])
                     else:
                         h.append(s["h"])
                         did.append(keys[i])
-                        place.append(s["place"])
+                        tag.append(tags[i])
+                        place.append(at)
                         raw.append(body[at : at + s["n"] + MIN_LENGTH - 1])
-            cols = [pa.array(h, pa.int64()), pa.array(did, pa.int64()), pa.array(place, pa.int64())]
-            names = ["h", "did", "place"]
+            cols = [pa.array(x, pa.int64()) for x in (h, did, tag, place)]
+            names = ["h", "did", "tag", "place"]
             if not single:
                 cols, names = [*cols, pa.array(raw, pa.binary())], [*names, "raw"]
             if h:
@@ -254,76 +253,93 @@ def _array_blocks(batches):
 def _suffixes(batches):
     for held in _array_blocks(batches):
         col = lambda c: [x for b in held for x in b.column(c).to_pylist()]
-        yield Suffixes(np.array(col("did"), np.int64), np.array(col("place"), np.int64), col("raw"))
+        # documents (did, tag) by their rank in the block
+        did, tag = np.array(col("did"), np.int64), np.array(col("tag"), np.int64)
+        order = np.lexsort((tag, did))
+        d, t = did[order], tag[order]
+        new = np.append(True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        yield Suffixes(rank, np.array(col("place"), np.int64), col("raw")), d[new], t[new]
 
 
 def _cover_rows(batches):
-    for s in _suffixes(batches):
+    for s, did, tag in _suffixes(batches):
         n = s.covered()
         keep = n > 0
-        yield pa.RecordBatch.from_arrays([pa.array(s.doc[keep]), pa.array(s.place[keep]), pa.array((s.place + n)[keep])],
-                                         names=["did", "begin", "end"])
+        doc, place = s.doc[keep], s.place[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(did[doc]), pa.array(tag[doc]), pa.array(place), pa.array(place + n[keep])],
+                                         names=["did", "tag", "begin", "end"])
 
 
 def _group_rows(batches):
-    for s in _suffixes(batches):
+    for s, did, tag in _suffixes(batches):
         rows = []
         for length, members in s.groups():
             first = min((int(s.doc[i]), int(s.place[i])) for i in members)
-            rows += [(*first, length, int(s.doc[i]), int(s.place[i])) for i in members]
+            doc, at = first
+            rows += [(did[doc], tag[doc], at, length, did[s.doc[i]], tag[s.doc[i]], s.place[i]) for i in members]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
-                                             names=["first_did", "first_place", "length", "did", "place"])
+                                             names=["first_did", "first_tag", "first_place", "length", "did", "tag", "place"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"),
-                       F.shiftleft(F.pmod(F.xxhash64("text"), F.lit(1 << 16)), _PLACE).alias("tag"), "text")
+    """did, tag, text: what names a row's text, the tag being a hash of it where the did stands on several texts."""
+    did, tag = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"), F.xxhash64("text")
+    several = written(docs.select(did, tag.alias("tag")).groupBy("did").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"))
+                      .where("lo <> hi").select(F.col("did").alias("_d")), "several")
+    rows = docs.select(did, "text")
+    if several.isEmpty():
+        return rows.select("did", F.lit(0).cast("long").alias("tag"), "text")
+    return (rows.join(several, F.col("did") == F.col("_d"), "left")
+            .select("did", F.when(F.col("_d").isNotNull(), tag).otherwise(F.lit(0)).alias("tag"), "text"))
 
 
 def _with_segments(rows: DataFrame, shared: DataFrame) -> DataFrame:
     """rows (did, tag, text) with the list of those of their segments in shared."""
-    lists = (shared.withColumn("t", F.shiftleft(F.shiftright("place", _PLACE), _PLACE)).groupBy("did", "t")
-             .agg(F.collect_list(F.struct("h", "place", "n")).alias("segs")).withColumnRenamed("did", "_d"))
-    return rows.join(lists, (F.col("did") == F.col("_d")) & (F.col("tag") == F.col("t"))).select("did", "tag", "text", "segs")
+    lists = (shared.groupBy("did", "tag").agg(F.collect_list(F.struct("h", "place", "n")).alias("segs"))
+             .withColumnsRenamed({"did": "_d", "tag": "_t"}))
+    return rows.join(lists, (F.col("did") == F.col("_d")) & (F.col("tag") == F.col("_t"))).select("did", "tag", "text", "segs")
 
 
 def _shared_segments(rows: DataFrame) -> DataFrame:
-    """h, did, place, n, rows of the segments whose anchor another segment has too."""
-    found = rows.mapInArrow(_anchors, "h long, did long, place long, n int")
+    """h, did, tag, place, n, rows of the segments whose anchor another segment has too."""
+    found = rows.mapInArrow(_anchors, "h long, did long, tag long, place long, n int")
     often = found.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").withColumnRenamed("h", "_h")
-    return written(found.join(often, F.col("h") == F.col("_h")).select("h", "did", "place", "n", "rows"), "shared")
+    return written(found.join(often, F.col("h") == F.col("_h")).select("h", "did", "tag", "place", "n", "rows"), "shared")
 
 
 def _sorted_segments(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    got = _with_segments(rows, shared).mapInArrow(_segment_bytes(False), "h long, did long, place long, raw binary")
+    got = _with_segments(rows, shared).mapInArrow(_segment_bytes(False), "h long, did long, tag long, place long, raw binary")
     return got.repartition("h").sortWithinPartitions("h")
 
 
 def repeat_groups(docs: DataFrame) -> DataFrame:
-    """Maximal repeat groups within segments: first_did, first_place, length, and each occurrence's did, place.
+    """Maximal repeat groups within segments: first_did, first_tag, first_place, length, and each occurrence's did,
+    tag, place.
 
-    A place is the byte offset plus 2**40 times the text's 16-bit tag. Occurrences are listed under each of
+    did and tag name the text, a place is a byte offset in it. Occurrences are listed under each of
     their groups; anchors shared by more than HOT segments are left to `covers`.
     """
     rows = _keyed(docs)
     shared = _shared_segments(rows).where(F.col("rows") <= HOT)
     return _sorted_segments(rows, shared).mapInArrow(
-        _group_rows, "first_did long, first_place long, length long, did long, place long")
+        _group_rows, "first_did long, first_tag long, first_place long, length long, did long, tag long, place long")
 
 
 def covers(rows: DataFrame) -> DataFrame:
-    """did, begin, end (places) of pieces that repeat an earlier string of MIN_LENGTH bytes or more."""
+    """did, tag, begin, end (byte offsets) of pieces that repeat an earlier string of MIN_LENGTH bytes or more."""
     shared = _shared_segments(rows)
     out = written(_sorted_segments(rows, shared.where(F.col("rows") <= HOT))
-                  .mapInArrow(_cover_rows, "did long, begin long, end long"), "covers")
+                  .mapInArrow(_cover_rows, "did long, tag long, begin long, end long"), "covers")
     hot = shared.where(F.col("rows") > HOT)
     if not hot.isEmpty():
-        one = written(_with_segments(rows, hot).mapInArrow(_segment_bytes(True), "h long, did long, place long"), "hot")
-        first = (one.groupBy("h").agg(F.min(F.struct("did", "place")).alias("first")).withColumnRenamed("h", "_h"))
+        one = written(_with_segments(rows, hot).mapInArrow(_segment_bytes(True), "h long, did long, tag long, place long"), "hot")
+        first = (one.groupBy("h").agg(F.min(F.struct("did", "tag", "place")).alias("first")).withColumnRenamed("h", "_h"))
         out = out.unionByName(written(one.join(first, F.col("h") == F.col("_h"))
-                                      .where(F.struct("did", "place") > F.col("first"))
-                                      .select("did", F.col("place").alias("begin"), (F.col("place") + MIN_LENGTH).alias("end")),
+                                      .where(F.struct("did", "tag", "place") > F.col("first"))
+                                      .select("did", "tag", F.col("place").alias("begin"), (F.col("place") + MIN_LENGTH).alias("end")),
                                       "hot-covers"))
     return out
 
@@ -331,11 +347,10 @@ def covers(rows: DataFrame) -> DataFrame:
 def _kept(batches):
     for batch, data, off in blocks(batches):
         n_bytes, removed, spans, sha, kept = [], [], [], [], []
-        tags = batch.column("tag").to_pylist()
         for i, pieces in enumerate(batch.column("pieces").to_pylist()):
             text = data[off[i] : off[i + 1]].tobytes()
             merged = []
-            for begin, end in sorted((p["begin"] - tags[i], p["end"] - tags[i]) for p in pieces or ()):
+            for begin, end in sorted((p["begin"], p["end"]) for p in pieces or ()):
                 if merged and begin <= merged[-1][1]:
                     merged[-1][1] = max(end, merged[-1][1])
                 else:
@@ -362,10 +377,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     or earlier in the same document.
     """
     rows = _keyed(docs)
-    pieces = (covers(rows).withColumn("t", F.shiftleft(F.shiftright("begin", _PLACE), _PLACE)).groupBy("did", "t")
-              .agg(F.collect_list(F.struct("begin", "end")).alias("pieces")).withColumnRenamed("did", "_d"))
-    both = rows.join(pieces, (F.col("did") == F.col("_d")) & (F.col("tag") == F.col("t")), "left")
-    return (both.select(F.when(F.col("did") != _NO_ID, F.col("did")).alias("doc_id"), "tag", "text", "pieces")
+    pieces = (covers(rows).groupBy("did", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("pieces"))
+              .withColumnsRenamed({"did": "_d", "tag": "_t"}))
+    both = rows.join(pieces, (F.col("did") == F.col("_d")) & (F.col("tag") == F.col("_t")), "left")
+    return (both.select(F.when(F.col("did") != _NO_ID, F.col("did")).alias("doc_id"), "text", "pieces")
             .mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
 
 

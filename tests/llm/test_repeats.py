@@ -6,6 +6,7 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from logsieve.llm import repeats as rp
 
@@ -73,6 +74,20 @@ def test_repeated_ids_and_empty(spark):
     assert _got(spark, []) == []
 
 
+def test_many_texts_without_id(spark, monkeypatch):
+    """More texts of one id than 16 bits tell apart; each holds a passage of its own twice, or a common one."""
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    common, own = text(120), [text(101) for _ in range(1500)]
+    texts = [o + "-" * (1 + i % 40) + o if i % 3 else text(i % 50) + "=" + common for i, o in enumerate(own)]
+    docs = _frame(spark, [(5, "y")] + [(None, t) for t in dict.fromkeys(texts)])
+    ordered = [(r.doc_id, r.text) for r in docs.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    for hot in (rp.HOT, 50):
+        monkeypatch.setattr(rp, "HOT", hot)
+        got = [tuple(r) for r in rp.without_repeats(docs).drop("kept").collect()]
+        assert sorted(got, key=str) == sorted(brute(ordered), key=str)
+
+
 def test_repeat_groups(spark):
     rng = random.Random(3)
     t = "".join(rng.choice("abcdefgh") for _ in range(110))
