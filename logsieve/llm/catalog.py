@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, hyperminhash, langid, linejoin, mixing, repeats, sharding, tokens, toxicity, winnowing
+from . import (decontaminate, exactdedup, hyperminhash, langid, linejoin, mixing, repeats, sharding, tokens, toxicity,
+               winnowing)
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -17,9 +18,11 @@ QUERIES = {
     "op8_suffix_repeats": repeats.query,
     "op9_sharding": sharding.query,
     "op10_mixing": mixing.query,
+    "op11_exact_dedup": exactdedup.query,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op10_mixing": mixing.ORACLE,
+    "op11_exact_dedup": exactdedup.ORACLE,
 }

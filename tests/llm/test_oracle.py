@@ -15,6 +15,7 @@ FIRST = {
     "op8_suffix_repeats": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
     "op9_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op10_mixing": {"doc_id", "size", "source_size", "target", "taken"},
+    "op11_exact_dedup": {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
 }
 
 
