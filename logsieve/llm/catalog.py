@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (decontaminate, exactdedup, hyperminhash, langid, linejoin, mixing, repeats, sharding, tokens, toxicity,
-               winnowing)
+from . import (decontaminate, exactdedup, hyperminhash, langid, linejoin, merkle, mixing, repeats, sharding, tokens,
+               toxicity, winnowing)
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -19,10 +19,12 @@ QUERIES = {
     "op9_sharding": sharding.query,
     "op10_mixing": mixing.query,
     "op11_exact_dedup": exactdedup.query,
+    "op13_merkle_manifest": merkle.query,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op10_mixing": mixing.ORACLE,
     "op11_exact_dedup": exactdedup.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }

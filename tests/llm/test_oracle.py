@@ -16,6 +16,7 @@ FIRST = {
     "op9_sharding": {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"},
     "op10_mixing": {"doc_id", "size", "source_size", "target", "taken"},
     "op11_exact_dedup": {"doc_id", "keep_id", "group_size", "kept", "text_sha256"},
+    "op13_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
 }
 
 
