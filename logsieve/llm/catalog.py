@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import (decontaminate, exactdedup, hyperminhash, langid, linejoin, merkle, mixing, repeats, sharding, tokens,
-               toxicity, winnowing)
+from . import (decontaminate, exactdedup, hyperminhash, langid, linejoin, merkle, mixing, repeats, sharding, spelling,
+               tokens, toxicity, winnowing)
 
 QUERIES = {
     "op1_decontamination": decontaminate.query,
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_sharding": sharding.query,
     "op10_mixing": mixing.query,
     "op11_exact_dedup": exactdedup.query,
+    "op12_spelling_variants": spelling.query,
     "op13_merkle_manifest": merkle.query,
     "pipeline": corpus_pipeline.run,
 }
@@ -26,5 +27,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op10_mixing": mixing.ORACLE,
     "op11_exact_dedup": exactdedup.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
