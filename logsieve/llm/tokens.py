@@ -15,9 +15,11 @@ Spark commits it once and recovers from lost tasks) with one row per segment:
 A document's global offset is its place in the segment plus the ids of all segments before it;
 those sums run over segment headers only.
 
-Encoding is the tokenizers library's own, called once per distinct piece between spaces and
-worker: a byte-level pre-tokenizer always splits before a space that has a non-space on either
-side, so the pieces' ids, one after another, are the text's. Texts with a space between white
+Encoding is the tokenizers library's own, called for the distinct pieces between spaces that a
+worker meets: a byte-level pre-tokenizer always splits before a space that has a non-space on either
+side, so the pieces' ids, one after another, are the text's. For the same reason new pieces are
+encoded JOINED at a time, as one text, and told apart by the tokens that begin with a space; pieces
+that hold other white space, or begin a text, are encoded singly. Texts with a space between white
 space on both sides are encoded whole, as are texts that hold the string of an added token (such as
 <|endoftext|>), which the library turns into that token's id.
 
@@ -31,6 +33,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +46,13 @@ from .blocks import scratch_path, worker_cache
 
 END_ID = 0
 SEGMENT_IDS = 1 << 18
-#: Distinct pieces kept by a worker; beyond it the table starts anew.
+#: Distinct pieces kept by a worker; beyond it the table starts anew with those met again since.
 MAX_PIECES = 1 << 19
+JOINED = 512
 TEXTS_AT_ONCE = 256
 
+#: What a byte-level vocabulary writes for a space.
+SPACE = "\u0120"
 _ODD = re.compile(r"\s (?:\s|\Z)")
 
 SEGMENT = ("part int, seq int, n_docs long, n_ids long, width int, ids binary, low_bits int, low binary, high binary, "
@@ -69,7 +75,7 @@ class _Codes(dict):
         self.owner, self.lead = owner, lead
 
     def __missing__(self, piece):
-        code = self[piece] = self.owner.add(self.lead + piece)
+        code = self[piece] = self.owner.add(self.lead + piece, not self.lead)
         return code
 
 
@@ -80,42 +86,95 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.starts = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
+        #: batches of texts that met a piece, up to 2
+        self.seen = np.zeros(MAX_PIECES, np.uint8)
         self.reset()
 
     def reset(self):
         self.head, self.tail = _Codes(self, ""), _Codes(self, " ")
-        self.n, self.new = 0, []
+        self.n, self.new, self.single = 0, [], []
         self.flat, self.offset = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
 
-    def add(self, piece: str) -> int:
+    def add(self, piece: str, single: bool) -> int:
+        if single:
+            self.single.append(len(self.new))
         self.new.append(piece)
         self.n += 1
         return self.n - 1
 
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pieces that begin with a space, and how many each has."""
+        chunks = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
+        texts = ["".join(c) for c in chunks]
+        out, n = [], []
+        for chunk, ids in zip(chunks, self._ids(texts)):
+            ids = np.array(ids, np.uint32)
+            start = np.flatnonzero(self.starts[ids])
+            if len(start) == len(chunk) and start[0] == 0:
+                out.append(ids)
+                n.append(np.diff(np.append(start, len(ids))))
+            else:  # a space that isn't a token's first character
+                each = self._ids(chunk)
+                out.append(np.fromiter(chain.from_iterable(each), np.uint32))
+                n.append(np.array([len(x) for x in each]))
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), np.concatenate(n) if n else np.zeros(0, np.int64)
+
     def _flush(self):
         if not self.new:
             return
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False)]
-        first = self.n - len(got)
+        # with white space besides the space that it begins with: alone
+        alone = np.array([len(p.split()) != 1 for p in self.new])
+        alone[self.single] = True
+        spaced, n_spaced = self._joined([p for p, a in zip(self.new, alone.tolist()) if not a])
+        each = self._ids([p for p, a in zip(self.new, alone.tolist()) if a])
+        n = np.zeros(len(alone), np.int64)
+        n[alone], n[~alone] = [len(x) for x in each], n_spaced
+        first = self.n - len(n)
         if self.n + 1 > len(self.offset):
-            self.offset = np.concatenate([self.offset, np.zeros(max(len(self.offset), len(got)) + 1, np.int64)])
-        ends = self.offset[first] + np.cumsum([len(g) for g in got])
+            self.offset = np.concatenate([self.offset, np.zeros(max(len(self.offset), len(n)) + 1, np.int64)])
+        ends = self.offset[first] + np.cumsum(n)
         self.offset[first + 1 : self.n + 1] = ends
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), int(ends[-1])), np.uint32)])
-        self.flat[self.offset[first] : ends[-1]] = [i for g in got for i in g]
-        self.new = []
+        of_alone = np.repeat(alone, n)
+        fresh = np.empty(len(of_alone), np.uint32)
+        fresh[~of_alone] = spaced
+        if each:
+            fresh[of_alone] = np.fromiter(chain.from_iterable(each), np.uint32)
+        self.flat[self.offset[first] : ends[-1]] = fresh
+        self.new, self.single = [], []
+
+    def _renew(self):
+        """Starts the table anew with the pieces that were met in more than one batch of texts."""
+        head, tail, n, flat, offset, seen = self.head, self.tail, self.n, self.flat, self.offset, self.seen
+        self.reset()
+        keep = np.flatnonzero(seen[:n] > 1)[: MAX_PIECES // 2]
+        code = np.full(n, -1)
+        code[keep] = np.arange(len(keep))
+        for old, new in ((head, self.head), (tail, self.tail)):
+            at = code[list(old.values())].tolist() if old else []
+            new.update((p, c) for p, c in zip(old, at) if c >= 0)
+        size = np.diff(offset[: n + 1])[keep]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        self.flat = flat[np.repeat(offset[keep] - ends[:-1], size) + np.arange(ends[-1])]
+        self.offset, self.n = ends, len(keep)
+        self.seen = np.zeros(MAX_PIECES, np.uint8)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has, without the end id."""
         if self.n > MAX_PIECES:
-            self.reset()
+            self._renew()
         codes, per_text = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             if not text:
                 continue
             if any(a in text for a in self.added) or _ODD.search(text):
-                c = [self.add(text)]
+                c = [self.add(text, True)]
             else:
                 pieces = text.split(" ")
                 c = list(map(self.tail.__getitem__, pieces))
@@ -124,6 +183,11 @@ class PieceEncoder:
             codes += c
         self._flush()
         c = np.array(codes, dtype=np.int64)
+        if self.n > len(self.seen):
+            self.seen = np.concatenate([self.seen, np.zeros(max(len(self.seen), self.n), np.uint8)])
+        met = np.zeros(self.n, np.uint8)
+        met[c] = 1
+        self.seen[: self.n] = np.minimum(self.seen[: self.n] + met, 2)
         n = self.offset[c + 1] - self.offset[c]
         ends = np.concatenate([[0], np.cumsum(n)])
         at = np.repeat(self.offset[c] - ends[:-1], n) + np.arange(ends[-1])
