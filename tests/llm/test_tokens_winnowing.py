@@ -34,7 +34,7 @@ def test_table_starts_anew_with_what_it_met_twice(monkeypatch):
     rng = np.random.default_rng(4)
     kept = 0
     for _ in range(40):
-        texts = [" ".join(f"w{k}" + "\n" * (k % 5 == 0) for k in np.minimum(rng.zipf(1.3, 30), 10**6)) for _ in range(4)]
+        texts = [" ".join(f"w{k}" + "\n" * int(k % 5 == 0) for k in np.minimum(rng.zipf(1.3, 30), 10**6)) for _ in range(4)]
         flat, n = enc.encode(texts)
         want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
         assert flat.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
