@@ -6,6 +6,10 @@ languages down to those that were seen to use it. A Viterbi pass over the words,
 each switch of language, then labels spans, so that words shared by languages follow their
 neighbours. A document's language is the one whose spans hold most letters, its score that share.
 
+A filter needs more than that share, which is large for noise too: `identifiable` also asks that the n-grams be more
+likely under the languages of the document's spans than if all n-grams were equally likely (a log-likelihood ratio
+below 0 is noise; no threshold is fitted. A text too short for an n-gram stays).
+
 The model is fitted on at most about FIT_DOCS labelled documents (a hash of doc_id picks them; fewer
 are all used), counted in Spark tasks; FIT_DOCS is the bound, whatever the input's size. Everything
 else covers whole texts of all documents.
@@ -38,7 +42,8 @@ UND = "und"
 SCRIPT_SHARE = 0.002
 #: documents scoring below this have no language that a filter may rely on
 MIN_SCORE = 0.3
-BLOCK = 1 << 23
+#: Bytes of text times languages that a task scores at a time.
+BLOCK = 1 << 24
 #: First code points of script ranges (Unicode blocks) and the script each begins.
 SCRIPTS = ((0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
            (0x0600, "arabic"), (0x0780, "other"), (0x0900, "devanagari"), (0x0980, "indic"), (0x0E00, "thai"),
@@ -66,6 +71,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _count(batches):
     """(lang, slot, n): n-gram counts, and after them letters per script."""
+    worker_cache(None, None)  # what an operator before this one left in the worker
     for batch, _, _ in blocks(batches):
         langs = batch.column("lang").to_pylist()
         for lang in sorted(set(langs)):
@@ -88,15 +94,17 @@ class Model:
         self.langs, self.logp, self.allowed = langs, logp, allowed
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """Scores per language, then the number of letters."""
+        """Scores per language, then the numbers of letters and of n-grams."""
         clean = [letters(w) for w in words]
         grams, ends = byte_grams(clean, GRAMS, BUCKETS)
-        out = np.zeros((len(words), len(self.langs) + 1), np.float32)
-        out[:, :-1] = WEIGHT * sums(self.logp[grams], ends)
-        out[:, -1] = [len(w) for w in clean]
+        out = np.zeros((len(words), len(self.langs) + 2), np.float32)
+        out[:, :-2] = WEIGHT * sums(self.logp[grams], ends)
+        out[:, -2] = [len(w) for w in clean]
+        out[:, -1] = np.diff(ends)
         ok = self.allowed[[script_of(w) for w in clean]]
-        out[:, :-1][~ok & ok.any(axis=1, keepdims=True)] = -1e6
-        out[out[:, -1] == 0, :-1] = 0  # no letter: any language
+        out[:, :-2][~ok & ok.any(axis=1, keepdims=True)] = -1e6
+        out[out[:, -2] == 0, :-2] = 0  # no letter: any language
+        out[out[:, -2] == 0, -1] = 0
         return out
 
 
@@ -155,33 +163,40 @@ def viterbi(scores: np.ndarray, off: np.ndarray, switch: float = SWITCH) -> np.n
 
 def _label(texts, model, table):
     values, off = table.lookup(texts)
-    label = viterbi(values[:, :-1], off)
-    return label, values[:, -1], off
+    label = viterbi(values[:, :-2], off)
+    return label, values, off
 
 
 # ------------------------------------------------------------------ Spark
 
 def _table(model: Model) -> WordTable:
     """The worker's word table for this model, which the table holds, so that its id stays its own."""
-    return worker_cache(("langid", id(model)), lambda: WordTable(model.word_scores, len(model.langs) + 1))
+    return worker_cache(("langid", id(model)), lambda: WordTable(model.word_scores, len(model.langs) + 2))
+
+
+def _block(model: Model) -> int:
+    return max(1 << 18, BLOCK // max(1, len(model.langs)))
 
 
 def _shares(texts, model, table, k):
-    """Of each text: the language whose spans hold most letters, all letters, letters per language, that one's share."""
+    """Of each text: the language whose spans hold most letters, all letters, that one's share, and the log-likelihood
+    ratio of its n-grams under the spans' languages to equally likely ones."""
     n = len(texts)
-    label, weight, off = _label(texts, model, table)
+    label, values, off = _label(texts, model, table)
     row = np.repeat(np.arange(n), np.diff(off))
-    held = np.bincount(row * k + label, weight, minlength=n * k).reshape(n, k)
+    held = np.bincount(row * k + label, values[:, -2], minlength=n * k).reshape(n, k)
     total, top = held.sum(axis=1), held.argmax(axis=1)
-    return top, total, held, np.where(total > 0, held[np.arange(n), top] / np.maximum(total, 1), 0.0)
+    gain = values[np.arange(len(label)), label] / WEIGHT + values[:, -1] * np.log(BUCKETS)
+    return (top, total, np.where(total > 0, held[np.arange(n), top] / np.maximum(total, 1), 0.0),
+            np.bincount(row, gain, minlength=n))
 
 
 def _predict(model_bc):
     def run(batches):
         model = model_bc.value
         table, k = _table(model), len(model.langs)
-        for batch, _, _ in blocks(batches, size=BLOCK):
-            top, total, _, share = _shares(batch.column("text").to_pylist(), model, table, k)
+        for batch, _, _ in blocks(batches, size=_block(model)):
+            top, total, share, _ = _shares(batch.column("text").to_pylist(), model, table, k)
             names = [model.langs[i] if t > 0 else UND for i, t in zip(top, total)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(share)],
                                              names=["doc_id", "lang_pred", "score"])
@@ -203,7 +218,7 @@ def _span_rows(model_bc):
     def run(batches):
         model = model_bc.value
         table = _table(model)
-        for batch, _, _ in blocks(batches, size=BLOCK):
+        for batch, _, _ in blocks(batches, size=_block(model)):
             texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
             label, _, off = _label(texts, model, table)
             rows = []
@@ -240,14 +255,15 @@ def _keep(model_bc, min_score):
     def run(batches):
         model = model_bc.value
         table, k = _table(model), len(model.langs)
-        for batch, _, _ in blocks(batches, size=BLOCK):
-            _, total, _, share = _shares(batch.column("text").to_pylist(), model, table, k)
-            yield batch.filter(pa.array((total > 0) & (share >= min_score)))
+        for batch, _, _ in blocks(batches, size=_block(model)):
+            _, total, share, gain = _shares(batch.column("text").to_pylist(), model, table, k)
+            yield batch.filter(pa.array((total > 0) & (share >= min_score) & (gain >= 0)))
     return run
 
 
 def identifiable(docs: DataFrame, fit_docs: int = FIT_DOCS, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of docs, all columns kept, that have a language: not `und`, and a score of at least min_score."""
+    """The rows of docs, all columns kept, that have a language: not `und`, a score of at least min_score, and
+    n-grams not less likely under its spans' languages than in noise."""
     model = fit(docs.where(~held_out(F.col("doc_id"))), fit_docs)
     if not model.langs:
         return docs.limit(0)

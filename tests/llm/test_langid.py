@@ -57,3 +57,14 @@ def test_edge_rows(spark):
     blank = spark.createDataFrame([(1, "some text", None, "x", "x")], DOCS)
     assert langid.identified(blank).first().lang_pred == "und"
     assert langid.identified(blank.limit(0)).count() == 0
+
+
+def test_filter_keeps_languages_and_drops_noise(spark):
+    """Held-out documents of the tables stay; even letters, and texts without a letter, go; one letter is no noise."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(5)
+    noise = ["".join(chr(c) for c in rng.integers(97, 123, 300)) for _ in range(20)] + ["12 34", None]
+    more = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate([*noise, "A."])], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.identifiable(docs.unionByName(more)).collect()}
+    assert {d for d in kept if d >= 10**6} == {10**6 + len(noise)}
+    assert len(kept) == docs.count() + 1
