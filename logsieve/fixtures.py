@@ -15,7 +15,9 @@ from . import schema as S
 # Columns not listed are "". Capture columns hold group numbers as text.
 # Rule 3 has no group (must never match), rule 4 does not compile, rule 5
 # names a group the regex lacks, and so do rules 6 (its first parentheses are
-# quoted) and 7 (they stand in a comment); all five are rejected when rules load.
+# quoted), 7 (they stand in a comment) and 8 to 10 (they are members of a bracket
+# class: after a first `]`, of a nested class, of an intersection); all eight are
+# rejected when rules load.
 LOG_RULES = [
     {"rule_seq": 0, "log_rule_id": "LR-0", "log_rule_lib_id": "LIB-1", "device_ip": "192.168.0.1",
      "log_regex": r"user=(\d+) type=(error)", "sourceip": "1", "destport": "", "eventname": "2",
@@ -41,6 +43,12 @@ LOG_RULES = [
     {"rule_seq": 7, "log_rule_id": "LR-7", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.7",
      "log_regex": "(?x) type=(\\w+)  # the (kind)", "sourceip": "", "destport": "", "eventname": "2",
      "eventlevel": "", "eventdefid": "", "reportnetype": "", "eventid": ""},
+    {"rule_seq": 8, "log_rule_id": "LR-8", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.0",
+     "log_regex": r"[](]?user=(\d+)", "sourceip": "1", "eventname": "2"},
+    {"rule_seq": 9, "log_rule_id": "LR-9", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.0",
+     "log_regex": r"[[a](]?user=(\d+)", "sourceip": "1", "eventname": "2"},
+    {"rule_seq": 10, "log_rule_id": "LR-10", "log_rule_lib_id": "LIB-3", "device_ip": "192.168.0.0",
+     "log_regex": r"[\w&&[^(]]*type=(\w+)", "sourceip": "2", "eventname": "1"},
 ]
 
 # --- fixed values: user log rules (named groups, no device filter) ---------
@@ -270,6 +278,31 @@ def log_regexes(part: DataFrame) -> DataFrame:
     return part.select(*[values.get(c, F.lit("")).alias(c) for c in S.LOG_REGEX_COLUMNS])
 
 
+def device_rules(part: DataFrame) -> DataFrame:
+    """Log rules for the devices of `raw_lines`, one for each part; where there are
+    more than 8,000, several are for the same user, and the first one wins."""
+    k = F.col("p_partkey")
+    values = {
+        "log_rule_id": F.concat(F.lit("PR-"), F.lpad(_s(k), 9, "0")),
+        "device_ip": F.concat(F.lit("192.168.0."), _s(k % 8)),
+        "log_regex": F.concat(F.lit("user=("), _s(F.expr("p_partkey div 8") % 1000 * 8 + k % 8), F.lit(") type=(\\w+) value=([\\d.]+)")),
+        "sourceip": F.lit("1"), "eventname": F.lit("2"), "destport": F.lit("3"),
+        "eventdefid": F.col("p_brand"), "eventlevel": _s(F.col("p_size") % 5),
+    }
+    return part.select(*[values.get(c, F.lit("")).alias(c) for c in S.LOG_RULE_COLUMNS])
+
+
+def user_part_rules(part: DataFrame) -> DataFrame:
+    """User rules (named groups, all devices), one for each part."""
+    k = F.col("p_partkey")
+    values = {
+        "log_rule_id": F.concat(F.lit("PU-"), F.lpad(_s(k), 9, "0")),
+        "log_regex": F.concat(F.lit("user=(?<sourceIp>"), _s(k % 1000), F.lit(") type=(?<eventName>\\w+) value=(?<destPort>[\\d.]+)")),
+        "eventdefid": F.col("p_brand"), "eventlevel": _s(F.col("p_size") % 5),
+    }
+    return part.select(*[values.get(c, F.lit("")).alias(c) for c in S.LOG_RULE_COLUMNS])
+
+
 # Event definitions are customers (name = market segment, so names repeat);
 # rule fields are orders (several per definition; every 11th points at a
 # missing definition).

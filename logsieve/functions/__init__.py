@@ -1,16 +1,16 @@
 """Scalar functions as Column -> Column expressions (all JVM-side, no Python UDF)."""
 
-from .codec import escapes_to_string, hash_id, md5_upper, random_row_id, random_uuid, string_to_escapes
+from .codec import escapes_to_string, md5_upper, random_uuid, string_to_escapes
 from .dates import date_to_millis, date_to_seconds, millis_to_date, millis_to_date_compact
 from .ipaddr import ip_in_section, ip_to_long, section_bounds
 from .jsonmap import json_lower_keys, json_to_map, json_to_nested_map
-from .text import (blank_to_space, count_sep, is_blank, jpart, jsplit, jsplit_char, jtrim, named_group_index, regex_group_count,
-                   regex_is_valid)
+from .text import count_sep, is_blank, jpart, jsplit, jsplit_char, jtrim, regex_is_valid
+from . import regexscan
 
 __all__ = [
-    "blank_to_space", "count_sep", "date_to_millis", "date_to_seconds", "escapes_to_string", "hash_id",
+    "count_sep", "date_to_millis", "date_to_seconds", "escapes_to_string", 
     "ip_in_section", "ip_to_long", "is_blank", "json_lower_keys", "json_to_map", "json_to_nested_map", "jsplit",
     "jpart", "jsplit_char", "jtrim", "md5_upper", "millis_to_date", "millis_to_date_compact",
-    "named_group_index", "random_row_id", "random_uuid", "regex_group_count", "regex_is_valid",
+    "random_uuid", "regex_is_valid", "regexscan",
     "section_bounds", "string_to_escapes",
 ]

@@ -67,17 +67,6 @@ def escapes_to_string(c: Column) -> Column:
             .otherwise(kept))
 
 
-def hash_id(*cols: Column) -> Column:
-    """F10, id_mode="hash": a 32-hex id derived from the record, stable across replays."""
-    return F.md5(F.concat_ws("~", *cols))
-
-
-def random_row_id() -> Column:
-    """F10, id_mode="random": six random digits followed by epoch seconds."""
-    return F.concat((F.floor(F.rand() * 900000) + 100000).cast("bigint").cast("string"),
-                    F.unix_timestamp().cast("string"))
-
-
 def random_uuid() -> Column:
     """F10, id_mode="random": a UUID without dashes."""
     return F.replace(F.expr("uuid()"), F.lit("-"), F.lit(""))

@@ -48,30 +48,6 @@ def jpart(c: Column, sep: str, i: int) -> Column:
     return F.when(exists, F.substring_index(rest, sep, 1))
 
 
-def blank_to_space(c: Column) -> Column:
-    """Empty or null capture -> one blank, as the normalised format stores it."""
-    return F.when(c.isNull() | (c == F.lit("")), F.lit(" ")).otherwise(c)
-
-
-def _regex_skeleton(regex: Column) -> Column:
-    # Quoted stretches, comments (in (?x) mode), escaped characters and bracket
-    # classes cannot open a group; drop them first.
-    no_quotes = F.regexp_replace(regex, r"(?s)\\Q.*?(?:\\E|$)", "")
-    no_comments = F.when(no_quotes.rlike(r"\(\?[a-wyz]*x"), F.regexp_replace(no_quotes, r"(?<!\\)#[^\n]*", "")).otherwise(no_quotes)
-    no_escapes = F.regexp_replace(no_comments, r"(?s)\\.", "")
-    return F.regexp_replace(no_escapes, r"\[[^\]]*\]", "")
-
-
-# An opening parenthesis opens a capturing group unless it starts "(?",
-# except for a named group "(?<name>"; lookbehinds "(?<=" and "(?<!" do not count.
-_GROUP_OPEN = r"\((?!\?)|\(\?<[A-Za-z]"
-
-
-def regex_group_count(regex: Column) -> Column:
-    """number of capturing groups of a Java regex, counted in SQL."""
-    return F.regexp_count(_regex_skeleton(regex), F.lit(_GROUP_OPEN))
-
-
 def regex_is_valid(regex: Column) -> Column:
     """True when the JVM compiles the pattern (evaluated on executors, never raises)."""
     return _try_compile(regex).isNotNull()
@@ -79,12 +55,3 @@ def regex_is_valid(regex: Column) -> Column:
 
 def _try_compile(regex: Column) -> Column:
     return F.call_function("try_reflect", F.lit("java.util.regex.Pattern"), F.lit("compile"), regex)
-
-
-def named_group_index(regex: Column, name: str) -> Column:
-    """Group number of the named group `name`, or null when the regex lacks it."""
-    skeleton = _regex_skeleton(regex)
-    marker = f"(?<{name}>"
-    before = F.substring_index(skeleton, marker, 1)
-    return F.when(F.instr(skeleton, marker) > 0,
-                  (F.regexp_count(before, F.lit(_GROUP_OPEN)) + 1).cast("int"))

@@ -1,15 +1,12 @@
 """First-match regex join of raw logs against log rules (J3, J4, J8, PRJ3, PRJ4, AGG4).
 
-Plan shape (system rules): the rule table is validated and packed to one row
-per device IP holding that device's rules as an array sorted by `rule_seq`.
-The packed table is joined to the logs on the device IP - broadcast when its
-size in bytes is under a checked bound, else a shuffle join that AQE can split
-when one device is hot. Per log, an `aggregate` over the device's rules picks
-the first rule whose regex finds a match and stops testing after it; a text
-without the literal that a rule's regex starts with is passed over without
-running the regex. All captures come from one pass of the chosen regex: a
-`regexp_replace` whose template lists the rule's groups. No Python runs per
-row; the logs are never grouped or collected.
+Plan shape: the usable rules are listed by a required gram of their regex (`ruleindex`), as constants of the plan. A
+line looks its own grams up and meets only the rules that it can match, which an `aggregate` tests in rule order,
+stopping at the first hit: there is no join, the logs stay where they are, and the work per line doesn't grow with the
+rules. Rule sets too large for a constant are matched from tables: system rules packed to one row per device IP and
+joined on it (broadcast under a checked size, else a shuffle join that AQE can split), user rules as scalar subqueries.
+All captures come from one pass of the chosen regex: a `regexp_replace` whose template lists the rule's groups. No
+Python runs per row; the logs are never grouped or collected.
 """
 
 from __future__ import annotations
@@ -17,17 +14,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
-from ..functions import (date_to_millis, is_blank, jtrim, named_group_index,
-                         regex_group_count, regex_is_valid)
+from ..functions import date_to_millis, is_blank, jtrim, regex_is_valid, regexscan
 from .joins import MAX_BROADCAST_BYTES, checked_broadcast, config_bytes
 from .parse import derived_id, once
+from .ruleindex import MAX_INDEX_BYTES, rule_index
 
 # Bytes of user rules (as JSON text) that go into one array; more make several.
 MAX_RULE_CHUNK_BYTES = 8 << 20
 # Stands between captures while they are one text.
 _CAPTURE_SEP = "\u0001"
-# The literal a regex starts with (without a last character that a quantifier follows).
-_LITERAL_START = r"^([A-Za-z0-9_ =:,;/\"@<>%&!~`-]+)(?![?*{+])"
+# The device of user rules, which apply to all lines, and what stands for a line's when it has none.
+_ALL_DEVICES, _NO_DEVICE = "", "\u0001"
 
 # Rule constants carried into the genlog record.
 _CONSTANTS = ["reportnetype", "eventdefid", "eventlevel", "eventid"]
@@ -47,21 +44,19 @@ def prepare_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     With `named_groups`, group numbers come from the names in the regex
     (PRJ4); an unknown name gives no capture.
     """
-    # The pattern, its group count and its validity are computed once, in a
-    # first projection, and then referenced by name: inlining the group count
-    # into each of the twelve group checks makes the generated code too large.
+    # The pattern is scanned once: behind `once`, the many uses of the scan below (and a filter on the
+    # reason, pushed down with them inlined) don't repeat it.
     base = rules.select("*", jtrim(F.col("log_regex")).alias("_regex"))
-    base = base.select("*", regex_group_count(F.col("_regex")).alias("_ngroups"),
-                       regex_is_valid(F.col("_regex")).alias("_valid"))
-    regex, n_groups = F.col("_regex"), F.col("_ngroups")
+    base = once(base, [F.col(c) for c in base.columns], [regexscan.scan("_regex").alias("_scan"), regex_is_valid(F.col("_regex")).alias("_valid")])
+    base = once(base, [F.col(c) for c in base.columns], [regexscan.literals(F.col("_scan")).alias("_runs")])
+    regex, scanned = F.col("_regex"), F.col("_scan")
+    n_groups = F.coalesce(regexscan.group_count(scanned), F.lit(0))
     if named_groups:
-        groups = {f: named_group_index(regex, S.USER_GROUP_NAMES[f]) for f in S.CAPTURE_FIELDS}
+        groups = {f: regexscan.group_index(scanned, S.USER_GROUP_NAMES[f]) for f in S.CAPTURE_FIELDS}
         bad = F.lit(False)
     else:
         groups = {f: _group_number(F.col(f)) for f in S.CAPTURE_FIELDS}
-        # One comparison with the group count for all twelve numbers (a
-        # filter on the reason is pushed down with every alias inlined, so
-        # the count must not be repeated per field).
+        # One comparison with the group count for all twelve numbers.
         not_number = F.lit(False)
         for f in S.CAPTURE_FIELDS:
             not_number = not_number | (~is_blank(F.col(f)) & groups[f].isNull())
@@ -70,24 +65,23 @@ def prepare_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     reason = (F.when(F.col("log_regex").isNull() | ~F.col("_valid"), F.lit("bad_regex"))
               .when(n_groups == 0, F.lit("no_group"))
               .when(bad, F.lit("bad_group")))
-    # The whole text around the first match, and the captures that replace it.
-    wrapped = F.concat(F.lit(r"^[\s\S]*?(?:"), regex, F.lit(r")[\s\S]*$"))
     template = F.concat_ws(_CAPTURE_SEP, *[F.when(groups[f].isNull(), F.lit(""))
                                            .otherwise(F.concat(F.lit("$"), groups[f].cast("string"))) for f in S.CAPTURE_FIELDS])
-    literal = F.when(F.instr(regex, "|") == 0, F.regexp_extract(regex, _LITERAL_START, 1)).otherwise(F.lit(""))
+    runs = F.col("_runs")
+    longest = F.aggregate(runs, F.lit(""), lambda a, r: F.when(F.length(r) > F.length(a), r).otherwise(a))
     cols = [
         F.col("rule_seq").cast("bigint").alias("rule_seq"),
         jtrim(F.col("log_rule_id")).alias("rule_id"),
         regex.alias("regex"),
-        # null (a comment or quote left open would swallow the end): captures one by one
-        F.when(regex_is_valid(wrapped), wrapped).alias("wrapped"),
+        # what ends a quote or comment left open, then a group for every number that the rule may name
+        F.concat(regexscan.closing(scanned), F.lit(")"), F.repeat(F.lit("()"), n_groups)).alias("tail"),
         template.alias("template"),
-        F.coalesce(literal, F.lit("")).alias("literal"),
+        F.coalesce(longest, F.lit("")).alias("literal"),
+        F.coalesce(runs, F.array().cast("array<string>")).alias("runs"),
         *[g.alias("g_" + f) for f, g in groups.items()],
         *[F.col(c).alias("c_" + c) for c in _CONSTANTS],
     ]
-    if not named_groups:
-        cols.append(jtrim(F.col("device_ip")).alias("device_key"))
+    cols.append((F.lit(_ALL_DEVICES) if named_groups else jtrim(F.col("device_ip"))).alias("device_key"))
     return base.select(*cols, reason.alias("reject_reason"))
 
 
@@ -98,25 +92,27 @@ def rule_rejects(rules: DataFrame, named_groups: bool = False) -> DataFrame:
 
 
 def _rule_struct_fields() -> list[str]:
-    return ["rule_seq", "rule_id", "regex", "wrapped", "template", "literal", *["g_" + f for f in S.CAPTURE_FIELDS],
+    return ["rule_seq", "rule_id", "regex", "tail", "template", "literal", "device_key", *["g_" + f for f in S.CAPTURE_FIELDS],
             *["c_" + c for c in _CONSTANTS]]
 
 
-def pack_by_device(rules: DataFrame) -> DataFrame:
+def usable_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
+    return prepare_rules(rules, named_groups).where(F.col("reject_reason").isNull() & F.col("device_key").isNotNull())
+
+
+def pack_by_device(ok: DataFrame) -> DataFrame:
     """One row per device IP: its usable rules as an array sorted by rule_seq.
 
     The rule table is configuration; partial aggregation keeps a device with
     many rules from landing whole on one reducer before the merge.
     """
-    ok = prepare_rules(rules).where(F.col("reject_reason").isNull() & F.col("device_key").isNotNull())
     return ok.groupBy("device_key").agg(
         F.sort_array(F.collect_list(F.struct(*_rule_struct_fields()))).alias("rules"))
 
 
-def pack_chunks(rules: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> list[DataFrame]:
+def pack_chunks(ok: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> list[DataFrame]:
     """User rules: every usable rule applies to every log. One-row tables, each with a sorted
     array of about chunk_bytes of rules at most, in rule order."""
-    ok = prepare_rules(rules, named_groups=True).where(F.col("reject_reason").isNull())
     n = max(1, -(-config_bytes(ok) // chunk_bytes))
     if n > 1:
         ok = ok.withColumn("_chunk", F.ntile(n).over(Window.orderBy("rule_seq", "rule_id")))
@@ -135,60 +131,87 @@ def _first_hit(packed: DataFrame, text: Column, rules: str = "rules") -> Column:
     return F.aggregate(F.col(rules), F.lit(None).cast(rule_type), step)
 
 
-def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def _indexed(parsed: DataFrame, index, device: Column, text: Column) -> DataFrame:
+    """parsed with `hit`, the first of the index's rules that matches, or null."""
+    hit = index.first_hit(device, text)
+    return once(parsed, [F.col(c) for c in parsed.columns], [F.when(F.col("n_fields") > 6, hit).alias("hit")])
+
+
+def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_bytes: int = MAX_BROADCAST_BYTES,
+                 index_max_bytes: int = MAX_INDEX_BYTES) -> DataFrame:
     """J3 + J8: attach `hit` (the first matching system rule, or null) to each parsed line.
 
     Lines with six or fewer fields, no device IP in the payload or no rule
     for their device get a null hit. `match_status` tells which.
     """
-    packed = pack_by_device(rules)
+    ok = usable_rules(rules)
+    index = rule_index(ok, _rule_struct_fields(), index_max_bytes)
+    if index is not None:
+        device = F.coalesce(F.col("device_ip"), F.lit(_NO_DEVICE))
+        joined = _indexed(parsed, index, device, F.col("msg"))
+        known = index.has_rules(device)
+    else:
+        joined, known = _joined(parsed, ok, broadcast_max_bytes), F.col("_known")
+    status = (F.when(F.col("value").isNull(), F.lit("null_value"))
+              .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
+              .when(F.col("hit").isNotNull(), F.lit("matched"))
+              .when(F.col("device_ip").isNull(), F.lit("short_payload"))
+              .when(F.col("msg").isNull() & known, F.lit("short_payload"))
+              .otherwise(F.lit("no_rule")))
+    return joined.withColumn("match_status", status).drop("_known")
+
+
+def _joined(parsed: DataFrame, ok: DataFrame, broadcast_max_bytes: int) -> DataFrame:
+    """parsed with `hit` and `_known` (the device has rules), from the rules packed by device."""
+    packed = pack_by_device(ok)
     hit = F.when(F.col("n_fields") > 6, _first_hit(packed, F.col("msg")))
     packed = checked_broadcast(packed, broadcast_max_bytes)
     # A line without a device IP can match nothing; give it a key no rule can
     # carry (rule keys are trimmed, so they never start with \u0001) and that
     # spreads such lines evenly should the join shuffle.
-    key = F.coalesce(F.col("device_ip"), F.concat(F.lit("\u0001"), F.col("line_key")))
+    key = F.coalesce(F.col("device_ip"), F.concat(F.lit(_NO_DEVICE), F.col("line_key")))
     joined = parsed.withColumn("_dev", key).join(packed, F.col("_dev") == packed["device_key"], "left")
-    joined = once(joined, [F.col(c) for c in joined.columns], [hit.alias("hit")])
-    status = (F.when(F.col("value").isNull(), F.lit("null_value"))
-              .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
-              .when(F.col("hit").isNotNull(), F.lit("matched"))
-              .when(F.col("device_ip").isNull(), F.lit("short_payload"))
-              .when(F.col("rules").isNotNull() & F.col("msg").isNull(), F.lit("short_payload"))
-              .otherwise(F.lit("no_rule")))
-    return joined.withColumn("match_status", status).drop("_dev", "device_key", "rules")
+    return once(joined, [F.col(c) for c in parsed.columns], [hit.alias("hit"), F.col("rules").isNotNull().alias("_known")])
 
 
-def match_user(parsed: DataFrame, user_rules: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> DataFrame:
+def match_user(parsed: DataFrame, user_rules: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES,
+               index_max_bytes: int = MAX_INDEX_BYTES) -> DataFrame:
     """The first matching user rule, tested against the whole raw content
-    (field 6, untrimmed), with no device filter.
-
-    The rules reach the logs as scalar subqueries, one value per chunk of
-    rules: no join, and the logs stay in place."""
-    chunks = pack_chunks(user_rules, chunk_bytes)
-    names = [f"_rules{i}" for i in range(len(chunks))]
-    with_rules = parsed.select("*", *[c.scalar().alias(n) for c, n in zip(chunks, names)])
-    hits = F.coalesce(*[_first_hit(c, F.col("logcontent"), n) for c, n in zip(chunks, names)])
-    hit = F.when(F.col("n_fields") > 6, hits)
-    joined = once(with_rules, [F.col(c) for c in with_rules.columns], [hit.alias("hit")])
+    (field 6, untrimmed), with no device filter."""
+    ok = usable_rules(user_rules, named_groups=True)
+    index = rule_index(ok, _rule_struct_fields(), index_max_bytes)
+    if index is not None:
+        joined = _indexed(parsed, index, F.lit(_ALL_DEVICES), F.col("logcontent"))
+    else:
+        # One value per chunk of rules: no join, and the logs stay in place.
+        chunks = pack_chunks(ok, chunk_bytes)
+        names = [f"_rules{i}" for i in range(len(chunks))]
+        with_rules = parsed.select("*", *[c.scalar().alias(n) for c, n in zip(chunks, names)])
+        hits = F.coalesce(*[_first_hit(c, F.col("logcontent"), n) for c, n in zip(chunks, names)])
+        joined = once(with_rules, [F.col(c) for c in parsed.columns], [F.when(F.col("n_fields") > 6, hits).alias("hit")])
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))
               .otherwise(F.lit("no_rule")))
-    return joined.withColumn("match_status", status).drop(*names)
+    return joined.withColumn("match_status", status)
+
+
+def _wrapped() -> Column:
+    """The hit rule's regex with the whole text around its first match. A group number is never out of range in it."""
+    h = F.col("hit")
+    return F.concat(F.lit(r"^[\s\S]*?(?:"), h["regex"], h["tail"], F.lit(r"[\s\S]*$"))
 
 
 def _captures(text: Column) -> Column:
     """All captures of the hit rule in one pass, in the order of CAPTURE_FIELDS (null: take them singly)."""
-    h = F.col("hit")
-    one_pass = F.split(F.regexp_replace(text, h["wrapped"], h["template"]), _CAPTURE_SEP)
-    return F.when(h["wrapped"].isNotNull() & ~F.contains(text, F.lit(_CAPTURE_SEP)), one_pass)
+    one_pass = F.split(F.regexp_replace(text, F.col("_wrapped"), F.col("hit")["template"]), _CAPTURE_SEP)
+    return F.when(~F.contains(text, F.lit(_CAPTURE_SEP)), one_pass)
 
 
 def _capture(text: Column, field: str) -> Column:
     g = F.col("hit")["g_" + field]
     raw = (F.when(F.col("_captures").isNotNull(), F.get(F.col("_captures"), S.CAPTURE_FIELDS.index(field)))
-           .otherwise(F.call_function("regexp_extract", text, F.col("hit")["regex"], g)))
+           .otherwise(F.call_function("regexp_extract", text, F.col("_wrapped"), g)))
     kept = F.replace(raw, F.lit(":"), F.lit("")) if field in _PORT_FIELDS else raw
     # A blank group number, or a group that took no part or is empty, gives " ".
     return F.when(g.isNull() | raw.isNull() | (raw == ""), F.lit(" ")).otherwise(kept)
@@ -222,6 +245,7 @@ def to_genlog(matched: DataFrame, user_rules: bool = False, tz: str = "UTC") ->
         "logruleid": h["rule_id"],
     }
     hits = matched.where(h.isNotNull())
+    hits = once(hits, [F.col(c) for c in hits.columns], [_wrapped().alias("_wrapped")])
     hits = once(hits, [F.col(c) for c in hits.columns], [_captures(text).alias("_captures")])
     records = once(hits, [F.col("recvtime"), F.col("line_key")], [cols[f].alias(f) for f in S.GENLOG_FIELDS])
     return records.where(F.col("firstrecvtime").isNotNull())

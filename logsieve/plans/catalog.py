@@ -210,6 +210,37 @@ def q_rule_snapshot_roundtrip(spark, sf_dir):
     return store.read(SNAPSHOT_LOG_RULES).select(*S.LOG_RULE_COLUMNS)
 
 
+def _rule_set(spark, sf_dir, rules: DataFrame, name: str) -> DataFrame:
+    from ..sources.rules import SnapshotStore
+    store = SnapshotStore(spark, _scratch(spark, "rules"))
+    store.write(rules, name, ["log_rule_id"])
+    return store.read(name)
+
+
+_RULE_SET_COLUMNS = ["line_key", "logruleid", "sourceip", "eventname", "destport"]
+
+
+def q_device_rule_match(spark, sf_dir):
+    """J3 at size: a rule for each part, hundreds and more to a device, read from a snapshot; a line tests only the
+    rules whose literal it holds."""
+    from ..sources.rules import SNAPSHOT_LOG_RULES
+    rules = _rule_set(spark, sf_dir, fx.device_rules(table(spark, sf_dir, "part")), SNAPSHOT_LOG_RULES)
+    return mt.to_genlog(mt.match_system(_parsed(spark, sf_dir), rules)).select(*_RULE_SET_COLUMNS)
+
+
+def q_user_rule_set_match(spark, sf_dir):
+    """J4 at size: a user rule for each part, read from a snapshot; every rule applies to every line."""
+    from ..sources.rules import SNAPSHOT_USER_LOG_RULES
+    rules = _rule_set(spark, sf_dir, fx.user_part_rules(table(spark, sf_dir, "part")), SNAPSHOT_USER_LOG_RULES)
+    return mt.to_genlog(mt.match_user(_parsed(spark, sf_dir), rules), user_rules=True).select(*_RULE_SET_COLUMNS)
+
+
+QUERIES.update({
+    "device_rule_match": q_device_rule_match,
+    "user_rule_set_match": q_user_rule_set_match,
+})
+
+
 # --- flows and clusters ---------------------------------------------------------
 
 def q_netflow_scan(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 The rule tables are literal configuration; the oracle states the matching
 the rules define as one CASE per rule with literal patterns (DuckDB takes a
-capture-group number only as a constant). Rules 3-7 of the fixture are
+capture-group number only as a constant). Rules 3-10 of the fixture are
 refused on load (no group, bad pattern, group number too large), so only
 rules 0-2 appear here.
 """
@@ -256,12 +256,24 @@ SELECT logruleid AS rule, count(*) AS n, 'log_rule' AS kind FROM genlog GROUP BY
 UNION ALL
 SELECT def_id AS rule, count(*) AS n, 'event_def' AS kind
 FROM genlog g JOIN defidx ON lower(trim(g.eventname)) = defidx.def_key GROUP BY def_id"""
-    rejected = {3: "no_group", 4: "bad_regex", 5: "bad_group", 6: "bad_group", 7: "bad_group"}
+    rejected = {3: "no_group", 4: "bad_regex", 5: "bad_group", 6: "bad_group", 7: "bad_group",
+                8: "bad_group", 9: "bad_group", 10: "bad_group"}
     rej_rows = ", ".join(f"({_q(r['log_rule_id'])}, {_q(rejected[r['rule_seq']])}, {_q(r['device_ip'])})"
                          for r in fx.LOG_RULES if r["rule_seq"] in rejected)
     sql["rule_rejects"] = _with(RAW_CTE, f"rej(rule_id, reject_reason, dev) AS (VALUES {rej_rows})") + """
 SELECT rule_id, reject_reason, coalesce(lines, 0) AS lines
 FROM rej LEFT JOIN (SELECT device_ip, count(*) AS lines FROM parsed GROUP BY device_ip) c ON c.device_ip = rej.dev"""
+    for name, text, key, device, prefix in (
+            ("device_rule_match", "msg", "p_partkey // 8 % 1000 * 8 + p_partkey % 8", "'192.168.0.' || CAST(p_partkey % 8 AS VARCHAR)", "PR-"),
+            ("user_rule_set_match", "logcontent", "p_partkey % 1000", "NULL", "PU-")):
+        # the rules differ in the user they name alone: the first part of a device and user is the first rule that matches
+        sql[name] = _with(RAW_CTE, f"""
+rules AS (SELECT CAST({key} AS VARCHAR) AS who, {device} AS dev, min('{prefix}' || lpad(CAST(p_partkey AS VARCHAR), 9, '0')) AS logruleid
+          FROM part GROUP BY ALL),
+found AS (SELECT *, regexp_extract({text}, 'user=(\\d+) type=(\\w+) value=([\\d.]+)', ['a', 'b', 'c']) AS m FROM parsed WHERE n_fields > 6)""") + """
+SELECT line_key, logruleid, m.a AS sourceip, m.b AS eventname, m.c AS destport
+FROM found JOIN rules ON rules.who = m.a AND (rules.dev IS NULL OR rules.dev = found.device_ip)
+WHERE try_strptime(left(trim(recvtime), 19), '%Y-%m-%d %H:%M:%S') IS NOT NULL"""
     sql["event_defs_appended"] = _with(*sys, _defs_cte(), new_defs) + (
         "SELECT * FROM sysdefs UNION ALL BY NAME SELECT * FROM newdefs")
     sql["event_summary"] = (

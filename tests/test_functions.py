@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from logsieve.functions import (date_to_millis, date_to_seconds, escapes_to_string, ip_in_section,
                                 ip_to_long, jsplit, jtrim, json_lower_keys, json_to_map, md5_upper,
-                                millis_to_date, millis_to_date_compact, named_group_index,
-                                regex_group_count, regex_is_valid, string_to_escapes)
+                                millis_to_date, millis_to_date_compact,
+                                regex_is_valid, regexscan, string_to_escapes)
 
 
 def one(spark, expr, value, ddl="s string"):
@@ -75,9 +75,9 @@ def test_json(spark):
 
 
 def test_regex_helpers(spark):
-    assert one(spark, regex_group_count(F.col("s")), r"a(b)(?:c)(?<n>d)\(e[(]") == 2
-    assert one(spark, regex_group_count(F.col("s")), r"(?<=x)y") == 0
+    assert one(spark, regexscan.group_count(regexscan.scan("s")), r"a(b)(?:c)(?<n>d)\(e[(]") == 2
+    assert one(spark, regexscan.group_count(regexscan.scan("s")), r"(?<=x)y") == 0
     assert one(spark, regex_is_valid(F.col("s")), "(") is False
     assert one(spark, regex_is_valid(F.col("s")), "a(b)") is True
-    assert one(spark, named_group_index(F.col("s"), "eventName"), r"(\d+) (?<sourceIp>x)(?<eventName>y)") == 3
-    assert one(spark, named_group_index(F.col("s"), "url"), r"(?<sourceIp>x)") is None
+    assert one(spark, regexscan.group_index(regexscan.scan("s"), "eventName"), r"(\d+) (?<sourceIp>x)(?<eventName>y)") == 3
+    assert one(spark, regexscan.group_index(regexscan.scan("s"), "url"), r"(?<sourceIp>x)") is None

@@ -87,7 +87,8 @@ def test_non_participating_group_and_port_colon(spark):
 
 def test_rule_validation(spark):
     rej = {r["rule_id"]: r["reject_reason"] for r in mt.rule_rejects(fx.log_rules_df(spark)).collect()}
-    assert rej == {"LR-3": "no_group", "LR-4": "bad_regex", "LR-5": "bad_group", "LR-6": "bad_group", "LR-7": "bad_group"}
+    assert rej == {"LR-3": "no_group", "LR-4": "bad_regex", "LR-5": "bad_group", "LR-6": "bad_group", "LR-7": "bad_group",
+                   "LR-8": "bad_group", "LR-9": "bad_group", "LR-10": "bad_group"}
 
 
 def test_user_rules_named_groups(spark):
@@ -177,10 +178,10 @@ def test_captures_one_pass_and_singly_agree(spark):
 
 def test_user_rules_in_chunks(spark):
     lines = [f"id{i}~2024-01-01 00:00:00~r~-~-~S~user={i} type={t} value=1.5" for i, t in enumerate(["error", "purchase", "view"])]
-    one, many = (mt.match_user(ps.parse(lines_df(spark, lines)), fx.user_rules_df(spark), chunk_bytes=b) for b in (1 << 20, 200))
+    one, many = (mt.match_user(ps.parse(lines_df(spark, lines)), fx.user_rules_df(spark), chunk_bytes=b, index_max_bytes=0) for b in (1 << 20, 200))
     pick = lambda df: sorted((r["recordid"], r["hit"]["rule_id"] if r["hit"] else None) for r in df.collect())
     assert pick(one) == pick(many) == [("id0", "UR-0"), ("id1", "UR-1"), ("id2", None)]
-    assert len(mt.pack_chunks(fx.user_rules_df(spark), 200)) > 1
+    assert len(mt.pack_chunks(mt.usable_rules(fx.user_rules_df(spark), named_groups=True), 200)) > 1
 
 
 def test_range_join_widths(spark):
