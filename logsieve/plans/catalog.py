@@ -249,6 +249,15 @@ def q_netflow_scan(spark, sf_dir):
     return scan_netflow(netflow_from_lineitem(table(spark, sf_dir, "lineitem")), *fx.FLOW_RANGE)
 
 
+def q_netflow_store_scan(spark, sf_dir):
+    """SRC7, FLT5: the same scan over a store laid out by time, which opens the range's files only."""
+    from ..sources.flows import netflow_from_lineitem
+    from ..sources.flowstore import stored_flows, write_flows
+    root = _scratch(spark, "flows")
+    write_flows(netflow_from_lineitem(table(spark, sf_dir, "lineitem")), root, period="month")
+    return stored_flows(spark, root, *fx.FLOW_RANGE)
+
+
 def q_moniflow_scan(spark, sf_dir):
     """SRC8, FLT4: monitored flows without nulls."""
     from ..sources.flows import moniflow_from_orders, scan_moniflow
@@ -267,31 +276,32 @@ def _points(spark, sf_dir):
     return pts, spark.read.parquet(path)
 
 
-def _appended(spark, df: DataFrame, tag: str) -> DataFrame:
-    """SNK6-SNK9: rows appended to their result table, and the table read back."""
-    from ..sinks.clusters import write_rows
-    path = _scratch(spark, tag)
-    write_rows(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+def _stored(spark, df: DataFrame, tag: str, times: int = 1) -> DataFrame:
+    """SNK6-SNK9: rows written to their result table, which keeps one of each id, and the table read back."""
+    from ..sinks.upsert import UpsertTable
+    result = UpsertTable(spark, _scratch(spark, tag), buckets=8)
+    for _ in range(times):
+        result.upsert(df)
+    return result.read()
 
 
 def q_cluster_points(spark, sf_dir):
     """SNK6: one row per clustered point with its distance to the centre."""
     from ..sinks.clusters import point_rows
     pts, cen = _points(spark, sf_dir)
-    return _appended(spark, point_rows(pts, cen, "CL-1", CLUSTER_TIME, "level one"), "cluster-points")
+    return _stored(spark, point_rows(pts, cen, "CL-1", CLUSTER_TIME, "level one"), "cluster-points")
 
 
 def q_cluster_centers(spark, sf_dir):
-    """SNK7: level-one centres."""
+    """SNK7: level-one centres; the same run is written twice and leaves one row of each."""
     from ..sinks.clusters import centre_rows
-    return _appended(spark, centre_rows(_points(spark, sf_dir)[1], "CL-1", CLUSTER_TIME, 1), "centres-1")
+    return _stored(spark, centre_rows(_points(spark, sf_dir)[1], "CL-1", CLUSTER_TIME, 1), "centres-1", times=2)
 
 
 def q_cluster_centers_sub(spark, sf_dir):
     """SNK8: level-two centres with parent run and parent centre."""
     from ..sinks.clusters import centre_rows_level2
-    return _appended(spark, centre_rows_level2(_points(spark, sf_dir)[1], "CL-1", 0, "CL-2", CLUSTER_TIME, 2), "centres-2")
+    return _stored(spark, centre_rows_level2(_points(spark, sf_dir)[1], "CL-1", 0, "CL-2", CLUSTER_TIME, 2), "centres-2")
 
 
 def q_cluster_centers_batch(spark, sf_dir):
@@ -306,7 +316,7 @@ def q_cluster_centers_batch(spark, sf_dir):
         F.lit("CL-2").alias("clno"), F.lit("2").alias("type"), F.lit(CLUSTER_TIME).alias("cltime"),
         F.lit(S.CENTER_DEMO_LEVEL2).alias("demo"), F.lit("0").alias("center_index_p"),
         F.lit("CL-1").alias("clno_p"))
-    return _appended(spark, centre_rows_batch(text), "centres-batch")
+    return _stored(spark, centre_rows_batch(text), "centres-batch")
 
 
 # --- addresses -----------------------------------------------------------------
@@ -414,6 +424,7 @@ QUERIES.update({
     "event_rule_fields": q_event_rule_fields,
     "rule_snapshot_roundtrip": q_rule_snapshot_roundtrip,
     "netflow_scan": q_netflow_scan,
+    "netflow_store_scan": q_netflow_store_scan,
     "moniflow_scan": q_moniflow_scan,
     "cluster_points": q_cluster_points,
     "cluster_centers": q_cluster_centers,
@@ -440,32 +451,43 @@ def _scratch(spark, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def _stream_job(spark, base: str, loader, refresh_seconds: float = 300, forward: bool = False):
+def _stream_job(spark, base: str, loader, refresh_seconds: float = 300, forward: bool = False, **options):
     from ..streaming import LogJob, Outputs, RuleCache
-    outs = Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event", f"{base}/rejects",
-                   forward=f"{base}/forward" if forward else None)
-    return LogJob(RuleCache(loader, refresh_seconds), outs)
+    outs = Outputs(f"{base}/out", forward=f"{base}/forward" if forward else None)
+    return LogJob(RuleCache(loader, refresh_seconds), outs, **options)
+
+
+def _output(spark, base: str, name: str) -> DataFrame:
+    from ..streaming import read_output
+    return read_output(spark, f"{base}/out", name)
 
 
 def _static_rules(spark):
     return lambda: {"logRule": fx.log_rules_df(spark), "eventDefRuleBySystem": system_event_defs(spark)}
 
 
-def _run_available(spark, base: str, job):
+def _run_available(spark, base: str, job, max_per_trigger: int | None = None):
     from ..streaming import read_log_stream
-    stream = read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key")
+    stream = read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key", max_per_trigger=max_per_trigger)
     q = job.start(stream, f"{base}/checkpoint", {"availableNow": True})
     q.awaitTermination()
     return q
 
 
+def _in_files(spark, sf_dir: str, base: str, n: int) -> None:
+    """The raw lines as n files, one after another: event ids by their remainder."""
+    events = table(spark, sf_dir, "events")
+    for i in range(n):
+        fx.raw_lines(events.where(F.col("event_id") % n == i)).coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+
 def q_stream_normalise(spark, sf_dir):
     """SRC1, STR1, STR2, STR6: the log job over a file stream (all files that are there);
     the stored genlog documents equal the batch result."""
     base = _scratch(spark, "stream")
     raw_from_events(spark, sf_dir).write.parquet(f"{base}/in")
     _run_available(spark, base, _stream_job(spark, base, _static_rules(spark)))
-    return spark.read.parquet(f"{base}/genlog").select(*S.GENLOG_DOC_COLUMNS)
+    return _output(spark, base, "genlog").select(*S.GENLOG_DOC_COLUMNS)
 
 
 def q_stream_rule_refresh(spark, sf_dir):
@@ -476,8 +498,8 @@ def q_stream_rule_refresh(spark, sf_dir):
     from ..streaming import read_log_stream
     base = _scratch(spark, "refresh")
     store = SnapshotStore(spark, f"{base}/rules")
-    store.write(fx.log_rules_df(spark, [r for r in fx.LOG_RULES if r["rule_seq"] != 2]), SNAPSHOT_LOG_RULES)
-    store.write(system_event_defs(spark), SNAPSHOT_EVENT_DEFS_SYSTEM)
+    store.write_bundle({SNAPSHOT_LOG_RULES: fx.log_rules_df(spark, [r for r in fx.LOG_RULES if r["rule_seq"] != 2]),
+                        SNAPSHOT_EVENT_DEFS_SYSTEM: system_event_defs(spark)})
     job = _stream_job(spark, base, store.load_bundle, refresh_seconds=0)
     events = table(spark, sf_dir, "events")
     fx.raw_lines(events.where(F.col("event_id") % 4 == 0)).write.mode("append").parquet(f"{base}/in")
@@ -485,15 +507,15 @@ def q_stream_rule_refresh(spark, sf_dir):
                   {"processingTime": "1 second"})
     try:
         q.processAllAvailable()
-        store.write(fx.log_rules_df(spark).limit(0), SNAPSHOT_LOG_RULES)
+        store.write_bundle({SNAPSHOT_LOG_RULES: fx.log_rules_df(spark).limit(0)})
         fx.raw_lines(events.where(F.col("event_id") % 4 == 2)).write.mode("append").parquet(f"{base}/in")
         q.processAllAvailable()
-        store.write(fx.log_rules_df(spark), SNAPSHOT_LOG_RULES)
+        store.write_bundle({SNAPSHOT_LOG_RULES: fx.log_rules_df(spark)})
         fx.raw_lines(events.where(F.col("event_id") % 2 == 1)).write.mode("append").parquet(f"{base}/in")
         q.processAllAvailable()
     finally:
         q.stop()
-    return spark.read.parquet(f"{base}/genlog").select(*S.GENLOG_DOC_COLUMNS)
+    return _output(spark, base, "genlog").select(*S.GENLOG_DOC_COLUMNS)
 
 
 def q_kafka_forward(spark, sf_dir):
@@ -523,12 +545,48 @@ QUERIES["event_defs_appended"] = q_event_defs_appended
 
 
 def q_sink_counts(spark, sf_dir):
-    """AGG3: rows that each sink of the log job took, as observed while they were written."""
+    """AGG3: rows that each sink of the log job took, counted while they were written and kept with each batch's
+    commit: read after the stream was stopped and started again by another job."""
+    from ..streaming import output_counts
     base = _scratch(spark, "counts")
+    events = table(spark, sf_dir, "events")
+    for i in range(2):
+        fx.raw_lines(events.where(F.col("event_id") % 2 == i)).write.mode("append").parquet(f"{base}/in")
+        _run_available(spark, base, _stream_job(spark, base, _static_rules(spark)))
+    return output_counts(spark, f"{base}/out").groupBy("sink").agg(F.sum("rows").alias("n"))
+
+
+def q_stream_new_names(spark, sf_dir):
+    """J6 in the stream: three micro-batches; the first gives each event name without a definition one, and all
+    batches' lines of that name are its events."""
+    base = _scratch(spark, "names")
+    _in_files(spark, sf_dir, base, 3)
+    _run_available(spark, base, _stream_job(spark, base, _static_rules(spark), learn=True), max_per_trigger=1)
+    made = (_output(spark, base, "definitions").groupBy(F.col("event_rule_id").alias("made_id"))
+            .agg(F.count(F.lit(1)).alias("c")))
+    events = _output(spark, base, "event").groupBy("event_rule_id", "event_rule_name", "event_rule_level").agg(
+        F.count(F.lit(1)).alias("n_events"))
+    return (events.join(made, F.col("event_rule_id") == F.col("made_id"), "left")
+            .select("event_rule_id", "event_rule_name", "event_rule_level", "n_events", F.coalesce("c", F.lit(0)).alias("n_definitions")))
+
+
+def q_stream_admission(spark, sf_dir):
+    """STR3: a backlog of files taken in bounded micro-batches, the first of one file and the others of two; the sizes
+    are checked, and the documents are those of the batch query."""
+    from ..streaming import output_counts, read_log_stream
+    base = _scratch(spark, "admission")
+    n_files = 6
+    _in_files(spark, sf_dir, base, n_files)
     job = _stream_job(spark, base, _static_rules(spark))
-    job.process(raw_from_events(spark, sf_dir), 0)
-    rows = [(k, int(v)) for k, v in job.metrics[0].items() if k != "batch_id"]
-    return fx.literal_frame(spark, rows, "sink string, n bigint")
+    job.start_limited(lambda limit: read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key", max_per_trigger=limit),
+                      f"{base}/checkpoint", per_trigger=2, first=1, trigger={"availableNow": True}).awaitTermination()
+    # every line is in one of these two
+    sizes = (output_counts(spark, f"{base}/out").where(F.col("sink").isin("syslog", "rejects")).groupBy("first_batch")
+             .agg(F.sum("rows").alias("n")).orderBy("first_batch").collect())
+    files = [r.n for r in spark.read.parquet(f"{base}/in").groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    if sizes[0].n > max(files) or any(s.n > 2 * max(files) for s in sizes) or len(sizes) < 1 + (n_files - 1) // 2:
+        raise AssertionError(f"micro-batches of {[s.n for s in sizes]} lines from files of {files}")
+    return _output(spark, base, "genlog").select(*S.GENLOG_DOC_COLUMNS)
 
 
 def _base_tables(spark, sf_dir):
@@ -581,6 +639,8 @@ def q_section_rejects(spark, sf_dir):
 
 QUERIES.update({
     "sink_counts": q_sink_counts,
+    "stream_new_names": q_stream_new_names,
+    "stream_admission": q_stream_admission,
     "rule_sync": q_rule_sync,
     "rule_set_counts": q_rule_set_counts,
     "section_rejects": q_section_rejects,

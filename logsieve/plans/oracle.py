@@ -232,6 +232,18 @@ WHERE line IS NOT NULL AND len(ff) >= 8 AND ms IS NOT NULL"""
     sql["new_rule_events"] = _with(*sys, _defs_cte(), new_defs) + _event_select(
         "n.event_rule_id", "g.eventname", "g.eventlevel",
         "genlog g JOIN newdefs n ON lower(trim(g.eventname)) = lower(trim(n.event_rule_name))")
+    # each new name's definition comes from the first of the three batches that has it
+    first_defs = new_defs.replace(
+        "FROM (SELECT *, lower(trim(eventname)) AS k FROM genlog) g",
+        "FROM (SELECT *, min(b) OVER (PARTITION BY k) AS b0 FROM (SELECT g.*, lower(trim(eventname)) AS k, p.event_id % 3 AS b "
+        "FROM genlog g JOIN parsed p ON p.line_key = g.line_key) x) g").replace("WHERE NOT EXISTS", "WHERE b = b0 AND NOT EXISTS")
+    sql["stream_new_names"] = _with(*sys, _defs_cte(), first_defs) + """
+SELECT event_rule_id, event_rule_name, event_rule_level, count(*) AS n_events, max(made) AS n_definitions FROM (
+  SELECT d.def_id AS event_rule_id, d.def_name AS event_rule_name, d.def_level AS event_rule_level, 0 AS made
+  FROM genlog g JOIN defidx d ON lower(trim(g.eventname)) = d.def_key
+  UNION ALL SELECT n.event_rule_id, n.event_rule_name, n.event_rule_level, 1
+  FROM genlog g JOIN newdefs n ON lower(trim(g.eventname)) = lower(trim(n.event_rule_name))) e
+GROUP BY event_rule_id, event_rule_name, event_rule_level"""
     split = f"(SELECT *, string_split(line || '~' || {flag}, '~') AS ff FROM matched) a"
     rejects = f"""rejects AS (
   SELECT md5('reject~' || line_key) AS row, value, reason, shifted FROM (
@@ -496,6 +508,8 @@ SELECT doc_id,
 FROM documents"""
     sql["index_read"] = "SELECT * FROM (" + sql["syslog_docs"] + ") s WHERE ismatch = 0"
     sql["stream_normalise"] = sql["genlog_docs"]
+    sql["stream_admission"] = sql["genlog_docs"]
+    sql["netflow_store_scan"] = sql["netflow_scan"]
     refresh = [RAW_CTE, _matched_cte(extra={2: "event_id % 2 = 1 AND "}), _genlog_cte()]
     sql["stream_rule_refresh"] = sql["genlog_docs"].replace(
         _with(RAW_CTE, _matched_cte(), _genlog_cte()), _with(*refresh))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schema as S
 from ..operators import assembly as asm
+from ..storage import FolderLog
 
 # --- fixed values: snapshot names and the bundle keys they load under ---
 SNAPSHOT_LOG_RULES = "logRegex"
@@ -86,16 +87,20 @@ def read_event_fields(spark: SparkSession, src: TableSource) -> DataFrame:
 
 
 class SnapshotStore:
-    """Rule snapshots as versioned tables under one shared folder: `name/version=<n>`.
+    """Rule snapshots as versioned tables under one shared folder: `name/version=<n>`, and bundles of them.
 
     A version is published by the commit marker that Spark's writer leaves last, and
     never changed afterwards, so a reader that holds an older version keeps its files,
     and a version that is still being written is not seen. `prune` removes old ones.
+
+    A bundle is a manifest that names one version of each table. It is published last, so a reader gets the tables of
+    one sync, or those of the one before, and never some of each.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bundles = FolderLog(spark, f"{self.root}/_bundle")
 
     def path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/version={version}"
@@ -147,9 +152,21 @@ class SnapshotStore:
             p, fs = self._folder(self.path(name, version))
             fs.delete(p, True)
 
+    def write_bundle(self, tables: dict[str, DataFrame], keep: int = 10) -> dict[str, int]:
+        """SNK1 for some tables at once: all are written, then published together. Tables not given stay as they were."""
+        written = {name: self.write(df, name) for name, df in tables.items()}
+        self.bundles.commit({name: {"path": self.path(name, v), "version": v} for name, v in written.items()})
+        for name in written:
+            self.prune(name, keep)
+        self.bundles.vacuum_list(keep)
+        return written
+
     def load_bundle(self, keys: dict[str, str] | None = None) -> dict[str, DataFrame]:
-        """SRC10/SRC11: the rule bundle, bundle key -> DataFrame."""
-        return {k: self.read(n) for k, n in (keys or BUNDLE_KEYS).items()}
+        """SRC10/SRC11: the rule bundle, bundle key -> DataFrame: the versions that the latest manifest names (where
+        none names a table, its latest version)."""
+        named = self.bundles.current()
+        return {k: self.spark.read.parquet(named[n]["path"]) if n in named else self.read(n)
+                for k, n in (keys or BUNDLE_KEYS).items()}
 
 
 def read_json_array_snapshot(spark: SparkSession, text_df: DataFrame, columns: list[str],
@@ -164,18 +181,14 @@ def read_json_array_snapshot(spark: SparkSession, text_df: DataFrame, columns: l
 
 def sync_rules(spark: SparkSession, src: TableSource, store: SnapshotStore) -> dict[str, int]:
     """STR5: rebuild every snapshot from the base tables (events first, then
-    log rules, as the original sync did). Returns the row count of each."""
+    log rules, as the original sync did) and publish them as one bundle. Returns the row count of each."""
     built = {
         SNAPSHOT_EVENT_DEFS_SYSTEM: read_event_defs_system(spark, src),
         SNAPSHOT_EVENT_FIELDS: read_event_fields(spark, src),
         SNAPSHOT_LOG_RULES: read_log_rules(spark, src),
     }
-    counts = {}
-    for name, df in built.items():
-        store.write(df, name)
-        store.prune(name)
-        counts[name] = store.read(name, required=True).count()
-    return counts
+    versions = store.write_bundle(built)
+    return {name: spark.read.parquet(store.path(name, v)).count() for name, v in versions.items()}
 
 
 def rule_set_counts(bundle: dict[str, DataFrame]) -> DataFrame:

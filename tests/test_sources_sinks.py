@@ -153,3 +153,51 @@ def test_snapshot_versions(spark):
     assert store.versions(SNAPSHOT_LOG_RULES) == [1, 2] and store.write(one, SNAPSHOT_LOG_RULES) == 4
     store.prune(SNAPSHOT_LOG_RULES, keep=1)
     assert store.versions(SNAPSHOT_LOG_RULES) == [4]
+
+
+def test_upsert_keeps_one_row_of_each_id(spark):
+    import uuid
+
+    from logsieve.session import ensure_checkpoint_dir
+    from logsieve.sinks.upsert import UpsertTable
+    t = UpsertTable(spark, f"{ensure_checkpoint_dir(spark)}/upsert-{uuid.uuid4().hex}", buckets=4)
+    assert t.read() is None
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").cast("string").alias("row"), F.lit(v).alias("v"))
+    pick = lambda df: {r.row: r.v for r in df.collect()}
+    t.upsert(rows(0, 50, "a"))
+    held = t.read()
+    t.upsert(rows(0, 50, "a"))            # the same run again
+    assert t.read().count() == 50
+    t.upsert(rows(40, 60, "b").unionByName(rows(40, 45, "b")))
+    assert pick(t.read()) == {str(i): "a" if i < 40 else "b" for i in range(60)} and t.read().count() == 60
+    t.upsert(rows(0, 0, "c"))
+    assert t.read().count() == 60 and pick(held) == {str(i): "a" for i in range(50)}
+    one = rows(3, 4, "d").withColumn("more", F.lit(1))
+    t.upsert(one)
+    assert pick(t.read())["3"] == "d" and t.read().count() == 60
+
+
+def test_flow_store_opens_the_files_of_the_range_only(spark):
+    import uuid
+
+    from logsieve.session import ensure_checkpoint_dir
+    from logsieve.sources.flows import scan_netflow
+    from logsieve.sources.flowstore import stored_flows, write_flows
+    flows = spark.range(4000).select(
+        F.concat(F.lit("10.0.0."), (F.col("id") % 9).cast("string")).alias("srcip"), F.lit("10.1.1.1").alias("dstip"),
+        F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 600)).alias("starttime"),
+        F.timestamp_seconds(F.lit(1704070000) + F.col("id") * 600).alias("endtime"), F.lit(None).cast("string").alias("proto"),
+        F.col("id").cast("int").alias("packernum"), F.when(F.col("id") % 7 > 0, F.lit(3)).alias("bytesize"))
+    for period in ("day", "month"):
+        root = f"{ensure_checkpoint_dir(spark)}/flows-{uuid.uuid4().hex}"
+        write_flows(flows, root, period)
+        got = stored_flows(spark, root, "2024-01-10 06:00:00", "2024-01-10 18:00:00")
+        want = scan_netflow(flows, "2024-01-10 06:00:00", "2024-01-10 18:00:00")
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 50
+        files = spark.read.parquet(root).inputFiles()
+        mine = [f for f in files if f"period={dict(day='d2024-01-10', month='m2024-01')[period]}/" in f]
+        got = stored_flows(spark, root, "2024-01-10 06:00:00", "2024-01-10 18:00:00")
+        got.collect()
+        scan = got._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numFiles").value() == len(mine) < len(files)
+        assert "GreaterThanOrEqual(starttime" in scan.toString()   # and the statistics skip what is in them

@@ -1,4 +1,4 @@
-"""Replay and idempotent micro-batch output."""
+"""Replay, one commit a micro-batch, learned names, compaction, admission and counts."""
 
 import uuid
 
@@ -8,60 +8,160 @@ from pyspark.sql import functions as F
 from logsieve import fixtures as fx
 from logsieve.plans.catalog import system_event_defs, table
 from logsieve.session import ensure_checkpoint_dir
-from logsieve.streaming import LogJob, Outputs, RuleCache, read_log_stream
+from logsieve.sources.rules import SNAPSHOT_EVENT_DEFS_SYSTEM, SNAPSHOT_LOG_RULES, SnapshotStore
+from logsieve.storage import FolderLog
+from logsieve.streaming import (LogJob, Outputs, ProgressLog, RuleCache, compact, output_counts, read_log_stream,
+                                read_output, read_progress)
 from conftest import SF_SMALL
 
+SINKS = ("syslog", "genlog", "event", "rejects")
 
-def _job(spark, base):
+
+def _base(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _job(spark, base, **options):
     rules = RuleCache(lambda: {"logRule": fx.log_rules_df(spark), "eventDefRuleBySystem": system_event_defs(spark)})
-    return LogJob(rules, Outputs(f"{base}/syslog", f"{base}/genlog", f"{base}/event", f"{base}/rejects"))
+    return LogJob(rules, Outputs(f"{base}/out"), **options)
+
+
+def _raw(spark, where="true"):
+    return fx.raw_lines(table(spark, SF_SMALL, "events").where(where))
+
+
+def _ids(spark, base, name, column="row"):
+    df = read_output(spark, f"{base}/out", name)
+    return sorted(r[0] for r in df.select(column).collect()) if df is not None else []
 
 
 def test_restart_from_checkpoint_no_loss_no_doubles(spark):
-    base = f"{ensure_checkpoint_dir(spark)}/replay-{uuid.uuid4().hex}"
+    base = _base(spark, "replay")
     ev = table(spark, SF_SMALL, "events")
-    fx.raw_lines(ev.where(F.col("event_id") < 500)).write.mode("append").parquet(f"{base}/in")
-    job = _job(spark, base)
-    job.start(read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key"), f"{base}/ckpt", {"availableNow": True}).awaitTermination()
-    fx.raw_lines(ev.where(F.col("event_id") >= 500)).write.mode("append").parquet(f"{base}/in")
-    job2 = _job(spark, base)   # a new driver-side job, same checkpoint
-    job2.start(read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key"), f"{base}/ckpt", {"availableNow": True}).awaitTermination()
-    rows = spark.read.parquet(f"{base}/syslog").select("row").unionByName(spark.read.parquet(f"{base}/rejects").select("row"))
-    assert rows.count() == ev.count()
-    assert rows.distinct().count() == ev.count()
-    assert sum(m["syslog"] + m["rejects"] for m in job.metrics + job2.metrics) == ev.count()
-    orphans = spark.read.parquet(f"{base}/event").join(spark.read.parquet(f"{base}/genlog"), F.col("logid") == F.col("recordid"), "left_anti")
+    progress = ProgressLog(spark, f"{base}/progress")
+    spark.streams.addListener(progress)
+    try:
+        for part in ("event_id < 500", "event_id >= 500"):   # a new driver-side job each, same checkpoint
+            _raw(spark, part).write.mode("append").parquet(f"{base}/in")
+            _job(spark, base).start(read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key"), f"{base}/ckpt",
+                                    {"availableNow": True}).awaitTermination()
+        for _ in range(50):   # the listener is told after the query has ended
+            if spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty() is None and len(progress.log._names(f"{base}/progress")):
+                break
+    finally:
+        spark.streams.removeListener(progress)
+    rows = read_output(spark, f"{base}/out", "syslog").select("row").unionByName(read_output(spark, f"{base}/out", "rejects").select("row"))
+    assert rows.count() == ev.count() and rows.distinct().count() == ev.count()
+    counts = output_counts(spark, f"{base}/out").where(F.col("sink").isin("syslog", "rejects")).agg(F.sum("rows")).first()[0]
+    assert counts == ev.count()
+    orphans = read_output(spark, f"{base}/out", "event").join(read_output(spark, f"{base}/out", "genlog"), F.col("logid") == F.col("recordid"), "left_anti")
     assert orphans.count() == 0
+    kept = read_progress(spark, f"{base}/progress").where("rows_in > 0").agg(F.sum("rows_in"), F.countDistinct("run")).first()
+    assert tuple(kept) == (ev.count(), 2) and progress.failures == 0
 
 
-def test_replayed_batch_overwrites_its_own_output(spark):
-    base = f"{ensure_checkpoint_dir(spark)}/idem-{uuid.uuid4().hex}"
-    raw = fx.raw_lines(table(spark, SF_SMALL, "events"))
-    job = _job(spark, base)
-    job.process(raw, 7)
-    job.process(raw, 7)          # the same micro-batch again, as after a failure
-    assert spark.read.parquet(f"{base}/genlog").count() == job.metrics[0]["genlog"]
-
-
-def test_replay_without_rows_clears_its_old_output(spark):
-    base = f"{ensure_checkpoint_dir(spark)}/clear-{uuid.uuid4().hex}"
-    raw = fx.raw_lines(table(spark, SF_SMALL, "events"))
+def test_replayed_batch_replaces_its_own_output(spark):
+    base = _base(spark, "idem")
     job = _job(spark, base)
-    job.process(raw, 3)
-    job.process(raw.where("value = 'none such'"), 3)
-    assert spark.read.schema("row string").parquet(f"{base}/genlog").count() == 0
+    job.process(_raw(spark), 7)
+    first = {t: _ids(spark, base, t) for t in SINKS}
+    job.process(_raw(spark), 7)          # the same micro-batch again, as after a failure
+    assert {t: _ids(spark, base, t) for t in SINKS} == first and first["genlog"]
+    job.process(_raw(spark, "event_id < 0"), 7)   # and with no rows now
+    assert all(_ids(spark, base, t) == [] for t in SINKS)
+
+
+def test_a_batch_that_dies_between_two_sinks_shows_nothing(spark, monkeypatch):
+    base = _base(spark, "half")
+    job = _job(spark, base, learn=True)
+    job.process(_raw(spark, "event_id % 2 = 0"), 0)
+    before = {t: _ids(spark, base, t) for t in SINKS}
+    from logsieve.plans.normalise import Analysis
+    with monkeypatch.context() as m:
+        m.setattr(Analysis, "event_docs", lambda self: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            job.process(_raw(spark, "event_id % 2 = 1"), 1)
+    assert {t: _ids(spark, base, t) for t in SINKS} == before
+    job.process(_raw(spark, "event_id % 2 = 1"), 1)
+    whole = _base(spark, "whole")
+    _job(spark, whole, learn=True).process(_raw(spark), 0)
+    assert {t: _ids(spark, base, t) for t in SINKS} == {t: _ids(spark, whole, t) for t in SINKS}
+
+
+def test_compaction_keeps_rows_and_readers(spark):
+    base = _base(spark, "compact")
+    job = _job(spark, base, learn=True)
+    for i in range(5):
+        job.process(_raw(spark, f"event_id % 5 = {i}"), i)
+    before = {t: _ids(spark, base, t) for t in SINKS}
+    counts = {r.sink: r.n for r in output_counts(spark, f"{base}/out").groupBy("sink").agg(F.sum("rows").alias("n")).collect()}
+    held = read_output(spark, f"{base}/out", "syslog")
+    folders = len(FolderLog(spark, f"{base}/out").current())
+    assert compact(spark, f"{base}/out", keep_batches=2) >= 8
+    assert len(FolderLog(spark, f"{base}/out").current()) < folders
+    assert {t: _ids(spark, base, t) for t in SINKS} == before and held.count() == len(before["syslog"])
+    assert {r.sink: r.n for r in output_counts(spark, f"{base}/out").groupBy("sink").agg(F.sum("rows").alias("n")).collect()} == counts
+    gone = FolderLog(spark, f"{base}/out").vacuum(keep=1)
+    assert len(gone) >= 8 and {t: _ids(spark, base, t) for t in SINKS} == before
+    # a batch after the compaction, replayed, still replaces itself alone
+    job.process(_raw(spark, "event_id % 5 = 4"), 4)
+    assert {t: _ids(spark, base, t) for t in SINKS} == before
+
+
+def test_each_new_name_gets_one_definition_once(spark):
+    """Three batches with one new name in all: defined in the first, matched in each, also after a replay."""
+    base = _base(spark, "names")
+    store = SnapshotStore(spark, f"{base}/rules")
+    store.write_bundle({SNAPSHOT_LOG_RULES: fx.log_rules_df(spark), SNAPSHOT_EVENT_DEFS_SYSTEM: system_event_defs(spark)})
+    job = LogJob(RuleCache(store.load_bundle), Outputs(f"{base}/out"), learn=True, rule_store=store)
+    lines = _raw(spark, "event_type = 'signup' AND event_id % 50 > 1")
+    for i in (0, 1, 1, 2, 0):
+        job.process(lines.where(F.col("src_key").cast("long") % 3 == i), i)
+    defs = read_output(spark, f"{base}/out", "definitions").collect()
+    assert len(defs) == 1 and defs[0].event_rule_name.lower() == "signup"
+    events = read_output(spark, f"{base}/out", "event").collect()
+    assert {e.event_rule_id for e in events} == {defs[0].event_rule_id} and len(events) == len(_ids(spark, base, "genlog")) > 3
+    stored = store.load_bundle()["eventDefRuleBySystem"].where("lower(trim(event_rule_name)) = 'signup'").collect()
+    assert [r.event_rule_id for r in stored] == [defs[0].event_rule_id]
+    # a job without memory of this one, with the stored rules, has nothing to learn
+    again = LogJob(RuleCache(store.load_bundle), Outputs(f"{base}/other"), learn=True)
+    again.process(lines, 0)
+    assert read_output(spark, f"{base}/other", "definitions") is None
+
+
+def test_refresh_between_two_table_writes_sees_the_old_bundle(spark):
+    store = SnapshotStore(spark, _base(spark, "bundle"))
+    old, new = ([{"rule_seq": 0, "log_rule_id": v, "log_regex": "(a)"}] for v in ("old", "new"))
+    store.write_bundle({SNAPSHOT_LOG_RULES: fx.log_rules_df(spark, old), SNAPSHOT_EVENT_DEFS_SYSTEM: system_event_defs(spark)})
+    names = lambda: [r.log_rule_id for r in store.load_bundle()["logRule"].collect()]
+    store.write(fx.log_rules_df(spark, new), SNAPSHOT_LOG_RULES)     # one table of the next sync is there, the other isn't
+    assert names() == ["old"]
+    held = store.load_bundle()["logRule"]
+    store.write_bundle({SNAPSHOT_LOG_RULES: fx.log_rules_df(spark, new), SNAPSHOT_EVENT_DEFS_SYSTEM: system_event_defs(spark).limit(1)})
+    assert names() == ["new"] and store.load_bundle()["eventDefRuleBySystem"].count() == 1
+    assert [r.log_rule_id for r in held.collect()] == ["old"]
+
+
+def test_folder_log(spark):
+    log = FolderLog(spark, _base(spark, "log"))
+    assert log.current() == {} and log.read([]) is None
+    assert log.commit({"a": {"path": "x"}, "b": {"path": "y"}}) == 1
+    assert log.commit({"a": {"path": "z"}}, drop=["b"]) == 2
+    assert log.current() == {"a": {"path": "z"}} and log.current(1)["b"] == {"path": "y"}
+    with pytest.raises(FileExistsError):
+        log.put(f"{log.root}/_log/v{2:012}.json", "{}")
 
 
 def test_file_positions_tell_equal_lines_apart(spark):
-    base = f"{ensure_checkpoint_dir(spark)}/equal-{uuid.uuid4().hex}"
+    base = _base(spark, "equal")
     line = fx.HEARTBEAT
     spark.createDataFrame([(line,)] * 30, "value string").repartition(2).write.parquet(f"{base}/in")
+    found = []
     for attempt in ("a", "b"):
-        out = Outputs(*[f"{base}/{attempt}/{t}" for t in ("syslog", "genlog", "event", "rejects")])
-        job = LogJob(_job(spark, base).rules, out)
+        job = _job(spark, f"{base}/{attempt}")
         job.start(read_log_stream(spark, "parquet", f"{base}/in"), f"{base}/{attempt}/ckpt", {"availableNow": True}).awaitTermination()
-    first, again = ({r.row for r in spark.read.parquet(f"{base}/{x}/syslog").collect()} for x in ("a", "b"))
-    assert len(first) == 30 and first == again
+        found.append(set(_ids(spark, f"{base}/{attempt}", "syslog")))
+    assert len(found[0]) == 30 and found[0] == found[1]
     with pytest.raises(ValueError):
         read_log_stream(spark, "text", f"{base}/in")
 
