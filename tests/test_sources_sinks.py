@@ -185,15 +185,15 @@ def test_flow_store_opens_the_files_of_the_range_only(spark):
     from logsieve.sources.flowstore import stored_flows, write_flows
     flows = spark.range(4000).select(
         F.concat(F.lit("10.0.0."), (F.col("id") % 9).cast("string")).alias("srcip"), F.lit("10.1.1.1").alias("dstip"),
-        F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 600)).alias("starttime"),
-        F.timestamp_seconds(F.lit(1704070000) + F.col("id") * 600).alias("endtime"), F.lit(None).cast("string").alias("proto"),
+        F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 900)).alias("starttime"),
+        F.timestamp_seconds(F.lit(1704070000) + F.col("id") * 900).alias("endtime"), F.lit(None).cast("string").alias("proto"),
         F.col("id").cast("int").alias("packernum"), F.when(F.col("id") % 7 > 0, F.lit(3)).alias("bytesize"))
     for period in ("day", "month"):
         root = f"{ensure_checkpoint_dir(spark)}/flows-{uuid.uuid4().hex}"
         write_flows(flows, root, period)
         got = stored_flows(spark, root, "2024-01-10 06:00:00", "2024-01-10 18:00:00")
         want = scan_netflow(flows, "2024-01-10 06:00:00", "2024-01-10 18:00:00")
-        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 50
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() > 30
         files = spark.read.parquet(root).inputFiles()
         mine = [f for f in files if f"period={dict(day='d2024-01-10', month='m2024-01')[period]}/" in f]
         got = stored_flows(spark, root, "2024-01-10 06:00:00", "2024-01-10 18:00:00")
