@@ -14,6 +14,9 @@ stack scan yields the interval tree, and intervals whose occurrences differ to t
 repeat groups. A segment's first window counts as different to the left, so repeats that reach over
 several segments are found in each of them, and their pieces join.
 
+Of equal texts of MIN_LENGTH bytes and more only the first is looked at: the others repeat it whole, so they are removed
+whole, and what repeats one of them repeats the first.
+
 An anchor that more than HOT segments share is not sorted in one task: its windows are matched singly,
 by their hashes, with partial aggregation and joins.
 
@@ -32,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import _BASE, _BASE_INV, _BYTE_HASH, _powers, blocks, mix, written
+from .blocks import _BASE, _BASE_INV, _BYTE_HASH, _powers, blocks, mix, text_bytes, written
+from .skew import spread_join
 
 MIN_LENGTH = 100
 GRAM = 20
@@ -114,13 +118,12 @@ def scan(lcp: list[int], left: list[int], visit) -> None:
 class Suffixes:
     """The enhanced suffix array of a block of segments: (doc, place, bytes) each, in any order."""
 
-    def __init__(self, doc: np.ndarray, place: np.ndarray, texts: list[bytes], length: int = MIN_LENGTH):
+    def __init__(self, doc: np.ndarray, place: np.ndarray, data: np.ndarray, size: np.ndarray, length: int = MIN_LENGTH):
+        """data: the segments' bytes, one after another; size: how many each has."""
         self.length = length
-        size = np.array([len(t) for t in texts])
         end = np.cumsum(size)
-        data = np.frombuffer(b"".join(texts), np.uint8)
         windows = size - length + 1
-        seg = np.repeat(np.arange(len(texts)), windows)
+        seg = np.repeat(np.arange(len(size)), windows)
         inner = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         at = (end - size)[seg] + inner
         h = rolling(data, length)[at]
@@ -200,35 +203,37 @@ def _anchors(batches):
                                               pa.array(n.astype(np.int32))], names=["h", "did", "tag", "place", "n"])
 
 
+def _slices(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The stretches of `size` bytes from `first` on, as binaries."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[at])])
+
+
 def _segment_bytes(single: bool):
     """Rows of documents with the list `segs` of their shared segments -> the segments' bytes, or, singly, window hashes."""
     def run(batches):
         for batch, data, off in blocks(batches):
-            h, did, tag, place, raw = [], [], [], [], []
-            keys, tags = batch.column("did").to_pylist(), batch.column("tag").to_pylist()
-            for i, segs in enumerate(batch.column("segs").to_pylist()):
-                text = data[off[i] : off[i + 1]]
-                whole = rolling(text, MIN_LENGTH).view(np.int64) if single else None
-                body = text.tobytes()
-                for s in segs:
-                    at = s["place"]
-                    if single:
-                        h += whole[at : at + s["n"]].tolist()
-                        did += [keys[i]] * s["n"]
-                        tag += [tags[i]] * s["n"]
-                        place += range(at, at + s["n"])
-                    else:
-                        h.append(s["h"])
-                        did.append(keys[i])
-                        tag.append(tags[i])
-                        place.append(at)
-                        raw.append(body[at : at + s["n"] + MIN_LENGTH - 1])
-            cols = [pa.array(x, pa.int64()) for x in (h, did, tag, place)]
+            segs = batch.column("segs")
+            ends = segs.offsets.to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            h, place, n = (segs.flatten().field(c).to_numpy() for c in ("h", "place", "n"))
+            if not len(h):
+                continue
+            if single:
+                whole = rolling(data, MIN_LENGTH).view(np.int64)
+                inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                row, place = np.repeat(row, n), np.repeat(place, n) + inner
+                cols = [whole[off[row] + place]]
+            else:
+                cols = [h]
+            cols += [batch.column(c).to_numpy()[row] for c in ("did", "tag")]
+            out = [pa.array(x) for x in [*cols, place.astype(np.int64)]]
             names = ["h", "did", "tag", "place"]
             if not single:
-                cols, names = [*cols, pa.array(raw, pa.binary())], [*names, "raw"]
-            if h:
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                out.append(_slices(data, off[row] + place, n.astype(np.int64) + MIN_LENGTH - 1).cast(pa.binary()))
+                names.append("raw")
+            yield pa.RecordBatch.from_arrays(out, names=names)
     return run
 
 
@@ -238,7 +243,8 @@ def _array_blocks(batches):
     for batch in batches:
         h = batch.column("h").to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(h[1:] != h[:-1]) + 1).tolist(), len(h)]
-        lengths = np.concatenate([[0], np.cumsum([len(x) for x in batch.column("raw").to_pylist()])])
+        lengths = batch.column("raw").cast(pa.large_binary()).buffers()[1]
+        lengths = np.frombuffer(lengths, np.int64)[: batch.num_rows + 1] if lengths is not None else np.zeros(1, np.int64)
         for a, b in zip(cuts, cuts[1:]):
             if size >= ARRAY_BYTES and held[-1].column("h")[-1].as_py() != int(h[a]):
                 yield held
@@ -252,15 +258,17 @@ def _array_blocks(batches):
 
 def _suffixes(batches):
     for held in _array_blocks(batches):
-        col = lambda c: [x for b in held for x in b.column(c).to_pylist()]
+        col = lambda c: np.concatenate([b.column(c).to_numpy() for b in held])
         # documents (did, tag) by their rank in the block
-        did, tag = np.array(col("did"), np.int64), np.array(col("tag"), np.int64)
+        did, tag = col("did"), col("tag")
         order = np.lexsort((tag, did))
         d, t = did[order], tag[order]
         new = np.append(True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.cumsum(new) - 1
-        yield Suffixes(rank, np.array(col("place"), np.int64), col("raw")), d[new], t[new]
+        raw = [text_bytes(b.column("raw").cast(pa.large_binary()).view(pa.large_string())) for b in held]
+        data, size = np.concatenate([r[0] for r in raw]), np.concatenate([np.diff(r[1]) for r in raw])
+        yield Suffixes(rank, col("place"), data, size), d[new], t[new]
 
 
 def _cover_rows(batches):
@@ -284,22 +292,36 @@ def _group_rows(batches):
                                              names=["first_did", "first_tag", "first_place", "length", "did", "tag", "place"])
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """did, tag, text: what names a row's text, the tag being a hash of it where the did stands on several texts."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, later) of docs. rows: did, tag, text: what names a row's text, the tag being a hash of it where the did
+    stands on several texts. later: did, tag, n (bytes) of texts of MIN_LENGTH bytes and more that equal, by 128 bits
+    of hashes, one of an earlier (did, tag)."""
     did, tag = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"), F.xxhash64("text")
-    several = written(docs.select(did, tag.alias("tag")).groupBy("did").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"))
+    keys = written(docs.select(did, tag.alias("one"), F.xxhash64(F.lit(7), "text").alias("two"),
+                               F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")), "keys")
+    several = written(keys.groupBy("did").agg(F.min("one").alias("lo"), F.max("one").alias("hi"))
                       .where("lo <> hi").select(F.col("did").alias("_d")), "several")
-    rows = docs.select(did, "text")
+    rows, named = docs.select(did, "text"), keys.withColumn("tag", F.lit(0).cast("long"))
     if several.isEmpty():
-        return rows.select("did", F.lit(0).cast("long").alias("tag"), "text")
-    return (rows.join(several, F.col("did") == F.col("_d"), "left")
-            .select("did", F.when(F.col("_d").isNotNull(), tag).otherwise(F.lit(0)).alias("tag"), "text"))
-
-
-def _with_segments(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    """rows (did, tag, text) with the list of those of their segments in shared."""
-    lists = (shared.groupBy("did", "tag").agg(F.collect_list(F.struct("h", "place", "n")).alias("segs"))
-             .withColumnsRenamed({"did": "_d", "tag": "_t"}))
+        rows = rows.select("did", F.lit(0).cast("long").alias("tag"), "text")
+    else:
+        rows = (rows.join(several, F.col("did") == F.col("_d"), "left")
+                .select("did", F.when(F.col("_d").isNotNull(), tag).otherwise(F.lit(0)).alias("tag"), "text"))
+        named = written(keys.join(several, F.col("did") == F.col("_d"), "left")
+                        .select("did", "one", "two", "n", F.when(F.col("_d").isNotNull(), F.col("one")).otherwise(F.lit(0)).alias("tag")), "named")
+    me = F.struct("did", "tag")
+    copied = written(named.where(F.col("n") >= MIN_LENGTH).groupBy("one", "two").agg(F.min(me).alias("first"), F.max(me).alias("last"))
+                     .where("first <> last").select("one", "two", "first"), "copied")
+    later = spread_join(named, copied, ["one", "two"]).where(me > F.col("first")).select("did", "tag", "n").distinct()
+    return rows, written(later, "later")
+
+
+def _with_segments(rows: DataFrame, shared: DataFrame, later: DataFrame | None = None) -> DataFrame:
+    """rows (did, tag, text) with the set of those of their segments in shared; without the texts in later."""
+    lists = shared.groupBy("did", "tag").agg(F.collect_set(F.struct("h", "place", "n")).alias("segs"))
+    if later is not None:
+        lists = lists.join(later.select("did", "tag"), ["did", "tag"], "left_anti")
+    lists = lists.withColumnsRenamed({"did": "_d", "tag": "_t"})
     return rows.join(lists, (F.col("did") == F.col("_d")) & (F.col("tag") == F.col("_t"))).select("did", "tag", "text", "segs")
 
 
@@ -310,8 +332,8 @@ def _shared_segments(rows: DataFrame) -> DataFrame:
     return written(found.join(often, F.col("h") == F.col("_h")).select("h", "did", "tag", "place", "n", "rows"), "shared")
 
 
-def _sorted_segments(rows: DataFrame, shared: DataFrame) -> DataFrame:
-    got = _with_segments(rows, shared).mapInArrow(_segment_bytes(False), "h long, did long, tag long, place long, raw binary")
+def _sorted_segments(rows: DataFrame, shared: DataFrame, later: DataFrame | None = None) -> DataFrame:
+    got = _with_segments(rows, shared, later).mapInArrow(_segment_bytes(False), "h long, did long, tag long, place long, raw binary")
     return got.repartition("h").sortWithinPartitions("h")
 
 
@@ -322,26 +344,26 @@ def repeat_groups(docs: DataFrame) -> DataFrame:
     did and tag name the text, a place is a byte offset in it. Occurrences are listed under each of
     their groups; anchors shared by more than HOT segments are left to `covers`.
     """
-    rows = _keyed(docs)
+    rows, _ = _keyed(docs)
     shared = _shared_segments(rows).where(F.col("rows") <= HOT)
     return _sorted_segments(rows, shared).mapInArrow(
         _group_rows, "first_did long, first_tag long, first_place long, length long, did long, tag long, place long")
 
 
-def covers(rows: DataFrame) -> DataFrame:
+def covers(rows: DataFrame, later: DataFrame) -> DataFrame:
     """did, tag, begin, end (byte offsets) of pieces that repeat an earlier string of MIN_LENGTH bytes or more."""
     shared = _shared_segments(rows)
-    out = written(_sorted_segments(rows, shared.where(F.col("rows") <= HOT))
+    out = written(_sorted_segments(rows, shared.where(F.col("rows") <= HOT), later)
                   .mapInArrow(_cover_rows, "did long, tag long, begin long, end long"), "covers")
     hot = shared.where(F.col("rows") > HOT)
     if not hot.isEmpty():
-        one = written(_with_segments(rows, hot).mapInArrow(_segment_bytes(True), "h long, did long, tag long, place long"), "hot")
+        one = written(_with_segments(rows, hot, later).mapInArrow(_segment_bytes(True), "h long, did long, tag long, place long"), "hot")
         first = (one.groupBy("h").agg(F.min(F.struct("did", "tag", "place")).alias("first")).withColumnRenamed("h", "_h"))
         out = out.unionByName(written(one.join(first, F.col("h") == F.col("_h"))
                                       .where(F.struct("did", "tag", "place") > F.col("first"))
                                       .select("did", "tag", F.col("place").alias("begin"), (F.col("place") + MIN_LENGTH).alias("end")),
                                       "hot-covers"))
-    return out
+    return out.unionByName(later.select("did", "tag", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end")))
 
 
 def _kept(batches):
@@ -376,8 +398,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Removed is every byte covered by a MIN_LENGTH-byte string that also starts earlier: in a smaller doc_id,
     or earlier in the same document.
     """
-    rows = _keyed(docs)
-    pieces = (covers(rows).groupBy("did", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("pieces"))
+    rows, later = _keyed(docs)
+    pieces = (covers(rows, later).groupBy("did", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("pieces"))
               .withColumnsRenamed({"did": "_d", "tag": "_t"}))
     both = rows.join(pieces, (F.col("did") == F.col("_d")) & (F.col("tag") == F.col("_t")), "left")
     return (both.select(F.when(F.col("did") != _NO_ID, F.col("did")).alias("doc_id"), "text", "pieces")

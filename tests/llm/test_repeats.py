@@ -74,6 +74,17 @@ def test_repeated_ids_and_empty(spark):
     assert _got(spark, []) == []
 
 
+def test_copies_are_removed_whole(spark):
+    """Many copies of some texts, and texts that repeat a part of one of the copies; short texts are no repeats."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdé") for _ in range(n))
+    bases = [text(n) for n in (40, 99, 100, 300, 900)]
+    rows = [(i, rng.choice(bases)) for i in range(60)] + [(60 + i, text(30) + rng.choice(bases)[rng.randrange(60):] + text(9)) for i in range(40)]
+    rng.shuffle(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert _got(spark, rows) == brute(rows)
+
+
 def test_many_texts_without_id(spark, monkeypatch):
     """More texts of one id than 16 bits tell apart; each holds a passage of its own twice, or a common one."""
     rng = random.Random(2)
@@ -104,7 +115,7 @@ def test_repeat_groups(spark):
 def test_suffix_array_block(segs):
     raw = [t.encode() for _, t in segs]
     place = np.array([i * 1000 for i in range(len(segs))])
-    s = rp.Suffixes(np.array([d for d, _ in segs]), place, raw, length=5)
+    s = rp.Suffixes(np.array([d for d, _ in segs]), place, np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw]), length=5)
     cover = {}
     for d, p, n in zip(s.doc.tolist(), s.place.tolist(), s.covered().tolist()):
         for x in range(p, p + n):
