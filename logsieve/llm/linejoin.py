@@ -15,7 +15,8 @@ bit-parallel edit distance.
 Classes are named by the 64-bit hash of their line (xxhash64).
 
 Defined cases: null and empty texts have no lines; a carriage return before the line feed is part of the line;
-lines below MIN_CHARS characters are only joined with equal ones; null doc_ids come first; repeated rows are
+lines of at most `threshold` characters are only joined with equal ones (any
+two of them are that few edits apart); null doc_ids come first; repeated rows are
 copies of each other's lines; an empty table gives no rows. Columns other than doc_id and text are not looked at.
 """
 
@@ -31,7 +32,6 @@ from pyspark.sql import functions as F
 from .blocks import _BASE, _BASE_INV, _powers, mix, written
 
 THRESHOLD = 2
-MIN_CHARS = 8
 _U = np.uint64
 #: characters hashed at a time in a task, at least one line
 BLOCK_CHARS = 1 << 20
@@ -74,7 +74,7 @@ def line_keys(lines: list[str], threshold: int):
             hi = np.minimum(start[i] + i, start[i] + less + (threshold - i))
             for shift in range(2 * threshold + 1):
                 s = lo + shift
-                ok = np.flatnonzero((s <= hi) & (s >= 0) & (s + size[i] <= n) & (other >= MIN_CHARS))
+                ok = np.flatnonzero((s <= hi) & (s >= 0) & (s + size[i] <= n) & (other > threshold))
                 if len(ok):
                     probe.append((ok, key(ok, s[ok], size[i][ok], other[ok], i)))
     pair = np.zeros(len(code), np.uint64)
@@ -169,7 +169,7 @@ def _verify(threshold: int):
 
 def linked_lines(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (a, b) of class names (lh), a < b, whose lines are at most threshold edits apart."""
-    long = classes.where(F.char_length("line") >= MIN_CHARS).select("lh", "line")
+    long = classes.where(F.char_length("line") > threshold).select("lh", "line")
     schema = "key long, lh long, sig long"
     index = long.mapInArrow(_keys(threshold, False), schema).toDF("key", "a", "sa")
     probe = long.mapInArrow(_keys(threshold, True), schema).toDF("_k", "b", "sb")

@@ -32,7 +32,7 @@ def brute(rows, t):
     for d, i, x in sorted(lines, key=place):
         first.setdefault(x, (d, i))
         copies[x] = copies.get(x, 0) + 1
-    names = [x for x in first if len(x) >= lj.MIN_CHARS]
+    names = [x for x in first if len(x) > t]
     link = {x: [y for y in names if x != y and abs(len(x) - len(y)) <= t and distance(x, y) <= t] if x in names else [] for x in first}
     out = []
     for d, i, x in lines:
@@ -43,7 +43,7 @@ def brute(rows, t):
 
 def test_all_pairs(spark):
     rng = random.Random(12)
-    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([2, 7, 8, 9, 12, 20, 45]))) + "x" for _ in range(25)]
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([1, 2, 3, 4, 5, 7, 8, 9, 12, 20, 45]))) + "x" for _ in range(25)]
 
     def edited():
         x = list(rng.choice(base))
