@@ -12,9 +12,14 @@ def json_to_map(c: Column) -> Column:
 
 def json_to_nested_map(c: Column) -> Column:
     """F6 with its second level: map<string, struct<text, fields>>. `text` is the value
-    as text; `fields` is the map of a nested object's own values, null for others."""
-    nested = lambda v: F.when(F.btrim(v).startswith("{") & F.btrim(v).endswith("}"), json_to_map(v))
-    return F.transform_values(json_to_map(c), lambda _, v: F.struct(v.alias("text"), nested(v).alias("fields")))
+    as text; `fields` is the map of a nested object's own values, null for others. What is
+    an object goes by the value's type: a string that looks like one is a string."""
+    def value(v: Column) -> Column:
+        kind = F.schema_of_variant(v)
+        nested, text = kind.startswith("OBJECT"), F.to_json(v)
+        return F.struct(F.when(nested | kind.startswith("ARRAY"), text).otherwise(v.cast("string")).alias("text"),
+                        F.when(nested, json_to_map(text)).alias("fields"))
+    return F.transform_values(F.from_json(c, "map<string,variant>"), lambda _, v: value(v))
 
 
 def json_lower_keys(c: Column) -> Column:

@@ -118,8 +118,13 @@ def q_log_rejects(spark, sf_dir):
 
 
 def q_record_ids(spark, sf_dir):
-    """records and distinct ids of each table, with equal lines in the input."""
+    """records and distinct ids of each table, with equal lines in the input; the lines are matched once."""
+    from .normalise import Analysis
+    path = _scratch(spark, "matched")
     a = _analysis(spark, sf_dir)
+    a.matched.write.parquet(path)
+    stored = spark.read.schema(a.matched.schema).parquet(path)
+    a = Analysis(stored, mt.to_genlog(stored), a.event_defs)
     ids = (a.syslog_docs().select(F.lit("syslog").alias("kind"), "row")
            .unionByName(a.genlog_docs().select(F.lit("genlog").alias("kind"), "row"))
            .unionByName(a.rejects().select(F.lit("rejects").alias("kind"), "row")))

@@ -27,14 +27,12 @@ def euclidean(a: Column, b: Column) -> Column:
 def centres_of(points: DataFrame, digits: int = 6) -> DataFrame:
     """Mean of each coordinate per label (rounded), as (label, coords).
 
-    One row per coordinate, averaged with partial aggregation on the map
-    side: a label that holds a third of all points still shuffles one row
-    per coordinate and task. The last step gathers a centre's coordinates.
+    One average per coordinate, all in one aggregate with partial sums on the map side: a point is one
+    row throughout, and a label that holds a third of all points still shuffles one row per task.
     """
-    flat = points.select("label", F.posexplode("coords").alias("i", "x"))
-    means = flat.groupBy("label", "i").agg(F.round(F.avg("x"), digits).alias("m"))
-    ordered = F.sort_array(F.collect_list(F.struct("i", "m")))
-    return means.groupBy("label").agg(F.transform(ordered, lambda s: s["m"]).alias("coords"))
+    n = points.agg(F.max(F.size("coords"))).first()[0] or 0
+    means = F.array(*[F.round(F.avg(F.get("coords", F.lit(i))), digits) for i in range(n)]).cast("array<double>")
+    return points.groupBy("label").agg(F.filter(means, lambda x: x.isNotNull()).alias("coords"))
 
 
 def point_rows(points: DataFrame, centres: DataFrame, clno: str, cltime: str, demo: str,
@@ -115,8 +113,3 @@ def centre_rows_batch(rows: DataFrame) -> DataFrame:
     """
     typed = {"type": F.col("type").try_cast("int"), "cltime": F.try_to_timestamp(F.col("cltime"))}
     return rows.select(*[typed.get(c, F.col(c)).alias(c) for c in BATCH_COLUMNS])
-
-
-def write_rows(df: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None) -> None:
-    """Append cluster rows; with JDBC, `options` may carry `batchsize`."""
-    df.write.format(fmt).mode("append").options(**(options or {})).save(target)

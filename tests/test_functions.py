@@ -81,3 +81,13 @@ def test_regex_helpers(spark):
     assert one(spark, regex_is_valid(F.col("s")), "a(b)") is True
     assert one(spark, regexscan.group_index(regexscan.scan("s"), "eventName"), r"(\d+) (?<sourceIp>x)(?<eventName>y)") == 3
     assert one(spark, regexscan.group_index(regexscan.scan("s"), "url"), r"(?<sourceIp>x)") is None
+
+
+def test_nested_map_goes_by_type(spark):
+    from logsieve.functions import json_to_nested_map
+    row = spark.createDataFrame([(r'{"a":"{\"x\":1}","b":{"x":1,"y":"z"},"c":[1,{"d":2}],"e":null,"f":1.5}',)], "s string") \
+        .select(json_to_nested_map(F.col("s")).alias("m")).first().m
+    assert row["a"].text == '{"x":1}' and row["a"].fields is None
+    assert row["b"].fields == {"x": "1", "y": "z"} and row["b"].text == '{"x":1,"y":"z"}'
+    assert row["c"].text == '[1,{"d":2}]' and row["c"].fields is None
+    assert row["e"].text is None and row["e"].fields is None and row["f"].text == "1.5"
