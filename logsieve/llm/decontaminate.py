@@ -32,7 +32,7 @@ empty benchmark or document table gives no hits. Other columns are not looked at
 
 from __future__ import annotations
 
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,8 @@ PASSAGE = 13
 #: words put in or left out between two stretches that are joined
 GAP = 3
 BLOCK_HASHES = 1 << 20
+#: joined pairs of windows listed at a time in a task
+HITS_AT_ONCE = 1 << 21
 _U = np.uint64
 _SALT = np.random.default_rng(11).integers(1, 2**63, size=64, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -102,21 +104,34 @@ class Items:
         self.some = np.zeros(1 << 20, bool)
         self.some[(self.keys >> _U(44)).astype(np.int64)] = True
 
-    def hits(self, words: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Distinct (row, item, place of the item's first word in `words`) of all joined pairs of windows."""
-        found = []
+    def hits(self, words: np.ndarray, row: np.ndarray):
+        """Arrays of distinct (row, item, place of the item's first word in `words`) of all joined pairs of windows, in
+        order, each of some items: as many as have HITS_AT_ONCE pairs, or one item."""
+        met, starts = [], np.zeros(len(self.keys) + 1, np.int64)
         for span in self.spans:
             for which, mask in _masks(span, self.masks):
                 h = seed_hashes(words, mask, which)
                 at = np.flatnonzero(self.some[(h >> _U(44)).astype(np.int64)])
                 at = at[row[at] == row[at + span - 1]]
                 lo, hi = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
+                at, lo, hi = at[hi > lo], lo[hi > lo], hi[hi > lo]
+                met.append((at, lo, hi))
+                starts += np.bincount(lo, minlength=len(starts)) - np.bincount(hi, minlength=len(starts))
+        pairs = np.cumsum(np.bincount(self.item, np.cumsum(starts)[:-1], minlength=len(self.words)).astype(np.int64))
+        first = 0
+        while first < len(pairs) and pairs[-1] > (pairs[first - 1] if first else 0):
+            before = pairs[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(pairs, before + HITS_AT_ONCE, "right")))
+            kept = np.flatnonzero((self.item >= first) & (self.item < last))
+            found = []
+            for at, lo, hi in met:
+                lo, hi = np.searchsorted(kept, lo), np.searchsorted(kept, hi)
                 n = hi - lo
-                at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-                k = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                k = kept[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
                 at = np.repeat(at, n)
                 found.append(np.stack([row[at], self.item[k], at - self.at[k]], axis=1))
-        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+            yield np.unique(np.concatenate(found), axis=0)
+            first = last
 
 
 def overlap(item: np.ndarray, doc: np.ndarray, offset: int) -> np.ndarray:
@@ -175,7 +190,8 @@ def _best(items: Items, data: np.ndarray, off: np.ndarray, percent: int, passage
     row = np.repeat(np.arange(n_rows), np.bincount(row, minlength=n_rows) + 2)
     first = np.searchsorted(row, np.arange(n_rows + 1)) + 1
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for (r, i), group in groupby(items.hits(words, row).tolist(), key=lambda x: (x[0], x[1])):
+    found_pairs = chain.from_iterable(h.tolist() for h in items.hits(words, row))
+    for (r, i), group in groupby(found_pairs, key=lambda x: (x[0], x[1])):
         item, doc = items.words[i], words[first[r] : first[r + 1] - 2]
         offsets = [at - int(first[r]) for _, _, at in group]
         length = min(passage or 0, len(item)) if len(item) >= SPAN else 0
@@ -216,7 +232,7 @@ def item_blocks(benchmark: DataFrame, block_hashes: int = BLOCK_HASHES, masks=MA
     """Blocks of test items with at most so many window hashes (or one item), streamed to the driver."""
     rows, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
-        n = len(masks) * (r.text or "").count(" ") + len(masks)
+        n = len(masks) * (len((r.text or "").encode().split()) + 1)  # windows start at words; bytes split at ASCII white space
         if rows and size + n > block_hashes:
             yield Items(rows, masks)
             rows, size = [], 0
@@ -236,7 +252,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT,
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for block in item_blocks(benchmark, masks=masks):
-        part = d.mapInArrow(_search(block, percent, passage), HITS)
+        # written, so that one block of items is held at a time
+        part = written(d.mapInArrow(_search(block, percent, passage), HITS), "hits")
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], HITS)
 

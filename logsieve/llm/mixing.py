@@ -182,21 +182,24 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     first words up to there. Documents that the targets leave out are left out.
     """
     _, _, cut = mix(docs, **options)
-    key = F.xxhash64(F.col("text"))
     per_pass = (cut.groupBy("doc_id", "source", "start", "size", "pass")
                 .agg(F.max("end_word").alias("words"))
                 .select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_n"), "start",
                         F.col("pass").alias("_p"), "words"))
+    # All columns of docs travel in one, so that none meets ours.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    text = F.col("_row.text")
     # Rows with equal doc_id, source and size are numbered alike on both sides.
-    side = Window.partitionBy("doc_id", "source", "_size").orderBy(key)
-    rows = docs.withColumn("_size", n_words(F.col("text"))).withColumn("_k", F.row_number().over(side))
+    rows = rows.withColumn("_size", n_words(text))
+    side = Window.partitionBy("_row.doc_id", "_row.source", "_size").orderBy(F.xxhash64(text))
+    rows = rows.withColumn("_k", F.row_number().over(side))
     places = per_pass.withColumn("_pk", F.dense_rank().over(Window.partitionBy("_d", "_s", "_n").orderBy("start")))
-    out = rows.join(places, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
+    out = rows.join(places, F.col("_row.doc_id").eqNullSafe(F.col("_d")) & F.col("_row.source").eqNullSafe(F.col("_s"))
                     & (F.col("_size") == F.col("_n")) & (F.col("_k") == F.col("_pk")))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)")),
+    part = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)")),
                                 F.lit(1), F.col("words").cast("int")), "")
-    return (out.withColumn("text", F.when(F.col("words") < F.col("_size"), part).otherwise(F.col("text")))
-            .select(*docs.columns))
+    taken = F.when(F.col("words") < F.col("_size"), part).otherwise(text)
+    return out.select(*[(taken if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -108,7 +108,8 @@ def _prints(texts: list[bytes]) -> tuple[list[str], list[np.ndarray]]:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """All columns of docs (text among them) and `fingerprint`, row by row."""
+    """All columns of docs (text among them) and `fingerprint`, row by row; a column of that name is replaced."""
+    docs = docs.drop("fingerprint")
     schema = T.StructType([*docs.schema.fields, T.StructField("fingerprint", T.StringType())])
 
     def run(batches):

@@ -136,3 +136,18 @@ def test_empty(spark):
     assert dc.contaminated(d.limit(0), b).count() == 0
     assert dc.contaminated(d, b.limit(0)).count() == 0
     assert dc.clean(d, b.limit(0)).count() == 1
+
+
+def test_hits_in_parts(spark, monkeypatch):
+    """A phrase that all items have and a document repeats: the same hits, listed some items at a time."""
+    rng = random.Random(4)
+    word = lambda: rng.choice("abcdefghij") * rng.randrange(1, 4)
+    phrase = "one two three four five six"
+    items = spark.createDataFrame([(i, " ".join(word() for _ in range(6)) + " " + phrase + " " + " ".join(word() for _ in range(4))) for i in range(30)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join([phrase] * 40)), (2, items.first().text), (3, "nothing")], "doc_id long, text string")
+    found = []
+    for limit in (dc.HITS_AT_ONCE, 500, 1):
+        monkeypatch.setattr(dc, "HITS_AT_ONCE", limit)
+        found.append(sorted(map(tuple, dc.contaminated(docs, items, percent=50, passage=6).collect())))
+    assert found[0] and found[0] == found[1] == found[2]

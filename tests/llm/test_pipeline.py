@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from logsieve.llm import mixing, tokens
+from logsieve.llm import hyperminhash, mixing, tokens, winnowing
 
 from .test_decontaminate import brute as leaks
 from .test_hyperminhash import brute as components
@@ -76,3 +76,24 @@ def test_empty(spark, folder, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_with_the_names_of_ours(spark):
+    """Extra columns named as what the stages work with go through them untouched."""
+    names = ["words", "start", "_d", "_s", "_k", "_pk", "_size", "_uid", "_nth", "_kept", "_row", "size", "pass", "fingerprint", "_n", "_p"]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("abcdefghijk") * 3 for _ in range(30)), "en", f"s{i % 2}", 0, *[f"{n}{i}" for n in names]) for i in range(30)]
+    rows += [(30 + i, *rows[i][1:]) for i in range(5)] + [(3, "another text of an id", "en", "s1", 0, *names)]
+    docs = spark.createDataFrame(rows, COLUMNS + "".join(f", `{n}` string" for n in names))
+    once = hyperminhash.deduplicated(docs)
+    assert once.columns == docs.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, [r for r in docs.collect() if r.doc_id < 30]))
+    mixed = mixing.mixed_documents(docs)
+    by = {(r.doc_id, r["words"]): r for r in docs.collect()}
+    got = mixed.collect()
+    assert mixed.columns == docs.columns and got
+    for r in got:
+        was = by[r.doc_id, r["words"]]
+        assert was.text.startswith(r.text) and all(r[n] == was[n] for n in names)
+    prints = winnowing.fingerprints(docs)
+    assert sorted(prints.columns) == sorted(docs.columns) and prints.where("fingerprint like 'fingerprint%'").isEmpty()
