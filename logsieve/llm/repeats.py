@@ -327,7 +327,8 @@ def _with_segments(rows: DataFrame, shared: DataFrame, later: DataFrame | None =
 
 def _shared_segments(rows: DataFrame) -> DataFrame:
     """h, did, tag, place, n, rows of the segments whose anchor another segment has too."""
-    found = rows.mapInArrow(_anchors, "h long, did long, tag long, place long, n int")
+    # read by the count and by the join: texts are hashed and cut once
+    found = written(rows.mapInArrow(_anchors, "h long, did long, tag long, place long, n int"), "found")
     often = found.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").withColumnRenamed("h", "_h")
     return written(found.join(often, F.col("h") == F.col("_h")).select("h", "did", "tag", "place", "n", "rows"), "shared")
 
