@@ -27,11 +27,14 @@ def json_lower_keys(c: Column) -> Column:
 
     Keys equal but for case accumulate, as the JSON library does: the value becomes a JSON
     array of the colliding values in key order, each with its own type. A single value is
-    its text.
+    its text. An object without such keys, the usual case, is read in one pass.
     """
-    entries = F.map_entries(F.from_json(c, "map<string,variant>"))
-    keys = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
+    read = F.from_json(c, "map<string,variant>")
+    entries = F.map_entries(read)
+    lowered = F.transform(entries, lambda e: F.lower(e["key"]))
+    keys = F.array_distinct(lowered)
     values = F.transform(keys, lambda k: F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == k), lambda e: e["value"]))
     merged = F.transform(values, lambda vs: F.when(F.size(vs) == 1, F.get(vs, 0).cast("string")).otherwise(
         F.concat(F.lit("["), F.array_join(F.transform(vs, lambda v: F.to_json(v)), ",", "null"), F.lit("]"))))
-    return F.map_from_arrays(keys, merged)
+    return F.when(F.size(keys) == F.size(lowered), F.map_from_arrays(lowered, F.transform(entries, lambda e: e["value"].cast("string")))) \
+        .otherwise(F.map_from_arrays(keys, merged))
