@@ -292,12 +292,12 @@ class LogJob:
         checkpoint that has a batch already, there is no first one, and the stream starts as usual."""
         commits = FolderLog(self.rules_session(), checkpoint)
         if not [n for n in commits._names(f"{checkpoint}/commits") if n.isdigit()]:
-            q = self.start(make_stream(first), checkpoint, {"processingTime": "0 seconds"})
+            # the first micro-batch starts at once, a second one long after this query is stopped
+            q = self.start(make_stream(first), checkpoint, {"processingTime": "1 hour"})
             while q.isActive and not [n for n in commits._names(f"{checkpoint}/commits") if n.isdigit()]:
                 q.awaitTermination(0.2)
             if q.exception():
                 raise q.exception()
-            # A second batch that has begun is as small, and is replayed if stopped halfway.
             q.stop()
         return self.start(make_stream(per_trigger), checkpoint, trigger)
 
