@@ -127,3 +127,18 @@ def test_beside_next(spark):
     assert one.near_next == 1.0
     plain = winnowing.fingerprints(_frame(spark, TEXTS, ids))
     assert plain.count() == len(TEXTS)
+
+
+def test_likeness_by_brute_force(spark):
+    """near_edited and near_next are the shared part of the hashes that plain winnowing selects."""
+    rng = np.random.default_rng(6)
+    base = "".join(chr(97 + c) for c in rng.integers(0, 9, 400))
+    texts = [base, base[:200] + base[:300], base[100:] + "é", "short", "", None, base * 3, base]
+    picked = lambda t: {h for h, _ in _slow_winnow((t or "").encode(), winnowing.K, winnowing.WINDOW)}
+    like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    rows = {r.doc_id: r for r in winnowing.beside_next(_frame(spark, texts), 3).collect()}
+    for i, t in enumerate(texts):
+        t, nxt = t or "", texts[(i + 1) % len(texts)] or ""
+        half = len(t) // 2
+        assert abs(rows[i].near_edited - like(picked(t), picked(t[: len(t) - half] + nxt[:half]))) < 1e-12
+        assert abs(rows[i].near_next - like(picked(t), picked(nxt))) < 1e-12

@@ -73,3 +73,18 @@ def test_collapsed_model_is_the_average():
     values = m.word_values(text.split()).sum(axis=0)
     ids, share = tx.bag(text)
     assert abs(values[0] / values[1] - (m.scores[ids] * share).sum()) < 1e-5
+
+
+def test_scores_by_brute_force(spark):
+    """A score is the softmax of the average of the vectors of all subwords, of every word as often as it stands."""
+    rng = np.random.default_rng(7)
+    emb, out, bias = rng.normal(size=(tx.BUCKETS, 3)), rng.normal(size=(3, 2)), rng.normal(size=2)
+    model = tx.Model((emb @ (out[:, 1] - out[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
+    texts = ["one two two three", "Wörter und words", "x", "", None, "a b " * 3000, "one\ttwo\n  two"]
+    frame = spark.createDataFrame([(i, t, "x", "x") for i, t in enumerate(texts)], DOCS)
+    for r in tx.score(frame, model).collect():
+        ids = [int(b) for w in (texts[r.doc_id] or "").split() for b in tx.subwords([w])[0]]
+        hidden = emb[ids].mean(axis=0) if ids else np.zeros(3)
+        logit = hidden @ out + bias
+        p = np.exp(logit - logit.max())
+        assert abs(r.score - p[1] / p.sum()) < 1e-4
