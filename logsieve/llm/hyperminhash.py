@@ -380,17 +380,18 @@ def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Here the texts of one doc_id are documents of their own, in order of their hash (64 bits of doc_id and text
     name them). Rows with equal doc_id and text stay once; rows without doc_id stay, once per text.
     """
-    # All columns of docs travel in one, so that none meets ours.
-    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    ident, text = F.col("_row.doc_id").cast("long"), F.col("_row.text")
-    several = written(own.select(ident.alias("_d"), F.xxhash64(text).alias("_h")).where("_d is not null")
+    # All other columns of docs travel in one, so that none meets ours.
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = docs.select("doc_id", "text", *([F.struct(*[docs[c] for c in rest]).alias("_row")] if rest else []))
+    ident = F.col("doc_id").cast("long")
+    several = written(own.select(ident.alias("_d"), F.xxhash64("text").alias("_h")).where("_d is not null")
                       .groupBy("_d").agg(F.min("_h").alias("lo"), F.max("_h").alias("hi")).where("lo <> hi").select("_d"), "several")
     own = own.withColumn("_uid", ident)
     told_apart = not several.isEmpty()
     if told_apart:
         own = own.join(several, F.col("_uid") == F.col("_d"), "left").withColumn(
-            "_uid", F.when(F.col("_d").isNotNull(), F.xxhash64("_d", text)).otherwise(F.col("_uid"))).drop("_d")
-    found = near_duplicates(own.select(F.col("_uid").alias("doc_id"), text.alias("text")), k, percent)
+            "_uid", F.when(F.col("_d").isNotNull(), F.xxhash64("_d", "text")).otherwise(F.col("_uid"))).drop("_d")
+    found = near_duplicates(own.select(F.col("_uid").alias("doc_id"), "text"), k, percent)
     if told_apart:
         # a component's name is no longer its smallest doc_id
         names = own.select(F.col("_uid").alias("_u"), ident.alias("_d")).distinct()
@@ -399,9 +400,9 @@ def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     else:
         kept = found.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     rows = own.join(kept, F.col("_uid").eqNullSafe(F.col("_kept")), "left_semi")
-    one = Window.partitionBy("_row.doc_id", "_row.text").orderBy(F.lit(0))
+    one = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
     rows = rows.withColumn("_nth", F.row_number().over(one)).where("_nth = 1")
-    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    return rows.select(*[F.col("_row")[c].alias(c) if c in rest else F.col(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
