@@ -43,6 +43,8 @@ GRAM = 20
 HOT = 20_000
 #: segment bytes sorted at a time in a task, at least one anchor's
 ARRAY_BYTES = 1 << 20
+#: bytes of segments taken from their texts at a time
+SLICE_BYTES = 1 << 19
 _U = np.uint64
 _NO_ID = -(1 << 63)
 _LEAF = 1 << 62
@@ -206,8 +208,13 @@ def _anchors(batches):
 def _slices(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
     """The stretches of `size` bytes from `first` on, as binaries."""
     ends = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
-    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[at])])
+    out, i = np.empty(ends[-1], np.uint8), 0
+    while i < len(size):  # some at a time: a place takes 8 bytes
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + SLICE_BYTES, "right")) - 1)
+        at = np.repeat(first[i:j] - ends[i:j], size[i:j]) + np.arange(ends[i], ends[j])
+        out[ends[i] : ends[j]] = data[at]
+        i = j
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(out)])
 
 
 def _segment_bytes(single: bool):
@@ -327,8 +334,7 @@ def _with_segments(rows: DataFrame, shared: DataFrame, later: DataFrame | None =
 
 def _shared_segments(rows: DataFrame) -> DataFrame:
     """h, did, tag, place, n, rows of the segments whose anchor another segment has too."""
-    # read by the count and by the join: texts are hashed and cut once
-    found = written(rows.mapInArrow(_anchors, "h long, did long, tag long, place long, n int"), "found")
+    found = rows.mapInArrow(_anchors, "h long, did long, tag long, place long, n int")
     often = found.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").withColumnRenamed("h", "_h")
     return written(found.join(often, F.col("h") == F.col("_h")).select("h", "did", "tag", "place", "n", "rows"), "shared")
 
