@@ -5,7 +5,7 @@ GRAM-character substrings the one that fewest rules of the same device have. Rul
 and gram in an array of slots, so a text looks up its own grams and meets only rules whose gram it holds; a rule
 without a literal is listed under its device alone and met by all its texts. The few candidates are then tested in
 rule order, so the first match is the one that testing every rule would give, and the work per text does not grow
-with the rules.
+with the rules. A device with FEW rules at most has them all tested: that costs less than a text's grams.
 
 Slots and rules are configuration: at most MAX_INDEX_BYTES, checked, become constants of the plan. A constant stands
 in it once and is read in place, where an array column would be copied beside every line.
@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from .joins import CHECK_TTL_SECONDS
 
 GRAM = 4
+FEW = 16
 # Bytes of rules (as JSON text) that may become a constant; more are matched from a joined table.
 MAX_INDEX_BYTES = 8 << 20
 _SEP = "\u0002"
@@ -40,6 +41,7 @@ class RuleIndex:
     n_slots: int
     devices: str        # JSON array of arrays of device keys, by hash
     n_devices: int
+    by_gram: bool       # some device has more than FEW rules
 
     def _slot(self, device: Column, gram: Column, n: int) -> Column:
         key = F.concat(device, F.lit(_SEP), gram).cast("binary")
@@ -49,7 +51,9 @@ class RuleIndex:
         """The rules to test, in rule order."""
         slots = F.from_json(F.lit(self.slots), "array<array<int>>")
         rules = F.from_json(F.lit(self.rules), f"array<{self.schema.simpleString()}>")
-        grams = F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(_EACH_GRAM), F.lit(1)))
+        grams = F.array(F.lit(""))
+        if self.by_gram:
+            grams = F.concat(grams, F.regexp_extract_all(text, F.lit(_EACH_GRAM), F.lit(1)))
         found = F.transform(grams, lambda g: F.get(slots, self._slot(device, g, self.n_slots)))
         at = F.array_sort(F.array_distinct(F.flatten(F.filter(found, lambda x: F.size(x) > 0))))
         return F.transform(at, lambda p: F.get(rules, p))
@@ -71,8 +75,9 @@ def _hash(device: str, gram: str) -> int:
 
 
 def _rarest(rules: list) -> list[str]:
-    """Of each rule's grams the one that fewest rules of its device have ("": it has none)."""
-    grams = [{r[i : i + GRAM] for r in rule.runs for i in range(len(r) - GRAM + 1)} for rule in rules]
+    """Of each rule's grams the one that fewest rules of its device have ("": it has none, or the device FEW rules)."""
+    many = {d for d, n in Counter(rule.device_key for rule in rules).items() if n > FEW}
+    grams = [{r[i : i + GRAM] for r in rule.runs for i in range(len(r) - GRAM + 1)} if rule.device_key in many else set() for rule in rules]
     often = Counter((rule.device_key, g) for rule, own in zip(rules, grams) for g in own)
     return [min(own, key=lambda g: (often[rule.device_key, g], g), default="") for rule, own in zip(rules, grams)]
 
@@ -114,6 +119,7 @@ def _build(rules: DataFrame, fields: list[str], max_bytes: int) -> RuleIndex | N
     while n < 2 * len(rows):
         n *= 2
     devices = sorted({r.device_key for r in rows})
+    grams = _rarest(rows)
     return RuleIndex("[" + ",".join(r.j for r in rows) + "]", rules.select(*fields).schema,
-                     _slots([_hash(r.device_key, g) for r, g in zip(rows, _rarest(rows))], range(len(rows)), n), n,
-                     _slots([_hash(d, "") for d in devices], devices, n), n)
+                     _slots([_hash(r.device_key, g) for r, g in zip(rows, grams)], range(len(rows)), n), n,
+                     _slots([_hash(d, "") for d in devices], devices, n), n, any(grams))
