@@ -92,10 +92,11 @@ def rule_index(rules: DataFrame, fields: list[str], max_bytes: int = MAX_INDEX_B
     """
     key = (rules.sparkSession._jsparkSession.sessionUUID(), rules.semanticHash(), max_bytes)
     hit = _BUILT.get(key)
-    if hit is None or time.monotonic() - hit[1] > CHECK_TTL_SECONDS:
-        if len(_BUILT) > 1000:
+    # the key is a 32-bit hash: the plans themselves are compared too
+    if hit is None or time.monotonic() - hit[1] > CHECK_TTL_SECONDS or not hit[2].sameSemantics(rules):
+        if len(_BUILT) > 100:
             _BUILT.clear()
-        hit = _BUILT[key] = (_build(rules, fields, max_bytes), time.monotonic())
+        hit = _BUILT[key] = (_build(rules, fields, max_bytes), time.monotonic(), rules)
     return hit[0]
 
 
