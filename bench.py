@@ -22,6 +22,7 @@ HEADLINE = [
     "log_rule_assembly", "event_defs_system", "netflow_scan", "moniflow_scan",
     "ip_range_join", "cluster_points", "json_lower_keys", "unicode_codec",
     "new_rule_events", "rule_counts", "log_rejects", "stream_normalise",
+    "device_rule_match", "user_rule_set_match",
 ]
 
 
