@@ -3,10 +3,11 @@
 Plan shape: the usable rules are listed by a required gram of their regex (`ruleindex`), as constants of the plan. A
 line looks its own grams up and meets only the rules that it can match, which an `aggregate` tests in rule order,
 stopping at the first hit: there is no join, the logs stay where they are, and the work per line doesn't grow with the
-rules. Rule sets too large for a constant are matched from tables: system rules packed to one row per device IP and
-joined on it (broadcast under a checked size, else a shuffle join that AQE can split), user rules as scalar subqueries.
+rules. Of the rules of a device with the same regex only the first is kept: no line gets to the others. Rule sets too
+large for a constant are joined by gram (`ruleindex.join_by_gram`): a rule stands in the table once, and a line meets
+those whose gram it holds.
 All captures come from one pass of the chosen regex: a `regexp_replace` whose template lists the rule's groups. No
-Python runs per row; the logs are never grouped or collected.
+Python runs per row; the logs are never collected.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import schema as S
 from ..functions import date_to_millis, is_blank, jtrim, regex_is_valid, regexscan
-from .joins import MAX_BROADCAST_BYTES, checked_broadcast, config_bytes
+from .joins import MAX_BROADCAST_BYTES, config_bytes
 from .parse import derived_id, once
-from .ruleindex import MAX_INDEX_BYTES, rule_index
+from .ruleindex import MAX_INDEX_BYTES, first_of_regex, join_by_gram, rule_index
 
-# Bytes of user rules (as JSON text) that go into one array; more make several.
+# Bytes of user rules (as JSON text) that go into one array, all of which a line tests; more are joined by gram.
 MAX_RULE_CHUNK_BYTES = 8 << 20
 # Stands between captures while they are one text.
 _CAPTURE_SEP = "\u0001"
@@ -100,16 +101,6 @@ def usable_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     return prepare_rules(rules, named_groups).where(F.col("reject_reason").isNull() & F.col("device_key").isNotNull())
 
 
-def pack_by_device(ok: DataFrame) -> DataFrame:
-    """One row per device IP: its usable rules as an array sorted by rule_seq.
-
-    The rule table is configuration; partial aggregation keeps a device with
-    many rules from landing whole on one reducer before the merge.
-    """
-    return ok.groupBy("device_key").agg(
-        F.sort_array(F.collect_list(F.struct(*_rule_struct_fields()))).alias("rules"))
-
-
 def pack_chunks(ok: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> list[DataFrame]:
     """User rules: every usable rule applies to every log. One-row tables, each with a sorted
     array of about chunk_bytes of rules at most, in rule order."""
@@ -144,14 +135,15 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_bytes: int =
     Lines with six or fewer fields, no device IP in the payload or no rule
     for their device get a null hit. `match_status` tells which.
     """
-    ok = usable_rules(rules)
+    ok = first_of_regex(usable_rules(rules), _rule_struct_fields())
     index = rule_index(ok, _rule_struct_fields(), index_max_bytes)
+    device = F.coalesce(F.col("device_ip"), F.lit(_NO_DEVICE))
     if index is not None:
-        device = F.coalesce(F.col("device_ip"), F.lit(_NO_DEVICE))
         joined = _indexed(parsed, index, device, F.col("msg"))
         known = index.has_rules(device)
     else:
-        joined, known = _joined(parsed, ok, broadcast_max_bytes), F.col("_known")
+        joined = join_by_gram(parsed, ok, _rule_struct_fields(), device, F.col("msg"), F.col("n_fields") > 6, broadcast_max_bytes)
+        known = F.col("_known")
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))
@@ -161,34 +153,23 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_bytes: int =
     return joined.withColumn("match_status", status).drop("_known")
 
 
-def _joined(parsed: DataFrame, ok: DataFrame, broadcast_max_bytes: int) -> DataFrame:
-    """parsed with `hit` and `_known` (the device has rules), from the rules packed by device."""
-    packed = pack_by_device(ok)
-    hit = F.when(F.col("n_fields") > 6, _first_hit(packed, F.col("msg")))
-    packed = checked_broadcast(packed, broadcast_max_bytes)
-    # A line without a device IP can match nothing; give it a key no rule can
-    # carry (rule keys are trimmed, so they never start with \u0001) and that
-    # spreads such lines evenly should the join shuffle.
-    key = F.coalesce(F.col("device_ip"), F.concat(F.lit(_NO_DEVICE), F.col("line_key")))
-    joined = parsed.withColumn("_dev", key).join(packed, F.col("_dev") == packed["device_key"], "left")
-    return once(joined, [F.col(c) for c in parsed.columns], [hit.alias("hit"), F.col("rules").isNotNull().alias("_known")])
-
-
 def match_user(parsed: DataFrame, user_rules: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES,
-               index_max_bytes: int = MAX_INDEX_BYTES) -> DataFrame:
+               index_max_bytes: int = MAX_INDEX_BYTES, broadcast_max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """The first matching user rule, tested against the whole raw content
     (field 6, untrimmed), with no device filter."""
-    ok = usable_rules(user_rules, named_groups=True)
+    ok = first_of_regex(usable_rules(user_rules, named_groups=True), _rule_struct_fields())
     index = rule_index(ok, _rule_struct_fields(), index_max_bytes)
     if index is not None:
         joined = _indexed(parsed, index, F.lit(_ALL_DEVICES), F.col("logcontent"))
+    elif config_bytes(ok) <= chunk_bytes:
+        # One value: no join, and the logs stay in place.
+        rules = pack_chunks(ok, chunk_bytes)[0]
+        with_rules = parsed.select("*", rules.scalar().alias("_rules"))
+        hit = F.when(F.col("n_fields") > 6, _first_hit(rules, F.col("logcontent"), "_rules"))
+        joined = once(with_rules, [F.col(c) for c in parsed.columns], [hit.alias("hit")])
     else:
-        # One value per chunk of rules: no join, and the logs stay in place.
-        chunks = pack_chunks(ok, chunk_bytes)
-        names = [f"_rules{i}" for i in range(len(chunks))]
-        with_rules = parsed.select("*", *[c.scalar().alias(n) for c, n in zip(chunks, names)])
-        hits = F.coalesce(*[_first_hit(c, F.col("logcontent"), n) for c, n in zip(chunks, names)])
-        joined = once(with_rules, [F.col(c) for c in parsed.columns], [F.when(F.col("n_fields") > 6, hits).alias("hit")])
+        joined = join_by_gram(parsed, ok, _rule_struct_fields(), F.lit(_ALL_DEVICES), F.col("logcontent"),
+                              F.col("n_fields") > 6, broadcast_max_bytes).drop("_known")
     status = (F.when(F.col("value").isNull(), F.lit("null_value"))
               .when(F.col("n_fields") <= 6, F.lit("too_few_fields"))
               .when(F.col("hit").isNotNull(), F.lit("matched"))

@@ -8,7 +8,8 @@ rule order, so the first match is the one that testing every rule would give, an
 with the rules. A device with FEW rules at most has them all tested: that costs less than a text's grams.
 
 Slots and rules are configuration: at most MAX_INDEX_BYTES, checked, become constants of the plan. A constant stands
-in it once and is read in place, where an array column would be copied beside every line.
+in it once and is read in place, where an array column would be copied beside every line. Larger rule sets are tables,
+which texts join by device and gram (`join_by_gram`).
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from .joins import CHECK_TTL_SECONDS
+from .joins import CHECK_TTL_SECONDS, MAX_BROADCAST_BYTES, checked_broadcast
+from .parse import once
 
 GRAM = 4
 FEW = 16
@@ -30,6 +32,10 @@ FEW = 16
 MAX_INDEX_BYTES = 8 << 20
 _SEP = "\u0002"
 _EACH_GRAM = "(?s)(?=(.{%d}))" % GRAM
+# Joined rules go by a longer gram where they have one: of many rules, too many share one of GRAM characters.
+LONG_GRAM = 8
+# Buckets in which the grams of joined rules are counted.
+_GRAM_BUCKETS = 1 << 16
 
 
 @dataclass
@@ -124,3 +130,74 @@ def _build(rules: DataFrame, fields: list[str], max_bytes: int) -> RuleIndex | N
     return RuleIndex("[" + ",".join(r.j for r in rows) + "]", rules.select(*fields).schema,
                      _slots([_hash(r.device_key, g) for r, g in zip(rows, grams)], range(len(rows)), n), n,
                      _slots([_hash(d, "") for d in devices], devices, n), n, any(grams))
+
+
+def first_of_regex(rules: DataFrame, fields: list[str]) -> DataFrame:
+    """Of the usable rules of a device that have the same regex the first in rule order (in which `fields` begin): the
+    others match the same texts later, so none of them is ever a first match."""
+    return (rules.groupBy("device_key", "regex").agg(F.min(F.struct(*fields, "runs")).alias("r"))
+            .select("r.*"))
+
+
+def _grams(text: Column, n: int) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % n), F.lit(1))
+
+
+def _by_gram(rules: DataFrame, fields: list[str]) -> DataFrame:
+    """_k, rule: each rule under a hash of its device and that of its grams which is rarest among the rules ("": it has
+    none). How often a gram occurs is counted in buckets of hashes, so that it is a constant; any choice is right."""
+    of_length = lambda n: F.array_distinct(F.flatten(F.transform("runs", lambda r: _grams(r, n))))
+    found = rules.select("device_key", F.struct(*fields).alias("rule"), of_length(LONG_GRAM).alias("_long"), of_length(GRAM).alias("_short"))
+    found = found.select("device_key", "rule", F.when(F.size("_long") > 0, F.col("_long")).otherwise(F.col("_short")).alias("_grams"))
+    bucket = lambda g: F.pmod(_key(F.col("device_key"), g), F.lit(_GRAM_BUCKETS)).cast("int")
+    counts = [0] * _GRAM_BUCKETS
+    for r in found.select(F.explode(F.transform("_grams", bucket)).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r.b] = r.n
+    often = F.from_json(F.lit(json.dumps(counts)), "array<bigint>")
+    rarest = F.array_min(F.transform("_grams", lambda g: F.struct(F.get(often, bucket(g)).alias("n"), g.alias("g"))))["g"]
+    return found.select(_key(F.col("device_key"), F.coalesce(rarest, F.lit(""))).alias("_k"), "rule")
+
+
+def _key(device: Column, gram: Column) -> Column:
+    return F.xxhash64(device, gram)
+
+
+_LISTED: dict = {}
+
+
+def _listed(rules: DataFrame, fields: list[str]) -> DataFrame:
+    """`_by_gram`, persisted for the rule refresh interval."""
+    key, now = (rules.sparkSession._jsparkSession.sessionUUID(), rules.semanticHash()), time.monotonic()
+    for k, (old, since, plan) in list(_LISTED.items()):
+        if now - since > CHECK_TTL_SECONDS or k == key and not plan.sameSemantics(rules):
+            del _LISTED[k]
+            if k[0] == key[0]:
+                old.unpersist()
+    if key not in _LISTED:
+        _LISTED[key] = (_by_gram(rules, fields).persist(), now, rules)
+    return _LISTED[key][0]
+
+
+def join_by_gram(parsed: DataFrame, rules: DataFrame, fields: list[str], device: Column, text: Column, applies: Column,
+                 broadcast_max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """parsed with `hit`, the first rule in rule order (in which `fields` begin) that is the device's and finds a match,
+    or null, and `_known`, whether the device has rules: for rules too large for a constant.
+
+    Each different text goes once, with those of its grams that some rule is listed under, to the rules of that gram;
+    lines then take their text's first rule. No rule and no text is gathered with all others.
+    """
+    listed = _listed(rules, fields)
+    keys = checked_broadcast(listed.select("_k").distinct(), broadcast_max_bytes)
+    lines = once(parsed, [F.col(c) for c in parsed.columns], [device.alias("_dev"), F.when(applies, text).alias("_text")])
+    texts = lines.where(F.col("_text").isNotNull()).select("_dev", "_text").distinct()
+    grams = F.concat(F.array(F.lit("")), _grams(F.col("_text"), GRAM), _grams(F.col("_text"), LONG_GRAM))
+    met = texts.select("_dev", "_text", F.explode(F.array_distinct(F.transform(grams, lambda g: _key(F.col("_dev"), g)))).alias("_k"))
+    met = met.join(keys, "_k", "left_semi").join(listed, "_k")
+    rule = F.col("rule")
+    found = met.where((rule["device_key"] == F.col("_dev")) & F.contains("_text", rule["literal"]) & F.rlike("_text", rule["regex"]))
+    first = found.groupBy("_dev", "_text").agg(F.min("rule").alias("hit"))
+    devices = checked_broadcast(rules.select(F.col("device_key").alias("_dev")).distinct().withColumn("_has", F.lit(True)), broadcast_max_bytes)
+    # lines of the same text may be many: the key of those that can't match is their own
+    out = lines.withColumn("_text", F.coalesce("_text", F.concat(F.lit(_SEP), F.col("line_key")))) \
+        .join(first, ["_dev", "_text"], "left").join(devices, "_dev", "left")
+    return out.select(*parsed.columns, "hit", F.coalesce("_has", F.lit(False)).alias("_known"))

@@ -121,3 +121,14 @@ def test_no_line_meets_a_rule_without_its_gram(spark):
     texts = spark.createDataFrame([("user=1 code=00017",), ("user=1 code=99999",), ("nothing",)], "t string")
     sizes = [r.n for r in texts.select(F.size(index.candidates(F.lit("10.0.0.1"), F.col("t"))).alias("n")).collect()]
     assert 1 <= sizes[0] <= 30 and sizes[1] <= 30 and sizes[2] <= 3  # of 500
+
+
+def test_later_rules_of_the_same_regex_take_no_room(spark):
+    """3,000 rules of 30 regexes are as large as 30 rules, and each line's rule is the first of its regex."""
+    from logsieve.operators.ruleindex import first_of_regex, rule_index
+    rules = [{"rule_seq": 5000 - i, "log_rule_id": f"R{i}", "device_ip": "10.0.0.1", "log_regex": f"user=({i % 30});", "sourceip": "1"} for i in range(3000)]
+    ok = first_of_regex(mt.usable_rules(_table(spark, rules)), mt._rule_struct_fields())
+    index = rule_index(ok, mt._rule_struct_fields(), 30_000)
+    assert index is not None and ok.count() == 30
+    texts = spark.createDataFrame([("user=7;",), ("user=77;",)], "t string")
+    assert [r[0] for r in texts.select(index.first_hit(F.lit("10.0.0.1"), F.col("t"))["rule_id"]).collect()] == ["R2977", None]
