@@ -132,3 +132,19 @@ def test_later_rules_of_the_same_regex_take_no_room(spark):
     assert index is not None and ok.count() == 30
     texts = spark.createDataFrame([("user=7;",), ("user=77;",)], "t string")
     assert [r[0] for r in texts.select(index.first_hit(F.lit("10.0.0.1"), F.col("t"))["rule_id"]).collect()] == ["R2977", None]
+
+
+def test_rules_joined_by_gram_find_what_testing_every_rule_finds(spark):
+    rng = random.Random(29)
+    bodies = [r"user=(?<eventName>\d+)", r"(?<eventName>disk) full", r"type=(?<eventName>\w)", r"(?<eventName>99|err)", r"(?<eventName>é) ", r"(?i)DISK (?<eventName>f)"]
+    rules = [{"rule_seq": i, "log_rule_id": f"R{i}", "log_regex": rng.choice(bodies) + rng.choice(["", " ?", r"\b", " user=1 type=a", " disk full"])} for i in range(80)]
+    rules.sort(key=lambda r: -r["rule_seq"])
+    table = _table(spark, rules)
+    lines = list(_lines(rng, 300)) + ["id1~2024-01-01 00:00:00~r~-~-~S~heartbeat"] * 5 + [None, "a~b"]
+    parsed = ps.parse(spark.createDataFrame([(v,) for v in lines], "value string")).persist()
+    pick = lambda m: sorted((str(r["recordid"]), r["match_status"], r["hit"]["rule_id"] if r["hit"] else None) for r in m.collect())
+    every = pick(mt.match_user(parsed, table, index_max_bytes=0))
+    joined = mt.match_user(parsed, table, index_max_bytes=0, chunk_bytes=1)
+    # the rules are one side of a join, not values beside each line
+    assert "Subquery" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert pick(joined) == every and len({r for _, _, r in every}) > 4
