@@ -16,23 +16,31 @@ PAYLOAD_DEVICE_IP = 29
 PAYLOAD_MESSAGE = 66
 # --- end of fixed values ---
 
+# The optimizer's size of a source that tells none is Long.MaxValue, or more after a projection.
+_UNKNOWN_SIZE = 1 << 55
+
 _TIME_START = r"^[\x00-\x20]*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} "
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None, task_bytes: int | None = None) -> DataFrame:
     """Round-robin the input over the cluster only when its scan is estimated
     to give fewer splits than the session can run at once (one small file).
     The estimate is the optimizer's, from file sizes: nothing is run for it. A
     large scan is already split and is left as it is, so this adds no shuffle
     at scale; the regex work that follows is CPU-bound and otherwise runs on a
     single core. Streams are left alone (Kafka: see `minPartitions` in
-    `read_log_stream`)."""
+    `read_log_stream`). With `task_bytes`, tasks take about as many bytes of
+    the files each, whatever the size of the input: for rows that are kept in
+    memory, of which one split of a well compressed file holds too many."""
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.isStreaming:
         return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if task_bytes and size < _UNKNOWN_SIZE:
+        n = max(want, -(-size // task_bytes))
+        return df.repartition(n) if n > want or size < want * split else df
     return df.repartition(want) if size < want * split else df
 
 
@@ -56,7 +64,7 @@ def admit(df: DataFrame, value_col: str = "value", key_col: str | None = None,
 
 
 def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
-          id_mode: str = "hash") -> DataFrame:
+          id_mode: str = "hash", task_bytes: int | None = None) -> DataFrame:
     """FLT1 + PRJ1 + PRJ2: raw lines -> named raw fields and the payload parts.
 
     Adds: line, line_key, n_fields, recordid, recvtime, reportip, reportapp,
@@ -66,7 +74,7 @@ def parse(df: DataFrame, value_col: str = "value", key_col: str | None = None,
     content holds the separator, so that its fields are read one place off (it
     got no id and the time stands first) or its content ends early.
     """
-    d = admit(spread(df), value_col, key_col, id_mode)
+    d = admit(spread(df, task_bytes=task_bytes), value_col, key_col, id_mode)
     fields = jsplit_char(F.col("line"), FIELD_SEP)
     content = F.get(F.col("_f"), 6)
     # Only payload parts 29 and 66 are read, so the payload is never split

@@ -43,11 +43,12 @@ class Analysis:
 
 def analyze(raw: DataFrame, log_rules: DataFrame, event_defs: DataFrame, *,
             value_col: str = "value", key_col: str | None = None, id_mode: str = "hash",
-            tz: str = "UTC", user_rules: DataFrame | None = None) -> Analysis:
+            tz: str = "UTC", user_rules: DataFrame | None = None, task_bytes: int | None = None) -> Analysis:
     """Parse, match system rules (or user rules when given), normalise, map to events.
 
-    `key_col` names each line's position in its source (see `parse.admit`)."""
-    parsed = ps.parse(raw, value_col, key_col, id_mode)
+    `key_col` names each line's position in its source (see `parse.admit`); `task_bytes`
+    bounds what one task takes (see `parse.spread`)."""
+    parsed = ps.parse(raw, value_col, key_col, id_mode, task_bytes)
     if user_rules is not None:
         matched = mt.match_user(parsed, user_rules)
         genlog = mt.to_genlog(matched, user_rules=True, tz=tz)

@@ -32,6 +32,10 @@ from ..storage import FolderLog
 
 # --- fixed values ---
 DEFAULT_REFRESH_SECONDS = 300
+# What one task takes of a micro-batch, as lines (Kafka) or bytes of files: matched lines are held beside their fields,
+# about 1 kB each, and log lines of that size are a few dozen bytes in a compressed file.
+ROWS_PER_TASK = 250_000
+BYTES_PER_TASK = 4 << 20
 # --- end of fixed values ---
 
 TABLES = ("syslog", "genlog", "event", "rejects", "definitions")
@@ -56,6 +60,7 @@ def read_log_stream(spark: SparkSession, fmt: str = "kafka", path: str | None =
         opts.setdefault("startingOffsets", "latest")
         # a topic of few partitions is read by as many tasks as can run
         opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+        opts.setdefault("maxRecordsPerPartition", str(ROWS_PER_TASK))
         if max_per_trigger:
             opts.setdefault("maxOffsetsPerTrigger", str(max_per_trigger))
         raw = spark.readStream.format("kafka").options(**opts).load()
@@ -228,7 +233,7 @@ class LogJob:
         spark, out, bundle = batch.sparkSession, self.outputs, self.rules.current()
         log = FolderLog(spark, out.root)
         known = self.definitions(log, bundle[self.event_def_key], batch_id)
-        a = analyze(batch, bundle[self.log_rule_key], known, key_col=self.key_col, tz=self.tz)
+        a = analyze(batch, bundle[self.log_rule_key], known, key_col=self.key_col, tz=self.tz, task_bytes=BYTES_PER_TASK)
         a.matched.persist()
         a.genlog.persist()
         new = None

@@ -186,3 +186,27 @@ def test_rule_cache_refresh_interval():
     now[0] = 301
     cache.current()
     assert len(calls) == 2
+
+
+def test_a_large_micro_batch_is_matched_in_small_parts(spark, tmp_path, monkeypatch):
+    """Tasks of a micro-batch take so many bytes of its files each, also where these are fewer than the cores' splits."""
+    from logsieve.streaming import job
+    _raw(spark).coalesce(1).write.parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(job, "BYTES_PER_TASK", 500)
+    seen = []
+    monkeypatch.setattr(job, "analyze", lambda *a, _of=job.analyze, **k: (lambda got: (seen.append(
+        [r["count"] for r in got.matched.groupBy(F.spark_partition_id()).count().collect()]), got)[1])(_of(*a, **k)))
+    base = _base(spark, "parts")
+    _job(spark, base).start(read_log_stream(spark, "parquet", str(tmp_path / "in"), key_col="src_key"), f"{base}/ckpt",
+                            {"availableNow": True}).awaitTermination()
+    assert len(seen) == 1 and sum(seen[0]) == 1000 and len(seen[0]) > 8 and max(seen[0]) < 100
+
+
+def test_input_steps_are_as_many_files_as_their_lines_need(spark, monkeypatch):
+    from logsieve.plans import catalog
+    from logsieve.streaming import job
+    monkeypatch.setattr(job, "ROWS_PER_TASK", 100)
+    base = _base(spark, "steps")
+    assert catalog._in_files(spark, SF_SMALL, base, 3) == 4
+    sizes = [r["count"] for r in spark.read.parquet(f"{base}/in").groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) == 12 and sum(sizes) == 1000 and max(sizes) < 110
