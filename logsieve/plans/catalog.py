@@ -479,11 +479,15 @@ def _run_available(spark, base: str, job, max_per_trigger: int | None = None):
     return q
 
 
-def _in_files(spark, sf_dir: str, base: str, n: int) -> None:
-    """The raw lines as n files, one after another: event ids by their remainder."""
+def _in_files(spark, sf_dir: str, base: str, n: int) -> int:
+    """The raw lines in n steps, one after another: event ids by their remainder. Each step is as many files, of about
+    ROWS_PER_TASK lines; returns how many."""
+    from ..streaming.job import ROWS_PER_TASK
     events = table(spark, sf_dir, "events")
+    files = max(1, -(-events.count() // (n * ROWS_PER_TASK)))
     for i in range(n):
-        fx.raw_lines(events.where(F.col("event_id") % n == i)).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        fx.raw_lines(events.where(F.col("event_id") % n == i).repartition(files)).write.mode("append").parquet(f"{base}/in")
+    return files
 
 
 def q_stream_normalise(spark, sf_dir):
@@ -565,8 +569,8 @@ def q_stream_new_names(spark, sf_dir):
     """J6 in the stream: three micro-batches; the first gives each event name without a definition one, and all
     batches' lines of that name are its events."""
     base = _scratch(spark, "names")
-    _in_files(spark, sf_dir, base, 3)
-    _run_available(spark, base, _stream_job(spark, base, _static_rules(spark), learn=True), max_per_trigger=1)
+    files = _in_files(spark, sf_dir, base, 3)
+    _run_available(spark, base, _stream_job(spark, base, _static_rules(spark), learn=True), max_per_trigger=files)
     made = (_output(spark, base, "definitions").groupBy(F.col("event_rule_id").alias("made_id"))
             .agg(F.count(F.lit(1)).alias("c")))
     events = _output(spark, base, "event").groupBy("event_rule_id", "event_rule_name", "event_rule_level").agg(
@@ -576,20 +580,20 @@ def q_stream_new_names(spark, sf_dir):
 
 
 def q_stream_admission(spark, sf_dir):
-    """STR3: a backlog of files taken in bounded micro-batches, the first of one file and the others of two; the sizes
-    are checked, and the documents are those of the batch query."""
+    """STR3: a backlog of files taken in bounded micro-batches, the first of one step's files and the others of two; the
+    sizes are checked, and the documents are those of the batch query."""
     from ..streaming import output_counts, read_log_stream
     base = _scratch(spark, "admission")
-    n_files = 6
-    _in_files(spark, sf_dir, base, n_files)
+    steps = 6
+    n = _in_files(spark, sf_dir, base, steps)
     job = _stream_job(spark, base, _static_rules(spark))
     job.start_limited(lambda limit: read_log_stream(spark, "parquet", f"{base}/in", key_col="src_key", max_per_trigger=limit),
-                      f"{base}/checkpoint", per_trigger=2, first=1, trigger={"availableNow": True}).awaitTermination()
+                      f"{base}/checkpoint", per_trigger=2 * n, first=n, trigger={"availableNow": True}).awaitTermination()
     # every line is in one of these two
     sizes = (output_counts(spark, f"{base}/out").where(F.col("sink").isin("syslog", "rejects")).groupBy("first_batch")
              .agg(F.sum("rows").alias("n")).orderBy("first_batch").collect())
     files = [r.n for r in spark.read.parquet(f"{base}/in").groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n")).collect()]
-    if sizes[0].n > max(files) or any(s.n > 2 * max(files) for s in sizes) or len(sizes) < 1 + (n_files - 1) // 2:
+    if sizes[0].n > n * max(files) or any(s.n > 2 * n * max(files) for s in sizes) or len(sizes) < 1 + (steps - 1) // 2:
         raise AssertionError(f"micro-batches of {[s.n for s in sizes]} lines from files of {files}")
     return _output(spark, base, "genlog").select(*S.GENLOG_DOC_COLUMNS)
 
