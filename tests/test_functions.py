@@ -91,3 +91,22 @@ def test_nested_map_goes_by_type(spark):
     assert row["b"].fields == {"x": "1", "y": "z"} and row["b"].text == '{"x":1,"y":"z"}'
     assert row["c"].text == '[1,{"d":2}]' and row["c"].fields is None
     assert row["e"].text is None and row["e"].fields is None and row["f"].text == "1.5"
+
+
+def test_escapes_of_any_number_of_units(spark):
+    """Units with any number of leading zeros, and texts that don't fill the last group of units."""
+    from logsieve.functions import string_to_escapes
+    chars = "a\u0000\u0007\u0100\u0fff\u1000\uffff\u00ff\U0001f600 \\$0"
+    texts = [(chars * 4)[i : i + n] for n in range(1, 20) for i in range(12)]
+    units = lambda t: [int.from_bytes(t.encode("utf-16-be")[i : i + 2], "big") for i in range(0, len(t.encode("utf-16-be")), 2)]
+    texts = [t for t in texts if t.strip("".join(map(chr, range(33))))]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in d.select("t", string_to_escapes(F.col("t")).alias("a"), string_to_escapes(F.col("t"), prefix="socos").alias("b"),
+                      string_to_escapes(F.col("t"), pad=True).alias("c")).collect():
+        assert (r.a, r.b, r.c) == tuple("".join(f % u for u in units(r.t)) for f in ("\\u%x", "socos%x", "\\u%04x")), r.t
+
+
+def test_escapes_are_evaluated_once(spark):
+    from logsieve.plans.catalog import q_unicode_codec
+    plan = q_unicode_codec(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 2
