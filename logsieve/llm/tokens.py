@@ -53,7 +53,8 @@ TEXTS_AT_ONCE = 256
 
 #: What a byte-level vocabulary writes for a space.
 SPACE = "\u0120"
-_ODD = re.compile(r"\s (?:\s|\Z)")
+#: White space, a space, and white space or the end; the space stands first, as it is what a search finds fastest.
+_ODD = re.compile(r" (?:(?=\s)|\Z)(?<=\s )")
 
 SEGMENT = ("part int, seq int, n_docs long, n_ids long, width int, ids binary, low_bits int, low binary, high binary, "
            "samples binary, n_null long, first_id long, id_bits int, id_low binary, id_high binary")
@@ -75,7 +76,12 @@ class _Codes(dict):
         self.owner, self.lead = owner, lead
 
     def __missing__(self, piece):
-        code = self[piece] = self.owner.add(self.lead + piece, not self.lead)
+        owner = self.owner
+        code = self[piece] = owner.n
+        if not self.lead:
+            owner.single.append(len(owner.new))
+        owner.new.append(self.lead + piece)
+        owner.n += 1
         return code
 
 
@@ -97,10 +103,10 @@ class PieceEncoder:
         self.n, self.new, self.single = 0, [], []
         self.flat, self.offset = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
 
-    def add(self, piece: str, single: bool) -> int:
-        if single:
-            self.single.append(len(self.new))
-        self.new.append(piece)
+    def add(self, text: str) -> int:
+        """A text that is encoded whole."""
+        self.single.append(len(self.new))
+        self.new.append(text)
         self.n += 1
         return self.n - 1
 
@@ -128,7 +134,8 @@ class PieceEncoder:
         if not self.new:
             return
         # with white space besides the space that it begins with: alone
-        alone = np.array([len(p.split()) != 1 for p in self.new])
+        # (a printable piece has none: of white space only the space is printable)
+        alone = np.array([not (len(p) > 1 and p.isprintable()) and len(p.split()) != 1 for p in self.new])
         alone[self.single] = True
         spaced, n_spaced = self._joined([p for p, a in zip(self.new, alone.tolist()) if not a])
         each = self._ids([p for p, a in zip(self.new, alone.tolist()) if a])
@@ -174,7 +181,7 @@ class PieceEncoder:
             if not text:
                 continue
             if any(a in text for a in self.added) or _ODD.search(text):
-                c = [self.add(text, True)]
+                c = [self.add(text)]
             else:
                 pieces = text.split(" ")
                 c = list(map(self.tail.__getitem__, pieces))

@@ -1,6 +1,7 @@
 """Token files (3) and winnowing (6): round trips and brute force."""
 
 import hashlib
+import re
 import zlib
 
 import numpy as np
@@ -142,3 +143,14 @@ def test_likeness_by_brute_force(spark):
         half = len(t) // 2
         assert abs(rows[i].near_edited - like(picked(t), picked(t[: len(t) - half] + nxt[:half]))) < 1e-12
         assert abs(rows[i].near_next - like(picked(t), picked(nxt))) < 1e-12
+
+
+def test_odd_spaces_and_pieces_with_white_space():
+    white = [c for c in map(chr, range(0x110000)) if re.match(r"\s", c)]
+    texts = [a + b + " " + c + d for a in ("", "x") for b in ["", "x", *white] for c in ["", "x", *white] for d in ("", "x", "\u4e00")]
+    assert [bool(tokens._ODD.search(t)) for t in texts] == [bool(re.search(r"\s (?:\s|\Z)", t)) for t in texts]
+    assert [c for c in white if c.isprintable()] == [" "]
+    enc = tokens.PieceEncoder(tokens.default_tokenizer())
+    ids, n = enc.encode(texts)
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
