@@ -101,6 +101,18 @@ def usable_rules(rules: DataFrame, named_groups: bool = False) -> DataFrame:
     return prepare_rules(rules, named_groups).where(F.col("reject_reason").isNull() & F.col("device_key").isNotNull())
 
 
+def _first_alike(rules: DataFrame, named_groups: bool = False) -> DataFrame:
+    """Of the rules that differ in their number, id and constants only the first in rule order: the others match the same
+    texts later, or are refused with it. The rules are spread over the tasks that then scan them."""
+    order = [F.col("rule_seq").cast("bigint").alias("rule_seq"), jtrim(F.col("log_rule_id")).alias("log_rule_id")]
+    same = {"log_regex": jtrim(F.col("log_regex"))}
+    if not named_groups:
+        same |= {"device_ip": jtrim(F.col("device_ip"))} | {f: F.col(f) for f in S.CAPTURE_FIELDS}
+    alike = rules.select(*[c.alias(f) for f, c in same.items()], F.struct(*order, *_CONSTANTS).alias("r"))
+    return (alike.repartition(rules.sparkSession.sparkContext.defaultParallelism, *same)
+            .groupBy(*same).agg(F.min("r").alias("r")).select(*same, "r.*"))
+
+
 def pack_chunks(ok: DataFrame, chunk_bytes: int = MAX_RULE_CHUNK_BYTES) -> list[DataFrame]:
     """User rules: every usable rule applies to every log. One-row tables, each with a sorted
     array of about chunk_bytes of rules at most, in rule order."""
@@ -135,7 +147,7 @@ def match_system(parsed: DataFrame, rules: DataFrame, broadcast_max_bytes: int =
     Lines with six or fewer fields, no device IP in the payload or no rule
     for their device get a null hit. `match_status` tells which.
     """
-    ok = first_of_regex(usable_rules(rules), _rule_struct_fields())
+    ok = first_of_regex(usable_rules(_first_alike(rules)), _rule_struct_fields())
     index = rule_index(ok, _rule_struct_fields(), index_max_bytes)
     device = F.coalesce(F.col("device_ip"), F.lit(_NO_DEVICE))
     if index is not None:
@@ -157,11 +169,11 @@ def match_user(parsed: DataFrame, user_rules: DataFrame, chunk_bytes: int = MAX_
                index_max_bytes: int = MAX_INDEX_BYTES, broadcast_max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """The first matching user rule, tested against the whole raw content
     (field 6, untrimmed), with no device filter."""
-    ok = first_of_regex(usable_rules(user_rules, named_groups=True), _rule_struct_fields())
+    ok = first_of_regex(usable_rules(_first_alike(user_rules, named_groups=True), named_groups=True), _rule_struct_fields())
     index = rule_index(ok, _rule_struct_fields(), index_max_bytes)
     if index is not None:
         joined = _indexed(parsed, index, F.lit(_ALL_DEVICES), F.col("logcontent"))
-    elif config_bytes(ok) <= chunk_bytes:
+    elif chunk_bytes > index_max_bytes and config_bytes(ok) <= chunk_bytes:
         # One value: no join, and the logs stay in place.
         rules = pack_chunks(ok, chunk_bytes)[0]
         with_rules = parsed.select("*", rules.scalar().alias("_rules"))

@@ -148,3 +148,37 @@ def test_rules_joined_by_gram_find_what_testing_every_rule_finds(spark):
     # the rules are one side of a join, not values beside each line
     assert "Subquery" not in joined._jdf.queryExecution().optimizedPlan().toString()
     assert pick(joined) == every and len({r for _, _, r in every}) > 4
+
+
+def test_a_line_looks_up_few_of_its_grams(spark):
+    """Those that begin as a listed one does; every gram that is listed is found, beyond Latin-1 too."""
+    from logsieve.operators import ruleindex as ri
+    rng = random.Random(31)
+    for n in (4, 8):
+        for alphabet in ("ab=-1", "user=0129 |!x.é", "ab€漢\U0001f600^]\\-["):
+            grams = {"".join(rng.choice(alphabet) for _ in range(n)) for _ in range(30)}
+            follow = ri._follow(grams)
+            texts = ["".join(rng.choice([*alphabet, *grams]) for _ in range(20)) for _ in range(20)]
+            df = spark.createDataFrame([(t,) for t in texts], "t string")
+            found = df.select("t", F.regexp_extract_all("t", F.lit(ri.beginning(follow)), F.lit(1)).alias("g")).collect()
+            assert all({g for g in grams if g in r.t} <= set(r.g) and all(len(g) == n for g in r.g) for r in found)
+            assert ri._follow_of(spark.createDataFrame([(g,) for g in grams], "g string")) == follow
+    rules = [{"rule_seq": i, "log_rule_id": f"R{i}", "device_ip": "10.0.0.1", "log_regex": f"user=({i:04}) type"} for i in range(500)]
+    index = ri.rule_index(mt.usable_rules(_table(spark, rules)), mt._rule_struct_fields())
+    line = "x|!" * 29 + "10.0.0.1" + "x|!" * 37 + "user=0123 type=a"
+    looked_up = spark.range(1).select(F.regexp_extract_all(F.lit(line), F.lit(index.grams), F.lit(1))).first()[0]
+    assert 1 <= len(looked_up) < 20 and len(line) > 200
+
+
+def test_rules_are_scanned_once_and_in_several_tasks(spark):
+    """Of 400 rules of 40 regexes 40 are scanned, though they come as one partition; refused rules stay refused."""
+    rules = [{"rule_seq": 900 - i, "log_rule_id": f"R{i}", "device_ip": " 10.0.0.1", "log_regex": f"user=({i % 40}) " + "(" * (i % 40 == 3), "sourceip": "19"[i % 80 == 7]}
+             for i in range(400)]
+    table = _table(spark, rules).coalesce(1)
+    alike = mt._first_alike(table, named_groups=True)
+    assert alike.count() == 40 and alike.rdd.getNumPartitions() > 1
+    ids = lambda t, named: {r.rule_id for r in mt.usable_rules(t, named).collect()}
+    assert ids(alike, True) == {f"R{i}" for i in range(360, 400) if i % 40 != 3}
+    # a rule that is refused for its group number leaves the next one of its regex
+    alike = mt._first_alike(table)
+    assert alike.count() == 41 and ids(alike, False) == {f"R{i}" for i in range(360, 400) if i % 40 != 3}
