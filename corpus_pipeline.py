@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from logsieve.llm import decontaminate, hyperminhash, langid, mixing, tokens
 from logsieve.llm.blocks import written
 
+#: Distinct pieces that a worker's encoder keeps: fewer than in op3, as the stages before it left their memory in the workers.
+MAX_PIECES = 1 << 17
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identifiable(docs)
@@ -37,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens.encode_and_read(docs)
+    return tokens.encode_and_read(docs, max_pieces=MAX_PIECES)
 
 
 STAGES = [

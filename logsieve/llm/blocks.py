@@ -19,6 +19,9 @@ from logsieve.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at a time inside a task; one longer text is a block of its own.
 BLOCK_BYTES = 1 << 22
+#: The same in the pipeline's operators: workers of all its stages stay beside each other, and what a block took of
+#: memory a worker mostly keeps.
+SMALL_BLOCK = 1 << 20
 
 _U = np.uint64
 _WS = np.zeros(256, dtype=bool)

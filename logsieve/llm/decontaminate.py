@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import blocks, mix, text_bytes, word_hashes, word_spans, worker_cache, written
+from .blocks import SMALL_BLOCK, blocks, mix, text_bytes, word_hashes, word_spans, worker_cache, written
 
 #: Fixed masks, 1: the word counts. Each word of a window is ignored by one of them.
 MASKS = ("01111", "10111", "11011", "11101", "11110")
@@ -217,7 +217,7 @@ def _best(items: Items, data: np.ndarray, off: np.ndarray, percent: int, passage
 def _search(items: Items, percent: int, passage: int | None):
     def run(batches):
         worker_cache(None, None)
-        for batch, data, off in blocks(batches):
+        for batch, data, off in blocks(batches, size=SMALL_BLOCK):
             best = _best(items, data, off, percent, passage)
             if best:
                 ids = batch.column("doc_id").to_pylist()
@@ -268,7 +268,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, passage
 def _untouched(items: Items, percent: int, passage: int | None):
     def run(batches):
         worker_cache(None, None)
-        for batch, data, off in blocks(batches):
+        for batch, data, off in blocks(batches, size=SMALL_BLOCK):
             keep = np.ones(batch.num_rows, bool)
             keep[[r for r, _ in _best(items, data, off, percent, passage)]] = False
             if keep.any():

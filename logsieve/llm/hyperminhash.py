@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import blocks, mix, shingle_hashes, word_hashes, word_spans, worker_cache, written
+from .blocks import SMALL_BLOCK, blocks, mix, shingle_hashes, word_hashes, word_spans, worker_cache, written
 from .components import components
 
 BUCKETS = 256
@@ -135,7 +135,7 @@ _SKETCH = "doc_id long, n_shingles long, digest binary, registers binary, bits b
 def _sketcher(k: int):
     def run(batches):
         worker_cache(None, None)
-        for batch, data, off in blocks(batches):
+        for batch, data, off in blocks(batches, size=SMALL_BLOCK):
             sets = shingle_sets(data, off, k)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()), pa.array([len(u) for u in sets], pa.int64()),
@@ -164,7 +164,7 @@ def _bands(batches):
 def _set_rows(k: int):
     def run(batches):
         worker_cache(None, None)
-        for batch, data, off in blocks(batches):
+        for batch, data, off in blocks(batches, size=SMALL_BLOCK):
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array([u.tobytes() for u in shingle_sets(data, off, k)], pa.binary())], names=["id", "items"])

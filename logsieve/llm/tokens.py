@@ -86,7 +86,7 @@ class _Codes(dict):
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_pieces: int | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -94,8 +94,9 @@ class PieceEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.starts = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(SPACE)]] = True
+        self.max_pieces = max_pieces or MAX_PIECES
         #: batches of texts that met a piece, up to 2
-        self.seen = np.zeros(MAX_PIECES, np.uint8)
+        self.seen = np.zeros(self.max_pieces, np.uint8)
         self.reset()
 
     def reset(self):
@@ -160,7 +161,7 @@ class PieceEncoder:
         """Starts the table anew with the pieces that were met in more than one batch of texts."""
         head, tail, n, flat, offset, seen = self.head, self.tail, self.n, self.flat, self.offset, self.seen
         self.reset()
-        keep = np.flatnonzero(seen[:n] > 1)[: MAX_PIECES // 2]
+        keep = np.flatnonzero(seen[:n] > 1)[: self.max_pieces // 2]
         code = np.full(n, -1)
         code[keep] = np.arange(len(keep))
         for old, new in ((head, self.head), (tail, self.tail)):
@@ -170,11 +171,11 @@ class PieceEncoder:
         ends = np.concatenate([[0], np.cumsum(size)])
         self.flat = flat[np.repeat(offset[keep] - ends[:-1], size) + np.arange(ends[-1])]
         self.offset, self.n = ends, len(keep)
-        self.seen = np.zeros(MAX_PIECES, np.uint8)
+        self.seen = np.zeros(self.max_pieces, np.uint8)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has, without the end id."""
-        if self.n > MAX_PIECES:
+        if self.n > self.max_pieces:
             self._renew()
         codes, per_text = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
@@ -202,8 +203,8 @@ class PieceEncoder:
         return self.flat[at], np.diff(ends[of_text])
 
 
-def encoder(path: str) -> PieceEncoder:
-    return worker_cache(("tokens", path), lambda: PieceEncoder(path))
+def encoder(path: str, max_pieces: int | None = None) -> PieceEncoder:
+    return worker_cache(("tokens", path, max_pieces), lambda: PieceEncoder(path, max_pieces))
 
 
 def _segment(part, seq, width, ids, counts, doc_ids):
@@ -218,9 +219,9 @@ def _segment(part, seq, width, ids, counts, doc_ids):
     return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(row, _ARROW)], schema=_ARROW)
 
 
-def _encode_segments(path: str, end_id: int, segment_ids: int):
+def _encode_segments(path: str, end_id: int, segment_ids: int, max_pieces: int | None = None):
     def run(batches):
-        enc, part, seq = encoder(path), TaskContext.get().partitionId(), 0
+        enc, part, seq = encoder(path, max_pieces), TaskContext.get().partitionId(), 0
         ids, counts, doc_ids, total = [], [], [], 0
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
@@ -241,12 +242,13 @@ def _encode_segments(path: str, end_id: int, segment_ids: int):
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
-          segment_ids: int = SEGMENT_IDS) -> None:
-    """Encodes docs (doc_id, text) into segments under path, in ascending doc_id order."""
+          segment_ids: int = SEGMENT_IDS, max_pieces: int | None = None) -> None:
+    """Encodes docs (doc_id, text) into segments under path, in ascending doc_id order. The ids are the same for any
+    `max_pieces`: a worker that keeps fewer needs less memory and more time."""
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange(F.col("doc_id").asc_nulls_first())
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
-    (ordered.mapInArrow(_encode_segments(tokenizer or default_tokenizer(), end_id, segment_ids), SEGMENT)
+    (ordered.mapInArrow(_encode_segments(tokenizer or default_tokenizer(), end_id, segment_ids, max_pieces), SEGMENT)
      .write.option("compression", "zstd").parquet(path))
 
 
@@ -300,9 +302,9 @@ def read_ids(segment, i: int) -> np.ndarray:
     return np.frombuffer(bytes(segment["ids"])[a * w : b * w], f"<u{w}").astype(np.int64)
 
 
-def encode_and_read(docs: DataFrame) -> DataFrame:
+def encode_and_read(docs: DataFrame, max_pieces: int | None = None) -> DataFrame:
     path = scratch_path(docs, "tokens")
-    write(docs, path)
+    write(docs, path, max_pieces=max_pieces)
     return read_documents(docs.sparkSession, path)
 
 

@@ -154,3 +154,28 @@ def test_odd_spaces_and_pieces_with_white_space():
     ids, n = enc.encode(texts)
     want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_a_smaller_table_of_pieces_gives_the_same_ids():
+    """The pipeline's encoder keeps fewer pieces than op3's: it holds no more than those and a batch, and all ids are the same."""
+    texts = [" ".join(f"w{(7 * i + j) % 900} x{i * j % 53}" for j in range(40)) for i in range(120)] + ["", "a  b", "é\n c"]
+    whole, small = tokens.PieceEncoder(tokens.default_tokenizer()), tokens.PieceEncoder(tokens.default_tokenizer(), max_pieces=100)
+    for i in range(0, len(texts), 10):
+        (a, n), (b, m) = whole.encode(texts[i : i + 10]), small.encode(texts[i : i + 10])
+        assert a.tolist() == b.tolist() and n.tolist() == m.tolist()
+    assert small.n < whole.n and small.n <= 100 + 10 * 80
+
+
+def test_block_size_changes_no_sketch():
+    import pyarrow as pa
+
+    from logsieve.llm import blocks, hyperminhash
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": [None, ""] + [" ".join(f"w{i * j % 97}" for j in range(i)) for i in range(58)]})
+    assert blocks.SMALL_BLOCK < blocks.BLOCK_BYTES
+    run = lambda: [r for out in hyperminhash._sketcher(5)([batch]) for r in out.to_pylist()]
+    want, size = run(), hyperminhash.SMALL_BLOCK
+    try:
+        hyperminhash.SMALL_BLOCK = 300
+        assert run() == want and len(want) == 60
+    finally:
+        hyperminhash.SMALL_BLOCK = size
